@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +69,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def row_bound(df: DataFrame, most: int) -> bool:
     """Whether `df` has at most `most` rows; reads no more than most + 1 of them."""
     return df.limit(most + 1).count() <= most
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context, so that they can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_archivolt_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    fd, name = tempfile.mkstemp(prefix="archivolt-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(name, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(home.rglob("*.py")):
+            z.write(p, str(p.relative_to(home.parent)))
+    context.addPyFile(name)
+    context._archivolt_shipped = True
