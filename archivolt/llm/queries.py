@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import leakage
-from archivolt.session import ship_package
+from archivolt.llm import leakage, neardup_index, stuffing
+from archivolt.session import shared_dir, ship_package
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,6 +15,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p7_found(spark, sf_dir):
+    root = f"{shared_dir(spark)}/rare-shingles-{uuid.uuid4().hex}"
+    return neardup_index.queue_duplicates(_t(spark, sf_dir, "pdf_upgrade_queue"), _t(spark, sf_dir, "pages"), root).distinct()
+
+
 def p8_found(spark, sf_dir):
     return leakage.leaks(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")).select("doc_id", "item_id").distinct()
 
@@ -21,7 +28,11 @@ def p8_items(spark, sf_dir):
     return leakage.leaked_items(leakage.leaks(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {"p8_found": p8_found, "p8_items": p8_items}
+def p10_found(spark, sf_dir):
+    return stuffing.stuffed_documents(_t(spark, sf_dir, "documents")).select("doc_id").distinct()
+
+
+QUERIES = {"p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found}
 ORACLE: dict[str, str] = {}
 
 
