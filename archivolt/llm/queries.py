@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import leakage, neardup_index, stuffing
+from archivolt.llm import leakage, mojibake, neardup_index, stuffing
 from archivolt.session import shared_dir, ship_package
 
 
@@ -15,6 +15,14 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p2_found(spark, sf_dir):
+    return mojibake.repaired(_t(spark, sf_dir, "pdf_quality"), _t(spark, sf_dir, "pages")).select("table_name", "url").distinct()
+
+
+def p2_repaired(spark, sf_dir):
+    return mojibake.repaired(_t(spark, sf_dir, "pdf_quality"), _t(spark, sf_dir, "pages"))
+
+
 def p7_found(spark, sf_dir):
     root = f"{shared_dir(spark)}/rare-shingles-{uuid.uuid4().hex}"
     return neardup_index.queue_duplicates(_t(spark, sf_dir, "pdf_upgrade_queue"), _t(spark, sf_dir, "pages"), root).distinct()
@@ -32,7 +40,7 @@ def p10_found(spark, sf_dir):
     return stuffing.stuffed_documents(_t(spark, sf_dir, "documents")).select("doc_id").distinct()
 
 
-QUERIES = {"p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found}
+QUERIES = {"p2_found": p2_found, "p2_repaired": p2_repaired, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found}
 ORACLE: dict[str, str] = {}
 
 
