@@ -15,9 +15,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from archivolt.llm.fold import CAP, Words, folded, slices, word_hash
+from archivolt.llm.fold import Words, slices, word_hash
 
 #: Units of measure and count that follow a number.
 UNITS = "pages page copies copy volumes volume km kg m cm mm g l lb oz miles mile feet foot hours hour minutes seconds days day weeks months years percent dollars euros pounds letters seiten paginas pages ans jahre".split()
@@ -32,37 +32,27 @@ class ItemBlock:
 
     def __init__(self, items: list[tuple[int, str]], width: int):
         self.ids = np.array([i for i, _ in items], dtype=np.int64)
-        texts = [t for _, t in items]
-        plain = [t.replace(CAP, "") for t in texts]
-        capital, small = set(), set()
-        for t in texts:
-            before = ""
-            for w in t.split():
-                if w[0] == CAP and before not in ARTICLES:
-                    capital.add(w[1:])
-                elif w[0] != CAP:
-                    small.add(w)
-                before = w
+        words = Words([t for _, t in items])
+        before = np.concatenate(([np.uint64(0)], words.hash[:-1])) if len(words.hash) else words.hash
+        noun = np.isin(before, word_hash(ARTICLES))
+        self.names = np.unique(words.hash[words.capital & ~noun])
         # a sentence's first word is never marked, so it must not rule out a name: only words that are never marked do
-        marked = {w[1:] for t in texts for w in t.split() if w[0] == CAP}
-        self.names = np.sort(word_hash(sorted(capital)))
-        self.vocabulary = np.sort(word_hash(sorted(small - marked)))
-        self.units = np.sort(word_hash(UNITS))
-        words = Words(plain)
+        self.vocabulary = np.setdiff1d(words.hash, words.hash[words.capital])
+        self.units = np.unique(word_hash(UNITS))
         self.word, self.of = words.hash, words.doc
         self.first = np.searchsorted(self.of, np.arange(len(items) + 1))
-        code, self.slot = self.template(words, np.zeros(len(words.hash), dtype=bool))
+        code, self.slot = self.template(words)
         at, h = words.windows(code, width)
         order = np.argsort(h, kind="stable")
         self.window_hash, self.window_at = h[order], at[order]
 
-    def template(self, words: Words, capital: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def template(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Word codes with placeholders, and whether a word fills a slot."""
         h = words.hash
         if len(h) == 0:
             return h, np.zeros(0, dtype=bool)
-        digit = (words.buf[words.start] >= 0x30) & (words.buf[words.start] <= 0x39)
-        name = _among(h, self.names) | (capital & ~_among(h, self.vocabulary))
+        digit = words.digit
+        name = _among(h, self.names) | (words.capital & ~_among(h, self.vocabulary))
         unit = np.concatenate(([False], digit[:-1])) & _among(h, self.units)
         code = np.where(digit, NUM, np.where(name, NAME, np.where(unit, UNIT, h)))
         return code, digit | name
@@ -91,15 +81,10 @@ def _in_runs(hit: np.ndarray, least: int) -> np.ndarray:
 
 def find_in_batch(texts: list[str], block: ItemBlock, width: int, least_windows: int, run: int, share: float) -> list[tuple[int, int, str, int, float]]:
     """(place of the text, item, kind, longest run, share of the passage) of the texts that hold a passage."""
-    capital_marks = [t for t in texts]
-    words = Words(capital_marks)
+    words = Words(texts)
     if len(words.hash) == 0 or len(block.window_hash) == 0:
         return []
-    capital = words.buf[words.start] == 0x01
-    if capital.any():
-        bare = Words([t.replace(CAP, "") for t in texts])
-        words = bare
-    code, slot = block.template(words, capital)
+    code, slot = block.template(words)
     at, h = words.windows(code, width)
     left = np.searchsorted(block.window_hash, h, side="left")
     right = np.searchsorted(block.window_hash, h, side="right")
@@ -172,9 +157,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, width: int = 8, least_wind
     text are ignored. Repeated rows give the same pairs, once per doc_id; empty tables give none; whole texts count.
     """
     spark = documents.sparkSession
-    items = passages(benchmark).select("item_id", folded(F.col("passage"), mark_capitals=True).alias("t")).where("t != ''").distinct()
+    items = passages(benchmark).select("item_id", F.col("passage").alias("t")).where("trim(t) != ''").distinct()
     rows = items.orderBy("item_id").toLocalIterator()
-    docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", folded(F.col("text"), mark_capitals=True).alias("t"))
+    docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").alias("t"))
     schema = "doc_id long, item_id long, kind string, longest_run int, covered double"
     parts, held = [], []
 

@@ -15,26 +15,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from archivolt.llm.fold import Words, slices
+from archivolt.llm.fold import END, LINK, SEP, TAG, WORD, Words, slices
 from archivolt.session import materialize
 
-LINK, TAG, END, SEP = 3, 4, 5, 6
 BINS = 20
-#: A link target stands for about so many words (host, path, query).
-LINK_WORDS = 3
-
-
-def marked(text: Column) -> Column:
-    """Lower-case words with the signs that matter here as tokens of one control character."""
-    t = F.regexp_replace(text, r"<a\b[^<>]{0,2000}>|\]\([^()\s]{0,2000}\)|(?:https?://|www\.)[^\s<>\"]+", " \x03 ")
-    t = F.regexp_replace(t, r"<[/!a-zA-Z][^<>]{0,400}>", " ")
-    t = F.regexp_replace(t, r"#(?=\p{L})", " \x04 ")
-    t = F.regexp_replace(t, r"[.!?؟…]+(?=[\"”»’)\]]*(?:\s|$))|[。！？]+|\n\s*\n", " \x05 ")
-    t = F.regexp_replace(t, r"[,;|/·•،、]+|\s[-–—]\s|\n\s*(?:[-*]|\d+\.)\s", " \x06 ")
-    t = F.regexp_replace(F.lower(t), r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}])", " $1 ")
-    return F.regexp_replace(t, r"[^\p{L}\p{M}\p{N}\x03-\x06]+", " ")
+#: A link target stands for about so many words (scheme, host, path, query), a hash sign joins two.
+LINK_WORDS, TAG_WORDS = 5, 1
 
 
 def function_words(docs: DataFrame, least_share: float = 0.2, most: int = 200) -> dict[str, np.ndarray]:
@@ -47,7 +35,7 @@ def function_words(docs: DataFrame, least_share: float = 0.2, most: int = 200) -
         for pdf in batches:
             texts, langs = pdf["t"].tolist(), pdf["lang"].to_numpy()
             for a, b in slices(texts):
-                w = Words(texts[a:b])
+                w = Words(texts[a:b], signs=True)
                 label, code = np.unique(langs[a:b].astype(str), return_inverse=True)
                 # a word counts once a document
                 order = np.lexsort((w.hash, w.doc))
@@ -63,7 +51,7 @@ def function_words(docs: DataFrame, least_share: float = 0.2, most: int = 200) -
                 yield pd.DataFrame({"lang": label, "h": np.zeros(len(label), np.int64), "n": size})
 
     labelled = docs.where("lang IS NOT NULL AND trim(lang) != ''").select("lang", "t")
-    counts = labelled.mapInPandas(count, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n"))
+    counts = materialize(labelled.mapInPandas(count, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n")), "word-counts")
     totals = counts.where("h = 0").select("lang", F.col("n").alias("docs"))
     common = counts.where("h != 0").join(F.broadcast(totals), "lang").where((F.col("docs") >= 20) & (F.col("n") >= least_share * F.col("docs")))
     best: dict[str, list[tuple[int, int]]] = {}
@@ -78,23 +66,22 @@ def _counts(value: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def segment_features(texts: list[str], table: np.ndarray, masks: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per text: words, words in each (language, bin of function-word share) of sentence-shaped segments."""
-    w = Words(texts)
+    w = Words(texts, signs=True)
     total = np.zeros(len(texts), np.int32)
     held = np.zeros((len(texts), languages, BINS), np.int32)
     if len(w.hash) == 0:
         return total, held, held
-    kind = w.buf[w.start]
-    word = kind > 0x08
+    kind = w.kind
+    word = kind == WORD
     ends = np.concatenate(([False], (kind[:-1] == END) | (w.doc[1:] != w.doc[:-1])))
     ends[0] = True
     first = np.flatnonzero(ends)
     seg = np.cumsum(ends) - 1
     doc = w.doc[first]
     n = _counts(word, first)
-    linked = _counts(kind == LINK, first)
-    total = np.bincount(doc, weights=n + LINK_WORDS * linked, minlength=len(texts)).astype(np.int32)
     links, tags, seps = _counts(kind == LINK, first), _counts(kind == TAG, first), _counts(kind == SEP, first)
-    digits = _counts((kind >= 0x30) & (kind <= 0x39), first)
+    total = np.bincount(doc, weights=n + LINK_WORDS * links + TAG_WORDS * tags, minlength=len(texts)).astype(np.int32)
+    digits = _counts(w.digit, first)
     at = np.minimum(np.searchsorted(table, w.hash), max(0, len(table) - 1))
     mask = np.where(table[at] == w.hash, masks[at], 0) if len(table) else np.zeros(len(w.hash), np.int64)
     fw = np.stack([_counts((mask >> k) & 1, first) for k in range(languages)], axis=1) if languages else np.zeros((len(first), 1), np.int32)
@@ -116,7 +103,7 @@ def segment_features(texts: list[str], table: np.ndarray, masks: np.ndarray, lan
     size = np.diff(np.concatenate((new, [len(a)])))
     repeated = np.zeros(len(first), np.int32)
     repeated[order] = np.repeat(size, size)
-    content = word & (mask == 0) & ~((kind >= 0x30) & (kind <= 0x39))
+    content = word & (mask == 0) & ~w.digit
     order = np.lexsort((w.hash[content], w.doc[content]))
     h, d = w.hash[content][order], w.doc[content][order]
     top = np.zeros(len(texts))
@@ -152,7 +139,7 @@ def stuffing_shares(documents: DataFrame, least_share: float = 0.2) -> DataFrame
     once each; whole texts count. If no language has enough labelled documents, no segment can be told to be writing
     by function words and every text is judged by the other measures alone.
     """
-    docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", marked(F.col("text")).alias("t"))
+    docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", F.col("text").alias("t"))
     words = function_words(docs, least_share)
     names = list(words)
     table = np.unique(np.concatenate([*words.values(), np.zeros(0, np.uint64)]))
