@@ -1,12 +1,14 @@
 """Duplicates of new batches among everything accepted before.
 
-An inverted index holds, for every distinct accepted text, the rarest of its five-word shingles (its prefix). A batch
-looks up only the prefixes of its own texts, pairs with enough common prefix shingles and near lengths are verified
-word by word, and the batch's postings are appended. Equal digests and equal texts are found by hash.
+An inverted index holds, for every distinct accepted text, the rarest of its three-word shingles (its prefix). A batch
+looks up only the prefixes of its own texts; pairs with enough common prefix shingles at near places and near lengths
+are verified word by word, and the batch's postings are appended. Equal digests and equal texts are found by hash.
 
 The prefix rule: two texts whose words agree, in order, in at least `similarity` of the longer one share at least
-m - 5k of its m shingles (k: words that may differ), so they share at least j among the m - o + j rarest of either.
-Any fixed order of shingles is right; the rarity at the first batch keeps postings short.
+o = m - 3k of its m shingles (k: words that may differ), so they share at least j among the m - o + j rarest of either.
+Any fixed order of shingles is right; the counts at the first batch, in a table of fixed size, keep postings short.
+Three words, not five: at five sixths a five-word rule could leave out 16 of 106 shingles only, less than a shared
+opening has, and every pair of texts with one opening would have to be verified; three words leave out 54 of 108.
 
 Scale: postings lie in files by shingle bucket; copies are folded into one text class before anything is paired, so a
 document that makes up a third of the rows is one posting; the answer for a row is the earliest member of the classes
@@ -17,6 +19,9 @@ from __future__ import annotations
 
 
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -24,12 +29,14 @@ from archivolt.functions.digests import canonical_digest
 from archivolt.llm.fold import folded
 from archivolt.session import materialize
 
-SHINGLE = 5
-COMMON = 4
+SHINGLE = 3
+COMMON = 8
+#: Cells of the table of shingle counts.
+CELLS = 1 << 20
 
 
 def with_prefix_sizes(df: DataFrame, similarity: float) -> DataFrame:
-    """Adds m (distinct shingles), o (fewest shared by a match), j (fewest shared in the prefixes)."""
+    """Adds m (shingles), o (fewest shared by a match), j (fewest shared in the prefixes)."""
     differ = F.floor(F.size("words") * (1 - similarity) + 1e-9)
     m = F.size("shingles")
     o = F.greatest(F.lit(1), F.floor(m - SHINGLE * differ)).cast("int")
@@ -39,10 +46,10 @@ def with_prefix_sizes(df: DataFrame, similarity: float) -> DataFrame:
 def text_classes(rows: DataFrame, similarity: float) -> DataFrame:
     """One row per distinct folded text: cls, words, shingles, sizes and `first`, its earliest row."""
     grouped = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("ord").alias("first"), F.first("folded").alias("folded"))
-    words = F.transform(F.split("folded", " "), lambda w: F.xxhash64(w))
+    words = F.transform(F.split("folded", " "), lambda w: F.hash(w))
     n = F.size("words")
     at = F.sequence(F.lit(1), F.greatest(F.lit(1), n - SHINGLE + 1))
-    shingles = F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.slice("words", i, SHINGLE))))
+    shingles = F.transform(at, lambda i: F.xxhash64(F.slice("words", i, SHINGLE)))
     return with_prefix_sizes(grouped.select("cls", "first", words.alias("words")).withColumn("shingles", shingles), similarity)
 
 
@@ -82,18 +89,38 @@ class RareShingleIndex:
         stored = self._stored(table)
         return own if stored is None else stored.select(*own.columns).unionByName(own)
 
-    def _postings(self, classes: DataFrame) -> DataFrame:
-        """(bucket, shingle, cls, n, j) of the rarest shingles of each class."""
-        each = classes.select("cls", F.size("words").alias("n"), "m", "o", "j", F.explode("shingles").alias("shingle"))
+    def _counts(self, classes: DataFrame) -> np.ndarray:
+        """How often each cell's shingles occurred in the first batch."""
         if self.batches == 0:
-            rare = each.groupBy("shingle").count().where("count > 1")
-            rare.withColumn("df", F.col("count")).select("shingle", "df").write.parquet(f"{self.root}/rarity")
-        ranked = each.join(self.spark.read.parquet(f"{self.root}/rarity"), "shingle", "left")
-        packed = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "shingle")
-        kept = ranked.groupBy("cls", "n", "m", "o", "j").agg(F.array_sort(F.collect_list(packed)).alias("s"))  # a list as long as its own text
-        prefix = F.slice("s", 1, F.col("m") - F.col("o") + F.col("j"))
-        flat = kept.select("cls", "n", "j", F.explode(prefix).alias("p")).select("cls", "n", "j", F.col("p.shingle").alias("shingle"))
-        return flat.select(F.pmod("shingle", F.lit(self.buckets)).cast("int").alias("bucket"), "shingle", "cls", "n", "j")
+            cells = classes.select(F.explode("shingles").alias("s")).groupBy(F.pmod("s", F.lit(CELLS)).cast("int").alias("cell")).count()
+            cells.write.parquet(f"{self.root}/rarity")
+        stored = self.spark.read.parquet(f"{self.root}/rarity").toPandas()  # CELLS rows at most
+        table = np.zeros(CELLS, dtype=np.int32)
+        table[stored["cell"].to_numpy(dtype=np.int64)] = np.minimum(stored["count"].to_numpy(dtype=np.int64), 2**31 - 1)
+        return table
+
+    def _postings(self, classes: DataFrame) -> DataFrame:
+        """(bucket, shingle, at, cls, n, j) of the rarest shingles of each class, with their places."""
+        shared = self.spark.sparkContext.broadcast(self._counts(classes))
+        buckets = self.buckets
+
+        def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            table = shared.value
+            for pdf in batches:
+                out = {"shingle": [], "at": [], "cls": [], "n": [], "j": []}
+                for cls, n, o, j, shingles in zip(pdf["cls"], pdf["n"], pdf["o"], pdf["j"], pdf["shingles"]):
+                    s = np.asarray(shingles, dtype=np.int64)
+                    best = np.lexsort((s, table[s % CELLS]))[: len(s) - o + j]
+                    out["shingle"].append(s[best])
+                    out["at"].append(best)
+                    for k, v in (("cls", cls), ("n", n), ("j", j)):
+                        out[k].append(np.full(len(best), v))
+                if out["shingle"]:
+                    res = pd.DataFrame({k: np.concatenate(v) for k, v in out.items()})
+                    res["bucket"] = res["shingle"] % buckets
+                    yield res[["bucket", "shingle", "at", "cls", "n", "j"]]
+
+        return classes.select("cls", F.size("words").alias("n"), "o", "j", "shingles").mapInPandas(pick, "bucket int, shingle long, at int, cls long, n int, j int")
 
     def accept(self, rows: DataFrame) -> DataFrame:
         """(row_id, first): the earliest accepted or own-batch row that is the same document, for rows that have one.
@@ -101,7 +128,7 @@ class RareShingleIndex:
         `rows` may hold several batches; `ord` decides what is earlier. The rows are then part of the index.
         """
         here = f"batch={self.batches}"
-        rows = materialize(rows.withColumn("folded", folded(F.col("text"))).withColumn("cls", F.when(F.length("folded") > 0, F.md5("folded"))).select("row_id", "ord", "digest", "cls", "folded"), "batch-rows")
+        rows = materialize(rows.withColumn("folded", folded(F.col("text"))).withColumn("cls", F.when(F.length("folded") > 0, F.xxhash64("folded"))).select("row_id", "ord", "digest", "cls", "folded"), "batch-rows")
         classes = text_classes(rows, self.similarity)
         classes.write.parquet(f"{self.root}/classes/{here}")
         classes = self.spark.read.parquet(f"{self.root}/classes/{here}")
@@ -110,11 +137,12 @@ class RareShingleIndex:
         digests = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("ord").alias("first"))
         digests.write.parquet(f"{self.root}/digests/{here}")
 
-        everything = self._both("postings", own).select("bucket", "shingle", F.col("cls").alias("other"), F.col("n").alias("on"), F.col("j").alias("oj"))
-        near_length = (F.least("n", "on") >= self.accept_at * F.greatest("n", "on")) & (F.col("cls") != F.col("other"))
-        hits = own.join(everything, ["bucket", "shingle"]).where(near_length)
+        everything = self._both("postings", own).select("bucket", "shingle", F.col("at").alias("oat"), F.col("cls").alias("other"), F.col("n").alias("on"), F.col("j").alias("oj"))
+        longer = F.greatest("n", "on")
+        near = (F.least("n", "on") >= self.accept_at * longer) & (F.abs(F.col("at") - F.col("oat")) <= longer * (1 - self.accept_at) + 1)
+        hits = own.join(everything, ["bucket", "shingle"]).where(near & (F.col("cls") != F.col("other")))
         candidates = hits.groupBy("cls", "other").agg(F.count(F.lit(1)).alias("common"), F.min(F.least("j", "oj")).alias("need")).where("common >= need").select("cls", "other")
-        known = self._both("classes", classes).groupBy("cls").agg(F.min("first").alias("first"), F.first("words").alias("words"))
+        known = self._both("classes", classes).groupBy("cls").agg(F.min("first").alias("first"), F.first("words").alias("words"))  # equal classes have equal words
         pairs = candidates.join(classes.select("cls", F.col("words").alias("a")), "cls").join(known.select(F.col("cls").alias("other"), F.col("words").alias("b"), "first"), "other")
         near = pairs.where(word_agreement("a", "b") >= self.accept_at).groupBy("cls").agg(F.min("first").alias("near_first"))
         same = known.select("cls", F.col("first").alias("text_first"))
