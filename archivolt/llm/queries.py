@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import leakage, mojibake, neardup_index, stuffing
-from archivolt.session import shared_dir, ship_package
+from archivolt.llm import language, leakage, mixing, mojibake, neardup_index, ranking, stuffing
+from archivolt.session import materialize, shared_dir, ship_package
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,24 @@ def p2_repaired(spark, sf_dir):
     return mojibake.repaired(_t(spark, sf_dir, "pdf_quality"), _t(spark, sf_dir, "pages"))
 
 
+def p3_ranking(spark, sf_dir):
+    return ranking.pdf_ranking(_t(spark, sf_dir, "pdf_quality"))
+
+
+def p5_found(spark, sf_dir):
+    quality = _t(spark, sf_dir, "pdf_quality")
+    segments = materialize(language.judged(quality), "language-segments")
+    return language.label_findings(quality, segments).distinct()
+
+
+def p5_segments(spark, sf_dir):
+    return language.judged(_t(spark, sf_dir, "pdf_quality"))
+
+
+def p5_languages(spark, sf_dir):
+    return language.main_languages(language.judged(_t(spark, sf_dir, "pdf_quality")))
+
+
 def p7_found(spark, sf_dir):
     root = f"{shared_dir(spark)}/rare-shingles-{uuid.uuid4().hex}"
     return neardup_index.queue_duplicates(_t(spark, sf_dir, "pdf_upgrade_queue"), _t(spark, sf_dir, "pages"), root).distinct()
@@ -40,7 +58,15 @@ def p10_found(spark, sf_dir):
     return stuffing.stuffed_documents(_t(spark, sf_dir, "documents")).select("doc_id").distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p2_repaired": p2_repaired, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found}
+def p9_mixture(spark, sf_dir):
+    return mixing.mix(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark, sf_dir):
+    return mixing.Mixture(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "mix_targets")).report()
+
+
+QUERIES = {"p3_ranking": p3_ranking, "p5_found": p5_found, "p5_segments": p5_segments, "p5_languages": p5_languages, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p2_found": p2_found, "p2_repaired": p2_repaired, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found}
 ORACLE: dict[str, str] = {}
 
 
