@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from archivolt.llm import language, leakage, mixing, mojibake, neardup_index, ranking, stuffing
+from archivolt.llm import language, leakage, mixing, mojibake, neardup_index, ranking, scans, stuffing
 from archivolt.session import materialize, shared_dir, ship_package
 
 
@@ -27,6 +27,14 @@ def p3_ranking(spark, sf_dir):
     return ranking.pdf_ranking(_t(spark, sf_dir, "pdf_quality"))
 
 
+def p4_found(spark, sf_dir):
+    return scans.ScanNoise(_t(spark, sf_dir, "pdf_quality"), _t(spark, sf_dir, "md_texts")).found()
+
+
+def p4_repaired(spark, sf_dir):
+    return scans.ScanNoise(_t(spark, sf_dir, "pdf_quality"), _t(spark, sf_dir, "md_texts")).repaired()
+
+
 def p5_found(spark, sf_dir):
     quality = _t(spark, sf_dir, "pdf_quality")
     segments = materialize(language.judged(quality), "language-segments")
@@ -66,7 +74,7 @@ def p9_shares(spark, sf_dir):
     return mixing.Mixture(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "mix_targets")).report()
 
 
-QUERIES = {"p3_ranking": p3_ranking, "p5_found": p5_found, "p5_segments": p5_segments, "p5_languages": p5_languages, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p2_found": p2_found, "p2_repaired": p2_repaired, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found}
+QUERIES = {"p3_ranking": p3_ranking, "p4_found": p4_found, "p4_repaired": p4_repaired, "p5_found": p5_found, "p5_segments": p5_segments, "p5_languages": p5_languages, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p2_found": p2_found, "p2_repaired": p2_repaired, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found}
 ORACLE: dict[str, str] = {}
 
 
