@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from archivolt.plans import problems
+from archivolt.plans import problems, text_queries
 
-_MODULES = [problems]
+_MODULES = [problems, text_queries]
 
 
 def queries() -> dict:
