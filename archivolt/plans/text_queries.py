@@ -130,7 +130,7 @@ words AS (SELECT *, regexp_extract_all(lower(coalesce(text, '')), {_q(chr(92) +
 sampled AS (SELECT *, list_slice(ws, 1, 150) AS sample FROM words),
 votes AS (SELECT *, {', '.join(f'{v} AS {k}' for k, v in _VOTES.items())} FROM sampled),
 detected AS (SELECT *, CASE WHEN n < 15 THEN 'unknown'
-  WHEN {_n('[' + SCRIPTS['arabic'][:19] + ']')} / n > 0.07 THEN CASE WHEN regexp_matches(text, '[\\x{{067E}}\\x{{0686}}\\x{{0698}}\\x{{06AF}}]') THEN 'persian' ELSE 'arabic' END
+  WHEN {_n(r'[\x{0600}-\x{06FF}]')} / n > 0.07 THEN CASE WHEN regexp_matches(text, '[\\x{{067E}}\\x{{0686}}\\x{{0698}}\\x{{06AF}}]') THEN 'persian' ELSE 'arabic' END
   WHEN {_n(r'[\x{0590}-\x{05FF}]')} / n > 0.07 THEN 'hebrew'
   WHEN {_n(r'[\x{3040}-\x{30FF}]')} / n > 0.05 THEN 'japanese'
   WHEN {_n(r'[\x{4E00}-\x{9FFF}]')} / n > 0.07 THEN 'chinese'
