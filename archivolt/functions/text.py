@@ -14,6 +14,11 @@ def _text(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """`body(value)` with the value evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def count_of(text: Column, pattern: str) -> Column:
     return F.regexp_count(_text(text), F.lit(pattern))
 
@@ -40,8 +45,8 @@ def word_set(text: Column) -> Column:
 
 def jaccard(a: Column, b: Column) -> Column:
     """Shared over all words; two empty sets give 0."""
-    x, y = word_set(a), word_set(b)
-    return F.size(F.array_intersect(x, y)) / F.greatest(F.size(F.array_union(x, y)), F.lit(1))
+    pair = F.struct(word_set(a).alias("a"), word_set(b).alias("b"))
+    return let(pair, lambda p: F.size(F.array_intersect(p["a"], p["b"])) / F.greatest(F.size(F.array_union(p["a"], p["b"])), F.lit(1)))
 
 
 def printable_ratio(text: Column) -> Column:
@@ -75,31 +80,33 @@ def garbled(text: Column, language: Column) -> Column:
 def token_distribution(text: Column) -> Column:
     """0.6 x share of words of 3-15 characters + 0.4 x distinct / min(words, 100); 0 below five words of 2-25."""
     t = F.filter(tokens(text), lambda w: F.length(w).between(2, 25))
-    n = F.size(t)
-    fine = F.size(F.filter(t, lambda w: F.length(w).between(3, 15)))
-    return F.when(n < 5, F.lit(0.0)).otherwise(fine / n * 0.6 + F.size(F.array_distinct(t)) / F.least(n, F.lit(100)) * 0.4)
+    fine = lambda x: F.size(F.filter(x, lambda w: F.length(w).between(3, 15)))
+    share = lambda x: fine(x) / F.size(x) * 0.6 + F.size(F.array_distinct(x)) / F.least(F.size(x), F.lit(100)) * 0.4
+    return let(t, lambda x: F.when(F.size(x) < 5, F.lit(0.0)).otherwise(share(x)))
 
 
 def digit_noise(text: Column) -> Column:
     """Share of the mostly-letter words with a digit between letters; 0 below ten such words."""
     t = F.filter(tokens(text), lambda w: F.length(w).between(3, 25) & (F.regexp_count(w, F.lit("[a-zA-Z]")) * 2 >= F.length(w)))
-    n = F.size(t)
-    return F.when(n < 10, F.lit(0.0)).otherwise(F.size(F.filter(t, lambda w: w.rlike("[a-zA-Z][0-9][a-zA-Z]"))) / n)
+    noisy = lambda x: F.size(F.filter(x, lambda w: w.rlike("[a-zA-Z][0-9][a-zA-Z]")))
+    return let(t, lambda x: F.when(F.size(x) < 10, F.lit(0.0)).otherwise(noisy(x) / F.size(x)))
 
 
 def latin_word_quality(text: Column, known: list[str] | None = None) -> Column:
     """Share of the first 200 Latin words that are known or have a natural share of vowels, less penalties; 0-1, two digits."""
     words = F.filter(F.split(F.regexp_replace(_text(text), "[^a-zA-ZÀ-ÿ]+", " "), " "), lambda w: F.length(w).between(2, 20))
-    sample = F.transform(F.slice(words, 1, 200), lambda w: F.lower(w))
-    n = F.size(sample)
-    repeated = "|".join(f"{c}{{4}}" for c in LATIN_LETTERS.replace("a-z", "abcdefghijklmnopqrstuvwxyz"))
     vowels = lambda w: F.regexp_count(w, F.lit(f"[{VOWELS}]")) / F.length(w)
-    natural = lambda w: vowels(w).between(0.2, 0.75) & ~w.rlike(repeated)
-    real = F.size(F.filter(sample, lambda w: (w.isin(known) | natural(w)) if known else natural(w)))
-    bare = F.size(F.filter(sample, lambda w: (F.length(w) <= 3) & ~w.rlike(f"[{VOWELS.replace('ç', '').replace('ñ', '')}y]")))
-    penalty = F.when(bare / n > 0.03, (bare / n - 0.03) * 4).otherwise(0.0)
-    score = printable_ratio(text) * F.greatest(F.lit(0.0), real / n - digit_noise(text) * 3 - penalty)
-    return F.when(n < 10, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), half_up(score)))
+    natural = lambda w: vowels(w).between(0.2, 0.75) & ~w.rlike(r"(.)\1{3}")
+    real = lambda s: F.size(F.filter(s, lambda w: (w.isin(known) | natural(w)) if known else natural(w)))
+    bare = lambda s: F.size(F.filter(s, lambda w: (F.length(w) <= 3) & ~w.rlike(f"[{VOWELS.replace('ç', '').replace('ñ', '')}y]")))
+
+    def score(m: Column) -> Column:
+        penalty = F.when(m["bare"] / m["n"] > 0.03, (m["bare"] / m["n"] - 0.03) * 4).otherwise(0.0)
+        value = half_up(m["printable"] * F.greatest(F.lit(0.0), m["real"] / m["n"] - m["noise"] * 3 - penalty))
+        return F.when(m["n"] < 10, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), value))
+
+    measured = lambda s: F.struct(F.size(s).alias("n"), real(s).alias("real"), bare(s).alias("bare"), printable_ratio(text).alias("printable"), digit_noise(text).alias("noise"))
+    return let(F.transform(F.slice(words, 1, 200), lambda w: F.lower(w)), lambda s: let(measured(s), score))
 
 
 def excerpt(text: Column, most: int = 280) -> Column:
@@ -115,15 +122,18 @@ def detect_language(text: Column) -> Column:
     n = F.length(t)
     share = lambda ranges: count_of(t, f"[{ranges}]") / n
     letters = f"{ASCII_BOUNDARY}[{LATIN_LETTERS}]{{2,}}{ASCII_BOUNDARY}"
+
+    def named(v: Column, size: Column) -> Column:
+        best = F.greatest(*[v[k] for k in FUNCTION_WORDS])
+        out = F.lit("portuguese")
+        for k in ("italian", "german", "spanish", "french"):
+            out = F.when(v[k] == best, k).otherwise(out)
+        return F.when((size >= 8) & (best >= F.greatest(F.lit(3.0), F.least(size, F.lit(150)) * 0.06)), out).otherwise("english")
+
+    vote = lambda sample, known: F.size(F.filter(sample, lambda w: w.isin(known)))
+    votes = lambda sample: F.struct(*[vote(sample, v).alias(k) for k, v in FUNCTION_WORDS.items()])
     words = F.regexp_extract_all(F.lower(t), F.lit(letters), F.lit(0))
-    sample = F.slice(words, 1, 150)
-    vote = lambda known: F.size(F.filter(sample, lambda w: w.isin(known)))
-    votes = {k: vote(v) for k, v in FUNCTION_WORDS.items()}
-    best = F.greatest(*votes.values())
-    named = F.lit("portuguese")
-    for k in ("italian", "german", "spanish", "french"):
-        named = F.when(votes[k] == best, k).otherwise(named)
-    latin = F.when((F.size(words) >= 8) & (best >= F.greatest(F.lit(3.0), F.size(sample) * 0.06)), named).otherwise("english")
+    latin = let(words, lambda ws: let(votes(F.slice(ws, 1, 150)), lambda v: named(v, F.size(ws))))
     return (
         F.when(n < 15, "unknown")
         .when(share(r"\x{0600}-\x{06FF}") > 0.07, F.when(t.rlike(r"[\x{067E}\x{0686}\x{0698}\x{06AF}]"), "persian").otherwise("arabic"))
