@@ -123,10 +123,9 @@ def find_in_batch(texts: list[str], block: ItemBlock, width: int, least_windows:
             longest = max(longest, _longest(same))
             if c >= 3:
                 covered[x - a : y - a] |= _in_runs(same, 3)
-                open_slot = block.slot[x:y] & slot[x + g : y + g] & ~same
-                for p in np.flatnonzero(open_slot):
+                for p in np.flatnonzero(block.slot[x:y] & slot[x + g : y + g]):
                     was, now = int(block.word[x + p]), int(words.hash[x + g + p])
-                    swapped += 1
+                    swapped += was != now
                     clash += mapped.setdefault(was, now) != now
         part = float(covered.mean()) if b > a else 0.0
         loose = swapped / max(1, b - a)
