@@ -31,4 +31,5 @@ URL_LANGUAGES = {
     "french": "fr french francais", "german": "de german deutsch", "spanish": "es spanish espanol", "italian": "it italian italiano", "portuguese": "pt portuguese portugues",
     "dutch": "nl dutch nederland", "polish": "pl polish polski", "turkish": "tr turkish turkce", "korean": "ko korean", "russian": "ru russian russki",
 }
+ASCII_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 ASCII_BOUNDARY = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from archivolt.functions.constants import WS
+from archivolt.functions.text import let
 
 LINK = r"(?i)<a\b[^>]*?href=[\"']([^\"']*)[\"'][^>]*>([\s\S]*?)</a>"
 META = r"(?i)<meta\b[^>]*>"
@@ -39,9 +40,9 @@ def meta_tags(html: Column) -> Column:
     """map of lower-case name or property to content; the last wins, tags without content are left out."""
     tags = F.regexp_extract_all(html, F.lit(META), F.lit(0))
     pairs = F.transform(tags, lambda t: F.struct(F.lower(F.regexp_extract(t, r"(?i)(?:property|name)=[\"']([^\"']+)[\"']", 1)).alias("k"), F.regexp_extract(t, r"(?i)content=[\"']([^\"']*)[\"']", 1).alias("v")))
-    kept = F.filter(pairs, lambda p: (p["k"] != "") & (p["v"] != ""))
-    last = F.filter(kept, lambda p, i: ~F.exists(F.slice(kept, i + 2, F.greatest(F.lit(0), F.size(kept) - i - 1)), lambda q: q["k"] == p["k"]))
-    return F.map_from_entries(last)
+    given = F.filter(pairs, lambda p: (p["k"] != "") & (p["v"] != ""))
+    last = lambda kept: F.filter(kept, lambda p, i: ~F.exists(F.slice(kept, i + 2, F.greatest(F.lit(0), F.size(kept) - i - 1)), lambda q: q["k"] == p["k"]))
+    return let(given, lambda kept: F.map_from_entries(last(kept)))
 
 
 def tag_text(html: Column, tag: str) -> Column:
@@ -58,22 +59,25 @@ def json_ld(html: Column) -> Column:
 
 def metadata(html: Column, url: Column, last_modified: Column | None = None) -> Column:
     """struct(title, title_source, author, language, keywords, canonical_url, published) by fallback chains."""
-    ld, meta = json_ld(html), meta_tags(html)
-    get = lambda k: F.nullif(F.try_element_at(meta, F.lit(k)), F.lit(""))
-    of = lambda k: F.nullif(F.get_json_object(ld, f"$.{k}"), F.lit(""))
     file_name = F.regexp_replace(F.regexp_extract(url, "([^/]*)$", 1), r"\.\w+$", "")
-    chain = [("json_ld", F.coalesce(of("headline"), of("name"))), ("og", get("og:title")), ("meta", tag_text(html, "title")), ("h1", tag_text(html, "h1")), ("filename", file_name)]
-    source = F.lit("filename")
-    for name, c in reversed(chain[:-1]):
-        source = F.when(c.isNotNull(), name).otherwise(source)
-    words = F.filter(F.transform(F.split(F.coalesce(get("keywords"), F.lit("")), ","), lambda w: F.trim(w)), lambda w: w != "")
     canonical = F.nullif(F.regexp_extract(html, r"(?i)<link\b[^>]*rel=[\"']canonical[\"'][^>]*href=[\"']([^\"']+)[\"']", 1), F.lit(""))
-    published = F.coalesce(of("datePublished"), get("article:published_time"), *([last_modified] if last_modified is not None else []))
-    return F.struct(
-        F.coalesce(*[c for _, c in chain]).alias("title"), source.alias("title_source"), F.coalesce(of("author.name"), get("author"), get("dc.creator")).alias("author"),
-        F.nullif(F.regexp_extract(html, r"(?i)<html\b[^>]*\blang=[\"']([a-zA-Z]+)", 1), F.lit("")).alias("language"), F.array_distinct(words).alias("keywords"),
-        F.coalesce(canonical, get("og:url"), url).alias("canonical_url"), published.alias("published"),
-    )
+
+    def chains(x: Column) -> Column:
+        get = lambda k: F.nullif(F.try_element_at(x["meta"], F.lit(k)), F.lit(""))
+        of = lambda k: F.nullif(F.get_json_object(x["ld"], f"$.{k}"), F.lit(""))
+        chain = [("json_ld", F.coalesce(of("headline"), of("name"))), ("og", get("og:title")), ("meta", x["title"]), ("h1", x["h1"])]
+        source = F.lit("filename")
+        for name, c in reversed(chain):
+            source = F.when(c.isNotNull(), name).otherwise(source)
+        words = F.filter(F.transform(F.split(F.coalesce(get("keywords"), F.lit("")), ","), lambda w: F.trim(w)), lambda w: w != "")
+        published = F.coalesce(of("datePublished"), get("article:published_time"), *([last_modified] if last_modified is not None else []))
+        return F.struct(
+            F.coalesce(*[c for _, c in chain], file_name).alias("title"), source.alias("title_source"), F.coalesce(of("author.name"), get("author"), get("dc.creator")).alias("author"),
+            F.nullif(F.regexp_extract(html, r"(?i)<html\b[^>]*\blang=[\"']([a-zA-Z]+)", 1), F.lit("")).alias("language"), F.array_distinct(words).alias("keywords"),
+            F.coalesce(canonical, get("og:url"), url).alias("canonical_url"), published.alias("published"),
+        )
+
+    return let(F.struct(json_ld(html).alias("ld"), meta_tags(html).alias("meta"), tag_text(html, "title").alias("title"), tag_text(html, "h1").alias("h1")), chains)
 
 
 def may_not_be_archived(html: Column) -> Column:
@@ -92,10 +96,11 @@ def is_shell(html: Column, least: int = 100) -> Column:
 
 def page_features(html: Column, title: Column) -> Column:
     """struct(words, links, document_links, words_per_link): what a page's role is told from."""
-    found = links(html)
-    docs = F.size(F.filter(found, lambda p: F.regexp_replace(p["href"], r"\?.*$", "").rlike(r"(?i)\.(pdf|docx?|pptx?|xlsx?)$")))
-    words, n = F.size(F.filter(F.split(body_text(html), " "), lambda w: w != "")), F.size(found)
-    return F.struct(words.alias("words"), n.alias("links"), docs.alias("document_links"), F.when(n > 0, words / n).otherwise(words.cast("double")).alias("words_per_link"))
+    docs = lambda found: F.size(F.filter(found, lambda p: F.regexp_replace(p["href"], r"\?.*$", "").rlike(r"(?i)\.(pdf|docx?|pptx?|xlsx?)$")))
+    words = F.size(F.filter(F.split(body_text(html), " "), lambda w: w != ""))
+    counts = let(links(html), lambda found: F.struct(words.alias("words"), F.size(found).alias("links"), docs(found).alias("document_links")))
+    per = lambda c: F.when(c["links"] > 0, c["words"] / c["links"]).otherwise(c["words"].cast("double"))
+    return let(counts, lambda c: F.struct(c["words"].alias("words"), c["links"].alias("links"), c["document_links"].alias("document_links"), per(c).alias("words_per_link")))
 
 
 def sitemap_entries(xml: Column) -> Column:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from archivolt.functions.constants import ASCII_BOUNDARY, FUNCTION_WORDS, LATIN_LETTERS, NOT_WS, SCRIPTS, VOWELS, WS
+from archivolt.functions.constants import ASCII_BOUNDARY, ASCII_LETTERS, FUNCTION_WORDS, LATIN_LETTERS, NOT_WS, SCRIPTS, VOWELS, WS
 
 
 def _text(c: Column) -> Column:
@@ -87,7 +87,7 @@ def token_distribution(text: Column) -> Column:
 
 def digit_noise(text: Column) -> Column:
     """Share of the mostly-letter words with a digit between letters; 0 below ten such words."""
-    t = F.filter(tokens(text), lambda w: F.length(w).between(3, 25) & (F.regexp_count(w, F.lit("[a-zA-Z]")) * 2 >= F.length(w)))
+    t = F.filter(tokens(text), lambda w: F.length(w).between(3, 25) & ((F.length(w) - F.length(F.translate(w, ASCII_LETTERS, ""))) * 2 >= F.length(w)))
     noisy = lambda x: F.size(F.filter(x, lambda w: w.rlike("[a-zA-Z][0-9][a-zA-Z]")))
     return let(t, lambda x: F.when(F.size(x) < 10, F.lit(0.0)).otherwise(noisy(x) / F.size(x)))
 
@@ -95,10 +95,11 @@ def digit_noise(text: Column) -> Column:
 def latin_word_quality(text: Column, known: list[str] | None = None) -> Column:
     """Share of the first 200 Latin words that are known or have a natural share of vowels, less penalties; 0-1, two digits."""
     words = F.filter(F.split(F.regexp_replace(_text(text), "[^a-zA-ZÀ-ÿ]+", " "), " "), lambda w: F.length(w).between(2, 20))
-    vowels = lambda w: F.regexp_count(w, F.lit(f"[{VOWELS}]")) / F.length(w)
+    without = lambda w, letters: F.length(F.translate(w, letters, ""))
+    vowels = lambda w: (F.length(w) - without(w, VOWELS)) / F.length(w)
     natural = lambda w: vowels(w).between(0.2, 0.75) & ~w.rlike(r"(.)\1{3}")
     real = lambda s: F.size(F.filter(s, lambda w: (w.isin(known) | natural(w)) if known else natural(w)))
-    bare = lambda s: F.size(F.filter(s, lambda w: (F.length(w) <= 3) & ~w.rlike(f"[{VOWELS.replace('ç', '').replace('ñ', '')}y]")))
+    bare = lambda s: F.size(F.filter(s, lambda w: (F.length(w) <= 3) & (without(w, VOWELS.replace("ç", "").replace("ñ", "") + "y") == F.length(w))))
 
     def score(m: Column) -> Column:
         penalty = F.when(m["bare"] / m["n"] > 0.03, (m["bare"] / m["n"] - 0.03) * 4).otherwise(0.0)

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from archivolt.functions.digests import canonical_digest
 from archivolt.operators import merge as M, relational as R
-from archivolt.session import ship_package
 from archivolt.streaming import flows as S
 
 
@@ -25,8 +24,7 @@ def stream_session_events(spark, d):
 
 
 def stream_newest_pages(spark, d):
-    ship_package(spark)
-    x = S.table_stream(spark, d, "pages").dropDuplicates(["url", "last_seen_at", "content_hash", "loaded_at"]).withColumn("digest", canonical_digest(F.col("content_hash")))
+    x = S.table_stream(spark, d, "pages").withColumn("digest", canonical_digest(F.col("content_hash")))
     last = S.drained(S.newest_by_key(x, "url", "last_seen_at", "digest"), "update")
     return R.latest(last, ["url"], ["visits", "newest", "digest"])
 
@@ -47,6 +45,6 @@ ORACLE = {
     "stream_dedup_urls": "SELECT DISTINCT url FROM pages",
     "stream_window_events": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY ALL",
     "stream_session_events": "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS s FROM events), k AS (SELECT user_id, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g), c AS (SELECT user_id, k, count(*) AS n FROM k GROUP BY ALL) SELECT user_id, count(*) AS sessions, max(n) AS longest FROM c GROUP BY user_id",
-    "stream_newest_pages": "WITH v AS (SELECT DISTINCT url, last_seen_at, content_hash, loaded_at FROM pages), x AS (SELECT *, nullif(regexp_replace(lower(trim(content_hash)), '^[a-z0-9-]+:', ''), '') AS dg FROM v) SELECT url, count(*) AS visits, coalesce(max(last_seen_at) FILTER (dg IS NOT NULL), '') AS newest, coalesce(arg_max(dg, last_seen_at) FILTER (dg IS NOT NULL), '') AS digest FROM x GROUP BY url",
+    "stream_newest_pages": "WITH x AS (SELECT *, nullif(regexp_replace(lower(trim(content_hash)), '^[a-z0-9-]+:', ''), '') AS dg FROM pages) SELECT url, count(*) AS visits, max(last_seen_at) FILTER (dg IS NOT NULL) AS newest, arg_max(dg, last_seen_at) FILTER (dg IS NOT NULL) AS digest FROM x GROUP BY url",
     "stream_upsert_pages": "SELECT url, m.last_seen_at AS last_seen_at, m.status_code AS status_code, m.depth AS depth FROM (SELECT url, max(struct_pack(last_seen_at := last_seen_at, status_code := status_code, depth := depth)) AS m FROM pages GROUP BY url)",
 }

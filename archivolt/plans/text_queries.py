@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from archivolt.functions import text as T, urls as U
+
 from archivolt.functions.constants import FUNCTION_WORDS, LATIN_LETTERS, NOT_WS, SCRIPTS, URL_LANGUAGES, VOWELS, WS
+from archivolt.session import spread
 
 
 def _docs(spark, d):
-    return spark.read.parquet(f"{d}/documents.parquet")
+    return spread(spark.read.parquet(f"{d}/documents.parquet"))
 
 
 def _pages(spark, d):

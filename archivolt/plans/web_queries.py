@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from archivolt.functions import html as H
 from archivolt.functions.constants import WS
 from archivolt.operators import dom
+from archivolt.session import spread
 
 #: One page per document, written so that both dialects read it alike.
 PAGE = """concat('<!DOCTYPE html><html lang="', coalesce(lang, 'en'), '-X"><head><title> ', coalesce(title, ''), ' </title><meta charset="utf-8"><meta name="author" content="', coalesce(source, ''), '">',
@@ -16,7 +17,7 @@ PAGE = """concat('<!DOCTYPE html><html lang="', coalesce(lang, 'en'), '-X"><head
 
 
 def _pages(spark, d):
-    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "url", "title", F.expr(PAGE).alias("html"))
+    return spread(spark.read.parquet(f"{d}/documents.parquet")).select("doc_id", "url", "title", F.expr(PAGE).alias("html"))
 
 
 def extract_links(spark, d):

@@ -66,6 +66,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than the cluster has cores, dealt out to all of them for costly work per row.
+
+    Only small inputs have so few; anything larger is left as it was read, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def row_bound(df: DataFrame, most: int) -> bool:
     """Whether `df` has at most `most` rows; reads no more than most + 1 of them."""
     return df.limit(most + 1).count() <= most

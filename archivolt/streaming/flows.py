@@ -7,11 +7,9 @@ the shared folder. Flows that keep state bound it by a watermark where the opera
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from archivolt.session import shared_dir
 
@@ -78,24 +76,13 @@ def sessions(stream: DataFrame, time: str, by: str, gap: str, delay: str = "1 da
 
 
 def newest_by_key(stream: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """(key, visits, newest, value): running state per key, the same under any split into batches or chunks."""
-
-    def update(k: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        visits, newest, kept = state.get if state.exists else (0, "", "")
-        for pdf in chunks:
-            visits += len(pdf)
-            known = pdf.dropna(subset=[order, value])
-            if len(known):
-                top = max(zip(known[order], known[value]))
-                newest, kept = max((newest, kept), top)
-        state.update((visits, newest, kept))
-        yield pd.DataFrame({key: [k[0]], "visits": [visits], "newest": [newest], value: [kept]})
-
-    return (
-        stream.select(key, order, value)
-        .groupBy(key)
-        .applyInPandasWithState(update, f"{key} string, visits long, newest string, {value} string", "visits long, newest string, kept string", "update", GroupStateTimeout.NoTimeout)
-    )
+    """(key, visits, newest, value): running state per key in the JVM's state store, one update a key and batch.
+
+    Rows without `value` count as visits only; ties in `order` go to the greater value.
+    """
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col(order).alias("o"), F.col(value).alias("v")))
+    x = stream.groupBy(key).agg(F.count(F.lit(1)).alias("visits"), F.max(known).alias("m"))
+    return x.select(key, "visits", F.col("m.o").alias("newest"), F.col("m.v").alias(value))
 
 
 def every(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, minutes: float = 15.0):
