@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from archivolt.llm.fold import mix
+from archivolt.session import materialize, spread
 
 #: ISO 639-1 codes and the names a label may use for them.
 NAMES = {
@@ -221,7 +222,7 @@ def judged(pdf_quality: DataFrame, rows_per_language: int = 600) -> DataFrame:
 
     Texts without a passage yield nothing; NULL and blank texts are ignored. `share` is the segment's part of the text.
     """
-    rows = newest(pdf_quality)
+    rows = spread(materialize(newest(pdf_quality), "newest-quality"))
     model = fit(rows.select(label_code(F.col("ai_language")).alias("lang"), F.col("excerpt").alias("text")), rows_per_language)
     shared = pdf_quality.sparkSession.sparkContext.broadcast(model)
 

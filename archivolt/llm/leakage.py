@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from archivolt.llm.fold import Words, slices, word_hash
+from archivolt.session import spread
 
 #: Units of measure and count that follow a number.
 UNITS = "pages page copies copy volumes volume km kg m cm mm g l lb oz miles mile feet foot hours hour minutes seconds days day weeks months years percent dollars euros pounds letters seiten paginas pages ans jahre".split()
@@ -158,7 +159,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, width: int = 8, least_wind
     spark = documents.sparkSession
     items = passages(benchmark).select("item_id", F.col("passage").alias("t")).where("trim(t) != ''").distinct()
     rows = items.orderBy("item_id").toLocalIterator()
-    docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").alias("t"))
+    docs = spread(documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").alias("t")))
     schema = "doc_id long, item_id long, kind string, longest_run int, covered double"
     parts, held = [], []
 

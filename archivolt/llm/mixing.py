@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from archivolt.session import materialize
+from archivolt.session import materialize, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the splitting pattern of that vocabulary.
@@ -38,7 +38,7 @@ def counted(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "tokens": [len(encoding.encode_ordinary(t)) if t else 0 for t in pdf["text"]]})
 
-    return documents.where("doc_id IS NOT NULL AND source IS NOT NULL").select("doc_id", "source", "text").mapInPandas(count, "doc_id long, source string, tokens long")
+    return spread(documents.where("doc_id IS NOT NULL AND source IS NOT NULL").select("doc_id", "source", "text")).mapInPandas(count, "doc_id long, source string, tokens long")
 
 
 def repetition_rates(available: dict[str, int], targets: dict[str, tuple[float, int]], total: float | None = None) -> dict[str, float]:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from archivolt.llm.fold import END, LINK, SEP, TAG, WORD, Words, slices
-from archivolt.session import materialize
+from archivolt.session import materialize, spread
 
 BINS = 20
 #: A link target stands for about so many words (scheme, host, path, query), a hash sign joins two.
@@ -139,7 +139,7 @@ def stuffing_shares(documents: DataFrame, least_share: float = 0.2) -> DataFrame
     once each; whole texts count. If no language has enough labelled documents, no segment can be told to be writing
     by function words and every text is judged by the other measures alone.
     """
-    docs = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", F.col("text").alias("t"))
+    docs = spread(documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", F.col("text").alias("t")))
     words = function_words(docs, least_share)
     names = list(words)
     table = np.unique(np.concatenate([*words.values(), np.zeros(0, np.uint64)]))
