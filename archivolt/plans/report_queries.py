@@ -12,9 +12,9 @@ def _t(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def _latest_pages(spark, d):
-    cols = ["domain", "path_slug", "mime_type", "status_code", "depth", "content_hash", "gone", "gone_since", "page_role", "word_count_clean", "first_seen_at", "last_changed_at"]
-    return R.latest(_t(spark, d, "pages").select("url", "last_seen_at", *cols), ["url"], ["last_seen_at"])
+def _latest_pages(spark, d, columns):
+    """The last visit of each url with the columns named, so that the scan reads no others."""
+    return R.latest(_t(spark, d, "pages").select("url", "last_seen_at", *columns.split()), ["url"], ["last_seen_at"])
 
 
 def _latest_quality(spark, d):
@@ -31,18 +31,18 @@ def _r(x, n=6):
 
 
 def site_totals(spark, d):
-    p = _latest_pages(spark, d).where("gone = 0")
+    p = _latest_pages(spark, d, "domain mime_type gone").where("gone = 0")
     like = lambda s: F.count_if(F.col("mime_type").startswith(s))
     return p.groupBy("domain").agg(F.count(F.lit(1)).alias("pages"), like("application/pdf").alias("pdf"), like("text/html").alias("html"), F.count_if(~F.col("mime_type").startswith("text/html")).alias("other"))
 
 
 def role_counts(spark, d):
-    return _latest_pages(spark, d).where("gone = 0").groupBy("domain", "page_role").agg(F.count(F.lit(1)).alias("pages"))
+    return _latest_pages(spark, d, "domain gone page_role").where("gone = 0").groupBy("domain", "page_role").agg(F.count(F.lit(1)).alias("pages"))
 
 
 def pdf_status_rollup(spark, d):
     q, u = _latest_quality(spark, d), _latest_queue(spark, d).select("url", "status", "after_score")
-    p = _latest_pages(spark, d).where("gone = 0").select("url", "domain")
+    p = _latest_pages(spark, d, "domain gone").where("gone = 0").select("url", "domain")
     x = p.join(q, "url").join(u, "url", "left")
     return x.groupBy("domain").agg(
         F.count(F.lit(1)).alias("scored"), F.count_if(F.col("status").isNull() & (F.col("composite_score") >= 0.7)).alias("good_already"),
@@ -52,7 +52,7 @@ def pdf_status_rollup(spark, d):
 
 
 def unscored_docs_anti(spark, d):
-    p = _latest_pages(spark, d).where("gone = 0 AND mime_type LIKE 'application/pdf%'")
+    p = _latest_pages(spark, d, "domain mime_type gone").where("gone = 0 AND mime_type LIKE 'application/pdf%'")
     return p.join(_t(spark, d, "pdf_quality").select("url"), "url", "left_anti").select("domain", "url")
 
 
@@ -61,7 +61,7 @@ def known_pages_semi(spark, d):
 
 
 def docs_left_quality_queue(spark, d):
-    p = _latest_pages(spark, d).where("mime_type LIKE 'application/pdf%'").select("url", "domain")
+    p = _latest_pages(spark, d, "domain mime_type").where("mime_type LIKE 'application/pdf%'").select("url", "domain")
     q = _latest_quality(spark, d).select("url", "composite_score", "pdf_title", "ai_title")
     u = _latest_queue(spark, d).select("url", "status", "before_score", "after_score")
     x = p.join(q, "url", "left").join(u, "url", "left")
@@ -74,7 +74,7 @@ def host_lookup_semi_reduced(spark, d):
 
 
 def export_skip_unchanged(spark, d):
-    rows = _latest_pages(spark, d).where("content_hash IS NOT NULL").select("url", canonical_digest(F.col("content_hash")).alias("digest"))
+    rows = _latest_pages(spark, d, "content_hash").where("content_hash IS NOT NULL").select("url", canonical_digest(F.col("content_hash")).alias("digest"))
     done = _t(spark, d, "exports").where("status = 'ok'").select("url", canonical_digest(F.col("source_hash")).alias("source"))
     return R.skip_unchanged(rows, done, "url", "digest", "source")
 
@@ -161,7 +161,7 @@ def daily_visits(spark, d):
 
 
 def gone_by_window(spark, d):
-    x = _latest_pages(spark, d)
+    x = _latest_pages(spark, d, "domain gone_since first_seen_at")
     day = F.to_date(F.to_timestamp("gone_since"))
     return x.groupBy("domain").agg(F.count_if(day >= F.lit("2025-02-15").cast("date")).alias("gone"), F.count_if(F.to_date(F.to_timestamp("first_seen_at")) >= F.lit("2025-02-15").cast("date")).alias("fresh"), F.min("gone_since").alias("first_gone"))
 
@@ -182,18 +182,18 @@ def replace_upsert(spark, d):
 
 
 def gone_marking(spark, d):
-    p = _latest_pages(spark, d).select("url", "last_seen_at", "gone", "gone_since")
+    p = _latest_pages(spark, d, "gone gone_since").select("url", "last_seen_at", "gone", "gone_since")
     keep = _t(spark, d, "pdf_upgrade_queue").where("status IN ('pending', 'processing', 'done')").select("url")
     return M.mark_stale(p, "2025-03-01T00:00:00.000Z", keep, "2025-04-01T00:00:00.000Z")
 
 
 def absent_marking(spark, d):
-    p = _latest_pages(spark, d).select("url", "gone", "gone_since")
+    p = _latest_pages(spark, d, "gone gone_since").select("url", "gone", "gone_since")
     return M.mark_absent(p, _t(spark, d, "sitemaps").select("url"), "url", "gone", "gone_since", "2025-04-01T00:00:00.000Z")
 
 
 def retention_expired(spark, d):
-    return M.expired(_latest_pages(spark, d).where("gone = 1"), "gone_since", "2025-05-01T00:00:00.000Z", 45).select("url", "gone_since")
+    return M.expired(_latest_pages(spark, d, "gone gone_since").where("gone = 1"), "gone_since", "2025-05-01T00:00:00.000Z", 45).select("url", "gone_since")
 
 
 def content_change_detection(spark, d):
@@ -235,7 +235,7 @@ def set_operations(spark, d):
 
 
 def rollup_counts(spark, d):
-    return _latest_pages(spark, d).rollup("domain", "page_role").agg(F.count(F.lit(1)).alias("pages"), F.grouping_id().cast("bigint").alias("level"))
+    return _latest_pages(spark, d, "domain page_role").rollup("domain", "page_role").agg(F.count(F.lit(1)).alias("pages"), F.grouping_id().cast("bigint").alias("level"))
 
 
 QUERIES = {f.__name__: f for f in (site_totals, role_counts, pdf_status_rollup, unscored_docs_anti, known_pages_semi, docs_left_quality_queue, host_lookup_semi_reduced, export_skip_unchanged, content_hash_reuse, tab_counts, export_counts, run_durations, latest_run_per_site, recent_runs_top20, docs_page_score_asc, docs_search, score_deltas, score_trail, confidence_buckets, gain_per_page, best_method, daily_visits, gone_by_window, page_upsert, replace_upsert, gone_marking, absent_marking, retention_expired, content_change_detection, reference_counts, dedup_first_wins, robots_allowed, visits_asof_run, set_operations, rollup_counts)}
