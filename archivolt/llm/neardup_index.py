@@ -47,10 +47,15 @@ def text_classes(rows: DataFrame, similarity: float) -> DataFrame:
     """One row per distinct folded text: cls, words, shingles, sizes and `first`, its earliest row."""
     grouped = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("ord").alias("first"), F.first("folded").alias("folded"))
     words = F.transform(F.split("folded", " "), lambda w: F.hash(w))
+    return with_shingles(grouped.select("cls", "first", words.alias("words")), similarity)
+
+
+def with_shingles(classes: DataFrame, similarity: float) -> DataFrame:
+    """Adds the shingles of `words`, in their places, and the sizes that follow."""
     n = F.size("words")
     at = F.sequence(F.lit(1), F.greatest(F.lit(1), n - SHINGLE + 1))
     shingles = F.transform(at, lambda i: F.xxhash64(F.slice("words", i, SHINGLE)))
-    return with_prefix_sizes(grouped.select("cls", "first", words.alias("words")).withColumn("shingles", shingles), similarity)
+    return with_prefix_sizes(classes.withColumn("shingles", shingles), similarity)
 
 
 def _common_subsequence(a: list[int], b: list[int]) -> int:
@@ -85,9 +90,12 @@ class RareShingleIndex:
     def _stored(self, table: str) -> DataFrame | None:
         return self.spark.read.parquet(*[f"{self.root}/{table}/batch={i}" for i in range(self.batches)]) if self.batches else None
 
-    def _both(self, table: str, own: DataFrame) -> DataFrame:
+    def _both(self, table: str, own: DataFrame, **told) -> DataFrame:
+        """What is stored and the batch's own rows; `told` are columns only the own rows have, as they are in stored ones."""
         stored = self._stored(table)
-        return own if stored is None else stored.select(*own.columns).unionByName(own)
+        if stored is None:
+            return own
+        return stored.withColumns({k: F.lit(v) for k, v in told.items()}).select(*own.columns).unionByName(own)
 
     def _counts(self, classes: DataFrame) -> np.ndarray:
         """How often each cell's shingles occurred in the first batch."""
@@ -129,22 +137,25 @@ class RareShingleIndex:
         """
         here = f"batch={self.batches}"
         rows = materialize(rows.withColumn("folded", folded(F.col("text"))).withColumn("cls", F.when(F.length("folded") > 0, F.xxhash64("folded"))).select("row_id", "ord", "digest", "cls", "folded"), "batch-rows")
-        classes = text_classes(rows, self.similarity)
-        classes.write.parquet(f"{self.root}/classes/{here}")
+        made = text_classes(rows, self.similarity)
+        made.select("cls", "first", "words").write.parquet(f"{self.root}/classes/{here}")
         classes = self.spark.read.parquet(f"{self.root}/classes/{here}")
-        self._postings(classes).repartition("bucket").write.parquet(f"{self.root}/postings/{here}")
+        self._postings(with_shingles(classes, self.similarity)).repartition("bucket").write.parquet(f"{self.root}/postings/{here}")
         own = self.spark.read.parquet(f"{self.root}/postings/{here}")
         digests = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("ord").alias("first"))
         digests.write.parquet(f"{self.root}/digests/{here}")
 
-        everything = self._both("postings", own).select("bucket", "shingle", F.col("at").alias("oat"), F.col("cls").alias("other"), F.col("n").alias("on"), F.col("j").alias("oj"))
+        everything = self._both("postings", own.withColumn("mine", F.lit(True)), mine=False).select("bucket", "shingle", F.col("at").alias("oat"), F.col("cls").alias("other"), F.col("n").alias("on"), F.col("j").alias("oj"), "mine")
         longer = F.greatest("n", "on")
         near = (F.least("n", "on") >= self.accept_at * longer) & (F.abs(F.col("at") - F.col("oat")) <= longer * (1 - self.accept_at) + 1)
-        hits = own.join(everything, ["bucket", "shingle"]).where(near & (F.col("cls") != F.col("other")))
-        candidates = hits.groupBy("cls", "other").agg(F.count(F.lit(1)).alias("common"), F.min(F.least("j", "oj")).alias("need")).where("common >= need").select("cls", "other")
+        hits = own.join(everything, ["bucket", "shingle"]).where(near & F.when(F.col("mine"), F.col("cls") < F.col("other")).otherwise(F.col("cls") != F.col("other")))
+        candidates = hits.groupBy("cls", "other", "mine").agg(F.count(F.lit(1)).alias("common"), F.min(F.least("j", "oj")).alias("need")).where("common >= need").select("cls", "other", "mine")
         known = self._both("classes", classes).groupBy("cls").agg(F.min("first").alias("first"), F.first("words").alias("words"))  # equal classes have equal words
-        pairs = candidates.join(classes.select("cls", F.col("words").alias("a")), "cls").join(known.select(F.col("cls").alias("other"), F.col("words").alias("b"), "first"), "other")
-        near = pairs.where(word_agreement("a", "b") >= self.accept_at).groupBy("cls").agg(F.min("first").alias("near_first"))
+        pairs = candidates.join(classes.select("cls", F.col("words").alias("a"), F.col("first").alias("own_first")), "cls").join(known.select(F.col("cls").alias("other"), F.col("words").alias("b"), "first"), "other")
+        agreed = pairs.where(word_agreement("a", "b") >= self.accept_at)
+        there, back = F.struct("cls", "first"), F.struct(F.col("other").alias("cls"), F.col("own_first").alias("first"))
+        told = agreed.select(F.explode(F.array_compact(F.array(there, F.when(F.col("mine"), back)))).alias("x")).select("x.cls", "x.first")
+        near = told.groupBy("cls").agg(F.min("first").alias("near_first"))
         same = known.select("cls", F.col("first").alias("text_first"))
         by_digest = self._both("digests", self.spark.read.parquet(f"{self.root}/digests/{here}")).groupBy("digest").agg(F.min("first").alias("digest_first"))
         found = rows.select("row_id", "ord", "digest", "cls").join(by_digest, "digest", "left").join(same, "cls", "left").join(near, "cls", "left")
