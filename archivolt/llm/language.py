@@ -135,23 +135,34 @@ class Filter:
         hits = np.stack([np.bincount(w, weights=(m >> np.uint16(k)) & np.uint16(1), minlength=len(begin)) for k in range(len(self.languages))], axis=1)
         return (hits - n[:, None] * self.false_rate) / (1 - self.false_rate), n, begin, end
 
-    def segments(self, text: str, switch: float = 14.0, least_words: int = 5, least_letters: int = 20) -> list[tuple[str, int, int, float, float]]:
-        """(language, begin, end, confidence, weight) of each passage; shorter stretches belong to none."""
-        score, n, begin, end = self.word_scores(text)
-        if len(begin) == 0:
-            return []
-        gain = score - score.max(axis=1, keepdims=True)
-        best = np.zeros(len(self.languages))
-        back = np.zeros((len(begin), len(self.languages)), dtype=np.int8)
-        for i in range(len(begin)):
+    @staticmethod
+    def _path(gain: np.ndarray, switch: float) -> np.ndarray:
+        """The language of each word on the best path, a change costing `switch`."""
+        lead = int(gain.sum(axis=0).argmax())
+        # no stretch in any other language wins half a change back: then one language throughout is the best path
+        run = np.cumsum(gain - gain[:, lead : lead + 1], axis=0)
+        low = np.minimum.accumulate(np.vstack((np.zeros((1, run.shape[1])), run[:-1])), axis=0)
+        if (run - low).max() < switch / 2:
+            return np.full(len(gain), lead, dtype=np.int64)
+        best = np.zeros(gain.shape[1])
+        back = np.zeros(gain.shape, dtype=np.int8)
+        for i in range(len(gain)):
             top = int(best.argmax())
             stay = best >= best[top] - switch
             back[i] = np.where(stay, np.arange(len(best)), top)
             best = np.where(stay, best, best[top] - switch) + gain[i]
-        path = np.zeros(len(begin), dtype=np.int64)
+        path = np.zeros(len(gain), dtype=np.int64)
         path[-1] = best.argmax()
-        for i in range(len(begin) - 1, 0, -1):
+        for i in range(len(gain) - 1, 0, -1):
             path[i - 1] = back[i][path[i]]
+        return path
+
+    def segments(self, text: str, switch: float = 14.0, least_words: int = 5, least_letters: int = 20) -> list[tuple[str, int, int, float, float]]:
+        """(language, begin, end, confidence, weight) of each passage; shorter stretches belong to none."""
+        score, n, begin, end = self.word_scores(text)
+        if len(begin) == 0:
+            return []
+        path = self._path(score - score.max(axis=1, keepdims=True), switch)
         cut = np.concatenate(([0], np.flatnonzero(np.diff(path)) + 1, [len(path)]))
         _, alone = _letters()
         out = []
