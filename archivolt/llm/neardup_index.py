@@ -1,24 +1,25 @@
 """Duplicates of new batches among everything accepted before.
 
-An inverted index holds, for every distinct accepted text, the rarest of its three-word shingles (its prefix). A batch
-looks up only the prefixes of its own texts; pairs with enough common prefix shingles at near places and near lengths
-are verified word by word, and the batch's postings are appended. Equal digests and equal texts are found by hash.
-
-The prefix rule: two texts whose words agree, in order, in at least `similarity` of the longer one share at least
-o = m - 3k of its m shingles (k: words that may differ), so they share at least j among the m - o + j rarest of either.
-Any fixed order of shingles is right; the counts at the first batch, in a table of fixed size, keep postings short.
-Three words, not five: at five sixths a five-word rule could leave out 16 of 106 shingles only, less than a shared
-opening has, and every pair of texts with one opening would have to be verified; three words leave out 54 of 108.
-
-Scale: postings lie in files by shingle bucket; copies are folded into one text class before anything is paired, so a
+An inverted index holds, for every distinct accepted text, the rarest of its words (its prefix). A batch looks up only
+the prefixes of its own texts; pairs with a common prefix word at near places, near lengths and fitting word maps are
+verified word by word, and the batch's postings are appended. Equal digests and equal texts are found by hash.
+
+The prefix rule: texts of n and n' words of which l agree in order share l words, and are accepted only if l is at least
+`accept_at` of the longer. So each shares at least o = ceil(accept_at * n) of its own n words with any match, and the
+rarest shared word is among the n - o + 1 rarest of either. It holds wherever the differing words stand; a shingle of
+more words has no such bound, as one differing word breaks several. Any fixed order of words is right; the counts at the
+first batch, in a table of fixed size, keep postings short. A shared word at p and p' has p - p' within the words left
+out, which bounds the places.
+The map rule: each word sets one of MAP_BITS bits of its text. A bit only one of two texts has stands for a word the other
+lacks, so there are at most n - l and n' - l of those. It is checked inside the join, before a pair is written anywhere.
+
+Scale: postings lie in files by word bucket; copies are folded into one text class before anything is paired, so a
 document that makes up a third of the rows is one posting; the answer for a row is the earliest member of the classes
 it agrees with, found by minima, never by listing pairs of rows.
 """
 
 from __future__ import annotations
 
-
-
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,33 +30,22 @@ from archivolt.functions.digests import canonical_digest
 from archivolt.llm.fold import folded
 from archivolt.session import materialize
 
-SHINGLE = 3
-COMMON = 8
-#: Cells of the table of shingle counts.
+#: Cells of the table of word counts.
 CELLS = 1 << 20
+#: Bits of a text's word map, in longs of 64.
+MAP_BITS = 256
+MAPS = [f"map{i}" for i in range(MAP_BITS // 64)]
 
 
-def with_prefix_sizes(df: DataFrame, similarity: float) -> DataFrame:
-    """Adds m (shingles), o (fewest shared by a match), j (fewest shared in the prefixes)."""
-    differ = F.floor(F.size("words") * (1 - similarity) + 1e-9)
-    m = F.size("shingles")
-    o = F.greatest(F.lit(1), F.floor(m - SHINGLE * differ)).cast("int")
-    return df.withColumn("m", m).withColumn("o", o).withColumn("j", F.least(F.lit(COMMON), F.col("o")))
+def least_agreeing(n, accept_at: float):
+    """Fewest words that must agree for a text of n words, the longer one of a pair."""
+    return F.ceil(n * accept_at - 1e-9).cast("int")
 
 
-def text_classes(rows: DataFrame, similarity: float) -> DataFrame:
-    """One row per distinct folded text: cls, words, shingles, sizes and `first`, its earliest row."""
+def text_classes(rows: DataFrame) -> DataFrame:
+    """One row per distinct folded text: cls, words and `first`, its earliest row."""
     grouped = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("ord").alias("first"), F.first("folded").alias("folded"))
-    words = F.transform(F.split("folded", " "), lambda w: F.hash(w))
-    return with_shingles(grouped.select("cls", "first", words.alias("words")), similarity)
-
-
-def with_shingles(classes: DataFrame, similarity: float) -> DataFrame:
-    """Adds the shingles of `words`, in their places, and the sizes that follow."""
-    n = F.size("words")
-    at = F.sequence(F.lit(1), F.greatest(F.lit(1), n - SHINGLE + 1))
-    shingles = F.transform(at, lambda i: F.xxhash64(F.slice("words", i, SHINGLE)))
-    return with_prefix_sizes(classes.withColumn("shingles", shingles), similarity)
+    return grouped.select("cls", "first", F.transform(F.split("folded", " "), lambda w: F.hash(w)).alias("words"))
 
 
 def _common_subsequence(a: list[int], b: list[int]) -> int:
@@ -83,8 +73,8 @@ def word_agreement(a: str, b: str):
 class RareShingleIndex:
     """Index of accepted rows below a shared folder. Rows: row_id, ord (orderable struct), digest, text."""
 
-    def __init__(self, spark: SparkSession, root: str, similarity: float = 5 / 6, accept_at: float = 0.8, buckets: int = 16):
-        self.spark, self.root, self.similarity, self.accept_at, self.buckets = spark, root.rstrip("/"), similarity, accept_at, buckets
+    def __init__(self, spark: SparkSession, root: str, accept_at: float = 0.8, buckets: int = 16):
+        self.spark, self.root, self.accept_at, self.buckets = spark, root.rstrip("/"), accept_at, buckets
         self.batches = 0
 
     def _stored(self, table: str) -> DataFrame | None:
@@ -98,9 +88,9 @@ class RareShingleIndex:
         return stored.withColumns({k: F.lit(v) for k, v in told.items()}).select(*own.columns).unionByName(own)
 
     def _counts(self, classes: DataFrame) -> np.ndarray:
-        """How often each cell's shingles occurred in the first batch."""
+        """How often each cell's words occurred in the first batch."""
         if self.batches == 0:
-            cells = classes.select(F.explode("shingles").alias("s")).groupBy(F.pmod("s", F.lit(CELLS)).cast("int").alias("cell")).count()
+            cells = classes.select(F.explode("words").alias("s")).groupBy(F.pmod("s", F.lit(CELLS)).cast("int").alias("cell")).count()
             cells.write.parquet(f"{self.root}/rarity")
         stored = self.spark.read.parquet(f"{self.root}/rarity").toPandas()  # CELLS rows at most
         table = np.zeros(CELLS, dtype=np.int32)
@@ -108,27 +98,31 @@ class RareShingleIndex:
         return table
 
     def _postings(self, classes: DataFrame) -> DataFrame:
-        """(bucket, shingle, at, cls, n, j) of the rarest shingles of each class, with their places."""
+        """(bucket, word, at, cls, n, maps) of the rarest words of each class, with their places."""
         shared = self.spark.sparkContext.broadcast(self._counts(classes))
         buckets = self.buckets
 
         def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             table = shared.value
             for pdf in batches:
-                out = {"shingle": [], "at": [], "cls": [], "n": [], "j": []}
-                for cls, n, o, j, shingles in zip(pdf["cls"], pdf["n"], pdf["o"], pdf["j"], pdf["shingles"]):
-                    s = np.asarray(shingles, dtype=np.int64)
-                    best = np.lexsort((s, table[s % CELLS]))[: len(s) - o + j]
-                    out["shingle"].append(s[best])
+                out = {k: [] for k in ("word", "at", "cls", "n", *MAPS)}
+                for cls, n, o, words in zip(pdf["cls"], pdf["n"], pdf["o"], pdf["words"]):
+                    w = np.asarray(words, dtype=np.int64)
+                    best = np.lexsort((w, table[w % CELLS]))[: n - o + 1]
+                    bits = np.zeros(MAP_BITS, dtype=np.uint8)
+                    bits[w % MAP_BITS] = 1
+                    out["word"].append(w[best])
                     out["at"].append(best)
-                    for k, v in (("cls", cls), ("n", n), ("j", j)):
+                    for k, v in (("cls", cls), ("n", n), *zip(MAPS, np.packbits(bits).view(np.int64))):
                         out[k].append(np.full(len(best), v))
-                if out["shingle"]:
+                if out["word"]:
                     res = pd.DataFrame({k: np.concatenate(v) for k, v in out.items()})
-                    res["bucket"] = res["shingle"] % buckets
-                    yield res[["bucket", "shingle", "at", "cls", "n", "j"]]
+                    res["bucket"] = res["word"] % buckets
+                    yield res[["bucket", "word", "at", "cls", "n", *MAPS]]
 
-        return classes.select("cls", F.size("words").alias("n"), "o", "j", "shingles").mapInPandas(pick, "bucket int, shingle long, at int, cls long, n int, j int")
+        o = least_agreeing(F.size("words"), self.accept_at)
+        maps = ", ".join(f"{m} long" for m in MAPS)
+        return classes.select("cls", F.size("words").alias("n"), o.alias("o"), "words").mapInPandas(pick, f"bucket int, word int, at int, cls long, n int, {maps}")
 
     def accept(self, rows: DataFrame) -> DataFrame:
         """(row_id, first): the earliest accepted or own-batch row that is the same document, for rows that have one.
@@ -137,19 +131,23 @@ class RareShingleIndex:
         """
         here = f"batch={self.batches}"
         rows = materialize(rows.withColumn("folded", folded(F.col("text"))).withColumn("cls", F.when(F.length("folded") > 0, F.xxhash64("folded"))).select("row_id", "ord", "digest", "cls", "folded"), "batch-rows")
-        made = text_classes(rows, self.similarity)
+        made = text_classes(rows)
         made.select("cls", "first", "words").write.parquet(f"{self.root}/classes/{here}")
         classes = self.spark.read.parquet(f"{self.root}/classes/{here}")
-        self._postings(with_shingles(classes, self.similarity)).repartition("bucket").write.parquet(f"{self.root}/postings/{here}")
+        self._postings(classes).repartition("bucket").write.parquet(f"{self.root}/postings/{here}")
         own = self.spark.read.parquet(f"{self.root}/postings/{here}")
         digests = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("ord").alias("first"))
         digests.write.parquet(f"{self.root}/digests/{here}")
 
-        everything = self._both("postings", own.withColumn("mine", F.lit(True)), mine=False).select("bucket", "shingle", F.col("at").alias("oat"), F.col("cls").alias("other"), F.col("n").alias("on"), F.col("j").alias("oj"), "mine")
-        longer = F.greatest("n", "on")
-        near = (F.least("n", "on") >= self.accept_at * longer) & (F.abs(F.col("at") - F.col("oat")) <= longer * (1 - self.accept_at) + 1)
-        hits = own.join(everything, ["bucket", "shingle"]).where(near & F.when(F.col("mine"), F.col("cls") < F.col("other")).otherwise(F.col("cls") != F.col("other")))
-        candidates = hits.groupBy("cls", "other", "mine").agg(F.count(F.lit(1)).alias("common"), F.min(F.least("j", "oj")).alias("need")).where("common >= need").select("cls", "other", "mine")
+        everything = self._both("postings", own.withColumn("mine", F.lit(True)), mine=False)
+        everything = everything.select("bucket", "word", F.col("at").alias("oat"), F.col("cls").alias("other"), F.col("n").alias("on"), *[F.col(m).alias(f"o{m}") for m in MAPS], "mine")
+        agreeing = least_agreeing(F.greatest("n", "on"), self.accept_at)
+        lacking = lambda a, b: sum((F.bit_count(F.col(a + m).bitwiseAND(F.bitwise_not(b + m))) for m in MAPS), F.lit(0))
+        ahead = F.col("at") - F.col("oat")
+        near = (F.least("n", "on") >= agreeing) & (ahead <= F.col("n") - agreeing) & (-ahead <= F.col("on") - agreeing)
+        fits = (lacking("", "o") <= F.col("n") - agreeing) & (lacking("o", "") <= F.col("on") - agreeing)
+        hits = own.join(everything, ["bucket", "word"]).where(F.when(F.col("mine"), F.col("cls") < F.col("other")).otherwise(F.col("cls") != F.col("other")) & near & fits)
+        candidates = hits.select("cls", "other", "mine").distinct()
         known = self._both("classes", classes).groupBy("cls").agg(F.min("first").alias("first"), F.first("words").alias("words"))  # equal classes have equal words
         pairs = candidates.join(classes.select("cls", F.col("words").alias("a"), F.col("first").alias("own_first")), "cls").join(known.select(F.col("cls").alias("other"), F.col("words").alias("b"), "first"), "other")
         agreed = pairs.where(word_agreement("a", "b") >= self.accept_at)
@@ -180,7 +178,7 @@ def queue_duplicates(queue: DataFrame, pages: DataFrame, root: str) -> DataFrame
     """(first_id, dup_id): every queue row with the same document as an earlier one, with the earliest such row.
 
     Batch 0 is the history the index starts with. Nulls: rows without queue_id are ignored, a missing batch_no is history;
-    rows with neither digest nor text match nothing. Exact repeats of a row count once. Texts of five words or fewer match
+    rows with neither digest nor text match nothing. Exact repeats of a row count once. Texts of three words or fewer match
     only as wholes. Empty tables give an empty result; further columns are ignored.
     """
     rows = materialize(queue_rows(queue, pages), "queue-rows")

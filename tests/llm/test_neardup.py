@@ -87,3 +87,40 @@ def test_one_text_for_most_rows(spark, tmp_path):
 
 def test_empty(spark, tmp_path):
     assert run(spark, tmp_path, []).count() == 0
+
+
+def test_spread_differences_down_to_four_fifths(spark, tmp_path):
+    rng = random.Random(5)
+    history, batch, want = [], [], {}
+
+    def pair(a, b):
+        k = len(history)
+        history.append((k, 0, f"u{k}", None, " ".join(a)))
+        batch.append((1000 + k, 1, f"v{k}", None, " ".join(b)))
+        if lcs(a, b) / max(len(a), len(b)) >= 0.8:
+            want[1000 + k] = k
+
+    for changed in (15, 16, 17, 18, 19, 20, 21, 24):  # misreads spread over 100 words
+        for _ in range(3):
+            a = words(rng, 100)
+            at = {int((i + rng.random()) * 100 / changed) for i in range(changed)}
+            pair(a, [words(rng, 1)[0] if i in at else w for i, w in enumerate(a)])
+    for lacks in (10, 15, 20, 25):  # each copy lacks other words, spread
+        for _ in range(3):
+            a = words(rng, 100)
+            drop = rng.sample(range(100), 2 * lacks)
+            one, other = set(drop[::2]), set(drop[1::2])
+            pair([w for i, w in enumerate(a) if i not in one], [w for i, w in enumerate(a) if i not in other])
+    for n in range(4, 16):  # short texts, one word less or more
+        for turn in (1, -1):
+            a = words(rng, n)
+            i = rng.randrange(n)
+            pair(*[a, a[:i] + a[i + 1 :]][::turn])
+    for more in (5, 10, 20, 25, 30):  # words put in
+        a = words(rng, 100)
+        b = list(a)
+        for _ in range(more):
+            b.insert(rng.randint(0, len(b)), words(rng, 1)[0])
+        pair(a, b)
+    got = {r["dup_id"]: r["first_id"] for r in run(spark, tmp_path, history + batch).collect()}
+    assert len(want) > 40 and got == want
