@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -115,3 +116,31 @@ def test_scan_noise_end_to_end(spark, rows):
     assert "the garden and the bridge were kept in the market." in text["n"] and "MILL" not in text["n"]
     assert "@" not in text["n"] and text["u1"].startswith("the garden was kept. the window and the market were kept in the river")
     assert scans.ScanNoise(q.limit(0), md.limit(0)).found().count() == 0
+
+
+def test_every_chain_is_searched():
+    def misread(text, page):
+        back = {b: c for c, b in mojibake.code_page(page).items()}
+        return "".join(c if ord(c) < 128 else "".join(back[b] for b in c.encode()) for c in text)
+
+    readers = {r.name: r for r in mojibake.READERS}
+    tried = 0
+    for text in ("Café été", "Glück für Öl", "Глава"):
+        for chain in itertools.product(mojibake.READ_AS, repeat=3):
+            spoilt = text
+            for page in chain:
+                spoilt = misread(spoilt, page)
+            back = spoilt
+            for page in chain[::-1]:
+                back = readers[page].undo(back, False) or ""
+            if back == text:
+                tried += 1
+                assert text in mojibake.candidates(spoilt, None), (text, chain)
+    assert tried > 500
+
+
+def test_swaps_and_double_byte_pages_after_a_misreading():
+    back = {b: c for c, b in mojibake.code_page("cp1252").items()}
+    misread = lambda t: "".join(c if ord(c) < 128 else "".join(back[b] for b in c.encode()) for c in t)
+    assert "Привет" in mojibake.candidates(misread("Привет".encode("cp1251").decode("cp1252")), None)
+    assert "中文" in mojibake.candidates(misread("".join(back[b] for b in "中文".encode("gbk"))), None)
