@@ -25,10 +25,15 @@ BINS = 20
 LINK_WORDS, TAG_WORDS = 5, 1
 
 
-def function_words(docs: DataFrame, least_share: float = 0.2, most: int = 200) -> dict[str, np.ndarray]:
-    """Per label the hashes of the words that occur in at least `least_share` of its documents, at most `most` of them.
+#: Documents without any of the words that are added to each label, so that few documents make few function words.
+EMPTY_DOCS = 10
 
-    Only labels of 20 documents or more; the result has at most `most` numbers a language.
+
+def function_words(docs: DataFrame, least_share: float = 0.2, most: int = 200) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Per label the hashes of the words that occur in at least `least_share` of its documents, at most `most` of them,
+    and the hashes of all words in at least a hundredth of that share of a label with function words.
+
+    EMPTY_DOCS documents without words are added to each label; no label is left out for its size.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -53,24 +58,27 @@ def function_words(docs: DataFrame, least_share: float = 0.2, most: int = 200) -
     labelled = docs.where("lang IS NOT NULL AND trim(lang) != ''").select("lang", "t")
     counts = materialize(labelled.mapInPandas(count, "lang string, h long, n long").groupBy("lang", "h").agg(F.sum("n").alias("n")), "word-counts")
     totals = counts.where("h = 0").select("lang", F.col("n").alias("docs"))
-    common = counts.where("h != 0").join(F.broadcast(totals), "lang").where((F.col("docs") >= 20) & (F.col("n") >= least_share * F.col("docs")))
+    common = counts.where("h != 0").join(F.broadcast(totals), "lang").where(F.col("n") >= least_share * (F.col("docs") + EMPTY_DOCS))
     best: dict[str, list[tuple[int, int]]] = {}
     for r in common.select("lang", "h", "n").collect():  # at most (mean distinct words of a document) / least_share a language
         best.setdefault(r["lang"], []).append((-r["n"], r["h"]))
-    return {k: np.sort(np.array([h for _, h in sorted(v)[:most]], dtype=np.int64).view(np.uint64)) for k, v in sorted(best.items())}
+    usual = counts.where("h != 0").where(F.col("lang").isin(list(best))).join(F.broadcast(totals), "lang").where((F.col("n") >= 2) & (F.col("n") >= least_share / 100 * F.col("docs")))
+    known = usual.select("h").distinct().toPandas()["h"].to_numpy(dtype=np.int64)  # at most a hundred times the above
+    return {k: np.sort(np.array([h for _, h in sorted(v)[:most]], dtype=np.int64).view(np.uint64)) for k, v in sorted(best.items())}, np.sort(known.view(np.uint64))
 
 
 def _counts(value: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.add.reduceat(value.astype(np.int32), first) if len(first) else np.zeros(0, np.int32)
 
 
-def segment_features(texts: list[str], table: np.ndarray, masks: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per text: words, words in each (language, bin of function-word share) of sentence-shaped segments."""
+def segment_features(texts: list[str], table: np.ndarray, masks: np.ndarray, languages: int, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: words, words in each (language, bin of function-word share) of sentence-shaped segments, share of the
+    commonest content word, share of words of `vocabulary`."""
     w = Words(texts, signs=True)
     total = np.zeros(len(texts), np.int32)
     held = np.zeros((len(texts), languages, BINS), np.int32)
     if len(w.hash) == 0:
-        return total, held, held
+        return total, held, np.zeros(len(texts)), np.zeros(len(texts))
     kind = w.kind
     word = kind == WORD
     ends = np.concatenate(([False], (kind[:-1] == END) | (w.doc[1:] != w.doc[:-1])))
@@ -129,44 +137,47 @@ def segment_features(texts: list[str], table: np.ndarray, masks: np.ndarray, lan
     )
     b = np.minimum((share * BINS).astype(int), BINS - 1)
     np.add.at(held, (doc[writing], lang[writing], b[writing]), n[writing])
-    return total, held, top
+    at = np.minimum(np.searchsorted(vocabulary, w.hash), max(0, len(vocabulary) - 1))
+    familiar = word & (vocabulary[at] == w.hash) if len(vocabulary) else np.zeros(len(w.hash), bool)
+    size = np.bincount(w.doc[word], minlength=len(texts))
+    return total, held, top, np.bincount(w.doc[familiar], minlength=len(texts)) / np.maximum(size, 1)
 
 
 def stuffing_shares(documents: DataFrame, least_share: float = 0.2) -> DataFrame:
     """(doc_id, words, writing, stuffed_share): how many words of a text are in segments of writing.
 
     Rows without id or text are left out; a text without words has stuffed_share NULL. Repeated rows of one id come out
-    once each; whole texts count. If no language has enough labelled documents, no segment can be told to be writing
-    by function words and every text is judged by the other measures alone.
+    once each; whole texts count. Texts of a language without learnt function words (neither is their label one with, nor
+    are half of their words usual in such a label) are judged by the other measures alone.
     """
     docs = spread(documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", F.col("text").alias("t")))
-    words = function_words(docs, least_share)
+    words, vocabulary = function_words(docs, least_share)
     names = list(words)
     table = np.unique(np.concatenate([*words.values(), np.zeros(0, np.uint64)]))
     masks = np.zeros(len(table), np.int64)
     for k, name in enumerate(names):
         masks[np.searchsorted(table, words[name])] |= 1 << k
     languages = max(1, len(names))
-    shared = documents.sparkSession.sparkContext.broadcast((table, masks, languages))
+    shared = documents.sparkSession.sparkContext.broadcast((table, masks, languages, names, vocabulary))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, masks, languages = shared.value
+        table, masks, languages, names, vocabulary = shared.value
         for pdf in batches:
-            texts, ids = pdf["t"].tolist(), pdf["doc_id"].to_numpy()
+            texts, ids, told = pdf["t"].tolist(), pdf["doc_id"].to_numpy(), pdf["lang"].isin(names).to_numpy()
             for a, b in slices(texts):
-                total, held, _ = segment_features(texts[a:b], table, masks, languages)
+                total, held, _, familiar = segment_features(texts[a:b], table, masks, languages, vocabulary)
                 lang = held.sum(axis=2).argmax(axis=1)
-                yield pd.DataFrame({"doc_id": ids[a:b], "words": total, "language": lang, "bins": list(held.sum(axis=1))})
+                yield pd.DataFrame({"doc_id": ids[a:b], "words": total, "language": lang, "known": told[a:b] | (familiar >= 0.5), "bins": list(held.sum(axis=1))})
 
-    features = materialize(docs.select("doc_id", "t").mapInPandas(measure, "doc_id long, words int, language int, bins array<int>"), "stuffing-features")
-    per_bin = features.groupBy("language").agg(*[F.sum(F.col("bins")[k].cast("long")).alias(f"b{k}") for k in range(BINS)])
+    features = materialize(docs.select("doc_id", "lang", "t").mapInPandas(measure, "doc_id long, words int, language int, known boolean, bins array<int>"), "stuffing-features")
+    per_bin = features.where("known").groupBy("language").agg(*[F.sum(F.col("bins")[k].cast("long")).alias(f"b{k}") for k in range(BINS)])
     half_median = np.zeros(languages)
     for r in per_bin.collect():  # one row a language
         mass = np.array([r[f"b{k}"] or 0 for k in range(BINS)], dtype=float)
         if names and mass.sum():
             half_median[r["language"]] = (np.searchsorted(np.cumsum(mass), mass.sum() / 2) + 0.5) / BINS / 2
     floor = F.element_at(F.array(*[F.lit(int(x * BINS)) for x in half_median]), F.col("language") + 1)
-    kept = F.aggregate(F.transform("bins", lambda x, i: F.when(i >= floor, x).otherwise(0)), F.lit(0), lambda a, x: a + x)
+    kept = F.aggregate(F.transform("bins", lambda x, i: F.when(~F.col("known") | (i >= floor), x).otherwise(0)), F.lit(0), lambda a, x: a + x)
     out = features.withColumn("writing", kept)
     return out.select("doc_id", "words", "writing", F.when(F.col("words") > 0, 1 - F.col("writing") / F.col("words")).alias("stuffed_share"))
 

@@ -144,3 +144,11 @@ def test_swaps_and_double_byte_pages_after_a_misreading():
     misread = lambda t: "".join(c if ord(c) < 128 else "".join(back[b] for b in c.encode()) for c in t)
     assert "Привет" in mojibake.candidates(misread("Привет".encode("cp1251").decode("cp1252")), None)
     assert "中文" in mojibake.candidates(misread("".join(back[b] for b in "中文".encode("gbk"))), None)
+
+
+def test_writing_in_a_language_without_function_words_is_no_stuffing(spark, rows):
+    es = "El consejo dice que la carta está en la casa. Los vecinos saben muy bien lo que se dijo ayer por la tarde. Nadie sabe quién escribió tales palabras."
+    he = "המועצה אמרה כי המכתב נמצא בבית הישן. כל השכנים יודעים היטב מה נאמר אתמול בערב. איש אינו יודע מי כתב את הדברים האלה."
+    more = [(300, es, "es"), (301, he, None), (302, he.replace("המכתב", "הספר"), "he"), (303, "manta barata, " * 40, "es"), (304, "שטיח זול, " * 40, None), (305, "cheap lamp, " * 40, None)]
+    d = documents(spark).unionByName(spark.createDataFrame([(*r, "a", "b") for r in more], "doc_id long, text string, lang string, t string, words string"))
+    assert rows(stuffing.stuffed_documents(d), "doc_id") == [(200,), (201,), (202,), (207,), (208,), (303,), (304,), (305,)]
