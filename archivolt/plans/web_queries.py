@@ -86,6 +86,18 @@ def hocr_parse(spark, d):
     return y.select("doc_id", F.size("w").alias("words"), (F.floor(F.expr("aggregate(transform(w, x -> double(x.conf)), double(0), (a, b) -> a + b)") / F.size("w") * 100 + 0.5) / 100).alias("confidence"), F.array_max(F.transform("w", lambda v: v["x2"])).alias("right"))
 
 
+def hocr_parse_whole(spark, d):
+    """As hocr_parse, whose SQL defines it on the first 12 words, over all words of a text; confidences repeat from 60 to 99."""
+    return hocr_of_texts(spread(spark.read.parquet(f"{d}/documents.parquet")))
+
+
+def hocr_of_texts(documents):
+    words = F.filter(F.split(F.replace("text", F.lit("<"), F.lit("(")), r"\s+"), lambda w: w != "")
+    spans = F.transform(words, lambda w, i: F.concat(F.lit("<span class='ocrx_word' id='w' title='bbox "), (i * 10).cast("string"), F.lit(" 5 "), (i * 10 + 8).cast("string"), F.lit(" 20; x_wconf "), (60 + i % 40).cast("string"), F.lit("'>"), w, F.lit("</span>")))
+    y = documents.where("text IS NOT NULL AND trim(text) != ''").select("doc_id", H.hocr_words(F.array_join(spans, "\n")).alias("w"))
+    return y.select("doc_id", F.size("w").alias("words"), (F.floor(F.expr("aggregate(transform(w, x -> double(x.conf)), double(0), (a, b) -> a + b)") / F.size("w") * 100 + 0.5) / 100).alias("confidence"), F.array_max(F.transform("w", lambda v: v["x2"])).alias("right"))
+
+
 def frontmatter(spark, d):
     x = spark.read.parquet(f"{d}/documents.parquet")
     head = H.frontmatter([("title", F.col("title")), ("source", F.col("source")), ("url", F.col("url")), ("chars", F.col("n_chars"))])
@@ -117,7 +129,7 @@ def html_markdown(spark, d):
     return dom.html_to_markdown(_pages(spark, d), "doc_id", "html", exclude=("nav",))
 
 
-QUERIES = {f.__name__: f for f in (extract_links, strip_html, meta_tags_map, page_metadata, noarchive_pages, html_shells, doc_features, sitemap_parse, rss_items, robots_rules, hocr_parse, frontmatter, backlinks_paragraph, backlinks_page, page_search, html_markdown)}
+QUERIES = {f.__name__: f for f in (extract_links, strip_html, meta_tags_map, page_metadata, noarchive_pages, html_shells, doc_features, sitemap_parse, rss_items, robots_rules, hocr_parse, hocr_parse_whole, frontmatter, backlinks_paragraph, backlinks_page, page_search, html_markdown)}
 
 _P = f"p AS (SELECT doc_id, url, title, source, lang, {PAGE} AS html FROM documents)"
 

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from archivolt.functions import summaries as S
 from archivolt.operators import assets as A
+from archivolt.plans import web_queries as W
 from archivolt.schemas import conform, schema
 from archivolt.sources import tables
 
@@ -38,3 +39,9 @@ def test_conform_and_scans(spark, tmp_path):
     assert tables.union_of_sites(spark, {"a": str(tmp_path), "b": "/nowhere"}, "pages").first().domain == "a"
     tables.write_markdown(spark.createDataFrame([("d", "p", "t")], "domain string, md_path string, text string"), f"{tmp_path}/md")
     assert spark.read.parquet(f"{tmp_path}/md").first().text == "t"
+
+
+def test_hocr_of_all_words(spark, rows):
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(100))), (2, "a < b"), (3, " "), (4, None)], "doc_id long, text string")
+    assert rows(W.hocr_of_texts(docs), "doc_id", "words", "confidence", "right") == [(1, 100, sum(60 + i % 40 for i in range(100)) / 100, 998), (2, 3, 61.0, 28)]
+    assert "hocr_parse_whole" in W.QUERIES
