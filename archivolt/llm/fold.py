@@ -54,8 +54,8 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return kind, fold, case
 
 
-_ANCHOR = re.compile(r"<a\b[^<>]{0,2000}>|\]\([^()\s]{0,2000}\)|(?:https?://|www\.)[^\s<>\"]+")
-_MARKUP = re.compile(r"<[/!a-zA-Z][^<>]{0,400}>|&(?:[a-zA-Z]{2,8}|#\d{1,6}|#x[0-9a-fA-F]{1,5});")
+_ANCHOR = re.compile(r"<a\b[^<>]*>|\]\([^()\s]*\)|(?:https?://|www\.)[^\s<>\"]+")
+_MARKUP = re.compile(r"<[/!a-zA-Z][^<>]*>|&(?:[a-zA-Z]{2,8}|#\d{1,6}|#x[0-9a-fA-F]{1,5});")
 _HYPHEN = re.compile(r"(?<=[^\W\d_])[-‐‑]\s*(?=[^\W\d_])")
 _HASHTAG = re.compile(r"#(?=[^\W\d_])")
 
@@ -89,10 +89,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """All words of a batch of texts: `hash` of the folded word, `doc` (place in the batch), `kind`, `digit`, `capital`.
+    """All words of a batch of texts: `hash` of the folded word, `doc` (place in the batch), `kind`, `digit`, `capital`, `caseless`.
 
     Folded means lower-case, without accents, punctuation, markup and hyphenation; Han characters and kana are words of
-    their own. `capital`: begins with a capital inside a sentence. With `signs`, links, tags, sentence ends and
+    their own. `capital`: begins with a capital inside a sentence; `caseless`: of a
+    script without capitals. With `signs`, links, tags, sentence ends and
     separators are tokens of their own kind as well.
     """
 
@@ -112,7 +113,7 @@ class Words:
         self.kind = np.where(kind[start] == SINGLE, WORD, kind[start]).astype(np.uint8) if len(start) else np.zeros(0, np.uint8)
         if len(start) == 0:
             self.hash = np.zeros(0, dtype=np.uint64)
-            self.digit = self.capital = np.zeros(0, dtype=bool)
+            self.digit = self.capital = self.caseless = np.zeros(0, dtype=bool)
             return
         solid = word | ((kind >= SINGLE) & (kind <= SEP))
         first = np.zeros(len(code), dtype=np.int64)
@@ -122,6 +123,7 @@ class Words:
         self.hash = mix(np.add.reduceat(weight, start))
         c = code[start]
         self.digit = (c >= 0x30) & (c <= 0x39)
+        self.caseless = (case[c] == 0) & ~self.digit
         after = np.minimum(start + 1, len(code) - 1)
         before = np.maximum(start - 2, 0)
         calm = (case[code[before]] == 1) | (code[before] == 0x2C) | (code[before] == 0x3B) | ((code[before] >= 0x30) & (code[before] <= 0x39))
@@ -190,7 +192,7 @@ _FROM, _TO = _accent_table()
 
 def folded(text: Column) -> Column:
     """Words of a text, folded as in `Words`, parted by single spaces. NULL stays NULL."""
-    t = F.regexp_replace(text, r"<[/!a-zA-Z][^<>]{0,400}>|&(?:[a-zA-Z]{2,8}|#\d{1,6}|#x[0-9a-fA-F]{1,5});", " ")
+    t = F.regexp_replace(text, r"<[/!a-zA-Z][^<>]*>|&(?:[a-zA-Z]{2,8}|#\d{1,6}|#x[0-9a-fA-F]{1,5});", " ")
     t = F.regexp_replace(t, r"(?<=\p{L})[-‐‑]\s*(?=\p{L})", "")
     t = F.translate(F.lower(t), _FROM, _TO)
     t = F.regexp_replace(t, r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}])", " $1 ")

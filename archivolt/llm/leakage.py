@@ -1,12 +1,18 @@
 """Evaluation items in training text.
 
-Items and documents are brought to templates: numbers, names and units after a number become typed placeholders. Windows
-of template words are hash-joined; a document and item with enough windows on one diagonal are compared word by word,
-the values that fill the slots of the template being checked for consistency (the same value always replaced by the
-same other one), which catches re-parameterised items too.
-
-Scale: the items are the stated query set; they go to the executors in blocks of bounded size, so the pass over the
-documents is a map without shuffle, whatever the corpus size and however often one item or document occurs.
+Items and documents are brought to templates: numbers, names and units become typed placeholders. Each passage is cut into
+pieces of WIDTH words, and one template window of every piece is its seed. Seeds are hash-joined with the windows of all
+documents; each pair of document and passage that shares one is compared word by word along the diagonals of its seeds, the
+values that fill the slots of the template being checked for consistency (the same value always replaced by the same other
+one), which catches re-parameterised items too.
+
+What is found for certain, by the pigeonhole principle: n words cut into m = n // WIDTH pieces keep one piece whole under up
+to m - 1 replaced words, wherever those stand; a run of 20 words covers two pieces or more; a passage too short to be cut is
+one piece.
+
+Scale: one map pass over the documents, whatever the number of items. A bit table of fixed size tells which windows can be a
+seed; only those, and the word hashes of documents that have one, are shuffled. Nothing of the items but tables of fixed
+size is sent to the executors or the driver; copies of a passage are looked for once.
 """
 
 from __future__ import annotations
@@ -17,52 +23,116 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from archivolt.llm.fold import Words, slices, word_hash
-from archivolt.session import spread
+from archivolt.llm.fold import Words, mix, slices, word_hash
+from archivolt.session import materialize, spread
 
-#: Units of measure and count that follow a number.
+#: Units of measure and count that follow a number, beside those learned from the items.
 UNITS = "pages page copies copy volumes volume km kg m cm mm g l lb oz miles mile feet foot hours hour minutes seconds days day weeks months years percent dollars euros pounds letters seiten paginas pages ans jahre".split()
 #: German articles; a capitalised word behind one of them is a noun, not a name.
 ARTICLES = "der die das den dem des ein eine einen einem einer eines im am zum zur".split()
 
 NUM, NAME, UNIT = np.uint64(0x11), np.uint64(0x22), np.uint64(0x33)
+#: Words of a piece; passages under LEAST_CUT x WIDTH words are cut into pieces of a word less, and under WIDTH + 3 not at all.
+WIDTH, LEAST_CUT = 5, 4
+#: Cells of the table of word roles, and of the table of seeds.
+WORD_CELLS, SEED_CELLS = 1 << 22, 1 << 24
+NAMED, PLAIN, COMMON, MEASURE = 1, 2, 4, 8
+
+
+def piece_width(n: int) -> int:
+    return WIDTH if n >= LEAST_CUT * WIDTH else WIDTH - 1 if n >= 2 * (WIDTH - 1) else n
+
 
+class Template:
+    """Roles of words, as learned from the items: `roles[cell]` of a word's hash."""
 
-class ItemBlock:
-    """Template windows and words of up to some thousand items."""
-
-    def __init__(self, items: list[tuple[int, str]], width: int):
-        self.ids = np.array([i for i, _ in items], dtype=np.int64)
-        words = Words([t for _, t in items])
-        before = np.concatenate(([np.uint64(0)], words.hash[:-1])) if len(words.hash) else words.hash
-        noun = np.isin(before, word_hash(ARTICLES))
-        self.names = np.unique(words.hash[words.capital & ~noun])
-        # a sentence's first word is never marked, so it must not rule out a name: only words that are never marked do
-        self.vocabulary = np.setdiff1d(words.hash, words.hash[words.capital])
-        self.units = np.unique(word_hash(UNITS))
-        self.word, self.of = words.hash, words.doc
-        self.first = np.searchsorted(self.of, np.arange(len(items) + 1))
-        code, self.slot = self.template(words)
-        at, h = words.windows(code, width)
-        order = np.argsort(h, kind="stable")
-        self.window_hash, self.window_at = h[order], at[order]
-
-    def template(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Word codes with placeholders, and whether a word fills a slot."""
-        h = words.hash
+    def __init__(self, roles: np.ndarray):
+        self.roles = roles
+
+    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word codes with placeholders, whether a word fills a slot, and whether it stands for itself.
+
+        A name is a word that some item has with a capital inside a sentence, another such word of the text unless items
+        have it without, and in scripts without capitals any word that not two items have.
+        """
+        h, digit = words.hash, words.digit
         if len(h) == 0:
-            return h, np.zeros(0, dtype=bool)
-        digit = words.digit
-        name = _among(h, self.names) | (words.capital & ~_among(h, self.vocabulary))
-        unit = np.concatenate(([False], digit[:-1])) & _among(h, self.units)
-        code = np.where(digit, NUM, np.where(name, NAME, np.where(unit, UNIT, h)))
-        return code, digit | name
+            return h, digit, digit
+        role = self.roles[h & np.uint64(WORD_CELLS - 1)]
+        name = ((role & NAMED) > 0) | (words.capital & ((role & PLAIN) == 0)) | (words.caseless & ((role & COMMON) == 0))
+        unit = np.concatenate(([False], digit[:-1])) & ((role & MEASURE) > 0)
+        code = np.where(digit, NUM, np.where(unit, UNIT, np.where(name, NAME, h)))
+        return code, digit | (name & ~unit), ~(digit | name | unit)
 
 
-def _among(h: np.ndarray, table: np.ndarray) -> np.ndarray:
-    if len(table) == 0:
-        return np.zeros(len(h), dtype=bool)
-    return table[np.minimum(np.searchsorted(table, h), len(table) - 1)] == h
+def template_windows(words: Words, code: np.ndarray, literal: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, hash and number of literal words of each window; of windows with under two literal words the words themselves
+    are hashed, as placeholders alone would match anything."""
+    at, h = words.windows(code, width)
+    upto = np.concatenate(([0], np.cumsum(literal)))
+    own = upto[at + width] - upto[at]
+    bare = np.flatnonzero(own < 2)
+    if len(bare):
+        h[bare] = mix(words.windows(words.hash, width)[1][bare] + np.uint64(1))
+    return at, h ^ np.uint64(width), own
+
+
+def word_roles(items: DataFrame) -> np.ndarray:
+    """The table of roles from all passages: one aggregation over words, then at most WORD_CELLS rows to the driver."""
+
+    def tell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        articles = word_hash(ARTICLES)
+        for pdf in batches:
+            texts = pdf["t"].tolist()
+            for a, b in slices(texts):
+                w = Words(texts[a:b])
+                if len(w.hash) == 0:
+                    continue
+                before = np.concatenate(([np.uint64(0)], w.hash[:-1]))
+                x = pd.DataFrame({"h": w.hash.view(np.int64), "doc": w.doc, "capital": w.capital, "named": w.capital & ~np.isin(before, articles), "measured": np.concatenate(([False], w.digit[:-1])) & ~w.digit})
+                x["n"] = 1
+                per = x.groupby(["h", "doc"], sort=False).sum().reset_index()
+                per["items"] = 1
+                yield per.groupby("h", sort=False)[["items", "n", "capital", "named", "measured"]].sum().reset_index()
+
+    parts = items.mapInPandas(tell, "h long, items long, n long, capital long, named long, measured long")
+    sums = parts.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("items", "n", "capital", "named", "measured")])
+    flag = lambda cond, bit: F.when(cond, F.lit(bit)).otherwise(0)
+    role = flag(F.col("named") > 0, NAMED) + flag(F.col("capital") == 0, PLAIN) + flag(F.col("items") >= 2, COMMON) + flag((F.col("measured") >= 2) & (F.col("measured") * 2 >= F.col("n")), MEASURE)
+    cells = sums.select(F.col("h").bitwiseAND(F.lit(WORD_CELLS - 1)).cast("int").alias("cell"), role.alias("role"))
+    told = cells.groupBy("cell").agg(F.bit_or("role").cast("int").alias("role")).toPandas()
+    roles = np.zeros(WORD_CELLS, dtype=np.uint8)
+    roles[told["cell"].to_numpy(dtype=np.int64)] = told["role"].to_numpy(dtype=np.uint8)
+    roles[(word_hash(UNITS) & np.uint64(WORD_CELLS - 1)).astype(np.int64)] |= MEASURE
+    return roles
+
+
+def _packed(words: np.ndarray) -> bytes:
+    return words.astype(np.uint64).tobytes()
+
+
+def seeded_items(items: DataFrame, template) -> DataFrame:
+    """(pid, words, slots, n, seed, off): word hashes of each passage and its seeds with their places."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Template(template.value)
+        for pdf in batches:
+            texts, out = pdf["t"].tolist(), []
+            for pid, text in zip(pdf["pid"], texts):
+                w = Words([text])
+                n = len(w.hash)
+                if n == 0:
+                    continue
+                code, slot, literal = known.of(w)
+                width = piece_width(n)
+                _, h, own = template_windows(w, code, literal, width)
+                pieces = max(1, n // width)
+                edge = np.arange(pieces + 1) * n // pieces
+                off = np.array([a + int(own[a : b - width + 1].argmax()) for a, b in zip(edge[:-1], edge[1:])], dtype=np.int32)
+                out.append((pid, _packed(w.hash), np.packbits(slot).tobytes(), n, h[off].view(np.int64), off))
+            yield pd.DataFrame(out, columns=["pid", "words", "slots", "n", "seed", "off"])
+
+    return items.mapInPandas(cut, "pid long, words binary, slots binary, n int, seed array<long>, off array<int>")
 
 
 def _longest(hit: np.ndarray) -> int:
@@ -80,63 +150,41 @@ def _in_runs(hit: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
-def find_in_batch(texts: list[str], block: ItemBlock, width: int, least_windows: int, run: int, share: float) -> list[tuple[int, int, str, int, float]]:
-    """(place of the text, item, kind, longest run, share of the passage) of the texts that hold a passage."""
-    words = Words(texts)
-    if len(words.hash) == 0 or len(block.window_hash) == 0:
-        return []
-    code, slot = block.template(words)
-    at, h = words.windows(code, width)
-    left = np.searchsorted(block.window_hash, h, side="left")
-    right = np.searchsorted(block.window_hash, h, side="right")
-    n = right - left
-    hit = np.flatnonzero(n)
-    if len(hit) == 0:
-        return []
-    n = n[hit]
-    place = np.repeat(at[hit], n)
-    inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    item_at = block.window_at[np.repeat(left[hit], n) + inner]
-    item = block.of[item_at].astype(np.int64)
-    doc = words.doc[place].astype(np.int64)
-    diagonal = place - item_at
-    order = np.lexsort((diagonal, item, doc))
-    doc, item, diagonal = doc[order], item[order], diagonal[order]
-    new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1])))
-    first = np.flatnonzero(new)
-    count = np.diff(np.concatenate((first, [len(doc)])))
-    pairs: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for d, i, g, c in zip(doc[first], item[first], diagonal[first], count):
-        pairs.setdefault((int(d), int(i)), []).append((int(c), int(g)))
-    bounds = np.searchsorted(words.doc, np.arange(len(texts) + 1))
-    out = []
-    for (d, i), found in pairs.items():
-        if sum(c for c, _ in found) < least_windows or max(c for c, _ in found) < least_windows // 2:
+def compared(doc: np.ndarray, doc_slot: np.ndarray, item: np.ndarray, slot: np.ndarray, diagonals: list[int], run: int, share: float) -> tuple[str, int, float] | None:
+    """(kind, longest run, share of the passage in place) if the document holds the passage, else None.
+
+    Words put in or left out shift the diagonal, so those within a fifth of the passage from the best one count with it.
+    """
+    n, lines = len(item), []
+    for g in diagonals:
+        x, y = max(0, -g), min(n, len(doc) - g)
+        same = np.zeros(n, dtype=bool)
+        if y > x:
+            same[x:y] = item[x:y] == doc[x + g : y + g]
+        longest = _longest(same)
+        if longest >= min(run, n):
+            return "verbatim", longest, float(_in_runs(same, min(3, n)).mean())
+        lines.append((int(same.sum()), -g, longest, _in_runs(same, min(3, n)), x, y))
+    lines.sort(key=lambda z: z[:2], reverse=True)
+    lead = -lines[0][1]
+    covered, longest, mapped, clash, swapped = np.zeros(n, dtype=bool), 0, {}, 0, 0
+    for _, minus, far, held, x, y in lines:
+        g = -minus
+        if abs(g - lead) > max(2, n // 5):
             continue
-        a, b = block.first[i], block.first[i + 1]
-        lo, hi = bounds[d], bounds[d + 1]
-        longest, covered, mapped, clash, swapped = 0, np.zeros(b - a, dtype=bool), {}, 0, 0
-        for c, g in sorted(found, reverse=True):
-            x, y = max(a, lo - g), min(b, hi - g)
-            if y <= x:
-                continue
-            same = block.word[x:y] == words.hash[x + g : y + g]
-            longest = max(longest, _longest(same))
-            if c >= 3:
-                covered[x - a : y - a] |= _in_runs(same, 3)
-                for p in np.flatnonzero(block.slot[x:y] & slot[x + g : y + g]):
-                    was, now = int(block.word[x + p]), int(words.hash[x + g + p])
-                    swapped += was != now
-                    clash += mapped.setdefault(was, now) != now
-        part = float(covered.mean()) if b > a else 0.0
-        loose = swapped / max(1, b - a)
-        if longest >= min(run, b - a):
-            out.append((d, int(block.ids[i]), "verbatim", longest, part))
-        elif part >= share:
-            out.append((d, int(block.ids[i]), "edited", longest, part))
-        elif swapped and clash == 0 and part + loose >= 0.95:
-            out.append((d, int(block.ids[i]), "reparameterised", longest, part))
-    return out
+        covered |= held
+        longest = max(longest, far)
+        if y > x:
+            for p in np.flatnonzero(slot[x:y] & doc_slot[x + g : y + g] & ~covered[x:y] if g != lead else slot[x:y] & doc_slot[x + g : y + g]):
+                was, now = int(item[x + p]), int(doc[x + g + p])
+                swapped += was != now
+                clash += mapped.setdefault(was, now) != now
+    part = float(covered.mean())
+    if part >= share:
+        return "edited", longest, part
+    if swapped and clash == 0 and swapped * 3 <= n and part + swapped / n >= 0.95:
+        return "reparameterised", longest, part
+    return None
 
 
 def passages(benchmark: DataFrame) -> DataFrame:
@@ -148,47 +196,82 @@ def passages(benchmark: DataFrame) -> DataFrame:
     return joined.select("item_id", F.when(F.col("items").isNotNull(), F.expr("substring(text, length(line) + 2)")).otherwise(F.col("text")).alias("passage"))
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, width: int = 8, least_windows: int = 6, run: int = 20, share: float = 0.8, block_items: int = 5000) -> DataFrame:
+def seeded_documents(docs: DataFrame, roles, seeds, widths: list[int]) -> DataFrame:
+    """(doc_id, words, slots, seed, at): of each document with a window that may be a seed."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, bits = Template(roles.value), seeds.value
+        for pdf in batches:
+            texts, ids, out = pdf["t"].tolist(), pdf["doc_id"].to_numpy(), []
+            for x, y in slices(texts):
+                w = Words(texts[x:y])
+                if len(w.hash) == 0:
+                    continue
+                code, slot, literal = known.of(w)
+                found = []
+                for width in widths:
+                    at, h, _ = template_windows(w, code, literal, width)
+                    cell = h & np.uint64(SEED_CELLS - 1)
+                    hit = np.flatnonzero((bits[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1)
+                    found.append((at[hit], h[hit]))
+                at, h = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+                if len(at) == 0:
+                    continue
+                bounds = np.searchsorted(w.doc, np.arange(y - x + 1))
+                order = np.argsort(at, kind="stable")
+                at, h = at[order], h[order]
+                for d in np.unique(w.doc[at]):
+                    lo, hi = bounds[d], bounds[d + 1]
+                    a, b = np.searchsorted(at, lo), np.searchsorted(at, hi)
+                    out.append((ids[x + d], _packed(w.hash[lo:hi]), np.packbits(slot[lo:hi]).tobytes(), h[a:b].view(np.int64), (at[a:b] - lo).astype(np.int32)))
+            yield pd.DataFrame(out, columns=["doc_id", "words", "slots", "seed", "at"])
+
+    return docs.mapInPandas(scan, "doc_id long, words binary, slots binary, seed array<long>, at array<int>")
+
+
+def leaks(documents: DataFrame, benchmark: DataFrame, run: int = 20, share: float = 0.8) -> DataFrame:
     """(doc_id, item_id, kind, longest_run, covered) of documents that hold a passage of an item.
 
-    kind: `verbatim` (a run of `run` words), `edited` (at least `share` of the passage's words in place), `reparameterised`
-    (all but the values of names and numbers, which are replaced consistently). Passages shorter than `width` words cannot
-    be looked for and yield nothing; of those shorter than `run` the whole passage must occur. Nulls: rows without id or
-    text are ignored. Repeated rows give the same pairs, once per doc_id; empty tables give none; whole texts count.
+    kind: `verbatim` (a run of `run` words, or the whole of a shorter passage), `edited` (at least `share` of the passage's
+    words in place, in runs of three), `reparameterised` (all but the values of names, numbers and units, at most a third,
+    which are replaced consistently). Nulls: rows without id or text are ignored, as are passages without words. Repeated
+    rows give the same pairs, once per doc_id; empty tables give none; whole texts count; further columns are ignored.
     """
     spark = documents.sparkSession
-    items = passages(benchmark).select("item_id", F.col("passage").alias("t")).where("trim(t) != ''").distinct()
-    rows = items.orderBy("item_id").toLocalIterator()
+    schema = "doc_id long, pid long, kind string, longest_run int, covered double"
+    items = materialize(passages(benchmark).select("item_id", F.col("passage").alias("t")).where("trim(t) != ''").distinct().withColumn("pid", F.xxhash64("t")), "leak-passages")
+    distinct = items.groupBy("pid").agg(F.min("t").alias("t"))
+    roles = spark.sparkContext.broadcast(word_roles(distinct))
+    seeded = materialize(seeded_items(distinct, roles), "leak-items")
+    cells = seeded.select(F.explode("seed").alias("seed")).select(F.col("seed").bitwiseAND(F.lit(SEED_CELLS - 1)).cast("int").alias("cell")).distinct().toPandas()["cell"].to_numpy(dtype=np.int64)  # SEED_CELLS rows at most
+    bits = np.zeros(SEED_CELLS, dtype=bool)
+    bits[cells] = True
+    bits = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
+    widths = sorted({piece_width(r["n"]) for r in seeded.select(F.least("n", F.lit(LEAST_CUT * WIDTH)).alias("n")).distinct().collect()})  # 20 rows at most
     docs = spread(documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").alias("t")))
-    schema = "doc_id long, item_id long, kind string, longest_run int, covered double"
-    parts, held = [], []
-
-    def one(block_rows: list[tuple[int, str]]) -> DataFrame:
-        shared = spark.sparkContext.broadcast(ItemBlock(block_rows, width))
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            block = shared.value
-            for pdf in batches:
-                texts, ids, out = pdf["t"].tolist(), pdf["doc_id"].to_numpy(), []
-                for x, y in slices(texts):
-                    out += [(int(ids[x + d]), i, k, n, p) for d, i, k, n, p in find_in_batch(texts[x:y], block, width, least_windows, run, share)]
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "kind", "longest_run", "covered"])
-
-        return docs.mapInPandas(scan, schema)
-
-    for r in rows:
-        held.append((r["item_id"], r["t"]))
-        if len(held) == block_items:
-            parts.append(one(held))
-            held = []
-    if held:
-        parts.append(one(held))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return result
+    if not widths:
+        return spark.createDataFrame([], "doc_id long, item_id long, kind string, longest_run int, covered double")
+    held = materialize(seeded_documents(docs, roles, bits, widths), "leak-documents")
+    # repeated rows of one id may carry several texts: each is compared by itself
+    held = held.withColumn("tid", F.xxhash64("words"))
+    hits = held.select("doc_id", "tid", F.explode(F.arrays_zip("seed", "at")).alias("s")).select("doc_id", "tid", "s.seed", "s.at")
+    seeds = seeded.select("pid", F.explode(F.arrays_zip("seed", "off")).alias("s")).select("pid", "s.seed", "s.off")
+    pairs = hits.join(seeds, "seed").groupBy("doc_id", "tid", "pid").agg(F.collect_set(F.col("at") - F.col("off")).alias("diagonals"))  # one document's places of one passage
+    joined = pairs.join(seeded.select("pid", F.col("words").alias("item"), F.col("slots").alias("item_slots"), "n"), "pid").join(held.select("doc_id", "tid", "words", "slots").dropDuplicates(["doc_id", "tid"]), ["doc_id", "tid"])
+
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for doc, pid, dg, item, si, n, words, sw in zip(pdf["doc_id"], pdf["pid"], pdf["diagonals"], pdf["item"], pdf["item_slots"], pdf["n"], pdf["words"], pdf["slots"]):
+                text = np.frombuffer(words, dtype=np.uint64)
+                slot = lambda raw, k: np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=k).astype(bool)
+                told = compared(text, slot(sw, len(text)), np.frombuffer(item, dtype=np.uint64), slot(si, n), [int(g) for g in dg], run, share)
+                if told:
+                    out.append((doc, pid, *told))
+            yield pd.DataFrame(out, columns=["doc_id", "pid", "kind", "longest_run", "covered"])
+
+    verdicts = joined.select("doc_id", "pid", "diagonals", "item", "item_slots", "n", "words", "slots").mapInPandas(verify, schema)
+    return verdicts.join(items.select("pid", "item_id"), "pid").select("doc_id", "item_id", "kind", "longest_run", "covered").distinct()
 
 
 def leaked_items(found: DataFrame) -> DataFrame:
@@ -197,5 +280,3 @@ def leaked_items(found: DataFrame) -> DataFrame:
         F.countDistinct("doc_id").alias("documents"),
         *[F.count_if(F.col("kind") == k).alias(k) for k in ("verbatim", "edited", "reparameterised")],
     )
-
-
