@@ -33,7 +33,7 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     kind = np.zeros(0x110000, dtype=np.uint8)
     fold = np.arange(0x110000, dtype=np.uint32)
     case = np.zeros(0x110000, dtype=np.uint8)
-    for cp in range(0x110000):
+    for cp in (*range(0x32000), *range(0xE0000, 0xE0200)):  # no letters or marks beyond
         cat = unicodedata.category(chr(cp))
         if cat[0] == "L" or cat[0] == "N":
             kind[cp] = WORD

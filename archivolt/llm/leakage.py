@@ -1,14 +1,14 @@
 """Evaluation items in training text.
 
-Items and documents are brought to templates: numbers, names and units become typed placeholders. Each passage is cut into
-pieces of WIDTH words, and one template window of every piece is its seed. Seeds are hash-joined with the windows of all
-documents; each pair of document and passage that shares one is compared word by word along the diagonals of its seeds, the
-values that fill the slots of the template being checked for consistency (the same value always replaced by the same other
-one), which catches re-parameterised items too.
+Items and documents are brought to templates: numbers, names and units become typed placeholders. Windows of template words
+are hash-joined; each pair of document and passage that shares one is compared word by word along the diagonals of its
+windows, the values that fill the slots of the template being checked for consistency (the same value always replaced by the
+same other one), which catches re-parameterised items too.
 
-What is found for certain, by the pigeonhole principle: n words cut into m = n // WIDTH pieces keep one piece whole under up
-to m - 1 replaced words, wherever those stand; a run of 20 words covers two pieces or more; a passage too short to be cut is
-one piece.
+Template windows are long (2 x WIDTH words), as short ones match anything of the same grammar. So that words replaced all
+over a passage are found as well, each passage is also cut into pieces of WIDTH words, and a window of each is hashed as it
+stands. By the pigeonhole principle the m = n // WIDTH pieces of n words leave one whole under up to m - 1 replaced words,
+wherever those stand; a run of 20 words covers two pieces or more; a passage too short to be cut is one piece.
 
 Scale: one map pass over the documents, whatever the number of items. A bit table of fixed size tells which windows can be a
 seed; only those, and the word hashes of documents that have one, are shuffled. Nothing of the items but tables of fixed
@@ -32,15 +32,17 @@ UNITS = "pages page copies copy volumes volume km kg m cm mm g l lb oz miles mil
 ARTICLES = "der die das den dem des ein eine einen einem einer eines im am zum zur".split()
 
 NUM, NAME, UNIT = np.uint64(0x11), np.uint64(0x22), np.uint64(0x33)
-#: Words of a piece; passages under LEAST_CUT x WIDTH words are cut into pieces of a word less, and under WIDTH + 3 not at all.
+#: Words of a piece; passages under LEAST_CUT x WIDTH words are cut into pieces of a word less, and under 2 x (WIDTH - 1) not at all.
 WIDTH, LEAST_CUT = 5, 4
 #: Cells of the table of word roles, and of the table of seeds.
 WORD_CELLS, SEED_CELLS = 1 << 22, 1 << 24
-NAMED, PLAIN, COMMON, MEASURE = 1, 2, 4, 8
+NAMED, KNOWN, COMMON, MEASURE = 1, 2, 4, 8
 
 
-def piece_width(n: int) -> int:
-    return WIDTH if n >= LEAST_CUT * WIDTH else WIDTH - 1 if n >= 2 * (WIDTH - 1) else n
+def seed_windows(n: int) -> list[tuple[int, bool]]:
+    """(width, whether of the template) of the seeds of a passage of n words."""
+    width = WIDTH if n >= LEAST_CUT * WIDTH else WIDTH - 1 if n >= 2 * (WIDTH - 1) else n
+    return [(width, False), (min(n, 2 * width), True)]
 
 
 class Template:
@@ -52,29 +54,29 @@ class Template:
     def of(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word codes with placeholders, whether a word fills a slot, and whether it stands for itself.
 
-        A name is a word that some item has with a capital inside a sentence, another such word of the text unless items
-        have it without, and in scripts without capitals any word that not two items have.
+        A name is a word that some item has with a capital inside a sentence, or a word no item has that stands so in the
+        text, and in scripts without capitals any word that not two items have. What an item's word is depends on nothing
+        around it, so that equal words make equal templates.
         """
         h, digit = words.hash, words.digit
         if len(h) == 0:
             return h, digit, digit
         role = self.roles[h & np.uint64(WORD_CELLS - 1)]
-        name = ((role & NAMED) > 0) | (words.capital & ((role & PLAIN) == 0)) | (words.caseless & ((role & COMMON) == 0))
-        unit = np.concatenate(([False], digit[:-1])) & ((role & MEASURE) > 0)
+        name = ((role & NAMED) > 0) | (words.capital & ((role & KNOWN) == 0)) | (words.caseless & ((role & COMMON) == 0))
+        unit = (role & MEASURE) > 0
         code = np.where(digit, NUM, np.where(unit, UNIT, np.where(name, NAME, h)))
         return code, digit | (name & ~unit), ~(digit | name | unit)
 
 
-def template_windows(words: Words, code: np.ndarray, literal: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Place, hash and number of literal words of each window; of windows with under two literal words the words themselves
-    are hashed, as placeholders alone would match anything."""
-    at, h = words.windows(code, width)
-    upto = np.concatenate(([0], np.cumsum(literal)))
-    own = upto[at + width] - upto[at]
-    bare = np.flatnonzero(own < 2)
-    if len(bare):
-        h[bare] = mix(words.windows(words.hash, width)[1][bare] + np.uint64(1))
-    return at, h ^ np.uint64(width), own
+def windows(words: Words, code: np.ndarray, literal: np.ndarray, width: int, template: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of each window; template windows with under three words that stand for themselves are left out, as
+    placeholders alone would match anything, and have hash 0."""
+    at, h = words.windows(code if template else words.hash, width)
+    h ^= np.uint64(2 * width + template)
+    if template:
+        upto = np.concatenate(([0], np.cumsum(literal)))
+        h[upto[at + width] - upto[at] < 3] = 0
+    return at, h
 
 
 def word_roles(items: DataFrame) -> np.ndarray:
@@ -89,16 +91,16 @@ def word_roles(items: DataFrame) -> np.ndarray:
                 if len(w.hash) == 0:
                     continue
                 before = np.concatenate(([np.uint64(0)], w.hash[:-1]))
-                x = pd.DataFrame({"h": w.hash.view(np.int64), "doc": w.doc, "capital": w.capital, "named": w.capital & ~np.isin(before, articles), "measured": np.concatenate(([False], w.digit[:-1])) & ~w.digit})
+                x = pd.DataFrame({"h": w.hash.view(np.int64), "doc": w.doc, "named": w.capital & ~np.isin(before, articles), "measured": np.concatenate(([False], w.digit[:-1])) & ~w.digit})
                 x["n"] = 1
                 per = x.groupby(["h", "doc"], sort=False).sum().reset_index()
                 per["items"] = 1
-                yield per.groupby("h", sort=False)[["items", "n", "capital", "named", "measured"]].sum().reset_index()
+                yield per.groupby("h", sort=False)[["items", "n", "named", "measured"]].sum().reset_index()
 
-    parts = items.mapInPandas(tell, "h long, items long, n long, capital long, named long, measured long")
-    sums = parts.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("items", "n", "capital", "named", "measured")])
+    parts = items.mapInPandas(tell, "h long, items long, n long, named long, measured long")
+    sums = parts.groupBy("h").agg(*[F.sum(c).alias(c) for c in ("items", "n", "named", "measured")])
     flag = lambda cond, bit: F.when(cond, F.lit(bit)).otherwise(0)
-    role = flag(F.col("named") > 0, NAMED) + flag(F.col("capital") == 0, PLAIN) + flag(F.col("items") >= 2, COMMON) + flag((F.col("measured") >= 2) & (F.col("measured") * 2 >= F.col("n")), MEASURE)
+    role = flag(F.col("named") > 0, NAMED) + F.lit(KNOWN) + flag(F.col("items") >= 2, COMMON) + flag((F.col("measured") >= 2) & (F.col("measured") * 2 >= F.col("n")), MEASURE)
     cells = sums.select(F.col("h").bitwiseAND(F.lit(WORD_CELLS - 1)).cast("int").alias("cell"), role.alias("role"))
     told = cells.groupBy("cell").agg(F.bit_or("role").cast("int").alias("role")).toPandas()
     roles = np.zeros(WORD_CELLS, dtype=np.uint8)
@@ -111,11 +113,11 @@ def _packed(words: np.ndarray) -> bytes:
     return words.astype(np.uint64).tobytes()
 
 
-def seeded_items(items: DataFrame, template) -> DataFrame:
+def seeded_items(items: DataFrame, roles) -> DataFrame:
     """(pid, words, slots, n, seed, off): word hashes of each passage and its seeds with their places."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Template(template.value)
+        known = Template(roles.value)
         for pdf in batches:
             texts, out = pdf["t"].tolist(), []
             for pid, text in zip(pdf["pid"], texts):
@@ -124,12 +126,13 @@ def seeded_items(items: DataFrame, template) -> DataFrame:
                 if n == 0:
                     continue
                 code, slot, literal = known.of(w)
-                width = piece_width(n)
-                _, h, own = template_windows(w, code, literal, width)
-                pieces = max(1, n // width)
-                edge = np.arange(pieces + 1) * n // pieces
-                off = np.array([a + int(own[a : b - width + 1].argmax()) for a, b in zip(edge[:-1], edge[1:])], dtype=np.int32)
-                out.append((pid, _packed(w.hash), np.packbits(slot).tobytes(), n, h[off].view(np.int64), off))
+                seeds, offs = [], []
+                for width, template in seed_windows(n):
+                    off = np.arange(max(1, n // width)) * n // max(1, n // width)
+                    h = windows(w, code, literal, width, template)[1][off]
+                    seeds.append(h[h != 0])
+                    offs.append(off[h != 0])
+                out.append((pid, _packed(w.hash), slot.tobytes(), n, np.concatenate(seeds).view(np.int64), np.concatenate(offs).astype(np.int32)))
             yield pd.DataFrame(out, columns=["pid", "words", "slots", "n", "seed", "off"])
 
     return items.mapInPandas(cut, "pid long, words binary, slots binary, n int, seed array<long>, off array<int>")
@@ -150,35 +153,29 @@ def _in_runs(hit: np.ndarray, least: int) -> np.ndarray:
     return out
 
 
-def compared(doc: np.ndarray, doc_slot: np.ndarray, item: np.ndarray, slot: np.ndarray, diagonals: list[int], run: int, share: float) -> tuple[str, int, float] | None:
-    """(kind, longest run, share of the passage in place) if the document holds the passage, else None.
+def compared(doc: np.ndarray, doc_slot: np.ndarray, item: np.ndarray, slot: np.ndarray, lead: int, others: list[int], run: int, share: float) -> tuple[str, int, float] | None:
+    """(kind, longest run, share of the passage in place) if the part of a document holds the passage, else None.
 
-    Words put in or left out shift the diagonal, so those within a fifth of the passage from the best one count with it.
+    `lead` and `others` are diagonals; words put in or left out shift the diagonal, so what the others hold counts too.
     """
-    n, lines = len(item), []
-    for g in diagonals:
+    n, longest, swapped, clash, mapped = len(item), 0, 0, 0, {}
+    covered = np.zeros(n, dtype=bool)
+    for g in [lead, *others]:
         x, y = max(0, -g), min(n, len(doc) - g)
-        same = np.zeros(n, dtype=bool)
-        if y > x:
-            same[x:y] = item[x:y] == doc[x + g : y + g]
-        longest = _longest(same)
-        if longest >= min(run, n):
-            return "verbatim", longest, float(_in_runs(same, min(3, n)).mean())
-        lines.append((int(same.sum()), -g, longest, _in_runs(same, min(3, n)), x, y))
-    lines.sort(key=lambda z: z[:2], reverse=True)
-    lead = -lines[0][1]
-    covered, longest, mapped, clash, swapped = np.zeros(n, dtype=bool), 0, {}, 0, 0
-    for _, minus, far, held, x, y in lines:
-        g = -minus
-        if abs(g - lead) > max(2, n // 5):
+        if y <= x:
             continue
-        covered |= held
+        same = np.zeros(n, dtype=bool)
+        same[x:y] = item[x:y] == doc[x + g : y + g]
+        far = _longest(same)
         longest = max(longest, far)
-        if y > x:
-            for p in np.flatnonzero(slot[x:y] & doc_slot[x + g : y + g] & ~covered[x:y] if g != lead else slot[x:y] & doc_slot[x + g : y + g]):
-                was, now = int(item[x + p]), int(doc[x + g + p])
-                swapped += was != now
-                clash += mapped.setdefault(was, now) != now
+        if far >= min(run, n):
+            return "verbatim", far, float(_in_runs(same, min(3, n)).mean())
+        filled = slot[x:y] & doc_slot[x + g : y + g]
+        for p in np.flatnonzero(filled if g == lead else filled & ~covered[x:y]):
+            was, now = int(item[x + p]), int(doc[x + g + p])
+            swapped += was != now
+            clash += mapped.setdefault(was, now) != now
+        covered |= _in_runs(same, min(3, n))
     part = float(covered.mean())
     if part >= share:
         return "edited", longest, part
@@ -187,6 +184,33 @@ def compared(doc: np.ndarray, doc_slot: np.ndarray, item: np.ndarray, slot: np.n
     return None
 
 
+def compared_parts(pdf: pd.DataFrame, run: int, share: float) -> list[tuple]:
+    """(doc_id, pid, kind, longest run, share) of the rows that hold their passage.
+
+    All rows are first compared along their own diagonal in one go; a row is looked at closely only if enough words agree
+    for any verdict, which takes three fifths of the passage or a run.
+    """
+    item = [np.frombuffer(x, dtype=np.uint64) for x in pdf["item"]]
+    text = [np.frombuffer(x, dtype=np.uint64) for x in pdf["words"]]
+    n, size = pdf["n"].to_numpy(dtype=np.int64), np.array([len(t) for t in text], dtype=np.int64)
+    lead = (pdf["g"] - pdf["lo"]).to_numpy(dtype=np.int64)
+    first = np.cumsum(n) - n
+    row = np.repeat(np.arange(len(n)), n)
+    at = np.arange(n.sum()) - first[row] + lead[row]
+    there = (at >= 0) & (at < size[row])
+    same = np.zeros(len(at), dtype=np.int64)
+    same[there] = np.concatenate(item)[there] == np.concatenate(text)[(np.cumsum(size) - size)[row[there]] + at[there]]
+    agree = np.add.reduceat(same, first)
+    alone = np.array([len(x) == 0 for x in pdf["others"]])
+    out = []
+    for i in np.flatnonzero(~alone | (agree >= np.minimum(run, 0.6 * n))):
+        flags = lambda raw: np.frombuffer(raw, dtype=np.bool_)
+        told = compared(text[i], flags(pdf["slots"].iat[i]), item[i], flags(pdf["item_slots"].iat[i]), int(lead[i]), [int(lead[i] + x) for x in pdf["others"].iat[i]], run, share)
+        if told:
+            out.append((pdf["doc_id"].iat[i], pdf["pid"].iat[i], *told))
+    return out
+
+
 def passages(benchmark: DataFrame) -> DataFrame:
     """(item_id, passage): the text without a stock instruction, i.e. a first line that opens two items or more."""
     line = F.substring_index("text", "\n", 1)
@@ -196,7 +220,7 @@ def passages(benchmark: DataFrame) -> DataFrame:
     return joined.select("item_id", F.when(F.col("items").isNotNull(), F.expr("substring(text, length(line) + 2)")).otherwise(F.col("text")).alias("passage"))
 
 
-def seeded_documents(docs: DataFrame, roles, seeds, widths: list[int]) -> DataFrame:
+def seeded_documents(docs: DataFrame, roles, seeds, widths: list[tuple[int, bool]]) -> DataFrame:
     """(doc_id, words, slots, seed, at): of each document with a window that may be a seed."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,10 +233,10 @@ def seeded_documents(docs: DataFrame, roles, seeds, widths: list[int]) -> DataFr
                     continue
                 code, slot, literal = known.of(w)
                 found = []
-                for width in widths:
-                    at, h, _ = template_windows(w, code, literal, width)
+                for width, template in widths:
+                    at, h = windows(w, code, literal, width, template)
                     cell = h & np.uint64(SEED_CELLS - 1)
-                    hit = np.flatnonzero((bits[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1)
+                    hit = np.flatnonzero((bits[(cell >> np.uint64(3)).astype(np.int64)] >> (cell & np.uint64(7)).astype(np.uint8)) & (h != 0))
                     found.append((at[hit], h[hit]))
                 at, h = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
                 if len(at) == 0:
@@ -223,7 +247,7 @@ def seeded_documents(docs: DataFrame, roles, seeds, widths: list[int]) -> DataFr
                 for d in np.unique(w.doc[at]):
                     lo, hi = bounds[d], bounds[d + 1]
                     a, b = np.searchsorted(at, lo), np.searchsorted(at, hi)
-                    out.append((ids[x + d], _packed(w.hash[lo:hi]), np.packbits(slot[lo:hi]).tobytes(), h[a:b].view(np.int64), (at[a:b] - lo).astype(np.int32)))
+                    out.append((ids[x + d], _packed(w.hash[lo:hi]), slot[lo:hi].tobytes(), h[a:b].view(np.int64), (at[a:b] - lo).astype(np.int32)))
             yield pd.DataFrame(out, columns=["doc_id", "words", "slots", "seed", "at"])
 
     return docs.mapInPandas(scan, "doc_id long, words binary, slots binary, seed array<long>, at array<int>")
@@ -247,7 +271,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, run: int = 20, share: floa
     bits = np.zeros(SEED_CELLS, dtype=bool)
     bits[cells] = True
     bits = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
-    widths = sorted({piece_width(r["n"]) for r in seeded.select(F.least("n", F.lit(LEAST_CUT * WIDTH)).alias("n")).distinct().collect()})  # 20 rows at most
+    widths = sorted({x for r in seeded.select(F.least("n", F.lit(LEAST_CUT * WIDTH)).alias("n")).distinct().collect() for x in seed_windows(r["n"])})  # 20 rows at most
     docs = spread(documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", F.col("text").alias("t")))
     if not widths:
         return spark.createDataFrame([], "doc_id long, item_id long, kind string, longest_run int, covered double")
@@ -256,22 +280,20 @@ def leaks(documents: DataFrame, benchmark: DataFrame, run: int = 20, share: floa
     held = held.withColumn("tid", F.xxhash64("words"))
     hits = held.select("doc_id", "tid", F.explode(F.arrays_zip("seed", "at")).alias("s")).select("doc_id", "tid", "s.seed", "s.at")
     seeds = seeded.select("pid", F.explode(F.arrays_zip("seed", "off")).alias("s")).select("pid", "s.seed", "s.off")
-    pairs = hits.join(seeds, "seed").groupBy("doc_id", "tid", "pid").agg(F.collect_set(F.col("at") - F.col("off")).alias("diagonals"))  # one document's places of one passage
-    joined = pairs.join(seeded.select("pid", F.col("words").alias("item"), F.col("slots").alias("item_slots"), "n"), "pid").join(held.select("doc_id", "tid", "words", "slots").dropDuplicates(["doc_id", "tid"]), ["doc_id", "tid"])
+    lines = hits.join(seeds, "seed").groupBy("doc_id", "tid", "pid").agg(F.collect_set(F.col("at") - F.col("off")).alias("diagonals"))  # one document's places of one passage
+    shaped = lines.join(seeded.select("pid", F.col("words").alias("item"), F.col("slots").alias("item_slots"), "n", F.greatest(F.lit(2), F.floor(F.col("n") / 5)).cast("int").alias("m")), "pid")
+    near = lambda g: F.transform(F.filter("diagonals", lambda x: (x != g) & (F.abs(x - g) <= F.col("m"))), lambda x: x - g)
+    leads = shaped.select("*", F.explode("diagonals").alias("g")).select("doc_id", "tid", "pid", "item", "item_slots", "n", "m", "g", near(F.col("g")).alias("others"), F.greatest(F.lit(0), F.col("g") - F.col("m")).alias("lo"))
+    there = leads.join(held.select("doc_id", "tid", "words", "slots").dropDuplicates(["doc_id", "tid"]), ["doc_id", "tid"])
+    upto = F.greatest(F.lit(0), F.col("g") + F.col("n") + F.col("m") - F.col("lo"))
+    joined = there.select("doc_id", "pid", "item", "item_slots", "n", "g", "others", "lo", F.substring("words", F.col("lo") * 8 + 1, upto * 8).alias("words"), F.substring("slots", F.col("lo") + 1, upto).alias("slots"))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for doc, pid, dg, item, si, n, words, sw in zip(pdf["doc_id"], pdf["pid"], pdf["diagonals"], pdf["item"], pdf["item_slots"], pdf["n"], pdf["words"], pdf["slots"]):
-                text = np.frombuffer(words, dtype=np.uint64)
-                slot = lambda raw, k: np.unpackbits(np.frombuffer(raw, dtype=np.uint8), count=k).astype(bool)
-                told = compared(text, slot(sw, len(text)), np.frombuffer(item, dtype=np.uint64), slot(si, n), [int(g) for g in dg], run, share)
-                if told:
-                    out.append((doc, pid, *told))
-            yield pd.DataFrame(out, columns=["doc_id", "pid", "kind", "longest_run", "covered"])
-
-    verdicts = joined.select("doc_id", "pid", "diagonals", "item", "item_slots", "n", "words", "slots").mapInPandas(verify, schema)
-    return verdicts.join(items.select("pid", "item_id"), "pid").select("doc_id", "item_id", "kind", "longest_run", "covered").distinct()
+            yield pd.DataFrame(compared_parts(pdf, run, share) if len(pdf) else [], columns=["doc_id", "pid", "kind", "longest_run", "covered"])
+
+    verdicts = joined.mapInPandas(verify, schema).groupBy("doc_id", "pid").agg(F.max(F.struct("covered", "longest_run", "kind")).alias("v"))
+    return verdicts.join(items.select("pid", "item_id").distinct(), "pid").select("doc_id", "item_id", "v.kind", "v.longest_run", "v.covered")
 
 
 def leaked_items(found: DataFrame) -> DataFrame:
