@@ -6,9 +6,11 @@ windows, the values that fill the slots of the template being checked for consis
 same other one), which catches re-parameterised items too.
 
 Template windows are long (2 x WIDTH words), as short ones match anything of the same grammar. So that words replaced all
-over a passage are found as well, each passage is also cut into pieces of WIDTH words, and a window of each is hashed as it
-stands. By the pigeonhole principle the m = n // WIDTH pieces of n words leave one whole under up to m - 1 replaced words,
-wherever those stand; a run of 20 words covers two pieces or more; a passage too short to be cut is one piece.
+over a passage are found as well, WIDTH words are also hashed as they stand. Each passage is cut into pieces of WIDTH to
+2 x WIDTH words, as short as they can be to hold a window that no other passage has; that window, or the one fewest passages
+have, is the piece's seed. By the pigeonhole principle m pieces leave one whole under up to m - 1 replaced words, wherever
+those stand (m is n // WIDTH for n words where all windows are rare, n // (2 x WIDTH) at least); a run of 20 words covers a
+piece; a passage too short to be cut is one piece.
 
 Scale: one map pass over the documents, whatever the number of items. A bit table of fixed size tells which windows can be a
 seed; only those, and the word hashes of documents that have one, are shuffled. Nothing of the items but tables of fixed
@@ -113,29 +115,55 @@ def _packed(words: np.ndarray) -> bytes:
     return words.astype(np.uint64).tobytes()
 
 
-def seeded_items(items: DataFrame, roles) -> DataFrame:
-    """(pid, words, slots, n, seed, off): word hashes of each passage and its seeds with their places."""
+def windowed_items(items: DataFrame, roles) -> DataFrame:
+    """(pid, words, slots, n, kind, width, hashes): word hashes of each passage, with all its windows of either kind."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Template(roles.value)
         for pdf in batches:
-            texts, out = pdf["t"].tolist(), []
-            for pid, text in zip(pdf["pid"], texts):
+            out = []
+            for pid, text in zip(pdf["pid"], pdf["t"]):
                 w = Words([text])
                 n = len(w.hash)
                 if n == 0:
                     continue
                 code, slot, literal = known.of(w)
-                seeds, offs = [], []
-                for width, template in seed_windows(n):
-                    off = np.arange(max(1, n // width)) * n // max(1, n // width)
-                    h = windows(w, code, literal, width, template)[1][off]
-                    seeds.append(h[h != 0])
-                    offs.append(off[h != 0])
-                out.append((pid, _packed(w.hash), slot.tobytes(), n, np.concatenate(seeds).view(np.int64), np.concatenate(offs).astype(np.int32)))
-            yield pd.DataFrame(out, columns=["pid", "words", "slots", "n", "seed", "off"])
+                kinds = [(width, windows(w, code, literal, width, template)[1].view(np.int64)) for width, template in seed_windows(n)]
+                out.append((pid, _packed(w.hash), slot.tobytes(), n, *kinds[0], *kinds[1]))
+            yield pd.DataFrame(out, columns=["pid", "words", "slots", "n", "width", "plain", "template_width", "template"])
 
-    return items.mapInPandas(cut, "pid long, words binary, slots binary, n int, seed array<long>, off array<int>")
+    return items.mapInPandas(cut, "pid long, words binary, slots binary, n int, width int, plain array<long>, template_width int, template array<long>")
+
+
+def chosen(width: int, hashes: np.ndarray, often: np.ndarray) -> list[int]:
+    """Places of the seeds: in each piece the first window no other passage has, else the one fewest have."""
+    out, a = [], 0
+    while a < len(hashes):
+        b = min(a + width + 1, len(hashes))
+        free = np.flatnonzero(hashes[a:b] != 0)
+        if len(free) == 0:
+            a = b
+            continue
+        at = a + int(free[often[a:b][free].argmin()])
+        out.append(at)
+        a = at + width
+    return out
+
+
+def seeds_of(items: DataFrame) -> DataFrame:
+    """(pid, seed, off): the seeds of the windowed passages with their places."""
+    kinds = [items.select("pid", F.lit(k).alias("kind"), F.col(w).alias("width"), F.posexplode(h).alias("off", "seed")) for k, w, h in ((0, "width", "plain"), (1, "template_width", "template"))]
+    each = kinds[0].unionByName(kinds[1])
+    often = each.where("seed != 0").select("pid", "seed").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("often"))
+    whole = each.join(often, "seed", "left").groupBy("pid", "kind", "width").agg(F.array_sort(F.collect_list(F.struct("off", "seed", F.coalesce("often", F.lit(0)).alias("often")))).alias("x"))  # one passage's windows
+    flat = whole.select("pid", "width", F.transform("x", lambda x: x["seed"]).alias("seeds"), F.transform("x", lambda x: x["often"]).alias("often"))
+
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(pid, int(seeds[at]), at) for pid, width, seeds, often in zip(pdf["pid"], pdf["width"], pdf["seeds"], pdf["often"]) for at in chosen(width, np.asarray(seeds), np.asarray(often))]
+            yield pd.DataFrame(out, columns=["pid", "seed", "off"])
+
+    return flat.mapInPandas(choose, "pid long, seed long, off int")
 
 
 def _longest(hit: np.ndarray) -> int:
@@ -266,8 +294,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, run: int = 20, share: floa
     items = materialize(passages(benchmark).select("item_id", F.col("passage").alias("t")).where("trim(t) != ''").distinct().withColumn("pid", F.xxhash64("t")), "leak-passages")
     distinct = items.groupBy("pid").agg(F.min("t").alias("t"))
     roles = spark.sparkContext.broadcast(word_roles(distinct))
-    seeded = materialize(seeded_items(distinct, roles), "leak-items")
-    cells = seeded.select(F.explode("seed").alias("seed")).select(F.col("seed").bitwiseAND(F.lit(SEED_CELLS - 1)).cast("int").alias("cell")).distinct().toPandas()["cell"].to_numpy(dtype=np.int64)  # SEED_CELLS rows at most
+    seeded = materialize(windowed_items(distinct, roles), "leak-items")
+    seeds = materialize(seeds_of(seeded), "leak-seeds")
+    cells = seeds.select(F.col("seed").bitwiseAND(F.lit(SEED_CELLS - 1)).cast("int").alias("cell")).distinct().toPandas()["cell"].to_numpy(dtype=np.int64)  # SEED_CELLS rows at most
     bits = np.zeros(SEED_CELLS, dtype=bool)
     bits[cells] = True
     bits = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little"))
@@ -279,14 +308,14 @@ def leaks(documents: DataFrame, benchmark: DataFrame, run: int = 20, share: floa
     # repeated rows of one id may carry several texts: each is compared by itself
     held = held.withColumn("tid", F.xxhash64("words"))
     hits = held.select("doc_id", "tid", F.explode(F.arrays_zip("seed", "at")).alias("s")).select("doc_id", "tid", "s.seed", "s.at")
-    seeds = seeded.select("pid", F.explode(F.arrays_zip("seed", "off")).alias("s")).select("pid", "s.seed", "s.off")
     lines = hits.join(seeds, "seed").groupBy("doc_id", "tid", "pid").agg(F.collect_set(F.col("at") - F.col("off")).alias("diagonals"))  # one document's places of one passage
-    shaped = lines.join(seeded.select("pid", F.col("words").alias("item"), F.col("slots").alias("item_slots"), "n", F.greatest(F.lit(2), F.floor(F.col("n") / 5)).cast("int").alias("m")), "pid")
+    sized = lines.join(seeded.select("pid", "n", F.greatest(F.lit(2), F.floor(F.col("n") / 5)).cast("int").alias("m")), "pid")
     near = lambda g: F.transform(F.filter("diagonals", lambda x: (x != g) & (F.abs(x - g) <= F.col("m"))), lambda x: x - g)
-    leads = shaped.select("*", F.explode("diagonals").alias("g")).select("doc_id", "tid", "pid", "item", "item_slots", "n", "m", "g", near(F.col("g")).alias("others"), F.greatest(F.lit(0), F.col("g") - F.col("m")).alias("lo"))
-    there = leads.join(held.select("doc_id", "tid", "words", "slots").dropDuplicates(["doc_id", "tid"]), ["doc_id", "tid"])
+    leads = sized.select("*", F.explode("diagonals").alias("g")).select("doc_id", "tid", "pid", "n", "m", "g", near(F.col("g")).alias("others"), F.greatest(F.lit(0), F.col("g") - F.col("m")).alias("lo"))
+    there = leads.join(held.select("doc_id", "tid", "words", "slots"), ["doc_id", "tid"])
     upto = F.greatest(F.lit(0), F.col("g") + F.col("n") + F.col("m") - F.col("lo"))
-    joined = there.select("doc_id", "pid", "item", "item_slots", "n", "g", "others", "lo", F.substring("words", F.col("lo") * 8 + 1, upto * 8).alias("words"), F.substring("slots", F.col("lo") + 1, upto).alias("slots"))
+    parts = there.select("doc_id", "pid", "n", "g", "others", "lo", F.substring("words", F.col("lo") * 8 + 1, upto * 8).alias("words"), F.substring("slots", F.col("lo") + 1, upto).alias("slots"))
+    joined = parts.join(seeded.select("pid", F.col("words").alias("item"), F.col("slots").alias("item_slots")), "pid").drop("m")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
