@@ -1,8 +1,9 @@
 """Duplicates of new batches among everything accepted before.
 
-An inverted index holds, for every distinct accepted text, the rarest of its words (its prefix). A batch looks up only
-the prefixes of its own texts; pairs with a common prefix word at near places, near lengths and fitting word maps are
-verified word by word, and the batch's postings are appended. Equal digests and equal texts are found by hash.
+An inverted index holds, for every distinct accepted text, the rarest of its words (its prefix), in folders by batch and word
+bucket. A batch looks up only the prefixes of its own new texts; pairs with a common prefix word at near places, near lengths
+and fitting word maps are verified word by word, and the batch's postings are appended. Equal digests and texts are found by
+key.
 
 The prefix rule: texts of n and n' words of which l agree in order share l words, and are accepted only if l is at least
 `accept_at` of the longer. So each shares at least o = ceil(accept_at * n) of its own n words with any match, and the
@@ -13,28 +14,33 @@ out, which bounds the places.
 The map rule: each word sets one of MAP_BITS bits of its text. A bit only one of two texts has stands for a word the other
 lacks, so there are at most n - l and n' - l of those. It is checked inside the join, before a pair is written anywhere.
 
-Scale: postings lie in files by word bucket; copies are folded into one text class before anything is paired, so a
-document that makes up a third of the rows is one posting; the answer for a row is the earliest member of the classes
-it agrees with, found by minima, never by listing pairs of rows.
+Scale: what a batch reads of the history is filtered before any shuffle, by the buckets of its words and by a table of
+key cells of fixed size; so what it shuffles depends on the batch and its matches, not on the history. A text seen before
+is answered by key and not searched again. Copies are folded into one text class before anything is paired. Of the classes
+a class may agree with, the earliest is verified first, found by a minimum inside the join; only where that fails are all
+the others listed, so that a group of near copies is not paired with itself. Words that were frequent when the index began
+are split over several keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from archivolt.functions.digests import canonical_digest
 from archivolt.llm.fold import folded
 from archivolt.session import materialize
 
-#: Cells of the table of word counts.
-CELLS = 1 << 20
+#: Cells of the table of word counts, and of the tables that tell which stored keys a batch may ask for.
+CELLS, KEY_CELLS = 1 << 18, 1 << 18
 #: Bits of a text's word map, in longs of 64.
 MAP_BITS = 256
 MAPS = [f"map{i}" for i in range(MAP_BITS // 64)]
+#: Occurrences at the first batch for which a word gets one key more; classes for which the index gets one bucket more.
+SPLIT_AT, BUCKET_OF = 10_000, 50_000
+ORD = "decimal(38,0)"
+TABLES = {"classes": f"cls long, first {ORD}, words array<int>", "keys": f"kind string, key string, first {ORD}", "postings": f"word int, at int, first {ORD}, n int, split int, {', '.join(f'{m} long' for m in MAPS)}, bucket int"}
 
 
 def least_agreeing(n, accept_at: float):
@@ -42,6 +48,12 @@ def least_agreeing(n, accept_at: float):
     return F.ceil(n * accept_at - 1e-9).cast("int")
 
 
+def keyed(rows: DataFrame) -> DataFrame:
+    """(row_id, ord, digest, cls, folded): rows with their folded text and its class."""
+    x = rows.withColumn("folded", folded(F.col("text"))).withColumn("cls", F.when(F.length("folded") > 0, F.xxhash64("folded")))
+    return x.select("row_id", F.col("ord").cast(ORD).alias("ord"), "digest", "cls", "folded", *(["batch_no"] if "batch_no" in rows.columns else []))
+
+
 def text_classes(rows: DataFrame) -> DataFrame:
     """One row per distinct folded text: cls, words and `first`, its earliest row."""
     grouped = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("ord").alias("first"), F.first("folded").alias("folded"))
@@ -71,120 +83,169 @@ def word_agreement(a: str, b: str):
 
 
 class RareShingleIndex:
-    """Index of accepted rows below a shared folder. Rows: row_id, ord (orderable struct), digest, text."""
+    """Index of accepted rows below a shared folder. Rows: row_id, ord (a number that orders them), digest, text.
 
-    def __init__(self, spark: SparkSession, root: str, accept_at: float = 0.8, buckets: int = 16):
+    Batches are accepted in order: no row of a later one is earlier than a row of one before. Tables, each in a folder a
+    batch: `classes` (texts new in the batch), `keys` (texts and digests of the batch with the earliest row that is the same
+    document), `postings` (of the new texts, in folders by word bucket).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, accept_at: float = 0.8, buckets: int | None = None):
         self.spark, self.root, self.accept_at, self.buckets = spark, root.rstrip("/"), accept_at, buckets
         self.batches = 0
-
-    def _stored(self, table: str) -> DataFrame | None:
-        return self.spark.read.parquet(*[f"{self.root}/{table}/batch={i}" for i in range(self.batches)]) if self.batches else None
-
-    def _both(self, table: str, own: DataFrame, **told) -> DataFrame:
-        """What is stored and the batch's own rows; `told` are columns only the own rows have, as they are in stored ones."""
-        stored = self._stored(table)
-        if stored is None:
-            return own
-        return stored.withColumns({k: F.lit(v) for k, v in told.items()}).select(*own.columns).unionByName(own)
-
-    def _counts(self, classes: DataFrame) -> np.ndarray:
-        """How often each cell's words occurred in the first batch."""
-        if self.batches == 0:
-            cells = classes.select(F.explode("words").alias("s")).groupBy(F.pmod("s", F.lit(CELLS)).cast("int").alias("cell")).count()
-            cells.write.parquet(f"{self.root}/rarity")
-        stored = self.spark.read.parquet(f"{self.root}/rarity").toPandas()  # CELLS rows at most
-        table = np.zeros(CELLS, dtype=np.int32)
-        table[stored["cell"].to_numpy(dtype=np.int64)] = np.minimum(stored["count"].to_numpy(dtype=np.int64), 2**31 - 1)
-        return table
+        self._rarity = None
+
+    def _read(self, table: str, batches: range) -> DataFrame:
+        paths = [f"{self.root}/{table}/batch={i}" for i in batches]
+        if not paths:
+            return self.spark.createDataFrame([], TABLES[table])
+        return self.spark.read.schema(TABLES[table] + ", batch int").option("basePath", f"{self.root}/{table}").parquet(*paths).drop("batch")
+
+    def stored(self, table: str, keys: DataFrame, on: list[str]) -> DataFrame:
+        """The rows of earlier batches with one of the keys. Cells of the keys, at most KEY_CELLS, go to the scan."""
+        rows = self._read(table, range(self.batches))
+        if not self.batches:
+            return rows
+        cell = F.pmod(F.xxhash64(*on), F.lit(KEY_CELLS)).cast("int")
+        asked = keys.select(cell.alias("cell")).distinct()
+        return rows.withColumn("cell", cell).join(F.broadcast(asked), "cell", "left_semi").drop("cell")
+
+    def _counts(self, classes: DataFrame):
+        """Of each cell of words, how often they occurred in the first batch: powers of two, at most CELLS numbers."""
+        if self._rarity is None:
+            path = f"{self.root}/rarity"
+            if self.batches == 0:
+                cells = classes.select(F.explode("words").alias("w")).groupBy(F.pmod("w", F.lit(CELLS)).cast("int").alias("cell")).count()
+                cells.select("cell", F.floor(F.log2("count") * 8).cast("short").alias("level")).write.parquet(path)
+            told = self.spark.read.parquet(path).toPandas()
+            table = np.zeros(CELLS, dtype=np.int16)
+            table[told["cell"].to_numpy(dtype=np.int64)] = told["level"].to_numpy() + 1
+            self._rarity = self.spark.sparkContext.broadcast(table)
+        return self._rarity
 
     def _postings(self, classes: DataFrame) -> DataFrame:
-        """(bucket, word, at, cls, n, maps) of the rarest words of each class, with their places."""
-        shared = self.spark.sparkContext.broadcast(self._counts(classes))
-        buckets = self.buckets
+        """(bucket, word, at, first, n, split, maps) of the rarest words of each class, with their places."""
+        shared = self._counts(classes)
 
-        def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def pick(words: pd.Series, o: pd.Series) -> pd.DataFrame:
             table = shared.value
-            for pdf in batches:
-                out = {k: [] for k in ("word", "at", "cls", "n", *MAPS)}
-                for cls, n, o, words in zip(pdf["cls"], pdf["n"], pdf["o"], pdf["words"]):
-                    w = np.asarray(words, dtype=np.int64)
-                    best = np.lexsort((w, table[w % CELLS]))[: n - o + 1]
-                    bits = np.zeros(MAP_BITS, dtype=np.uint8)
-                    bits[w % MAP_BITS] = 1
-                    out["word"].append(w[best])
-                    out["at"].append(best)
-                    for k, v in (("cls", cls), ("n", n), *zip(MAPS, np.packbits(bits).view(np.int64))):
-                        out[k].append(np.full(len(best), v))
-                if out["word"]:
-                    res = pd.DataFrame({k: np.concatenate(v) for k, v in out.items()})
-                    res["bucket"] = res["word"] % buckets
-                    yield res[["bucket", "word", "at", "cls", "n", *MAPS]]
-
-        o = least_agreeing(F.size("words"), self.accept_at)
-        maps = ", ".join(f"{m} long" for m in MAPS)
-        return classes.select("cls", F.size("words").alias("n"), o.alias("o"), "words").mapInPandas(pick, f"bucket int, word int, at int, cls long, n int, {maps}")
-
-    def accept(self, rows: DataFrame) -> DataFrame:
-        """(row_id, first): the earliest accepted or own-batch row that is the same document, for rows that have one.
-
-        `rows` may hold several batches; `ord` decides what is earlier. The rows are then part of the index.
+            out: dict[str, list] = {k: [] for k in ("word", "at", "split", *MAPS)}
+            for w, least in zip(words, o):
+                w = np.asarray(w, dtype=np.int64)
+                level = table[w % CELLS]
+                best = np.lexsort((w, level))[: len(w) - least + 1]
+                bits = np.zeros(MAP_BITS, dtype=np.uint8)
+                bits[w % MAP_BITS] = 1
+                out["word"].append(w[best].astype(np.int32))
+                out["at"].append(best.astype(np.int32))
+                out["split"].append((1 + np.exp2((np.maximum(level[best], 1) - 1) / 8) // SPLIT_AT).astype(np.int32))
+                for k, v in zip(MAPS, np.packbits(bits).view(np.int64)):
+                    out[k].append(v)
+            return pd.DataFrame(out)
+
+        shape = "struct<word:array<int>,at:array<int>,split:array<int>," + ",".join(f"{m}:long" for m in MAPS) + ">"
+        picked = F.pandas_udf(pick, shape)("words", least_agreeing(F.size("words"), self.accept_at))
+        x = classes.select("first", F.size("words").alias("n"), picked.alias("p"))
+        x = x.select("first", "n", *[f"p.{m}" for m in MAPS], F.explode(F.arrays_zip("p.word", "p.at", "p.split")).alias("x"))
+        return x.select("x.word", "x.at", "first", "n", "x.split", *MAPS, F.pmod("x.word", F.lit(self.buckets)).alias("bucket"))
+
+    def _hits(self, mine: DataFrame, own: DataFrame) -> DataFrame:
+        """(first, other): pairs of a class of the batch and an earlier one that share a prefix word and may agree.
+
+        A word split over several keys is looked up under each of them, and stored under one.
         """
-        here = f"batch={self.batches}"
-        rows = materialize(rows.withColumn("folded", folded(F.col("text"))).withColumn("cls", F.when(F.length("folded") > 0, F.xxhash64("folded"))).select("row_id", "ord", "digest", "cls", "folded"), "batch-rows")
-        made = text_classes(rows)
-        made.select("cls", "first", "words").write.parquet(f"{self.root}/classes/{here}")
-        classes = self.spark.read.parquet(f"{self.root}/classes/{here}")
-        self._postings(classes).repartition("bucket").write.parquet(f"{self.root}/postings/{here}")
-        own = self.spark.read.parquet(f"{self.root}/postings/{here}")
-        digests = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("ord").alias("first"))
-        digests.write.parquet(f"{self.root}/digests/{here}")
-
-        everything = self._both("postings", own.withColumn("mine", F.lit(True)), mine=False)
-        everything = everything.select("bucket", "word", F.col("at").alias("oat"), F.col("cls").alias("other"), F.col("n").alias("on"), *[F.col(m).alias(f"o{m}") for m in MAPS], "mine")
+        asked = [r["bucket"] for r in own.select("bucket").distinct().collect()] if self.batches else []  # one row a bucket
+        past = self.stored("postings", own.where(F.col("bucket").isin(asked)), ["word"]).where(F.col("bucket").isin(asked))
+        there = past.select(*own.columns).unionByName(own)
+        there = there.select("word", F.pmod(F.xxhash64("first"), "split").alias("part"), F.col("at").alias("oat"), F.col("first").alias("other"), F.col("n").alias("on"), *[F.col(m).alias(f"o{m}") for m in MAPS])
+        here = mine.select("word", F.explode(F.sequence(F.lit(0).cast("long"), F.col("split").cast("long") - 1)).alias("part"), "at", "first", "n", *MAPS)
         agreeing = least_agreeing(F.greatest("n", "on"), self.accept_at)
         lacking = lambda a, b: sum((F.bit_count(F.col(a + m).bitwiseAND(F.bitwise_not(b + m))) for m in MAPS), F.lit(0))
         ahead = F.col("at") - F.col("oat")
         near = (F.least("n", "on") >= agreeing) & (ahead <= F.col("n") - agreeing) & (-ahead <= F.col("on") - agreeing)
         fits = (lacking("", "o") <= F.col("n") - agreeing) & (lacking("o", "") <= F.col("on") - agreeing)
-        hits = own.join(everything, ["bucket", "word"]).where(F.when(F.col("mine"), F.col("cls") < F.col("other")).otherwise(F.col("cls") != F.col("other")) & near & fits)
-        candidates = hits.select("cls", "other", "mine").distinct()
-        known = self._both("classes", classes).groupBy("cls").agg(F.min("first").alias("first"), F.first("words").alias("words"))  # equal classes have equal words
-        pairs = candidates.join(classes.select("cls", F.col("words").alias("a"), F.col("first").alias("own_first")), "cls").join(known.select(F.col("cls").alias("other"), F.col("words").alias("b"), "first"), "other")
-        agreed = pairs.where(word_agreement("a", "b") >= self.accept_at)
-        there, back = F.struct("cls", "first"), F.struct(F.col("other").alias("cls"), F.col("own_first").alias("first"))
-        told = agreed.select(F.explode(F.array_compact(F.array(there, F.when(F.col("mine"), back)))).alias("x")).select("x.cls", "x.first")
-        near = told.groupBy("cls").agg(F.min("first").alias("near_first"))
-        same = known.select("cls", F.col("first").alias("text_first"))
-        by_digest = self._both("digests", self.spark.read.parquet(f"{self.root}/digests/{here}")).groupBy("digest").agg(F.min("first").alias("digest_first"))
-        found = rows.select("row_id", "ord", "digest", "cls").join(by_digest, "digest", "left").join(same, "cls", "left").join(near, "cls", "left")
-        earliest = F.least("digest_first", "text_first", "near_first")
-        result = materialize(found.select("row_id", "ord", earliest.alias("first")).where("first < ord").select("row_id", "first"), "batch-duplicates")
+        return here.join(there, ["word", "part"]).where((F.col("other") < F.col("first")) & near & fits).select("first", "other")
+
+    def _agreeing(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs (first, other) whose words agree."""
+        known = self.stored("classes", pairs.select(F.col("other").alias("first")), ["first"]).select("first", "words").unionByName(classes.select("first", "words"))
+        x = pairs.join(known.select(F.col("first").alias("other"), F.col("words").alias("b")), "other").join(classes.select("first", F.col("words").alias("a")), "first")
+        return x.where(word_agreement("a", "b") >= self.accept_at).select("first", "other")
+
+    def accept(self, rows: DataFrame) -> DataFrame:
+        """(row_id, first): the earliest accepted or own-batch row that is the same document, for rows that have one.
+
+        The rows are then part of the index. `rows` may be `keyed` already.
+        """
+        here = self.batches
+        if "cls" not in rows.columns:
+            rows = materialize(keyed(rows), "batch-rows")
+        named = lambda kind, key: (F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"))
+        own = text_classes(rows)
+        own_keys = rows.where("cls IS NOT NULL").select(*named("text", "cls")).unionByName(rows.where("digest IS NOT NULL").select(*named("digest", "digest"))).distinct()
+        known = self.stored("keys", own_keys, ["kind", "key"]).groupBy("kind", "key").agg(F.min("first").alias("known"))
+        seen = known.where("kind = 'text'").select(F.col("key").cast("long").alias("cls"))
+        own.join(seen, "cls", "left_anti").write.parquet(f"{self.root}/classes/batch={here}")
+        classes = self._read("classes", range(here, here + 1))
+        if self.buckets is None:
+            self.buckets = 8 + classes.count() // BUCKET_OF
+        self._postings(classes).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/postings/batch={here}")
+        postings = self._read("postings", range(here, here + 1))
+        earliest = self._hits(postings, postings).groupBy("first").agg(F.min("other").alias("other"))
+        settled = materialize(self._agreeing(earliest, classes), "batch-settled")
+        rest = self._hits(postings.join(settled.select("first"), "first", "left_anti"), postings).distinct()
+        near = settled.unionByName(self._agreeing(rest, classes)).groupBy("first").agg(F.min("other").alias("other"))
+        texts = classes.select("cls", "first").join(near, "first", "left").select(*named("text", "cls"), F.coalesce("other", "first").alias("first"))
+        digests = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("ord").alias("first")).select(*named("digest", "digest"), "first")
+        fresh = texts.unionByName(digests).join(known, ["kind", "key"], "left").select("kind", "key", F.least("first", "known").alias("first"))
+        again = known.where("kind = 'text'").select("kind", "key", F.col("known").alias("first"))
+        fresh.unionByName(again).write.parquet(f"{self.root}/keys/batch={here}")
         self.batches += 1
-        return result
+        return self._found(rows, self._read("keys", range(here, here + 1)))
+
+    def found(self, rows: DataFrame) -> DataFrame:
+        """As `accept` gives it, of the `keyed` rows of all batches accepted so far."""
+        return self._found(rows, self._read("keys", range(self.batches)).groupBy("kind", "key").agg(F.min("first").alias("first")))
+
+    @staticmethod
+    def _found(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        of = lambda kind, name: keys.where(F.col("kind") == kind).select(F.col("key").alias(name), F.col("first").alias(f"{name}_first"))
+        x = rows.select("row_id", "ord", F.col("digest").alias("d"), F.col("cls").cast("string").alias("t"))
+        x = x.join(of("digest", "d"), "d", "left").join(of("text", "t"), "t", "left").withColumn("first", F.least("d_first", "t_first"))
+        return x.where("first < ord").select("row_id", "first")
+
+
+#: Room for any queue_id below each batch_no in one number.
+_ROOM, _HALF = 10**20, 2**63
 
 
 def queue_rows(queue: DataFrame, pages: DataFrame) -> DataFrame:
-    """Queue rows as (row_id, ord, digest, text); a missing digest is that of the url's latest page row that has one."""
-    q = queue.where("queue_id IS NOT NULL").select("queue_id", "batch_no", "url", canonical_digest(F.col("content_hash")).alias("own"), "sample_text").distinct()
+    """Queue rows as (row_id, ord, digest, text, batch_no), ordered by batch_no, then queue_id; a missing digest is that of
+    the url's latest page row that has one."""
+    q = queue.where("queue_id IS NOT NULL").select("queue_id", F.coalesce("batch_no", F.lit(0)).alias("batch_no"), "url", canonical_digest(F.col("content_hash")).alias("own"), "sample_text").distinct()
     visits = pages.select("url", "last_seen_at", canonical_digest(F.col("content_hash")).alias("digest")).where("url IS NOT NULL AND digest IS NOT NULL")
     wanted = q.where("own IS NULL AND url IS NOT NULL").select("url").distinct()
     latest = visits.join(wanted, "url", "left_semi").groupBy("url").agg(F.max(F.struct("last_seen_at", "digest"))["digest"].alias("paged"))
-    return q.join(latest, "url", "left").select(
-        F.col("queue_id").alias("row_id"), F.struct(F.coalesce("batch_no", F.lit(0)).alias("batch_no"), "queue_id").alias("ord"), F.coalesce("own", "paged").alias("digest"), F.col("sample_text").alias("text")
-    )
+    order = F.col("batch_no").cast(ORD) * F.lit(str(_ROOM)).cast("decimal(21,0)") + F.col("queue_id").cast("decimal(19,0)") + F.lit(str(_HALF)).cast("decimal(19,0)")
+    return q.join(latest, "url", "left").select(F.col("queue_id").alias("row_id"), order.cast(ORD).alias("ord"), F.coalesce("own", "paged").alias("digest"), F.col("sample_text").alias("text"), "batch_no")
+
+
+def queue_id_of(order: Column) -> Column:
+    """The queue_id of a row from its order."""
+    return (F.pmod(order, F.lit(str(_ROOM)).cast("decimal(21,0)")) - F.lit(str(_HALF)).cast("decimal(19,0)")).cast("long")
 
 
 def queue_duplicates(queue: DataFrame, pages: DataFrame, root: str) -> DataFrame:
     """(first_id, dup_id): every queue row with the same document as an earlier one, with the earliest such row.
 
-    Batch 0 is the history the index starts with. Nulls: rows without queue_id are ignored, a missing batch_no is history;
-    rows with neither digest nor text match nothing. Exact repeats of a row count once. Texts of three words or fewer match
-    only as wholes. Empty tables give an empty result; further columns are ignored.
+    Batch 0 is the history the index starts with; then each batch is accepted by itself. Nulls: rows without queue_id are
+    ignored, a missing batch_no is history; rows with neither digest nor text match nothing. Exact repeats of a row count
+    once. Texts of three words or fewer match only as wholes. Empty tables give an empty result; further columns are ignored.
     """
-    rows = materialize(queue_rows(queue, pages), "queue-rows")
-    index = RareShingleIndex(queue.sparkSession, root)
-    history = index.accept(rows.where("ord.batch_no = 0"))
-    new = index.accept(rows.where("ord.batch_no > 0"))
-    return history.unionByName(new).select(F.col("first.queue_id").alias("first_id"), F.col("row_id").alias("dup_id"))
-
-
+    spark = queue.sparkSession
+    rows = materialize(keyed(queue_rows(queue, pages)), "queue-rows", by="batch_no")
+    index = RareShingleIndex(spark, root)
+    for r in rows.select("batch_no").distinct().orderBy("batch_no").collect():  # one row a batch
+        index.accept(rows.where(F.col("batch_no") == r["batch_no"]))
+    found = index.found(rows) if index.batches else spark.createDataFrame([], f"row_id long, first {ORD}")
+    return found.select(queue_id_of(F.col("first")).alias("first_id"), F.col("row_id").alias("dup_id"))

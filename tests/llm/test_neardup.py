@@ -72,8 +72,8 @@ def test_against_brute_force_and_batch_by_batch(spark, tmp_path, rows):
         assert got.get(k) == want.get(k)
     q = N.queue_rows(spark.createDataFrame([(*r, "z") for r in data], QUEUE), spark.createDataFrame([], PAGES))
     index = N.RareShingleIndex(spark, f"file://{tmp_path}/steps")
-    parts = [index.accept(q.where(F.col("ord.batch_no") == b)) for b in range(5)]
-    step = {r["row_id"]: r["first"]["queue_id"] for p in parts for r in p.collect()}
+    parts = [index.accept(q.where(F.col("batch_no") == b)) for b in range(5)]
+    step = {r["row_id"]: r["id"] for p in parts for r in p.select("row_id", N.queue_id_of(F.col("first")).alias("id")).collect()}
     assert step == got
 
 
