@@ -34,10 +34,12 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's `spark.checkpoint.dir`.
 
-    Only where the session names none (tests, laptops) a temporary local one is chosen.
+    A session that runs in one process (local[...], as in tests) may name none; on a cluster it must.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.gettempdir() + "/archivolt-checkpoint"
     return base.rstrip("/") + f"/archivolt-{_RUN_FOLDER}"
 
@@ -51,15 +53,16 @@ def _drop_folder(spark: SparkSession, path: str) -> None:
         pass
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` as Parquet into the shared folder and read it back.
+def materialize(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write `df` as Parquet into the shared folder, in folders by the column `by` if named, and read it back.
 
     Cuts lineage, survives lost executors (the files are shared), keeps column pruning and filters on the re-read.
     """
     spark = df.sparkSession
     root = shared_dir(spark)
     path = f"{root}/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.hint("rebalance", by).write.partitionBy(by) if by else df.write
+    writer.mode("errorifexists").parquet(path)
     if root not in _made:
         _made.add(root)
         atexit.register(_drop_folder, spark, root)
