@@ -14,12 +14,13 @@ out, which bounds the places.
 The map rule: each word sets one of MAP_BITS bits of its text. A bit only one of two texts has stands for a word the other
 lacks, so there are at most n - l and n' - l of those. It is checked inside the join, before a pair is written anywhere.
 
-Scale: what a batch reads of the history is filtered before any shuffle, by the buckets of its words and by a table of
-key cells of fixed size; so what it shuffles depends on the batch and its matches, not on the history. A text seen before
-is answered by key and not searched again. Copies are folded into one text class before anything is paired. Of the classes
-a class may agree with, the earliest is verified first, found by a minimum inside the join; only where that fails are all
-the others listed, so that a group of near copies is not paired with itself. Words that were frequent when the index began
-are split over several keys.
+Scale: a batch is put down (`stage`) as classes, digests and postings in folders of its own, which count as history once it
+is accepted. Its probe reads only the word buckets it has words in; the batch's postings and candidates are tables of known
+size, so Catalyst sends them to the scan of the history where they are small, and filters that scan by a Bloom filter where
+it is large: what is shuffled depends on the batch and its matches. Copies are folded into one text class a batch before
+anything is paired. Of the classes a class may agree with, the earliest is verified first, found by a minimum inside the
+join; only where that fails are all the others listed, so that a group of near copies is not paired with itself. Words
+that were frequent when the index began are split over several keys.
 """
 
 from __future__ import annotations
@@ -32,15 +33,20 @@ from archivolt.functions.digests import canonical_digest
 from archivolt.llm.fold import folded
 from archivolt.session import materialize
 
-#: Cells of the table of word counts, and of the tables that tell which stored keys a batch may ask for.
-CELLS, KEY_CELLS = 1 << 18, 1 << 18
+#: Cells of the table of word counts.
+CELLS = 1 << 18
 #: Bits of a text's word map, in longs of 64.
 MAP_BITS = 256
 MAPS = [f"map{i}" for i in range(MAP_BITS // 64)]
 #: Occurrences at the first batch for which a word gets one key more; classes for which the index gets one bucket more.
 SPLIT_AT, BUCKET_OF = 10_000, 50_000
 ORD = "decimal(38,0)"
-TABLES = {"classes": f"cls long, first {ORD}, words array<int>", "keys": f"kind string, key string, first {ORD}", "postings": f"word int, at int, first {ORD}, n int, split int, {', '.join(f'{m} long' for m in MAPS)}, bucket int"}
+TABLES = {
+    "classes": f"cls long, first {ORD}, words array<int>",
+    "digests": f"digest string, first {ORD}",
+    "postings": f"word int, at int, first {ORD}, n int, split int, {', '.join(f'{m} long' for m in MAPS)}, bucket int",
+    "near": f"first {ORD}, other {ORD}",
+}
 
 
 def least_agreeing(n, accept_at: float):
@@ -49,15 +55,15 @@ def least_agreeing(n, accept_at: float):
 
 
 def keyed(rows: DataFrame) -> DataFrame:
-    """(row_id, ord, digest, cls, folded): rows with their folded text and its class."""
+    """(row_id, ord, digest, cls, folded, batch): rows with their folded text and its class."""
     x = rows.withColumn("folded", folded(F.col("text"))).withColumn("cls", F.when(F.length("folded") > 0, F.xxhash64("folded")))
-    return x.select("row_id", F.col("ord").cast(ORD).alias("ord"), "digest", "cls", "folded", *(["batch_no"] if "batch_no" in rows.columns else []))
+    return x.select("row_id", F.col("ord").cast(ORD).alias("ord"), "digest", "cls", "folded", "batch")
 
 
 def text_classes(rows: DataFrame) -> DataFrame:
-    """One row per distinct folded text: cls, words and `first`, its earliest row."""
-    grouped = rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min("ord").alias("first"), F.first("folded").alias("folded"))
-    return grouped.select("cls", "first", F.transform(F.split("folded", " "), lambda w: F.hash(w)).alias("words"))
+    """One row per batch and distinct folded text: cls, words and `first`, its earliest row."""
+    grouped = rows.where("cls IS NOT NULL").groupBy("batch", "cls").agg(F.min("ord").alias("first"), F.first("folded").alias("folded"))
+    return grouped.select("batch", "cls", "first", F.transform(F.split("folded", " "), lambda w: F.hash(w)).alias("words"))
 
 
 def _common_subsequence(a: list[int], b: list[int]) -> int:
@@ -86,45 +92,47 @@ class RareShingleIndex:
     """Index of accepted rows below a shared folder. Rows: row_id, ord (a number that orders them), digest, text.
 
     Batches are accepted in order: no row of a later one is earlier than a row of one before. Tables, each in a folder a
-    batch: `classes` (texts new in the batch), `keys` (texts and digests of the batch with the earliest row that is the same
-    document), `postings` (of the new texts, in folders by word bucket).
+    batch: `classes` (its texts), `digests`, `postings` (of its texts, in folders by word bucket), `near` (of its texts the
+    earliest one that agrees).
     """
 
     def __init__(self, spark: SparkSession, root: str, accept_at: float = 0.8, buckets: int | None = None):
         self.spark, self.root, self.accept_at, self.buckets = spark, root.rstrip("/"), accept_at, buckets
-        self.batches = 0
+        self.staged = self.accepted = 0
         self._rarity = None
-
-    def _read(self, table: str, batches: range) -> DataFrame:
-        paths = [f"{self.root}/{table}/batch={i}" for i in batches]
-        if not paths:
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _below(self, folder: str) -> list[str]:
+        at = self._path(folder)
+        return [f.getPath().getName() for f in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def read(self, table: str, batches: range, buckets: list[int] | None = None) -> DataFrame:
+        """Rows of some batches; of postings those in some word buckets. Nothing else is listed or opened."""
+        base = f"{self.root}/{table}"
+        found = [f"{base}/{b}" for b in self._below(base) if b.startswith("batch=") and int(b[6:]) in batches]
+        if buckets is not None:
+            wanted = {f"bucket={b}" for b in buckets}
+            found = [f"{f}/{b}" for f in found for b in self._below(f) if b in wanted]
+        if not found:
             return self.spark.createDataFrame([], TABLES[table])
-        return self.spark.read.schema(TABLES[table] + ", batch int").option("basePath", f"{self.root}/{table}").parquet(*paths).drop("batch")
+        return self.spark.read.schema(TABLES[table] + ", batch int").option("basePath", base).parquet(*sorted(found)).drop("batch")
 
-    def stored(self, table: str, keys: DataFrame, on: list[str]) -> DataFrame:
-        """The rows of earlier batches with one of the keys. Cells of the keys, at most KEY_CELLS, go to the scan."""
-        rows = self._read(table, range(self.batches))
-        if not self.batches:
-            return rows
-        cell = F.pmod(F.xxhash64(*on), F.lit(KEY_CELLS)).cast("int")
-        asked = keys.select(cell.alias("cell")).distinct()
-        return rows.withColumn("cell", cell).join(F.broadcast(asked), "cell", "left_semi").drop("cell")
+    def _write(self, rows: DataFrame, table: str, *by: str) -> None:
+        rows.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(f"{self.root}/{table}")
 
     def _counts(self, classes: DataFrame):
-        """Of each cell of words, how often they occurred in the first batch: powers of two, at most CELLS numbers."""
+        """Of each cell of words, how often they occurred in what was staged first: powers of two, at most CELLS numbers."""
         if self._rarity is None:
-            path = f"{self.root}/rarity"
-            if self.batches == 0:
-                cells = classes.select(F.explode("words").alias("w")).groupBy(F.pmod("w", F.lit(CELLS)).cast("int").alias("cell")).count()
-                cells.select("cell", F.floor(F.log2("count") * 8).cast("short").alias("level")).write.parquet(path)
-            told = self.spark.read.parquet(path).toPandas()
+            cells = classes.select(F.explode("words").alias("w")).groupBy(F.pmod("w", F.lit(CELLS)).cast("int").alias("cell")).count()
+            told = cells.select("cell", F.floor(F.log2("count") * 8).cast("short").alias("level")).toPandas()
             table = np.zeros(CELLS, dtype=np.int16)
             table[told["cell"].to_numpy(dtype=np.int64)] = told["level"].to_numpy() + 1
             self._rarity = self.spark.sparkContext.broadcast(table)
         return self._rarity
 
     def _postings(self, classes: DataFrame) -> DataFrame:
-        """(bucket, word, at, first, n, split, maps) of the rarest words of each class, with their places."""
+        """(batch, bucket, word, at, first, n, split, maps) of the rarest words of each class, with their places."""
         shared = self._counts(classes)
 
         def pick(words: pd.Series, o: pd.Series) -> pd.DataFrame:
@@ -145,18 +153,26 @@ class RareShingleIndex:
 
         shape = "struct<word:array<int>,at:array<int>,split:array<int>," + ",".join(f"{m}:long" for m in MAPS) + ">"
         picked = F.pandas_udf(pick, shape)("words", least_agreeing(F.size("words"), self.accept_at))
-        x = classes.select("first", F.size("words").alias("n"), picked.alias("p"))
-        x = x.select("first", "n", *[f"p.{m}" for m in MAPS], F.explode(F.arrays_zip("p.word", "p.at", "p.split")).alias("x"))
-        return x.select("x.word", "x.at", "first", "n", "x.split", *MAPS, F.pmod("x.word", F.lit(self.buckets)).alias("bucket"))
+        x = classes.select("batch", "first", F.size("words").alias("n"), picked.alias("p"))
+        x = x.select("batch", "first", "n", *[f"p.{m}" for m in MAPS], F.explode(F.arrays_zip("p.word", "p.at", "p.split")).alias("x"))
+        return x.select("batch", "x.word", "x.at", "first", "n", "x.split", *MAPS, F.pmod("x.word", F.lit(self.buckets)).alias("bucket"))
+
+    def stage(self, rows: DataFrame) -> None:
+        """Put down `keyed` rows, whose `batch` numbers follow on those staged before; they are not history yet."""
+        self._write(text_classes(rows), "classes", "batch")
+        given = rows.where("digest IS NOT NULL").groupBy("batch", "digest").agg(F.min("ord").alias("first"))
+        self._write(given, "digests", "batch")
+        now = range(self.staged, 1 << 31)
+        classes = self.spark.read.schema(TABLES["classes"] + ", batch int").parquet(f"{self.root}/classes").where(F.col("batch") >= now.start) if self._below(f"{self.root}/classes") else self.read("classes", now).withColumn("batch", F.lit(0))
+        if self.buckets is None:
+            self.buckets = 8 + classes.count() // BUCKET_OF
+        self._write(self._postings(classes), "postings", "batch", "bucket")
 
-    def _hits(self, mine: DataFrame, own: DataFrame) -> DataFrame:
+    def _hits(self, mine: DataFrame, there: DataFrame) -> DataFrame:
         """(first, other): pairs of a class of the batch and an earlier one that share a prefix word and may agree.
 
         A word split over several keys is looked up under each of them, and stored under one.
         """
-        asked = [r["bucket"] for r in own.select("bucket").distinct().collect()] if self.batches else []  # one row a bucket
-        past = self.stored("postings", own.where(F.col("bucket").isin(asked)), ["word"]).where(F.col("bucket").isin(asked))
-        there = past.select(*own.columns).unionByName(own)
         there = there.select("word", F.pmod(F.xxhash64("first"), "split").alias("part"), F.col("at").alias("oat"), F.col("first").alias("other"), F.col("n").alias("on"), *[F.col(m).alias(f"o{m}") for m in MAPS])
         here = mine.select("word", F.explode(F.sequence(F.lit(0).cast("long"), F.col("split").cast("long") - 1)).alias("part"), "at", "first", "n", *MAPS)
         agreeing = least_agreeing(F.greatest("n", "on"), self.accept_at)
@@ -166,52 +182,42 @@ class RareShingleIndex:
         fits = (lacking("", "o") <= F.col("n") - agreeing) & (lacking("o", "") <= F.col("on") - agreeing)
         return here.join(there, ["word", "part"]).where((F.col("other") < F.col("first")) & near & fits).select("first", "other")
 
-    def _agreeing(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs (first, other) whose words agree."""
-        known = self.stored("classes", pairs.select(F.col("other").alias("first")), ["first"]).select("first", "words").unionByName(classes.select("first", "words"))
-        x = pairs.join(known.select(F.col("first").alias("other"), F.col("words").alias("b")), "other").join(classes.select("first", F.col("words").alias("a")), "first")
+    def _agreeing(self, pairs: DataFrame, number: int) -> DataFrame:
+        """The pairs (first, other) of a batch whose words agree."""
+        words = lambda batches, key, name: self.read("classes", batches).select(F.col("first").alias(key), F.col("words").alias(name))
+        x = pairs.join(words(range(number + 1), "other", "b"), "other").join(words(range(number, number + 1), "first", "a"), "first")
         return x.where(word_agreement("a", "b") >= self.accept_at).select("first", "other")
 
+    def probe(self) -> None:
+        """Accept the next staged batch: find of each of its texts the earliest one in history or the batch that agrees."""
+        i = self.accepted
+        own = self.read("postings", range(i, i + 1))
+        there = self.read("postings", range(i + 1), [int(b[7:]) for b in self._below(f"{self.root}/postings/batch={i}") if b.startswith("bucket=")])
+        earliest = materialize(self._hits(own, there).groupBy("first").agg(F.min("other").alias("other")), "batch-earliest")
+        settled = materialize(self._agreeing(earliest, i), "batch-settled")
+        rest = materialize(self._hits(own.join(settled.select("first"), "first", "left_anti"), there).distinct(), "batch-rest")
+        found = settled.unionByName(self._agreeing(rest, i)).groupBy("first").agg(F.min("other").alias("other"))
+        found.write.parquet(f"{self.root}/near/batch={i}")
+        self.accepted += 1
+
     def accept(self, rows: DataFrame) -> DataFrame:
         """(row_id, first): the earliest accepted or own-batch row that is the same document, for rows that have one.
 
-        The rows are then part of the index. `rows` may be `keyed` already.
+        The rows are then part of the index.
         """
-        here = self.batches
-        if "cls" not in rows.columns:
-            rows = materialize(keyed(rows), "batch-rows")
-        named = lambda kind, key: (F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"))
-        own = text_classes(rows)
-        own_keys = rows.where("cls IS NOT NULL").select(*named("text", "cls")).unionByName(rows.where("digest IS NOT NULL").select(*named("digest", "digest"))).distinct()
-        known = self.stored("keys", own_keys, ["kind", "key"]).groupBy("kind", "key").agg(F.min("first").alias("known"))
-        seen = known.where("kind = 'text'").select(F.col("key").cast("long").alias("cls"))
-        own.join(seen, "cls", "left_anti").write.parquet(f"{self.root}/classes/batch={here}")
-        classes = self._read("classes", range(here, here + 1))
-        if self.buckets is None:
-            self.buckets = 8 + classes.count() // BUCKET_OF
-        self._postings(classes).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.root}/postings/batch={here}")
-        postings = self._read("postings", range(here, here + 1))
-        earliest = self._hits(postings, postings).groupBy("first").agg(F.min("other").alias("other"))
-        settled = materialize(self._agreeing(earliest, classes), "batch-settled")
-        rest = self._hits(postings.join(settled.select("first"), "first", "left_anti"), postings).distinct()
-        near = settled.unionByName(self._agreeing(rest, classes)).groupBy("first").agg(F.min("other").alias("other"))
-        texts = classes.select("cls", "first").join(near, "first", "left").select(*named("text", "cls"), F.coalesce("other", "first").alias("first"))
-        digests = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("ord").alias("first")).select(*named("digest", "digest"), "first")
-        fresh = texts.unionByName(digests).join(known, ["kind", "key"], "left").select("kind", "key", F.least("first", "known").alias("first"))
-        again = known.where("kind = 'text'").select("kind", "key", F.col("known").alias("first"))
-        fresh.unionByName(again).write.parquet(f"{self.root}/keys/batch={here}")
-        self.batches += 1
-        return self._found(rows, self._read("keys", range(here, here + 1)))
+        rows = materialize(keyed(rows.withColumn("batch", F.lit(self.staged))), "batch-rows")
+        self.stage(rows)
+        self.staged += 1
+        self.probe()
+        return self.found(rows)
 
     def found(self, rows: DataFrame) -> DataFrame:
-        """As `accept` gives it, of the `keyed` rows of all batches accepted so far."""
-        return self._found(rows, self._read("keys", range(self.batches)).groupBy("kind", "key").agg(F.min("first").alias("first")))
-
-    @staticmethod
-    def _found(rows: DataFrame, keys: DataFrame) -> DataFrame:
-        of = lambda kind, name: keys.where(F.col("kind") == kind).select(F.col("key").alias(name), F.col("first").alias(f"{name}_first"))
-        x = rows.select("row_id", "ord", F.col("digest").alias("d"), F.col("cls").cast("string").alias("t"))
-        x = x.join(of("digest", "d"), "d", "left").join(of("text", "t"), "t", "left").withColumn("first", F.least("d_first", "t_first"))
+        """As `accept` gives it, of the `keyed` rows of accepted batches."""
+        every = range(self.accepted)
+        digests = self.read("digests", every).groupBy("digest").agg(F.min("first").alias("d"))
+        texts = self.read("classes", every).select("cls", "first").join(self.read("near", every), "first", "left")
+        texts = texts.groupBy("cls").agg(F.min(F.least("first", "other")).alias("t"))
+        x = rows.select("row_id", "ord", "digest", "cls").join(digests, "digest", "left").join(texts, "cls", "left").withColumn("first", F.least("d", "t"))
         return x.where("first < ord").select("row_id", "first")
 
 
@@ -243,9 +249,15 @@ def queue_duplicates(queue: DataFrame, pages: DataFrame, root: str) -> DataFrame
     once. Texts of three words or fewer match only as wholes. Empty tables give an empty result; further columns are ignored.
     """
     spark = queue.sparkSession
-    rows = materialize(keyed(queue_rows(queue, pages)), "queue-rows", by="batch_no")
+    rows = queue_rows(queue, pages)
+    numbers = sorted(r["batch_no"] for r in queue.select(F.coalesce("batch_no", F.lit(0)).alias("batch_no")).distinct().collect())  # one a batch
+    if not numbers:
+        return spark.createDataFrame([], "first_id long, dup_id long")
+    number = F.create_map(*[F.lit(x) for p in zip(numbers, range(len(numbers))) for x in p])
+    rows = materialize(keyed(rows.withColumn("batch", F.element_at(number, F.col("batch_no")))), "queue-rows")
     index = RareShingleIndex(spark, root)
-    for r in rows.select("batch_no").distinct().orderBy("batch_no").collect():  # one row a batch
-        index.accept(rows.where(F.col("batch_no") == r["batch_no"]))
-    found = index.found(rows) if index.batches else spark.createDataFrame([], f"row_id long, first {ORD}")
-    return found.select(queue_id_of(F.col("first")).alias("first_id"), F.col("row_id").alias("dup_id"))
+    index.stage(rows)
+    index.staged = len(numbers)
+    for _ in numbers:
+        index.probe()
+    return index.found(rows).select(queue_id_of(F.col("first")).alias("first_id"), F.col("row_id").alias("dup_id"))
