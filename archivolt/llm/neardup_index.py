@@ -1,50 +1,47 @@
 """Duplicates of new batches among everything accepted before.
 
-An inverted index holds, for every distinct accepted text, the rarest of its words (its prefix), in folders by batch and word
-bucket. A batch looks up only the prefixes of its own new texts; pairs with a common prefix word at near places, near lengths
-and fitting word maps are verified word by word, and the batch's postings are appended. Equal digests and texts are found by
-key.
-
-The prefix rule: texts of n and n' words of which l agree in order share l words, and are accepted only if l is at least
-`accept_at` of the longer. So each shares at least o = ceil(accept_at * n) of its own n words with any match, and the
-rarest shared word is among the n - o + 1 rarest of either. It holds wherever the differing words stand; a shingle of
-more words has no such bound, as one differing word breaks several. Any fixed order of words is right; the counts at the
-first batch, in a table of fixed size, keep postings short. A shared word at p and p' has p - p' within the words left
-out, which bounds the places.
-The map rule: each word sets one of MAP_BITS bits of its text. A bit only one of two texts has stands for a word the other
-lacks, so there are at most n - l and n' - l of those. It is checked inside the join, before a pair is written anywhere.
+An inverted index holds, for every accepted text, the rarest of its tokens (its prefix), in folders by batch and token bucket.
+A token is a word with the one before it. A batch looks up only the prefixes of its own texts; pairs with a common prefix
+token at near places and near lengths are verified word by word, and the batch's postings are appended. Equal digests are
+found by key.
+
+The prefix rule: texts of n and n' words of which l agree in order are accepted only if l is at least `accept_at` of the
+longer. A text has as many tokens as words (the first word follows a sign for the beginning). A token is lost to the other
+text if one of its words is, two tokens a word at most, or if the other text has words of its own between the two. So at most
+2 (n - l) + (n' - l) tokens are lost, the others are shared, and the rarest shared one is among the `most_lost` + 1 rarest of
+either text. Any fixed order of tokens is right; the counts of what was staged first, in a table of fixed size, keep postings
+short. A shared token at p and p' has p - p' within the words left out, which bounds the places.
 
 Scale: a batch is put down (`stage`) as classes, digests and postings in folders of its own, which count as history once it
 is accepted. Its probe reads only the word buckets it has words in; the batch's postings and candidates are tables of known
 size, so Catalyst sends them to the scan of the history where they are small, and filters that scan by a Bloom filter where
 it is large: what is shuffled depends on the batch and its matches. Copies are folded into one text class a batch before
 anything is paired. Of the classes a class may agree with, the earliest is verified first, found by a minimum inside the
-join; only where that fails are all the others listed, so that a group of near copies is not paired with itself. Words
+join; only where that fails are all the others listed, so that a group of near copies is not paired with itself. Tokens
 that were frequent when the index began are split over several keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from archivolt.functions.digests import canonical_digest
-from archivolt.llm.fold import folded
+from archivolt.llm.fold import folded, mix
 from archivolt.session import materialize
 
-#: Cells of the table of word counts.
-CELLS = 1 << 18
-#: Bits of a text's word map, in longs of 64.
-MAP_BITS = 256
-MAPS = [f"map{i}" for i in range(MAP_BITS // 64)]
+#: Cells of the table of token counts.
+CELLS = 1 << 20
 #: Occurrences at the first batch for which a word gets one key more; classes for which the index gets one bucket more.
 SPLIT_AT, BUCKET_OF = 10_000, 50_000
 ORD = "decimal(38,0)"
 TABLES = {
     "classes": f"cls long, first {ORD}, words array<int>",
     "digests": f"digest string, first {ORD}",
-    "postings": f"word int, at int, first {ORD}, n int, split int, {', '.join(f'{m} long' for m in MAPS)}, bucket int",
+    "postings": f"token long, low int, high int, first {ORD}, n int, split int, bucket int",
     "near": f"first {ORD}, other {ORD}",
 }
 
@@ -54,6 +51,20 @@ def least_agreeing(n, accept_at: float):
     return F.ceil(n * accept_at - 1e-9).cast("int")
 
 
+def most_lost(n: np.ndarray, accept_at: float) -> np.ndarray:
+    """Most tokens a text of n words can lose to one that agrees; the other has n words, or one more, where it is most."""
+    least = lambda k: np.ceil(k * accept_at - 1e-9).astype(np.int64)
+    return np.minimum(n - 1, np.maximum(3 * (n - least(n)), 2 * (n - least(n + 1)) + (n + 1 - least(n + 1))))
+
+
+def tokens_of(words: np.ndarray) -> np.ndarray:
+    """The token of each place: the word with the one before it."""
+    w = words.astype(np.int64).view(np.uint64)
+    before = np.concatenate((np.array([0x51ED270B], dtype=np.uint64), w[:-1]))
+    with np.errstate(over="ignore"):
+        return mix(w * np.uint64(0x9E3779B97F4A7C15) + before * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
 def keyed(rows: DataFrame) -> DataFrame:
     """(row_id, ord, digest, cls, folded, batch): rows with their folded text and its class."""
     x = rows.withColumn("folded", folded(F.col("text"))).withColumn("cls", F.when(F.length("folded") > 0, F.xxhash64("folded")))
@@ -122,40 +133,50 @@ class RareShingleIndex:
         rows.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(f"{self.root}/{table}")
 
     def _counts(self, classes: DataFrame):
-        """Of each cell of words, how often they occurred in what was staged first: powers of two, at most CELLS numbers."""
+        """Of each cell of tokens, how often they occurred in what was staged first: eighths of powers of two, at most CELLS
+        numbers."""
         if self._rarity is None:
-            cells = classes.select(F.explode("words").alias("w")).groupBy(F.pmod("w", F.lit(CELLS)).cast("int").alias("cell")).count()
-            told = cells.select("cell", F.floor(F.log2("count") * 8).cast("short").alias("level")).toPandas()
+
+            def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                for pdf in batches:
+                    if len(pdf):
+                        cell = np.concatenate([tokens_of(np.asarray(w)) & np.uint64(CELLS - 1) for w in pdf["words"]])
+                        at, n = np.unique(cell.astype(np.int32), return_counts=True)
+                        yield pd.DataFrame({"cell": at, "n": n})
+
+            cells = classes.select("words").mapInPandas(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+            told = cells.select("cell", F.floor(F.log2("n") * 8).cast("short").alias("level")).toPandas()
             table = np.zeros(CELLS, dtype=np.int16)
             table[told["cell"].to_numpy(dtype=np.int64)] = told["level"].to_numpy() + 1
             self._rarity = self.spark.sparkContext.broadcast(table)
         return self._rarity
 
     def _postings(self, classes: DataFrame) -> DataFrame:
-        """(batch, bucket, word, at, first, n, split, maps) of the rarest words of each class, with their places."""
-        shared = self._counts(classes)
+        """(batch, bucket, token, low, high, first, n, split) of the rarest tokens of each class, with the first and the last
+        of their places."""
+        shared, accept_at = self._counts(classes), self.accept_at
 
-        def pick(words: pd.Series, o: pd.Series) -> pd.DataFrame:
+        def pick(words: pd.Series) -> pd.DataFrame:
             table = shared.value
-            out: dict[str, list] = {k: [] for k in ("word", "at", "split", *MAPS)}
-            for w, least in zip(words, o):
-                w = np.asarray(w, dtype=np.int64)
-                level = table[w % CELLS]
-                best = np.lexsort((w, level))[: len(w) - least + 1]
-                bits = np.zeros(MAP_BITS, dtype=np.uint8)
-                bits[w % MAP_BITS] = 1
-                out["word"].append(w[best].astype(np.int32))
-                out["at"].append(best.astype(np.int32))
-                out["split"].append((1 + np.exp2((np.maximum(level[best], 1) - 1) / 8) // SPLIT_AT).astype(np.int32))
-                for k, v in zip(MAPS, np.packbits(bits).view(np.int64)):
-                    out[k].append(v)
+            out: dict[str, list] = {k: [] for k in ("token", "low", "high", "split")}
+            for w in words:
+                t = tokens_of(np.asarray(w))
+                level = table[(t & np.uint64(CELLS - 1)).astype(np.int64)]
+                kept = np.lexsort((t, level))[: int(most_lost(np.int64(len(t)), accept_at)) + 1]
+                unique, first, inverse = np.unique(t, return_index=True, return_inverse=True)
+                last = np.zeros(len(unique), np.int32)
+                last[inverse] = np.arange(len(t))
+                mine = np.unique(inverse[kept])
+                out["token"].append(unique[mine].view(np.int64))
+                out["low"].append(first[mine].astype(np.int32))
+                out["high"].append(last[mine])
+                out["split"].append((1 + np.exp2((np.maximum(level[first[mine]], 1) - 1) / 8) // SPLIT_AT).astype(np.int32))
             return pd.DataFrame(out)
 
-        shape = "struct<word:array<int>,at:array<int>,split:array<int>," + ",".join(f"{m}:long" for m in MAPS) + ">"
-        picked = F.pandas_udf(pick, shape)("words", least_agreeing(F.size("words"), self.accept_at))
+        picked = F.pandas_udf(pick, "struct<token:array<long>,low:array<int>,high:array<int>,split:array<int>>")("words")
         x = classes.select("batch", "first", F.size("words").alias("n"), picked.alias("p"))
-        x = x.select("batch", "first", "n", *[f"p.{m}" for m in MAPS], F.explode(F.arrays_zip("p.word", "p.at", "p.split")).alias("x"))
-        return x.select("batch", "x.word", "x.at", "first", "n", "x.split", *MAPS, F.pmod("x.word", F.lit(self.buckets)).alias("bucket"))
+        x = x.select("batch", "first", "n", F.explode(F.arrays_zip("p.token", "p.low", "p.high", "p.split")).alias("x"))
+        return x.select("batch", "x.token", "x.low", "x.high", "first", "n", "x.split", F.pmod("x.token", F.lit(self.buckets)).cast("int").alias("bucket"))
 
     def stage(self, rows: DataFrame) -> None:
         """Put down `keyed` rows, whose `batch` numbers follow on those staged before; they are not history yet."""
@@ -169,23 +190,23 @@ class RareShingleIndex:
         self._write(self._postings(classes), "postings", "batch", "bucket")
 
     def _hits(self, mine: DataFrame, there: DataFrame) -> DataFrame:
-        """(first, other): pairs of a class of the batch and an earlier one that share a prefix word and may agree.
+        """(first, other): pairs of a class of the batch and an earlier one that share a prefix token and may agree.
 
-        A word split over several keys is looked up under each of them, and stored under one.
+        A token split over several keys is looked up under each of them, and stored under one.
         """
-        there = there.select("word", F.pmod(F.xxhash64("first"), "split").alias("part"), F.col("at").alias("oat"), F.col("first").alias("other"), F.col("n").alias("on"), *[F.col(m).alias(f"o{m}") for m in MAPS])
-        here = mine.select("word", F.explode(F.sequence(F.lit(0).cast("long"), F.col("split").cast("long") - 1)).alias("part"), "at", "first", "n", *MAPS)
+        there = there.select("token", F.pmod(F.xxhash64("first"), "split").alias("part"), F.col("low").alias("olow"), F.col("high").alias("ohigh"), F.col("first").alias("other"), F.col("n").alias("on"))
+        here = mine.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("split").cast("long") - 1)).alias("part"), "low", "high", "first", "n")
         agreeing = least_agreeing(F.greatest("n", "on"), self.accept_at)
-        lacking = lambda a, b: sum((F.bit_count(F.col(a + m).bitwiseAND(F.bitwise_not(b + m))) for m in MAPS), F.lit(0))
-        ahead = F.col("at") - F.col("oat")
-        near = (F.least("n", "on") >= agreeing) & (ahead <= F.col("n") - agreeing) & (-ahead <= F.col("on") - agreeing)
-        fits = (lacking("", "o") <= F.col("n") - agreeing) & (lacking("o", "") <= F.col("on") - agreeing)
-        return here.join(there, ["word", "part"]).where((F.col("other") < F.col("first")) & near & fits).select("first", "other")
+        near = (F.least("n", "on") >= agreeing) & (F.col("low") - F.col("ohigh") <= F.col("n") - agreeing) & (F.col("olow") - F.col("high") <= F.col("on") - agreeing)
+        return here.join(there, ["token", "part"]).where((F.col("other") < F.col("first")) & near).select("first", "other")
 
     def _agreeing(self, pairs: DataFrame, number: int) -> DataFrame:
         """The pairs (first, other) of a batch whose words agree."""
         words = lambda batches, key, name: self.read("classes", batches).select(F.col("first").alias(key), F.col("words").alias(name))
         x = pairs.join(words(range(number + 1), "other", "b"), "other").join(words(range(number, number + 1), "first", "a"), "first")
+        # words that one text has and the other lacks altogether are fewer than those left out
+        agreeing = least_agreeing(F.greatest(F.size("a"), F.size("b")), self.accept_at)
+        x = x.where((F.size(F.array_except("a", "b")) <= F.size("a") - agreeing) & (F.size(F.array_except("b", "a")) <= F.size("b") - agreeing))
         return x.where(word_agreement("a", "b") >= self.accept_at).select("first", "other")
 
     def probe(self) -> None:
