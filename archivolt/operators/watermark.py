@@ -2,23 +2,21 @@
 
 Source rows carry a monotonic commit sequence (here the load time). A run fixes its upper bound when it starts and
 processes the half-open window (watermark, bound]; a failed run moves nothing, so its window is covered by the next
-successful one. `WatermarkedState` runs this one run at a time and commits output, processed state and watermark
-together by creating one manifest file; `replay_due` derives what every run of a log had to process from the same
-windows at once, without a join of all runs with all rows.
+successful one. Output, processed state and watermark are committed together by one manifest (`CommitLog`).
+`WatermarkedState` does this for one feed, run by run; `CommittedReplay` for a whole log of runs over many feeds, in a few
+bounded commits, each of which derives what all of its runs had to process from the state the last one left.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from archivolt.functions.digests import canonical_digest
-from archivolt.session import row_bound
-
-#: Most run windows that are sent to every executor (under 100 bytes each); beyond it they are joined by shuffling.
-BROADCAST_WINDOWS = 100_000
 
 
 def run_windows(runs: DataFrame) -> DataFrame:
@@ -31,6 +29,23 @@ def run_windows(runs: DataFrame) -> DataFrame:
     return done.select("domain", "run_id", F.row_number().over(order).alias("ordinal"), F.lag("high").over(order).alias("low"), "high")
 
 
+def placed(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """Rows (domain, loaded_at, ...) with the `run_id` and `ordinal` of the one window that covers them; others are dropped.
+
+    Windows are looked up by domain and day, so that a row meets only those of its own day, and the first window of a
+    domain, which is open below, by domain alone. Catalyst broadcasts the windows where they are small.
+    """
+    own = rows.withColumns({"__day": F.date_trunc("DAY", F.col("loaded_at").cast("timestamp")).cast("date")})
+    opening = windows.where("low IS NULL").select("domain", F.col("high").alias("__high"), F.col("run_id").alias("__run"), F.col("ordinal").alias("__ordinal"))
+    days = F.sequence(F.to_date("low"), F.to_date("high"))
+    later = windows.where("low IS NOT NULL AND low < high").select(F.col("domain").alias("__d"), F.explode(days).alias("__on"), F.col("low").alias("__low"), F.col("high").alias("__upto"), F.col("run_id").alias("__r"), F.col("ordinal").alias("__o"))
+    first = own.join(opening, "domain", "left")
+    covered = first.join(later, (F.col("domain") == F.col("__d")) & (F.col("__day") == F.col("__on")) & (F.col("loaded_at") > F.col("__low")) & (F.col("loaded_at") <= F.col("__upto")), "left")
+    early = F.coalesce(F.col("loaded_at") <= F.col("__high"), F.lit(False))
+    out = covered.withColumns({"run_id": F.when(early, F.col("__run")).otherwise(F.col("__r")), "ordinal": F.when(early, F.col("__ordinal")).otherwise(F.col("__o"))})
+    return out.where("run_id IS NOT NULL").select(*rows.columns, "run_id", "ordinal")
+
+
 def newest_content(rows: DataFrame, *keys: str) -> DataFrame:
     """Per key the digest of the latest seen row that has one: `best` = struct(last_seen_at, loaded_at, digest)."""
     return rows.groupBy(*keys).agg(F.max(F.struct("last_seen_at", "loaded_at", "digest")).alias("best"))
@@ -45,8 +60,32 @@ def export_baseline(exports: DataFrame) -> DataFrame:
     return good.groupBy("url").agg(F.max(F.struct("exported_at", "digest")).alias("x")).select("url", F.col("x.digest").alias("base"))
 
 
+def with_digests(pages: DataFrame) -> DataFrame:
+    """(domain, url, last_seen_at, loaded_at, digest) of the page rows that have a content; others never matter."""
+    return pages.select("domain", "url", "last_seen_at", "loaded_at", canonical_digest(F.col("content_hash")).alias("digest")).where("url IS NOT NULL AND digest IS NOT NULL AND loaded_at IS NOT NULL")
+
+
+def taken(rows: DataFrame, windows: DataFrame, state: DataFrame | None) -> DataFrame:
+    """(url, domain, run_id, before, now, best): what each window that has rows of a url found before and left, from `state`
+    (url, domain, best), the newest content before the first of the windows."""
+    per_run = newest_content(placed(rows, windows), "url", "domain", "run_id", "ordinal")
+    if state is not None:
+        touched = per_run.select("url", "domain").distinct()
+        earlier = state.join(touched, ["url", "domain"], "left_semi").select("url", "domain", F.lit(None).cast(per_run.schema["run_id"].dataType).alias("run_id"), F.lit(0).alias("ordinal"), "best")
+        per_run = per_run.unionByName(earlier)
+    along = Window.partitionBy("url", "domain").orderBy("ordinal")
+    running = per_run.withColumn("best", F.max("best").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    running = running.withColumn("now", F.col("best")["digest"]).withColumn("before", F.lag("now").over(along))
+    return running.where("run_id IS NOT NULL").select("url", "domain", "run_id", "before", "now", "best")
+
+
+def is_due(before: Column, base: Column, now: Column) -> Column:
+    known = F.coalesce(before, base)
+    return known.isNull() | (known != now)
+
+
 def replay_due(pages: DataFrame, runs: DataFrame, exports: DataFrame) -> DataFrame:
-    """(run_id, url): what each successful run had to process.
+    """(run_id, url): what each successful run had to process, derived for all of them at once and without a commit.
 
     A page row falls into the one window of its domain that covers its load time. Within a window the newest content of a
     url wins, and the running newest over the windows is what a run sees; the url is due where that differs from what the
@@ -54,86 +93,216 @@ def replay_due(pages: DataFrame, runs: DataFrame, exports: DataFrame) -> DataFra
     ignored. Repeated rows change nothing; ties in last_seen_at go to the later load, then the greater digest.
     Empty inputs give an empty result; further columns are ignored.
     """
-    windows = run_windows(runs)
-    if row_bound(windows, BROADCAST_WINDOWS):
-        windows = F.broadcast(windows)
-    seen = pages.select("domain", "url", "last_seen_at", "loaded_at", canonical_digest(F.col("content_hash")).alias("digest")).where("url IS NOT NULL AND digest IS NOT NULL AND loaded_at IS NOT NULL")
-    covers = (seen.domain == windows.domain) & (seen.loaded_at <= windows.high) & (windows.low.isNull() | (seen.loaded_at > windows.low))
-    placed = seen.join(windows, covers).select("url", "last_seen_at", "loaded_at", "digest", windows.domain, "run_id", "ordinal")
-    per_run = newest_content(placed, "url", "domain", "run_id", "ordinal")
-    along = Window.partitionBy("url", "domain").orderBy("ordinal")
-    running = per_run.withColumn("now", F.max("best").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))["digest"])
-    running = running.withColumn("before", F.lag("now").over(along))
-    due = running.join(export_baseline(exports), "url", "left")
-    return due.where(F.coalesce("before", "base").isNull() | (F.coalesce("before", "base") != F.col("now"))).select("run_id", "url").distinct()
+    found = taken(with_digests(pages), run_windows(runs), None).join(export_baseline(exports), "url", "left")
+    return found.where(is_due(F.col("before"), F.col("base"), F.col("now"))).select("run_id", "url").distinct()
 
 
-class WatermarkedState:
-    """Processed state of one feed below a folder all executors share.
+class CommitLog:
+    """Commits below a folder all executors share: `_commits/<number>.json`, each a JSON object.
 
-    Layout: `_commits/<n>.json` names the watermark and the data folders of commit n; folders no manifest names are
-    remains of failed attempts and never read. Creating the manifest is the commit: it fails if the number exists, so of
-    two concurrent runs one wins and the other leaves nothing behind.
+    A manifest is written under another name and renamed, which fails if the number is taken: of two concurrent commits one
+    wins, and no reader ever sees half of one. What is no whole JSON object (a manifest cut short by other means) is no
+    commit, but its number is not used again. Only the newest manifest is read, so each must say all that the next needs.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        jvm = self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.path = jvm.org.apache.hadoop.fs.Path
+        self.fs = self.path(self.root).getFileSystem(self._conf)
+
+    def _numbers(self) -> list[int]:
+        folder = self.path(f"{self.root}/_commits")
+        names = [s.getPath().getName() for s in self.fs.listStatus(folder)] if self.fs.exists(folder) else []
+        return sorted(int(m.group(1)) for m in map(re.compile(r"^(\d+)\.json$").match, names) if m)
+
+    def read(self, number: int) -> dict | None:
+        stream = self.fs.open(self.path(f"{self.root}/_commits/{number:08d}.json"))
+        try:
+            told = json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+        except ValueError:
+            return None
+        finally:
+            stream.close()
+        return told if isinstance(told, dict) else None
+
+    def latest(self) -> tuple[int, dict] | None:
+        """(number, entry) of the newest commit."""
+        for n in reversed(self._numbers()):
+            told = self.read(n)
+            if told is not None:
+                return n, told
+        return None
+
+    def all(self) -> list[tuple[int, dict]]:
+        return [(n, e) for n in self._numbers() if (e := self.read(n)) is not None]
+
+    def next_number(self) -> int:
+        numbers = self._numbers()
+        return numbers[-1] + 1 if numbers else 0
+
+    def commit(self, number: int, entry: dict) -> None:
+        there = f"{self.root}/_commits"
+        self.fs.mkdirs(self.path(there))
+        draft = self.path(f"{there}/.{number:08d}-{uuid.uuid4().hex}")
+        stream = self.fs.create(draft, False)
+        stream.write(bytearray(json.dumps(entry).encode()))
+        stream.close()
+        none = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+        how = self.spark.sparkContext._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        how[0] = none
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path(self.root).toUri(), self._conf)
+        try:
+            context.rename(draft, self.path(f"{there}/{number:08d}.json"), how)
+        except Exception:
+            self.fs.delete(draft, False)
+            raise
+
+    def vacuum(self, folder: str, named: Iterable[str]) -> list[str]:
+        """Delete what failed attempts left below a folder: all that no commit names. Only while no run is under way."""
+        keep = {n.split("/")[1] for n in named if n.startswith(f"{folder}/")}
+        at = self.path(f"{self.root}/{folder}")
+        names = [s.getPath().getName() for s in self.fs.listStatus(at)] if self.fs.exists(at) else []
+        gone = sorted(n for n in names if n not in keep)
+        for n in gone:
+            self.fs.delete(self.path(f"{self.root}/{folder}/{n}"), True)
+        return gone
+
+
+class WatermarkedState:
+    """Processed state of one feed. A manifest names the watermark, the commit's output and the folders of the state.
+
+    The state is the newest content of every url, in a folder a commit, which are merged into one at every `merge_at`th
+    commit: a run reads no more than that many folders, however many runs there were.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, merge_at: int = 8):
+        self.spark, self.merge_at = spark, merge_at
+        self.log = CommitLog(spark, root)
+        self.root = self.log.root
 
     def commits(self) -> list[dict]:
-        folder = self._path(f"{self.root}/_commits")
-        if not self._fs.exists(folder):
-            return []
-        names = sorted(s.getPath().getName() for s in self._fs.listStatus(folder) if s.getPath().getName().endswith(".json"))
-        return [json.loads(self.spark.read.text(f"{self.root}/_commits/{n}", wholetext=True).first()[0]) for n in names]
+        return [e for _, e in self.log.all()]
 
     def watermark(self) -> str | None:
-        done = self.commits()
-        return done[-1]["watermark"] if done else None
+        last = self.log.latest()
+        return last[1]["watermark"] if last else None
+
+    def _state(self, folders: list[str]) -> DataFrame:
+        rows = self.spark.read.parquet(*[f"{self.root}/{f}" for f in folders])
+        return rows.groupBy("url").agg(F.max(F.struct("last_seen_at", "commit_no", "digest")).alias("k")).select("url", "k.digest", "k.last_seen_at", "k.commit_no")
 
     def processed(self) -> DataFrame | None:
         """(url, digest) last processed, over all commits."""
-        done = [f"{self.root}/{c['data']}" for c in self.commits()]
-        if not done:
-            return None
-        parts = self.spark.read.parquet(*done)
-        return parts.groupBy("url").agg(F.max_by("digest", "commit_no").alias("digest"))
+        last = self.log.latest()
+        return self._state(last[1]["state"]).select("url", "digest") if last else None
 
     def output(self, commit_no: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{self.commits()[commit_no]['data']}")
+        return self.spark.read.parquet(f"{self.root}/{self.log.read(commit_no)['data']}")
+
+    def vacuum(self) -> list[str]:
+        """Delete folders of failed attempts, and state that later commits have merged."""
+        every = self.log.all()
+        return self.log.vacuum("data", [e["data"] for _, e in every]) + self.log.vacuum("state", every[-1][1]["state"] if every else [])
 
-    def run(self, rows: DataFrame, high: str, run_id: str, baseline: DataFrame | None = None, fail_before_commit: bool = False) -> int:
+    def run(self, rows: DataFrame, high: str, run_id: str, baseline: DataFrame | None = None, fail_at: str | None = None) -> int:
         """Process the rows (url, last_seen_at, loaded_at, digest) loaded in (watermark, high]; returns the commit number.
 
         A digest older than one already processed of the same url cannot be told from the window alone, so the newest
-        last_seen_at is kept with the processed state.
+        last_seen_at is kept with the processed state. `fail_at` stops it before the step so named: output, state, commit.
         """
-        done = self.commits()
-        low = done[-1]["watermark"] if done else None
+
+        def stop(step: str) -> None:
+            if fail_at == step:
+                raise RuntimeError(f"stopped before {step}")
+
+        last = self.log.latest()
+        number = self.log.next_number()
         bound = F.lit(high).cast("timestamp_ntz")
         window = rows.where(F.col("loaded_at") <= bound)
-        if low is not None:
-            window = window.where(F.col("loaded_at") > F.lit(low).cast("timestamp_ntz"))
+        if last:
+            window = window.where(F.col("loaded_at") > F.lit(last[1]["watermark"]).cast("timestamp_ntz"))
         fresh = newest_content(window.where("digest IS NOT NULL AND url IS NOT NULL"), "url").select("url", F.col("best.digest").alias("digest"), F.col("best.last_seen_at").alias("last_seen_at"))
-        if done:
-            known = self.spark.read.parquet(*[f"{self.root}/{c['data']}" for c in done]).groupBy("url").agg(F.max(F.struct("last_seen_at", "commit_no", "digest")).alias("k"))
-            known = known.select("url", F.col("k.digest").alias("before"), F.col("k.last_seen_at").alias("seen_before"))
+        if last:
+            known = self._state(last[1]["state"]).select("url", F.col("digest").alias("before"), F.col("last_seen_at").alias("seen_before"))
         else:
             known = self.spark.createDataFrame([], "url string, before string, seen_before string")
         joined = fresh.join(known, "url", "left").where("seen_before IS NULL OR last_seen_at >= seen_before")
-        if baseline is not None:
-            joined = joined.join(baseline.select("url", "base"), "url", "left")
-        else:
-            joined = joined.withColumn("base", F.lit(None).cast("string"))
-        due = F.coalesce("before", "base").isNull() | (F.coalesce("before", "base") != F.col("digest"))
-        folder = f"data/{run_id}-{uuid.uuid4().hex}"
-        joined.select("url", "digest", "last_seen_at", due.alias("due"), F.lit(len(done)).alias("commit_no")).write.parquet(f"{self.root}/{folder}")
-        if fail_before_commit:
-            raise RuntimeError("stopped before the commit")
-        entry = json.dumps({"watermark": high, "data": folder, "run_id": run_id})
-        stream = self._fs.create(self._path(f"{self.root}/_commits/{len(done):08d}.json"), False)
-        stream.write(bytearray(entry.encode()))
-        stream.close()
-        return len(done)
+        base = baseline.select("url", "base") if baseline is not None else self.spark.createDataFrame([], "url string, base string")
+        joined = joined.join(base, "url", "left")
+        folder, state = f"data/{run_id}-{uuid.uuid4().hex}", f"state/{run_id}-{uuid.uuid4().hex}"
+        stop("output")
+        joined.select("url", "digest", "last_seen_at", is_due(F.col("before"), F.col("base"), F.col("digest")).alias("due"), F.lit(number).alias("commit_no")).write.parquet(f"{self.root}/{folder}")
+        stop("state")
+        own = self.spark.read.parquet(f"{self.root}/{folder}").drop("due")
+        folders = [*(last[1]["state"] if last else []), state]
+        if len(folders) > self.merge_at:
+            own = self._state(folders[:-1]).select(*own.columns).unionByName(own)
+            folders = [state]
+        own.write.parquet(f"{self.root}/{state}")
+        stop("commit")
+        self.log.commit(number, {"watermark": high, "data": folder, "state": folders, "run_id": run_id})
+        return number
+
+
+class CommittedReplay:
+    """A log of runs over many feeds, processed in bounded commits.
+
+    A commit covers all runs up to its bound, a moment fixed before it reads anything. Its manifest names the bound, the
+    output (run_id, url) and the state (url, domain, best), the newest content that any run so far has seen; `best` only
+    ever grows, so the state of several commits is their maximum. A stopped commit leaves nothing that is read, and the next
+    attempt covers the same runs.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.log = CommitLog(spark, root)
+        self.root = self.log.root
+
+    def state(self) -> DataFrame | None:
+        every = self.log.latest()
+        if every is None:
+            return None
+        return self.spark.read.parquet(*[f"{self.root}/{f}" for f in every[1]["state"]]).groupBy("url", "domain").agg(F.max("best").alias("best"))
+
+    def advance(self, pages: DataFrame, runs: DataFrame, exports: DataFrame, bound: str, fail_at_commit: bool = False) -> int:
+        """Process all runs that started after the last commit's bound and up to `bound`; returns the commit number.
+
+        A row that no run has covered by then waits for a later one, however early it was loaded.
+        """
+        last, number = self.log.latest(), self.log.next_number()
+        low = F.lit(last[1]["watermark"] if last else None).cast("timestamp_ntz")
+        windows = run_windows(runs).where((F.col("high") <= F.lit(bound).cast("timestamp_ntz")) & (low.isNull() | (F.col("high") > low)))
+        # windows of this commit: the first of a domain reaches down to its last window of the commit before
+        reach = windows.agg(F.min("low").alias("low"), F.bool_or(F.col("low").isNull()).alias("opens")).first()
+        rows = with_digests(pages).where(F.col("loaded_at") <= F.lit(bound).cast("timestamp_ntz"))
+        if reach["opens"] is False:
+            rows = rows.where(F.col("loaded_at") > F.lit(reach["low"]).cast("timestamp_ntz"))
+        found = taken(rows, windows, self.state())
+        folder = f"data/{number}-{uuid.uuid4().hex}"
+        found.write.parquet(f"{self.root}/{folder}/seen")
+        seen = self.spark.read.parquet(f"{self.root}/{folder}/seen")
+        due = seen.join(export_baseline(exports), "url", "left").where(is_due(F.col("before"), F.col("base"), F.col("now")))
+        due.select("run_id", "url").write.parquet(f"{self.root}/{folder}/due")
+        if fail_at_commit:
+            raise RuntimeError("stopped before commit")
+        self.log.commit(number, {"watermark": bound, "data": folder, "due": [*(last[1]["due"] if last else []), f"{folder}/due"], "state": [*(last[1]["state"] if last else []), f"{folder}/seen"]})
+        return number
+
+    def due(self) -> DataFrame:
+        """(run_id, url) of all commits."""
+        last = self.log.latest()
+        return self.spark.read.parquet(*[f"{self.root}/{f}" for f in last[1]["due"]]) if last else self.spark.createDataFrame([], "run_id long, url string")
+
+
+def committed_due(pages: DataFrame, runs: DataFrame, exports: DataFrame, root: str, commits: int = 4) -> DataFrame:
+    """As `replay_due`, by `commits` bounded commits, each over about as many runs."""
+    replay = CommittedReplay(pages.sparkSession, root)
+    started = runs.where("status = 'success' AND started_at IS NOT NULL").select("started_at")
+    part = F.ntile(commits).over(Window.orderBy("started_at"))
+    bounds = started.select(F.date_trunc("DAY", F.col("started_at").cast("timestamp")).cast("timestamp_ntz").alias("started_at")).groupBy("started_at").count()
+    bounds = bounds.select("started_at", part.alias("part")).groupBy("part").agg(F.max("started_at").alias("bound")).select((F.col("bound") + F.expr("INTERVAL 1 DAY")).cast("string").alias("bound")).collect()  # one row a commit
+    for bound in sorted({b["bound"] for b in bounds}):
+        replay.advance(pages, runs, exports, bound)
+    return replay.due().select("run_id", "url").distinct()

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from archivolt.operators.snapshot_diff import sitemap_changes
-from archivolt.operators.watermark import replay_due, run_windows
+from archivolt.operators.watermark import committed_due, run_windows
+from archivolt.session import shared_dir
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +21,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay_due(_t(spark, sf_dir, "pages"), _t(spark, sf_dir, "runs"), _t(spark, sf_dir, "exports"))
+    return committed_due(_t(spark, sf_dir, "pages"), _t(spark, sf_dir, "runs"), _t(spark, sf_dir, "exports"), f"{shared_dir(spark)}/replay-{uuid.uuid4().hex}")
 
 
 def p6_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
