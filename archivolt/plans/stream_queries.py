@@ -36,7 +36,7 @@ def stream_upsert_pages(spark, d):
         new = M.last_per_key(batch.select(*cols), ["url"], ["last_seen_at"])
         return new if old is None else M.last_per_key(old.unionByName(new), ["url"], ["last_seen_at"])
 
-    return S.merged(S.table_stream(spark, d, "pages", files_per_trigger=4), put)
+    return S.merged(S.table_stream(spark, d, "pages", files_per_trigger=4), put, key="url")
 
 
 QUERIES = {f.__name__: f for f in (stream_dedup_urls, stream_window_events, stream_session_events, stream_newest_pages, stream_upsert_pages)}
