@@ -39,4 +39,11 @@ def expanded_sitemaps(roots: DataFrame, files: DataFrame, max_depth: int = 5) ->
         if front.isEmpty():
             break
         seen = seen.unionByName(front)
-    return leaves.dropDuplicates(["url"])
+    # of several entries of a url the latest, then the first sitemap by name
+    best = leaves.groupBy("url").agg(F.max(F.struct("lastmod", F.col("source").alias("s"))).alias("m"), F.min("source").alias("source"))
+    return best.select("url", F.col("m.lastmod").alias("lastmod"), "source")
+
+
+def all_unchanged(answers: DataFrame) -> DataFrame:
+    """(unchanged): whether every leaf sitemap of (url, depth, status) answered that nothing changed; roots are always read."""
+    return answers.agg(F.coalesce(F.bool_and((F.col("depth") > 0) & (F.col("status") == 304)), F.lit(False)).alias("unchanged"))
