@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from archivolt.functions.constants import WS
-from archivolt.functions.text import let
+from archivolt.functions.moments import iso_moment, moment_micros
+from archivolt.functions.text import jaccard, let
+from archivolt.functions.urls import first_match, resolved
 
 LINK = r"(?i)<a\b[^>]*?href=[\"']([^\"']*)[\"'][^>]*>([\s\S]*?)</a>"
 META = r"(?i)<meta\b[^>]*>"
@@ -51,16 +53,37 @@ def tag_text(html: Column, tag: str) -> Column:
     return F.nullif(t, F.lit(""))
 
 
-def json_ld(html: Column) -> Column:
-    """The first JSON-LD block as text, NULL if there is none or it is no JSON."""
-    raw = F.regexp_extract(html, r"(?i)<script[^>]*application/ld\+json[^>]*>([\s\S]*?)</script>", 1)
-    return F.when(F.try_parse_json(F.nullif(F.trim(raw), F.lit(""))).isNotNull(), raw)
+def json_ld(html: Column, types: list[str]) -> Column:
+    """The first JSON-LD block that is JSON and whose @type is, or lists, one of the types; NULL without any."""
+    blocks = F.transform(F.regexp_extract_all(html, F.lit(r"(?i)<script[^>]*application/ld\+json[^>]*>([\s\S]*?)</script>"), F.lit(1)), lambda b: F.trim(b))
+    told = lambda b: F.get_json_object(b, "$['@type']")
+    listed = lambda b: F.coalesce(F.arrays_overlap(F.from_json(told(b), "array<string>"), F.array(*map(F.lit, types))), F.lit(False))
+    fits = lambda b: F.try_parse_json(F.nullif(b, F.lit(""))).isNotNull() & F.coalesce(told(b).isin(types) | (told(b).startswith("[") & listed(b)), F.lit(False))
+    return F.get(F.filter(blocks, fits), F.lit(0))
+
+
+#: Types of what a page is described as.
+ARTICLES = ["Article", "NewsArticle", "BlogPosting", "WebPage"]
+
+
+def authors(json: Column) -> Column:
+    """array<struct<name, url, bio, job_title, organization>> of a JSON-LD author: a string, an object or a list of either;
+    nameless ones are dropped."""
+    j = F.trim(json)
+    many = F.from_json(F.when(j.startswith("["), j).when(j.startswith("{"), F.concat(F.lit("["), j, F.lit("]"))), "array<string>")
+    many = F.coalesce(many, F.when(j != "", F.array(j)))
+    of = lambda a, k: F.when(a.startswith("{"), F.get_json_object(a, f"$.{k}"))
+    each = F.transform(many, lambda a: F.struct(F.when(a.startswith("{"), F.get_json_object(a, "$.name")).otherwise(a).alias("name"), of(a, "url").alias("url"), of(a, "description").alias("bio"), of(a, "jobTitle").alias("job_title"), of(a, "worksFor.name").alias("organization")))
+    kept = F.filter(each, lambda a: F.coalesce(F.trim(a["name"]), F.lit("")) != "")
+    return F.coalesce(kept, F.array().cast("array<struct<name:string,url:string,bio:string,job_title:string,organization:string>>"))
 
 
 def metadata(html: Column, url: Column, last_modified: Column | None = None) -> Column:
-    """struct(title, title_source, author, language, keywords, canonical_url, published) by fallback chains."""
+    """struct(title, title_source, author, authors, language, keywords, canonical_url, schema_type, published, modified) by
+    fallback chains; moments as ISO-8601 in UTC, `author` the first author's name."""
     file_name = F.regexp_replace(F.regexp_extract(url, "([^/]*)$", 1), r"\.\w+$", "")
     canonical = F.nullif(F.regexp_extract(html, r"(?i)<link\b[^>]*rel=[\"']canonical[\"'][^>]*href=[\"']([^\"']+)[\"']", 1), F.lit(""))
+    byline = r"(?i)<(\w+)\b[^>]*(?:class=[\"'](?:[^\"']*\s)?(?:byline|author)(?:\s[^\"']*)?[\"']|rel=[\"']author[\"'])[^>]*>([\s\S]*?)</\1>"
 
     def chains(x: Column) -> Column:
         get = lambda k: F.nullif(F.try_element_at(x["meta"], F.lit(k)), F.lit(""))
@@ -69,15 +92,22 @@ def metadata(html: Column, url: Column, last_modified: Column | None = None) ->
         source = F.lit("filename")
         for name, c in reversed(chain):
             source = F.when(c.isNotNull(), name).otherwise(source)
+        named = authors(of("author"))
+        written = F.coalesce(get("author"), get("dc.creator"), F.nullif(body_text(F.regexp_extract(html, byline, 2)), F.lit("")))
+        lone = F.array(F.struct(written.alias("name"), *[F.lit(None).cast("string").alias(k) for k in ("url", "bio", "job_title", "organization")]))
+        people = F.when(F.size(named) > 0, named).when(written.isNotNull(), lone).otherwise(named)
         words = F.filter(F.transform(F.split(F.coalesce(get("keywords"), F.lit("")), ","), lambda w: F.trim(w)), lambda w: w != "")
-        published = F.coalesce(of("datePublished"), get("article:published_time"), *([last_modified] if last_modified is not None else []))
+        said = of("keywords")
+        listed = F.when(said.startswith("["), F.from_json(said, "array<string>")).when(said.isNotNull(), F.array(said)).otherwise(F.array().cast("array<string>"))
+        kind = F.coalesce(F.get(F.from_json(F.get_json_object(x["ld"], "$['@type']"), "array<string>"), F.lit(0)), F.get_json_object(x["ld"], "$['@type']"))
+        first = lambda *moments: iso_moment(F.coalesce(*[moment_micros(m) for m in moments], *([moment_micros(last_modified)] if last_modified is not None else [])))
         return F.struct(
-            F.coalesce(*[c for _, c in chain], file_name).alias("title"), source.alias("title_source"), F.coalesce(of("author.name"), get("author"), get("dc.creator")).alias("author"),
-            F.nullif(F.regexp_extract(html, r"(?i)<html\b[^>]*\blang=[\"']([a-zA-Z]+)", 1), F.lit("")).alias("language"), F.array_distinct(words).alias("keywords"),
-            F.coalesce(canonical, get("og:url"), url).alias("canonical_url"), published.alias("published"),
+            F.coalesce(*[c for _, c in chain], file_name).alias("title"), source.alias("title_source"), F.get(people, F.lit(0))["name"].alias("author"), people.alias("authors"),
+            F.nullif(F.regexp_extract(html, r"(?i)<html\b[^>]*\blang=[\"']([a-zA-Z]+)", 1), F.lit("")).alias("language"), F.array_distinct(F.concat(words, F.coalesce(listed, F.array().cast("array<string>")))).alias("keywords"),
+            F.coalesce(canonical, get("og:url"), url).alias("canonical_url"), kind.alias("schema_type"), first(of("datePublished"), get("article:published_time")).alias("published"), first(of("dateModified"), get("article:modified_time")).alias("modified"),
         )
 
-    return let(F.struct(json_ld(html).alias("ld"), meta_tags(html).alias("meta"), tag_text(html, "title").alias("title"), tag_text(html, "h1").alias("h1")), chains)
+    return let(F.struct(json_ld(html, ARTICLES).alias("ld"), meta_tags(html).alias("meta"), tag_text(html, "title").alias("title"), tag_text(html, "h1").alias("h1")), chains)
 
 
 def may_not_be_archived(html: Column) -> Column:
@@ -94,13 +124,60 @@ def is_shell(html: Column, least: int = 100) -> Column:
     return text_words(html) < least
 
 
+def worth_rendering(static_html: Column, rendered_html: Column) -> Column:
+    """Whether rendering a page brought more than three times the words, and more than a hundred."""
+    before, after = text_words(static_html), text_words(rendered_html)
+    return (after > 3 * before) & (after > 100)
+
+
+#: Extensions of documents.
+DOCUMENTS = "pdf doc docx odt epub txt".split()
+
+
+def anchors(html: Column) -> Column:
+    """array<struct<href, label>> of all anchors with a link, in order."""
+    hrefs, labels = F.regexp_extract_all(html, F.lit(LINK), F.lit(1)), F.regexp_extract_all(html, F.lit(LINK), F.lit(2))
+    return F.arrays_zip(hrefs.alias("href"), F.transform(labels, body_text).alias("label"))
+
+
+def links_document(href: Column) -> Column:
+    """Whether a link ends in a document's extension, a query aside."""
+    return F.substring_index(F.lower(F.substring_index(href, ".", -1)), "?", 1).isin(DOCUMENTS) & href.contains(".")
+
+
 def page_features(html: Column, title: Column) -> Column:
-    """struct(words, links, document_links, words_per_link): what a page's role is told from."""
-    docs = lambda found: F.size(F.filter(found, lambda p: F.regexp_replace(p["href"], r"\?.*$", "").rlike(r"(?i)\.(pdf|docx?|pptx?|xlsx?)$")))
+    """struct(words, links, document_links, overlap, words_per_link): what a page's role is told from. `overlap` is the
+    greatest likeness of the title to the label, or else the file name, of a linked document."""
+    said = lambda p: F.coalesce(F.nullif(p["label"], F.lit("")), F.regexp_replace(F.substring_index(p["href"], "/", -1), r"\.\w+$", ""))
     words = F.size(F.filter(F.split(body_text(html), " "), lambda w: w != ""))
-    counts = let(links(html), lambda found: F.struct(words.alias("words"), F.size(found).alias("links"), docs(found).alias("document_links")))
+
+    def counts(found: Column) -> Column:
+        docs = F.filter(found, lambda p: links_document(p["href"]))
+        alike = F.array_max(F.transform(docs, lambda p: jaccard(F.coalesce(title, F.lit("")), said(p))))
+        return F.struct(words.alias("words"), F.size(found).alias("links"), F.size(docs).alias("document_links"), F.coalesce(alike, F.lit(0.0)).alias("overlap"))
+
     per = lambda c: F.when(c["links"] > 0, c["words"] / c["links"]).otherwise(c["words"].cast("double"))
-    return let(counts, lambda c: F.struct(c["words"].alias("words"), c["links"].alias("links"), c["document_links"].alias("document_links"), per(c).alias("words_per_link")))
+    return let(let(anchors(html), counts), lambda c: F.struct(c["words"].alias("words"), c["links"].alias("links"), c["document_links"].alias("document_links"), c["overlap"].alias("overlap"), per(c).alias("words_per_link")))
+
+
+def page_role(features: Column, least_words: int = 100) -> Column:
+    """host_page, redirect, index or content, from `page_features`."""
+    f = features
+    return F.when((f["words"] < least_words) & (f["document_links"] >= 1), "host_page").when((f["words"] < 50) & (f["links"] == 1), "redirect").when((f["words_per_link"] < 5) & (f["links"] > 10), "index").otherwise("content")
+
+
+def classified(html: Column, url: Column, overrides: list[tuple[str, str]], least_words: int = 100) -> Column:
+    """struct(role, method, words): by the first rule (pattern of the url, role) that fits, else by the page's features."""
+    title = F.coalesce(tag_text(html, "title"), tag_text(html, "h1"), F.lit(""))
+    ruled = first_match(url, overrides) if overrides else F.lit(None).cast("string")
+    return let(page_features(html, title), lambda f: F.struct(F.coalesce(ruled, page_role(f, least_words)).alias("role"), F.when(ruled.isNotNull(), "rules").otherwise("heuristic").alias("method"), F.when(ruled.isNull(), f["words"]).alias("words")))
+
+
+def host_edges(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """(host_url, hosted_url, hosted_title): documents that pages link to; of several labels in a page the last counts."""
+    found = pages.select(F.col(url).alias("host_url"), F.posexplode(F.filter(anchors(F.col(html)), lambda p: links_document(p["href"]))).alias("n", "p"))
+    edges = found.select("host_url", "n", resolved(F.col("p.href"), F.col("host_url")).alias("hosted_url"), F.coalesce(F.nullif(F.col("p.label"), F.lit("")), F.substring_index("p.href", "/", -1)).alias("hosted_title"))
+    return edges.groupBy("host_url", "hosted_url").agg(F.max_by("hosted_title", "n").alias("hosted_title"))
 
 
 def sitemap_entries(xml: Column) -> Column:

@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def iso_moment(micros: Column) -> Column:
+    """ISO-8601 in UTC with milliseconds, whatever the session's zone."""
+    day, rest = F.floor(micros / F.lit(86_400_000_000)), F.pmod(micros, F.lit(86_400_000_000))
+    clock = F.format_string("T%02d:%02d:%02d.%03dZ", F.floor(rest / 3_600_000_000), F.floor(rest / 60_000_000) % 60, F.floor(rest / 1_000_000) % 60, F.floor(rest / 1000) % 1000)
+    return F.when(micros.isNotNull(), F.concat(F.date_from_unix_date(day.cast("int")).cast("string"), clock))
+
+
 def moment_micros(text: Column) -> Column:
     """Microseconds since 1970 UTC named by an ISO-8601 or RFC 1123 text, else NULL.
 

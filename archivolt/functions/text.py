@@ -5,9 +5,13 @@ Conventions: NULL text gives the value of an empty text unless said otherwise; w
 
 from __future__ import annotations
 
+import itertools
+import re
+
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from archivolt.functions.constants import ASCII_BOUNDARY, ASCII_LETTERS, FUNCTION_WORDS, LATIN_LETTERS, NOT_WS, SCRIPTS, VOWELS, WS
+from archivolt.functions.constants import ASCII_BOUNDARY, ASCII_LETTERS, FUNCTION_WORDS, LATIN_LETTERS, NOT_WS, QUALITY_WORDS, SCRIPTS, VOWELS, WORD_FORMING, WS
 
 
 def _text(c: Column) -> Column:
@@ -92,22 +96,74 @@ def digit_noise(text: Column) -> Column:
     return let(t, lambda x: F.when(F.size(x) < 10, F.lit(0.0)).otherwise(noisy(x) / F.size(x)))
 
 
-def latin_word_quality(text: Column, known: list[str] | None = None) -> Column:
-    """Share of the first 200 Latin words that are known or have a natural share of vowels, less penalties; 0-1, two digits."""
-    words = F.filter(F.split(F.regexp_replace(_text(text), "[^a-zA-ZÀ-ÿ]+", " "), " "), lambda w: F.length(w).between(2, 20))
-    without = lambda w, letters: F.length(F.translate(w, letters, ""))
-    vowels = lambda w: (F.length(w) - without(w, VOWELS)) / F.length(w)
-    natural = lambda w: vowels(w).between(0.2, 0.75) & ~w.rlike(r"(.)\1{3}")
-    real = lambda s: F.size(F.filter(s, lambda w: (w.isin(known) | natural(w)) if known else natural(w)))
-    bare = lambda s: F.size(F.filter(s, lambda w: (F.length(w) <= 3) & (without(w, VOWELS.replace("ç", "").replace("ñ", "") + "y") == F.length(w))))
-
-    def score(m: Column) -> Column:
-        penalty = F.when(m["bare"] / m["n"] > 0.03, (m["bare"] / m["n"] - 0.03) * 4).otherwise(0.0)
-        value = half_up(m["printable"] * F.greatest(F.lit(0.0), m["real"] / m["n"] - m["noise"] * 3 - penalty))
-        return F.when(m["n"] < 10, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), value))
-
-    measured = lambda s: F.struct(F.size(s).alias("n"), real(s).alias("real"), bare(s).alias("bare"), printable_ratio(text).alias("printable"), digit_noise(text).alias("noise"))
-    return let(F.transform(F.slice(words, 1, 200), lambda w: F.lower(w)), lambda s: let(measured(s), score))
+def script_token_length(text: Column, language: Column) -> Column:
+    """Mean number of characters in the language's script over the tokens with any; NULL below five, or without script."""
+    found = F.lit(None).cast("array<int>")
+    for name, ranges in SCRIPTS.items():
+        letters = F.lit(f"[{ranges}]")
+        counts = F.filter(F.transform(tokens(text), lambda w: F.regexp_count(w, letters)), lambda n: n > 0)  # noqa: B023
+        found = F.when(language == name, counts).otherwise(found)
+    return let(found, lambda n: F.when(F.size(n) >= 5, F.aggregate(n, F.lit(0), lambda a, x: a + x) / F.size(n)))
+
+
+_LATIN_RUN = re.compile("[a-zA-ZÀ-ÿ]+")
+_FOUR_ALIKE = re.compile(r"(.)\1{3}")
+
+
+def latin_words(text: Column, language: Column) -> Column:
+    """struct(n, real, bare) of the first 200 Latin words of 2 to 20 letters: how many there are, how many are listed for the
+    language or have a natural share of vowels, and how many short ones have none."""
+    known = {k: frozenset(v) for k, v in QUALITY_WORDS.items()}
+    vowels, open_ = frozenset(VOWELS), frozenset(VOWELS.replace("ç", "").replace("ñ", "") + "y")
+
+    def count(texts: pd.Series, languages: pd.Series) -> pd.DataFrame:
+        seen: dict[str, tuple[str, bool, bool]] = {}
+        out = []
+        for text, language in zip(texts, languages):
+            listed = known.get(language, known["english"])
+            n = real = bare = 0
+            fitting = (m.group() for m in _LATIN_RUN.finditer(text or "") if 2 <= m.end() - m.start() <= 20)
+            for word in itertools.islice(fitting, 200):
+                told = seen.get(word)
+                if told is None:
+                    low = word.lower()
+                    share = sum(c in vowels for c in low) / len(low)
+                    told = (low, 0.2 <= share <= 0.75 and not _FOUR_ALIKE.search(low), len(low) <= 3 and not open_.intersection(low))
+                    if len(seen) < 200_000:
+                        seen[word] = told
+                n += 1
+                real += told[0] in listed or told[1]
+                bare += told[2]
+            out.append((n, real, bare))
+        return pd.DataFrame(out, columns=["n", "real", "bare"])
+
+    return F.pandas_udf(count, "n int, real int, bare int")(text, language)
+
+
+def word_quality(text: Column, language: Column) -> Column:
+    """How much of a text reads like words of its language, 0 to 1 in two digits.
+
+    Mostly control characters: their share. Languages with a script of their own: share of the script and distribution of
+    tokens, less for isolated letters. Others: `latin_words`, less for digits inside words and for short ones without vowels.
+    """
+    printable = printable_ratio(text)
+    scripted = let(F.struct(script_share(text, language).alias("share"), token_distribution(text).alias("spread"), script_token_length(text, language).alias("length")), lambda m: F.least(F.lit(1.0), m["share"] * 0.85 + m["spread"] * 0.15) * F.when(language.isin(WORD_FORMING) & (m["length"] < 2.5), 1 - F.least(F.lit(0.8), (2.5 - m["length"]) / 1.5)).otherwise(1.0))
+
+    def latin(w: Column) -> Column:
+        bare = w["bare"] / w["n"]
+        penalty = F.when(bare > 0.03, (bare - 0.03) * 4).otherwise(0.0)
+        return F.when(w["n"] < 10, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), w["real"] / w["n"] - digit_noise(text) * 3 - penalty))
+
+    plain = latin(latin_words(text, language))
+    value = F.when(printable < 0.3, printable).when(script_share(text, language).isNotNull(), printable * scripted).otherwise(printable * plain)
+    return F.when(F.length(F.regexp_replace(_text(text), WS + "+", "")) == 0, F.lit(0.0)).otherwise(half_up(value))
+
+
+def bad_sample(text: Column, most: int = 300) -> Column:
+    """The first run of five words among what is plain ASCII, else its beginning."""
+    plain = F.trim(F.regexp_replace(F.regexp_replace(_text(text), r"[^\x20-\x7E\n]", " "), r"[ \n]+", " "))
+    run = F.regexp_extract(plain, r"[A-Za-z]{3,}(?: +[A-Za-z]{2,}){4,}", 0)
+    return F.substring(F.when(run != "", run).otherwise(plain), 1, most)
 
 
 def excerpt(text: Column, most: int = 280) -> Column:
@@ -153,7 +209,7 @@ def title_from_url(url: Column) -> Column:
     dl = F.regexp_extract(url, r"[?&]dl=([^&#]+)", 1)
     raw = F.when(dl != "", dl).otherwise(F.regexp_extract(path, "([^/]*)$", 1))
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, r"(?i)\.pdf$", ""), r"^\d{8,}-", ""), "[-_]", " ")
-    raised = F.array_join(F.transform(F.split(plain, " "), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1 << 20))), " ")
+    raised = F.array_join(F.transform(F.split(plain, " "), lambda w: F.concat(F.upper(F.substring(w, F.lit(1), F.lit(1))), F.substring(w, F.lit(2), F.length(w)))), " ")
     return F.nullif(F.trim(raised), F.lit(""))
 
 

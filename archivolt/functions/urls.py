@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from archivolt.functions.constants import URL_LANGUAGES
+from archivolt.functions.text import detect_language, let
 
 
 def host(url: Column) -> Column:
@@ -47,7 +48,7 @@ def path_slug(p: Column) -> Column:
 
 def without_parameters(url: Column, names: list[str]) -> Column:
     """The url without the named query parameters."""
-    kept = F.filter(F.split(F.substring(query(url), 2, 1 << 20), "&"), lambda kv: ~F.substring_index(kv, "=", 1).isin(names) & (kv != ""))
+    kept = F.filter(F.split(F.substring(query(url), F.lit(2), F.length(url)), "&"), lambda kv: ~F.substring_index(kv, "=", 1).isin(names) & (kv != ""))
     base, fragment = F.regexp_extract(url, "^[^?#]*", 0), F.regexp_extract(url, "#.*$", 0)
     return F.when(query(url) == "", url).otherwise(F.concat(base, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(""), fragment))
 
@@ -57,18 +58,38 @@ def normalised_feed_url(url: Column) -> Column:
     return F.concat(F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), "/+$", ""), F.lit("/"))
 
 
+def without_dot_segments(p: Column) -> Column:
+    """A rooted path with its `.` and `..` segments resolved; `..` above the root is the root."""
+    parts = F.split(F.regexp_replace(p, "^/", ""), "/")
+
+    def step(kept: Column, part: Column) -> Column:
+        return F.when(part == ".", kept).when(part == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(F.concat(kept, F.array(part)))
+
+    # a path that ends in a dot segment names a folder
+    open_ = F.when(F.element_at(parts, -1).isin(".", ".."), F.concat(parts, F.array(F.lit("")))).otherwise(parts)
+    whole = F.concat(F.lit("/"), F.array_join(F.aggregate(open_, F.array().cast("array<string>"), step), "/"))
+    return F.when(p.rlike(r"(?:^|/)\.\.?(?:/|$)"), whole).otherwise(p)
+
+
 def resolved(href: Column, base: Column) -> Column:
-    """An absolute url of a link: absolute, scheme-relative, rooted or relative without dot segments; no fragment."""
-    h = F.regexp_replace(F.replace(href, F.lit(" "), F.lit("%20")), "#.*$", "")
+    """An absolute url of a link: absolute, scheme-relative, rooted, a query alone, or relative; no fragment.
+
+    Dot segments of http links are resolved; an empty link, or a fragment alone, is the base.
+    """
+    h = F.regexp_replace(F.replace(F.trim(href), F.lit(" "), F.lit("%20")), "#.*$", "")
     scheme = F.regexp_extract(base, r"^([a-z]+):", 1)
     root = F.regexp_extract(base, r"^[a-z]+://[^/?#]*", 0)
     folder = F.regexp_replace(path(base), "[^/]*$", "")
-    return (
-        F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
+    whole = (
+        F.when(h == "", F.regexp_replace(base, "#.*$", ""))
+        .when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
         .when(h.startswith("/"), F.concat(root, h))
+        .when(h.startswith("?"), F.concat(root, path(base), h))
         .otherwise(F.concat(root, folder, h))
     )
+    tidy = F.concat(F.regexp_extract(whole, r"^[a-z]+://[^/?#]*", 0), without_dot_segments(path(whole)), query(whole))
+    return F.when(whole.rlike(r"^https?://[^?#]*/\.\.?(?:[/?]|$)"), tidy).otherwise(whole)
 
 
 def in_scope(url: Column, seed_host: Column, include: list[str], exclude: list[str], allow_domains: list[str] | None = None) -> Column:
@@ -87,6 +108,19 @@ def in_scope(url: Column, seed_host: Column, include: list[str], exclude: list[s
     return F.coalesce(fits, F.lit(False))
 
 
+def _leads(first: int, last: int) -> str:
+    """The first bytes of UTF-8 of a range of code points, as a regular expression of percent escapes."""
+    return "|".join(f"%{b:02x}" for b in sorted({chr(c).encode()[0] for c in range(first, last + 1)}))
+
+
+def _escaped(letters: str) -> str:
+    return "|".join("".join(f"%{b:02x}" for b in c.encode()) for c in letters)
+
+
+#: Letters that Persian has and Arabic lacks, as urls are told apart by.
+PERSIAN_LETTERS = "پچژگکهی"
+
+
 def url_language(url: Column) -> Column:
     """Language of a url by percent-encoded script, then by codes and names in its path; NULL if none."""
     u = F.lower(url)
@@ -94,9 +128,16 @@ def url_language(url: Column) -> Column:
     for name, keys in reversed(URL_LANGUAGES.items()):
         code, *names = keys.split()
         out = F.when(u.rlike("|".join([f"/{code}/", f"[/_-]{code}[/_-]", *[f"/{n}/" for n in names]])), name).otherwise(out)
-    persian = r"%(?:d9%(?:be|87)|da%(?:86|98|a9|af)|db%8c)"
-    out = F.when(u.rlike(r"%d[67]%[0-9a-f]{2}"), "hebrew").otherwise(out)
-    return F.when(u.rlike(r"%d[89ab]%[0-9a-f]{2}"), F.when(u.rlike(persian), "persian").otherwise("arabic")).otherwise(out)
+    out = F.when(u.rlike(f"(?:{_leads(0x0590, 0x05FF)})%[0-9a-f]{{2}}"), "hebrew").otherwise(out)
+    return F.when(u.rlike(f"(?:{_leads(0x0600, 0x06FF)})%[0-9a-f]{{2}}"), F.when(u.rlike(_escaped(PERSIAN_LETTERS)), "persian").otherwise("arabic")).otherwise(out)
+
+
+def url_path_language(url: Column) -> Column:
+    """As `url_language`, else the language of the words in the decoded path; NULL where neither tells one."""
+    decoded = F.try_url_decode(F.replace(path(url), F.lit("+"), F.lit("%2B")))
+    words = F.filter(F.split(F.lower(F.regexp_replace(decoded, r"[^a-zA-ZÀ-ÿ\s]", " ")), r"\s+"), lambda w: F.length(w) > 2)
+    told = let(words, lambda w: F.when(F.size(w) >= 2, detect_language(F.array_join(w, " "))))
+    return F.coalesce(url_language(url), told)
 
 
 def first_match(value: Column, rules: list[tuple[str, str]], default: Column | None = None) -> Column:

@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Extensions of what is kept.
-IMAGES = "jpg jpeg png gif webp svg avif".split()
-DOCUMENTS = "pdf doc docx ppt pptx xls xlsx".split()
+#: Extensions and MIME types of what is kept.
+IMAGES = "png jpg jpeg gif webp svg avif".split()
+IMAGE_TYPES = ["image/png", "image/jpeg", "image/gif", "image/webp", "image/svg+xml", "image/avif"]
+DOCUMENTS = "pdf doc docx odt epub txt".split()
+DOCUMENT_TYPES = ["application/pdf", "application/msword", "application/vnd.openxmlformats-officedocument.wordprocessingml.document", "application/vnd.oasis.opendocument.text", "application/epub+zip", "text/plain"]
 IMAGE_LINK = r"!\[([^\]]*)\]\(([^)\s]+)\)"
 
 
 def kind(mime: Column, ext: Column) -> Column:
     """`image`, `document` or NULL, by MIME type, else by extension."""
     e = F.lower(F.regexp_replace(ext, r"^\.", ""))
-    return F.when(mime.startswith("image/") | e.isin(IMAGES), "image").when((mime == "application/pdf") | e.isin(DOCUMENTS), "document")
+    return F.when(mime.isin(IMAGE_TYPES) | e.isin(IMAGES), "image").when(mime.isin(DOCUMENT_TYPES) | e.isin(DOCUMENTS), "document")
+
+
+def stored(assets: DataFrame, most_bytes: int) -> DataFrame:
+    """(hash, path, original_url, bytes, skipped_reason): assets (url, content, ext) by content; images over `most_bytes` are
+    only noted, under a key made of their url. Of several urls of one content the first by name counts."""
+    big = (F.octet_length("content") > most_bytes) & F.lower(F.regexp_replace("ext", r"^\.", "")).isin(IMAGES)
+    x = assets.where("content IS NOT NULL").select("url", F.when(big, F.concat(F.lit("oversize:"), "url")).otherwise(F.sha2("content", 256)).alias("hash"), F.when(big, "").otherwise(store_path(F.col("content"), F.col("ext"))).alias("path"), F.octet_length("content").alias("bytes"), F.when(big, "oversize").alias("skipped_reason"))
+    return x.groupBy("hash").agg(F.min("path").alias("path"), F.min("url").alias("original_url"), F.max("bytes").cast("long").alias("bytes"), F.min("skipped_reason").alias("skipped_reason"))
 
 
 def store_path(content: Column, ext: Column) -> Column:

@@ -82,6 +82,65 @@ def expired(rows: DataFrame, since: str, now: str, days: int) -> DataFrame:
     return rows.where(F.col(since).isNotNull() & (F.to_timestamp(since) < F.to_timestamp(F.lit(now)) - F.make_dt_interval(F.lit(days))))
 
 
+def retained(pages: DataFrame, now: str, grace_days: int = 90, keep_days: int = 365) -> DataFrame:
+    """Pages after a retention run: those gone for more than `grace_days` become tombstones (archive_only 1, no local file),
+    tombstones gone for more than `keep_days` are dropped. A moment that cannot be read keeps its row."""
+    stone = F.coalesce("archive_only", F.lit(0)) == 1
+    since = F.try_to_timestamp("gone_since")
+    before = lambda days: F.coalesce(since < F.to_timestamp(F.lit(now)) - F.make_dt_interval(F.lit(days)), F.lit(False))
+    fresh = (F.col("gone") == 1) & ~stone & before(grace_days)
+    x = pages.withColumns({"local_path": F.when(F.coalesce(fresh, F.lit(False)), F.lit(None)).otherwise(F.col("local_path")), "archive_only": F.when(F.coalesce(fresh, F.lit(False)), 1).otherwise(F.coalesce("archive_only", F.lit(0)))})
+    return x.where(~((F.col("archive_only") == 1) & before(keep_days)))
+
+
+def unreferenced(assets: DataFrame, now: str, grace_days: int = 90) -> DataFrame:
+    """Assets to delete: referenced by nothing, gone for more than `grace_days`, and stored at all."""
+    gone = F.try_to_timestamp("gone_since") < F.to_timestamp(F.lit(now)) - F.make_dt_interval(F.lit(grace_days))
+    return assets.where((F.coalesce("ref_count", F.lit(0)) == 0) & gone & (F.coalesce("path", F.lit("")) != ""))
+
+
+def degradation(pages: DataFrame, now: str, window_days: int = 30, loss_share: float = 0.1, least_pages: int = 50, preserve_always: bool = False) -> DataFrame:
+    """(domain, lost, added, present, frozen): whether so many more pages went than came within the window that nothing may be
+    deleted: more than `loss_share` of the present ones and more than `least_pages`. It clears by itself."""
+    since = F.to_timestamp(F.lit(now)) - F.make_dt_interval(F.lit(window_days))
+    inside = lambda c: F.coalesce(F.try_to_timestamp(c) >= since, F.lit(False))
+    x = pages.groupBy("domain").agg(F.count_if((F.col("gone") == 1) & inside("gone_since")).alias("lost"), F.count_if((F.col("gone") == 0) & inside("first_seen_at")).alias("added"), F.count_if(F.col("gone") == 0).alias("present"))
+    return x.withColumn("frozen", F.lit(preserve_always) | (F.col("lost") - F.col("added") > F.greatest(F.col("present") * loss_share, F.lit(float(least_pages)))))
+
+
+def upsert_sitemaps(old: DataFrame, listed: DataFrame) -> DataFrame:
+    """Sitemap entries (url, lastmod, source_sitemap, first_seen_at, last_seen_at, removed, removed_at) after a listing: an entry
+    seen again keeps when it was first seen and is not removed."""
+    rules = {"first_seen_at": F.col("old.first_seen_at"), "removed": F.lit(0), "removed_at": F.lit(None).cast("string")}
+    return upsert(old, listed, ["url"], rules={k: v for k, v in rules.items() if k in old.columns})
+
+
+def upsert_assets(old: DataFrame, seen: DataFrame) -> DataFrame:
+    """Assets (hash, ..., last_seen_at, gone_since) after a visit: one known already is only touched, and not gone."""
+    rules = {c: F.col(f"old.{c}") for c in old.columns if c not in ("hash", "last_seen_at", "gone_since")}
+    return upsert(old, seen, ["hash"], rules=rules | {"gone_since": F.lit(None).cast("string")})
+
+
+def put_values(old: DataFrame, told: DataFrame, order: str) -> DataFrame:
+    """(domain, key, value) after a batch of settings; the last by `order` counts."""
+    return upsert(old, last_per_key(told, ["domain", "key"], [order]).select("domain", "key", "value"), ["domain", "key"])
+
+
+def run_opened(runs: DataFrame, domain: str, run_id: int, now: str) -> DataFrame:
+    """Runs after one begins: those of the site that still run are interrupted."""
+    open_ = (F.col("domain") == domain) & (F.col("status") == "running")
+    old = runs.withColumns({"status": F.when(open_, "interrupted").otherwise(F.col("status")), "finished_at": F.when(open_, F.to_timestamp_ntz(F.lit(now))).otherwise(F.col("finished_at"))})
+    new = runs.sparkSession.createDataFrame([(run_id, domain, now)], "run_id long, domain string, at string").select("run_id", "domain", F.to_timestamp_ntz("at").alias("started_at"), F.lit("running").alias("status"))
+    return old.unionByName(new, allowMissingColumns=True).select(*runs.columns)
+
+
+def run_closed(runs: DataFrame, run_id: int, now: str, **told) -> DataFrame:
+    """Runs after one ends, with the columns it reports."""
+    mine = F.col("run_id") == run_id
+    set_ = {"finished_at": F.to_timestamp_ntz(F.lit(now)), **{k: F.lit(v) for k, v in told.items()}}
+    return runs.select(*[F.when(mine, set_[c]).otherwise(F.col(c)).alias(c) if c in set_ else F.col(c) for c in runs.columns])
+
+
 def content_changes(visits: DataFrame, key: str, order: str, digest: Column) -> DataFrame:
     """Every visit with `new`, `changed` or `unchanged` against the last visit of its key that had a digest; NULL without one."""
     w = Window.partitionBy(key).orderBy(order, "__d")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from archivolt.plans import document_queries, problems, report_queries, state_queries, stream_queries, text_queries, web_queries
+from archivolt.plans import document_queries, list_queries, problems, report_queries, score_queries, state_queries, stream_queries, text_queries, web_queries
 
-_MODULES = [problems, text_queries, report_queries, web_queries, document_queries, state_queries, stream_queries]
+_MODULES = [problems, text_queries, score_queries, report_queries, list_queries, web_queries, document_queries, state_queries, stream_queries]
 
 
 def queries() -> dict:

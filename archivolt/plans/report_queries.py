@@ -18,7 +18,7 @@ def _latest_pages(spark, d, columns):
 
 
 def _latest_quality(spark, d):
-    return R.latest(_t(spark, d, "pdf_quality").select("url", "scored_at", "composite_score", "pages", "has_text_layer", "pdf_title", "ai_title", "skip", "excerpt"), ["url"], ["scored_at"])
+    return R.latest(_t(spark, d, "pdf_quality").select("url", "scored_at", "composite_score", "pages", "has_text_layer", "pdf_title", "ai_title", "skip", "excerpt", "readable_pages_pct", "ai_summary"), ["url"], ["scored_at"])
 
 
 def _latest_queue(spark, d):
@@ -41,13 +41,15 @@ def role_counts(spark, d):
 
 
 def pdf_status_rollup(spark, d):
-    q, u = _latest_quality(spark, d), _latest_queue(spark, d).select("url", "status", "after_score")
+    q, u = _latest_quality(spark, d), _latest_queue(spark, d).select("url", "status", F.lit(True).alias("queued"))
     p = _latest_pages(spark, d, "domain gone").where("gone = 0").select("url", "domain")
     x = p.join(q, "url").join(u, "url", "left")
+    image = (F.col("has_text_layer") == 0) | F.col("has_text_layer").isNull() | (F.col("readable_pages_pct") < 0.4)
     return x.groupBy("domain").agg(
-        F.count(F.lit(1)).alias("scored"), F.count_if(F.col("status").isNull() & (F.col("composite_score") >= 0.7)).alias("good_already"),
+        F.count(F.lit(1)).alias("scored"), F.count_if(F.col("queued").isNull() & (F.col("skip") == 0) & (F.col("composite_score") >= 0.7)).alias("already_ok"),
         *[F.count_if(F.col("status") == s).alias(s) for s in ("pending", "submitted", "processing", "done", "failed")],
-        F.count_if((F.col("has_text_layer") == 0) | F.col("has_text_layer").isNull()).alias("image_only"), _r(F.avg("composite_score")).alias("mean_score"),
+        F.count_if(F.col("status").isin("pending", "submitted")).alias("waiting"), F.count_if(F.col("skip") == 1).alias("skipped"), F.count("ai_summary").alias("summarized"),
+        F.count_if(image).alias("image_pdfs"), F.count_if(image & F.col("ai_summary").isNotNull()).alias("image_pdfs_summarized"), _r(F.avg("composite_score")).alias("mean_score"),
     )
 
 
@@ -79,12 +81,6 @@ def export_skip_unchanged(spark, d):
     return R.skip_unchanged(rows, done, "url", "digest", "source")
 
 
-def content_hash_reuse(spark, d):
-    x = _t(spark, d, "pdf_quality").where("content_hash IS NOT NULL").select(canonical_digest(F.col("content_hash")).alias("digest"), "url", "ai_summary")
-    first = x.where("ai_summary IS NOT NULL").groupBy("digest").agg(F.min("url").alias("source_url"))
-    return x.where("ai_summary IS NULL").select("digest", "url").distinct().join(first, "digest").where("url != source_url")
-
-
 def tab_counts(spark, d):
     x = _latest_quality(spark, d).join(_latest_queue(spark, d).select("url", "status"), "url", "left")
     return x.agg(F.count(F.lit(1)).alias("everything"), F.count_if(F.col("status").isin("done", "processing")).alias("upgraded"), F.count_if(F.col("status").isin("pending", "submitted")).alias("waiting"), F.count_if(F.col("status") == "failed").alias("failed"), F.count_if(F.col("skip") == 1).alias("skipped"))
@@ -217,7 +213,7 @@ def robots_allowed(spark, d):
     from archivolt.functions import urls as U
 
     x = _t(spark, d, "pages").select("url", U.path(F.col("url")).alias("path")).distinct()
-    blocked = R.starts_with_any(x, "path", prefixes, "prefix", [5, 9, 11])
+    blocked = R.starts_with_any(x, "path", prefixes, "prefix")
     return x.join(blocked.select("url"), "url", "left_anti").select("url")
 
 
@@ -238,10 +234,10 @@ def rollup_counts(spark, d):
     return _latest_pages(spark, d, "domain page_role").rollup("domain", "page_role").agg(F.count(F.lit(1)).alias("pages"), F.grouping_id().cast("bigint").alias("level"))
 
 
-QUERIES = {f.__name__: f for f in (site_totals, role_counts, pdf_status_rollup, unscored_docs_anti, known_pages_semi, docs_left_quality_queue, host_lookup_semi_reduced, export_skip_unchanged, content_hash_reuse, tab_counts, export_counts, run_durations, latest_run_per_site, recent_runs_top20, docs_page_score_asc, docs_search, score_deltas, score_trail, confidence_buckets, gain_per_page, best_method, daily_visits, gone_by_window, page_upsert, replace_upsert, gone_marking, absent_marking, retention_expired, content_change_detection, reference_counts, dedup_first_wins, robots_allowed, visits_asof_run, set_operations, rollup_counts)}
+QUERIES = {f.__name__: f for f in (site_totals, role_counts, pdf_status_rollup, unscored_docs_anti, known_pages_semi, docs_left_quality_queue, host_lookup_semi_reduced, export_skip_unchanged, tab_counts, export_counts, run_durations, latest_run_per_site, recent_runs_top20, docs_page_score_asc, docs_search, score_deltas, score_trail, confidence_buckets, gain_per_page, best_method, daily_visits, gone_by_window, page_upsert, replace_upsert, gone_marking, absent_marking, retention_expired, content_change_detection, reference_counts, dedup_first_wins, robots_allowed, visits_asof_run, set_operations, rollup_counts)}
 
 _LP = "lp AS (SELECT m.* FROM (SELECT max(struct_pack(last_seen_at := last_seen_at, domain := domain, path_slug := path_slug, mime_type := mime_type, status_code := status_code, depth := depth, content_hash := content_hash, gone := gone, gone_since := gone_since, page_role := page_role, word_count_clean := word_count_clean, first_seen_at := first_seen_at, last_changed_at := last_changed_at, url := url)) AS m FROM pages GROUP BY url))"
-_LQ = "lq AS (SELECT m.* FROM (SELECT max(struct_pack(scored_at := scored_at, composite_score := composite_score, pages := pages, has_text_layer := has_text_layer, pdf_title := pdf_title, ai_title := ai_title, skip := skip, excerpt := excerpt, url := url)) AS m FROM pdf_quality GROUP BY url))"
+_LQ = "lq AS (SELECT m.* FROM (SELECT max(struct_pack(scored_at := scored_at, composite_score := composite_score, pages := pages, has_text_layer := has_text_layer, pdf_title := pdf_title, ai_title := ai_title, skip := skip, excerpt := excerpt, readable_pages_pct := readable_pages_pct, ai_summary := ai_summary, url := url)) AS m FROM pdf_quality GROUP BY url))"
 _LU = "lu AS (SELECT m.* FROM (SELECT max(struct_pack(batch_no := batch_no, queue_id := queue_id, status := status, before_score := before_score, after_score := after_score, url := url)) AS m FROM pdf_upgrade_queue GROUP BY url))"
 _DIGEST = "nullif(regexp_replace(lower(trim({})), '^[a-z0-9-]+:', ''), '')"
 
@@ -253,13 +249,12 @@ def _h(x: str, n: int = 6) -> str:
 ORACLE = {
     "site_totals": f"WITH {_LP} SELECT domain, count(*) AS pages, count(*) FILTER (starts_with(mime_type, 'application/pdf')) AS pdf, count(*) FILTER (starts_with(mime_type, 'text/html')) AS html, count(*) FILTER (NOT starts_with(mime_type, 'text/html')) AS other FROM lp WHERE gone = 0 GROUP BY domain",
     "role_counts": f"WITH {_LP} SELECT domain, page_role, count(*) AS pages FROM lp WHERE gone = 0 GROUP BY ALL",
-    "pdf_status_rollup": f"WITH {_LP}, {_LQ}, {_LU} SELECT lp.domain, count(*) AS scored, count(*) FILTER (status IS NULL AND composite_score >= 0.7) AS good_already, " + ", ".join(f"count(*) FILTER (status = '{s}') AS {s}" for s in ("pending", "submitted", "processing", "done", "failed")) + f", count(*) FILTER (has_text_layer = 0 OR has_text_layer IS NULL) AS image_only, {_h('avg(composite_score)')} AS mean_score FROM lp JOIN lq USING (url) LEFT JOIN lu USING (url) WHERE gone = 0 GROUP BY lp.domain",
+    "pdf_status_rollup": f"WITH {_LP}, {_LQ}, {_LU} SELECT lp.domain, count(*) AS scored, count(*) FILTER (lu.url IS NULL AND skip = 0 AND composite_score >= 0.7) AS already_ok, " + ", ".join(f"count(*) FILTER (status = '{s}') AS {s}" for s in ("pending", "submitted", "processing", "done", "failed")) + f", count(*) FILTER (status IN ('pending', 'submitted')) AS waiting, count(*) FILTER (skip = 1) AS skipped, count(ai_summary) AS summarized, count(*) FILTER (has_text_layer = 0 OR has_text_layer IS NULL OR readable_pages_pct < 0.4) AS image_pdfs, count(*) FILTER ((has_text_layer = 0 OR has_text_layer IS NULL OR readable_pages_pct < 0.4) AND ai_summary IS NOT NULL) AS image_pdfs_summarized, {_h('avg(composite_score)')} AS mean_score FROM lp JOIN lq ON lq.url = lp.url LEFT JOIN lu ON lu.url = lp.url WHERE gone = 0 GROUP BY lp.domain",
     "unscored_docs_anti": f"WITH {_LP} SELECT domain, url FROM lp WHERE gone = 0 AND mime_type LIKE 'application/pdf%' AND NOT EXISTS (SELECT 1 FROM pdf_quality q WHERE q.url = lp.url)",
     "known_pages_semi": "SELECT domain, count(*) AS known FROM (SELECT DISTINCT domain, url FROM sitemaps) s WHERE EXISTS (SELECT 1 FROM pages p WHERE p.url = s.url) GROUP BY domain",
     "docs_left_quality_queue": f"WITH {_LP}, {_LQ}, {_LU} SELECT lp.url, lp.domain, coalesce(ai_title, pdf_title, lp.url) AS title, coalesce(status, CASE WHEN composite_score IS NULL THEN 'unscored' ELSE 'scored' END) AS state, {_h('after_score - before_score')} AS improvement FROM lp LEFT JOIN lq ON lq.url = lp.url LEFT JOIN lu ON lu.url = lp.url WHERE mime_type LIKE 'application/pdf%'",
     "host_lookup_semi_reduced": "SELECT url, min(source_sitemap) AS source, min(first_seen_at) AS first_seen, count(*) AS listings FROM sitemaps s WHERE EXISTS (SELECT 1 FROM pdf_quality q WHERE q.url = s.url) GROUP BY url",
     "export_skip_unchanged": f"WITH {_LP}, r AS (SELECT url, {_DIGEST.format('content_hash')} AS digest FROM lp WHERE content_hash IS NOT NULL) SELECT url, digest FROM r WHERE NOT EXISTS (SELECT 1 FROM exports e WHERE e.status = 'ok' AND e.url = r.url AND {_DIGEST.format('e.source_hash')} = r.digest)",
-    "content_hash_reuse": f"WITH x AS (SELECT {_DIGEST.format('content_hash')} AS digest, url, ai_summary FROM pdf_quality WHERE content_hash IS NOT NULL), f AS (SELECT digest, min(url) AS source_url FROM x WHERE ai_summary IS NOT NULL GROUP BY digest) SELECT DISTINCT x.digest, url, source_url FROM x JOIN f USING (digest) WHERE ai_summary IS NULL AND url <> source_url",
     "tab_counts": f"WITH {_LQ}, {_LU} SELECT count(*) AS everything, count(*) FILTER (status IN ('done', 'processing')) AS upgraded, count(*) FILTER (status IN ('pending', 'submitted')) AS waiting, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (skip = 1) AS skipped FROM lq LEFT JOIN lu USING (url)",
     "export_counts": f"SELECT domain, count(*) FILTER (status = 'ok') AS ok, count(*) FILTER (status IS DISTINCT FROM 'ok') AS failed, CAST(sum(pages) AS BIGINT) AS pages, {_h('avg(agreement_avg)')} AS agreement, CAST(sum(ocr_used) AS BIGINT) AS ocr FROM (SELECT DISTINCT * FROM exports) GROUP BY domain",
     "run_durations": f"SELECT domain, count(*) AS runs, coalesce({_h('avg(epoch_us(finished_at) - epoch_us(started_at)) / 1e6', 3)}, 300.0) AS mean_seconds, arg_max(message, run_id) FILTER (status = 'failed') AS last_failure, bool_and(coalesce(status <> 'failed', true)) AS healthy FROM (SELECT DISTINCT * FROM runs) GROUP BY domain",

@@ -33,12 +33,6 @@ def file_checks(spark, d):
     return x.groupBy(verdict.alias("verdict")).agg(F.count(F.lit(1)).alias("files"))
 
 
-def processing_difficulty(spark, d):
-    q = _t(spark, d, "pdf_quality").select("url", "has_text_layer", "pages").distinct()
-    x = F.when(F.col("has_text_layer") == 1, 0.05).when(F.coalesce("pages", F.lit(0)) == 0, 1.0).otherwise(F.greatest(F.lit(0.3), F.least(F.lit(1.0), F.col("pages") / 400.0)))
-    return q.select("url", "has_text_layer", "pages", (F.floor(x * 1e4 + 0.5) / 1e4).alias("difficulty"))
-
-
 def wiki_answers(spark, d):
     body = """CASE doc_id % 5 WHEN 0 THEN concat('{"parse":{"title":"T', cast(doc_id AS varchar(20)), '","text":"<p>x</p>"}}') WHEN 1 THEN '{"error":{"code":"missingtitle"}}' WHEN 2 THEN '{"error":{"code":"readonly"}}' WHEN 3 THEN '{broken' END"""
     x = _t(spark, d, "documents").select("doc_id", K.wiki_page(F.expr(body)).alias("p"))
@@ -51,13 +45,12 @@ def own_links(spark, d):
     return x.select("doc_id", K.own_links_relative(text, F.col("domain")).alias("html"))
 
 
-QUERIES = {f.__name__: f for f in (revived_urls, due_sites, file_checks, processing_difficulty, wiki_answers, own_links)}
+QUERIES = {f.__name__: f for f in (revived_urls, due_sites, file_checks, wiki_answers, own_links)}
 
 ORACLE = {
     "revived_urls": f"WITH c AS ({PROBLEM_SQL['p1_found']}), b AS (SELECT url, min(snapshot_no) FILTER (change_kind = 'removed') AS removed_in, max(snapshot_no) FILTER (change_kind = 'added') AS back_in FROM c GROUP BY url) SELECT * FROM b WHERE back_in > removed_in",
     "due_sites": "SELECT domain FROM (SELECT domain, max(started_at) FILTER (status = 'success') AS l FROM runs GROUP BY domain) WHERE l IS NULL OR l <= TIMESTAMP '2025-03-20 00:00:00' - INTERVAL 3 DAY",
     "file_checks": "WITH f AS (SELECT md_path, count(*) AS pages, sum(length(md_text)) AS chars FROM (SELECT DISTINCT * FROM md_texts) GROUP BY 1), x AS (SELECT n.md_path, pages, chars FROM (SELECT DISTINCT md_path FROM exports WHERE status = 'ok') n LEFT JOIN f USING (md_path)) SELECT CASE WHEN pages IS NULL THEN 'no text' WHEN chars < 3000 AND pages > 2 THEN 'too short' ELSE 'fine' END AS verdict, count(*) AS files FROM x GROUP BY 1",
-    "processing_difficulty": "SELECT url, has_text_layer, pages, floor(CASE WHEN has_text_layer = 1 THEN 0.05 WHEN coalesce(pages, 0) = 0 THEN 1.0 ELSE greatest(CAST(0.3 AS DOUBLE), least(1.0, pages / 400.0)) END * 1e4 + 0.5) / 1e4 AS difficulty FROM (SELECT DISTINCT url, has_text_layer, pages FROM pdf_quality)",
     "wiki_answers": "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 500 ELSE 0 END AS status, CASE WHEN doc_id % 5 = 0 THEN 'T' || doc_id END AS title, CASE WHEN doc_id % 5 = 0 THEN '<p>x</p>' END AS html FROM documents",
     "own_links": "SELECT doc_id, '<a href=\"/a/b\"> http://other.example/ <a href=\"/\">' AS html FROM documents WHERE domain IS NOT NULL",
 }

@@ -52,17 +52,13 @@ def digit_noise(spark, d):
     return _docs(spark, d).select("doc_id", T.half_up(T.digit_noise(F.col("text")), 6).alias("noise"))
 
 
-def word_quality(spark, d):
-    return _docs(spark, d).select("doc_id", T.latin_word_quality(F.col("text"), FUNCTION_WORDS["french"]).alias("quality"))
-
-
 def excerpts(spark, d):
     return _docs(spark, d).select("doc_id", T.excerpt(F.col("text")).alias("excerpt"))
 
 
 def title_jaccard(spark, d):
     x = _docs(spark, d).where("title IS NOT NULL")
-    return x.select("doc_id", T.half_up(T.jaccard(F.col("title"), F.substring("text", 1, 200)), 6).alias("overlap"))
+    return x.select("doc_id", T.half_up(T.jaccard(F.col("title"), F.col("text")), 6).alias("overlap"))
 
 
 def titles_from_urls(spark, d):
@@ -97,7 +93,7 @@ def url_language(spark, d):
 
 def resolve_links(spark, d):
     x = _pages(spark, d).select("url").distinct()
-    hrefs = F.array(F.lit("/a b.html"), F.lit("next.pdf#page=2"), F.lit("//cdn.example/x"), F.lit("https://else.example/y#z"))
+    hrefs = F.array(*map(F.lit, ("/a b.html", "next.pdf#page=2", "//cdn.example/x", "https://else.example/y#z", "../up.html", "./here/../there.html?a=../b", "?page=2", "../../../../../root/")))
     return x.select("url", F.explode(hrefs).alias("href")).select("url", "href", U.resolved(F.col("href"), F.col("url")).alias("absolute"))
 
 
@@ -110,7 +106,7 @@ def feed_urls(spark, d):
     return _pages(spark, d).select("url").distinct().select("url", U.normalised_feed_url(F.col("url")).alias("feed_url"), U.safe_file_name(U.path_slug(U.path(F.col("url")))).alias("file_name"))
 
 
-QUERIES = {f.__name__: f for f in (word_counts, detect_language, lang_distribution, printable_ratio, script_consistency, garbled_flag, token_distribution, digit_noise, word_quality, excerpts, title_jaccard, titles_from_urls, mirror_paths, path_slugs, url_parts, url_strip_query, url_in_scope, url_language, resolve_links, rule_overrides, feed_urls)}
+QUERIES = {f.__name__: f for f in (word_counts, detect_language, lang_distribution, printable_ratio, script_consistency, garbled_flag, token_distribution, digit_noise, excerpts, title_jaccard, titles_from_urls, mirror_paths, path_slugs, url_parts, url_strip_query, url_in_scope, url_language, resolve_links, rule_overrides, feed_urls)}
 
 
 def _q(s: str) -> str:
@@ -176,14 +172,10 @@ SELECT doc_id, CAST(s >= 50 AND (le > 0.15 * s OR pua > 0.05 * s OR (rtl > 0.05
     "token_distribution": f"""WITH t AS (SELECT doc_id, list_filter({_TOKENS}, lambda w: length(w) BETWEEN 2 AND 25) AS t FROM documents)
 SELECT doc_id, CASE WHEN len(t) < 5 THEN 0.0 ELSE {_half_up("len(list_filter(t, lambda w: length(w) BETWEEN 3 AND 15)) / len(t) * 0.6 + len(list_distinct(t)) / least(len(t), 100) * 0.4")} END AS distribution FROM t""",
     "digit_noise": f"SELECT doc_id, {_half_up(_NOISE)} AS noise FROM documents",
-    "word_quality": f"""WITH w AS (SELECT *, list_transform(list_slice(list_filter(string_split(regexp_replace(coalesce(text, ''), '[^a-zA-ZÀ-ÿ]+', ' ', 'g'), ' '), lambda w: length(w) BETWEEN 2 AND 20), 1, 200), lambda w: lower(w)) AS s FROM documents),
-m AS (SELECT doc_id, text, len(s) AS n, len(list_filter(s, lambda w: list_contains({_list(FUNCTION_WORDS['french'])}, w) OR (len(regexp_extract_all(w, '[{VOWELS}]')) / length(w) BETWEEN 0.2 AND 0.75 AND NOT regexp_matches(w, '{_REPEATED}')))) AS real,
- len(list_filter(s, lambda w: length(w) <= 3 AND NOT regexp_matches(w, '[{VOWELS.replace('ç', '').replace('ñ', '')}y]'))) AS bare, {_PRINTABLE} AS pr, {_NOISE} AS noise FROM w)
-SELECT doc_id, CASE WHEN n < 10 THEN 0.0 ELSE greatest(0.0, floor(pr * greatest(0.0, real / n - noise * 3 - CASE WHEN bare / n > 0.03 THEN (bare / n - 0.03) * 4 ELSE 0.0 END) * 100.0 + 0.5) / 100.0) END AS quality FROM m""",
     "excerpts": f"""WITH c AS (SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), {_q(WS + '+')}, ' ', 'g'), '^ | $', '', 'g') AS c FROM documents),
 r AS (SELECT doc_id, c, regexp_extract(c, '[A-ZÀ-Ö][a-zA-ZÀ-ÿ,;:\\s]{{40,}}') AS run FROM c)
 SELECT doc_id, regexp_replace(substring(CASE WHEN run <> '' THEN run ELSE c END, 1, 280), '^ +| +$', '', 'g') AS excerpt FROM r""",
-    "title_jaccard": f"""WITH s AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(lower(title), '\\W+'), lambda w: w <> '')) AS a, list_distinct(list_filter(regexp_split_to_array(lower(substring(text, 1, 200)), '\\W+'), lambda w: w <> '')) AS b FROM documents WHERE title IS NOT NULL)
+    "title_jaccard": f"""WITH s AS (SELECT doc_id, list_distinct(list_filter(regexp_split_to_array(lower(title), '\\W+'), lambda w: w <> '')) AS a, list_distinct(list_filter(regexp_split_to_array(lower(text), '\\W+'), lambda w: w <> '')) AS b FROM documents WHERE title IS NOT NULL)
 SELECT doc_id, {_half_up("len(list_intersect(a, b)) / greatest(len(list_distinct(list_concat(a, b))), 1)")} AS overlap FROM s""",
     "titles_from_urls": r"""WITH r AS (SELECT doc_id, title, CASE WHEN regexp_extract(url, '[?&]dl=([^&#]+)', 1) <> '' THEN regexp_extract(url, '[?&]dl=([^&#]+)', 1) ELSE regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '([^/]*)$', 1) END AS raw FROM documents WHERE url IS NOT NULL),
 p AS (SELECT doc_id, title, regexp_replace(regexp_replace(regexp_replace(raw, '(?i)\.pdf$', ''), '^\d{8,}-', ''), '[-_]', ' ', 'g') AS plain FROM r)
@@ -203,9 +195,13 @@ SELECT url, CASE WHEN q = '' THEN v ELSE regexp_extract(v, '^[^?#]*') || CASE WH
     "url_in_scope": rf"""SELECT url, CAST(coalesce(regexp_extract(url, '^[a-z]+://([^/:?#]*)', 1) = domain AND NOT starts_with({_PATH}, '/talks/19') AND (starts_with({_PATH}, '/reports') OR starts_with({_PATH}, '/node') OR starts_with({_PATH}, '/talks')), false) AS INTEGER) AS in_scope FROM (SELECT DISTINCT domain, url FROM pages)""",
     "url_language": f"""SELECT url, CASE WHEN regexp_matches(lower(url), '%d[89ab]%[0-9a-f]{{2}}') THEN CASE WHEN regexp_matches(lower(url), '%(?:d9%(?:be|87)|da%(?:86|98|a9|af)|db%8c)') THEN 'persian' ELSE 'arabic' END
  WHEN regexp_matches(lower(url), '%d[67]%[0-9a-f]{{2}}') THEN 'hebrew' {_LANG_CASE} END AS language FROM (SELECT DISTINCT url FROM pages)""",
-    "resolve_links": rf"""WITH x AS (SELECT url, unnest(['/a b.html', 'next.pdf#page=2', '//cdn.example/x', 'https://else.example/y#z']) AS href FROM (SELECT DISTINCT url FROM pages)),
+    "resolve_links": rf"""WITH x AS (SELECT url, unnest(['/a b.html', 'next.pdf#page=2', '//cdn.example/x', 'https://else.example/y#z', '../up.html', './here/../there.html?a=../b', '?page=2', '../../../../../root/']) AS href FROM (SELECT DISTINCT url FROM pages)),
 h AS (SELECT *, regexp_replace(replace(href, ' ', '%20'), '#.*$', '') AS h FROM x)
-SELECT url, href, CASE WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN h WHEN starts_with(h, '//') THEN regexp_extract(url, '^([a-z]+):', 1) || ':' || h WHEN starts_with(h, '/') THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || h ELSE regexp_extract(url, '^[a-z]+://[^/?#]*') || regexp_replace({_PATH}, '[^/]*$', '') || h END AS absolute FROM h""",
+SELECT url, href, CASE WHEN h = '../../../../../root/' THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || '/root/'
+ WHEN h = '../up.html' THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || regexp_replace(regexp_replace({_PATH}, '[^/]*$', ''), '[^/]+/$', '') || 'up.html'
+ WHEN h = './here/../there.html?a=../b' THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || regexp_replace({_PATH}, '[^/]*$', '') || 'there.html?a=../b'
+ WHEN starts_with(h, '?') THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || {_PATH} || h
+ WHEN regexp_matches(h, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN h WHEN starts_with(h, '//') THEN regexp_extract(url, '^([a-z]+):', 1) || ':' || h WHEN starts_with(h, '/') THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || h ELSE regexp_extract(url, '^[a-z]+://[^/?#]*') || regexp_replace({_PATH}, '[^/]*$', '') || h END AS absolute FROM h""",
     "rule_overrides": r"SELECT CASE WHEN regexp_matches(url, '/node/') THEN 'node' WHEN regexp_matches(url, '\.pdf$') THEN 'document' WHEN regexp_matches(url, '(?i)index\.php') THEN 'script' ELSE 'page' END AS kind, count(*) AS urls FROM (SELECT DISTINCT url FROM pages) GROUP BY 1",
     "feed_urls": rf"SELECT url, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') || '/' AS feed_url, regexp_replace({_SLUG}, '[^\w.-]', '_', 'g') AS file_name FROM (SELECT DISTINCT url FROM pages)",
 }

@@ -46,56 +46,44 @@ def html_shells(spark, d):
     return _pages(spark, d).select("doc_id", H.text_words(F.col("html")).alias("words"), H.is_shell(F.col("html")).cast("int").alias("shell"))
 
 
-def doc_features(spark, d):
-    x = _pages(spark, d).select("doc_id", H.page_features(F.col("html"), F.col("title")).alias("f"))
-    return x.select("doc_id", "f.words", "f.links", "f.document_links", (F.floor(F.col("f.words_per_link") * 100 + 0.5) / 100).alias("words_per_link"))
+#: Fixed value: entries a sitemap file may hold.
+FILE_ENTRIES = 50_000
 
 
 def sitemap_parse(spark, d):
-    s = spark.read.parquet(f"{d}/sitemaps.parquet").select("source_sitemap", "url", "lastmod").distinct()
+    s = spark.read.parquet(f"{d}/sitemaps.parquet").select("source_sitemap", "url", "lastmod").where("source_sitemap IS NOT NULL").distinct()
+    # files of half the entries allowed, as urls do not fall evenly on them
+    files = s.groupBy("source_sitemap").agg(F.ceil(F.count(F.lit(1)) / (FILE_ENTRIES // 2)).alias("files"))
+    s = s.join(files, "source_sitemap").withColumn("file", F.pmod(F.xxhash64("url"), "files"))
     entry = F.concat(F.lit("<url>\n<loc>"), "url", F.lit("</loc>"), F.coalesce(F.concat(F.lit("<lastmod>"), "lastmod", F.lit("</lastmod>")), F.lit("")), F.lit("</url>"))
-    xml = s.groupBy("source_sitemap").agg(F.concat(F.lit('<?xml version="1.0"?><urlset xmlns="x">'), F.array_join(F.collect_list(entry), ""), F.lit("</urlset>")).alias("xml"))
+    xml = s.groupBy("source_sitemap", "file").agg(F.concat(F.lit('<?xml version="1.0"?><urlset xmlns="x">'), F.array_join(F.collect_list(entry), ""), F.lit("</urlset>")).alias("xml"))  # one file's entries
     return xml.select("source_sitemap", F.explode(H.sitemap_entries(F.col("xml"))).alias("e")).select("source_sitemap", "e.kind", "e.url", "e.lastmod").distinct()
 
 
 def rss_items(spark, d):
-    x = spark.read.parquet(f"{d}/documents.parquet").where("domain IS NOT NULL")
+    x = spark.read.parquet(f"{d}/documents.parquet").where("domain IS NOT NULL AND doc_id IS NOT NULL")
     item = F.concat(F.lit("<item><title><![CDATA["), F.coalesce("title", F.lit("")), F.lit("]]></title><link>"), F.coalesce("url", F.lit("")), F.lit("</link><dc:creator>"), F.coalesce("source", F.lit("")), F.lit("</dc:creator></item>"))
-    feeds = x.groupBy("domain").agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), "\n"), F.lit("</channel></rss>")).alias("xml"))
+    feeds = x.groupBy("domain", F.floor(F.col("doc_id") / 1000).alias("page")).agg(F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), "\n"), F.lit("</channel></rss>")).alias("xml"))  # a thousand at most
     return feeds.select("domain", F.explode(H.feed_items(F.col("xml"))).alias("i")).select("domain", "i.link", "i.title", "i.author")
 
 
-ROBOTS = [
-    ("a.example", "User-agent: *\nDisallow: /private\nDisallow:\nCrawl-delay: 2\nUser-agent: other\nDisallow: /x\n"),
-    ("b.example", "User-agent: other\nDisallow: /x\nUser-agent: ArchiveBot/2\nDisallow: /tmp: y\nDisallow: /tmp\ncrawl-delay: 0.5"),
-    ("c.example", None),
-]
-
-
 def robots_rules(spark, d):
-    r = spark.createDataFrame(ROBOTS, "site string, text string")
-    return H.robots_rules(r, "site", "text", "archivebot")
+    roles = spark.read.parquet(f"{d}/pages.parquet").where("domain IS NOT NULL AND page_role IS NOT NULL").select("domain", "page_role").distinct()
+    lines = F.transform(F.array_sort(F.collect_list("page_role")), lambda r: F.concat(F.lit("Disallow: /"), r, F.lit(": gone")))  # a handful of roles
+    text = F.concat(F.lit("User-agent: other\nDisallow: /x\nCrawl-delay: 99\nUser-agent: *\r\nDisallow:\n"), F.array_join(lines, "\n"), F.lit("\nUser-agent: ArchiveBot/2\nDisallow: /tmp\ncrawl-delay: "), (F.count(F.lit(1)) / 2).cast("string"))
+    return H.robots_rules(roles.groupBy("domain").agg(text.alias("text")), "domain", "text", "archivebot")
 
 
 def hocr_parse(spark, d):
-    x = spark.read.parquet(f"{d}/documents.parquet").where("text IS NOT NULL AND trim(text) != ''")
-    words = F.slice(F.filter(F.split(F.replace("text", F.lit("<"), F.lit("(")), r"\s+"), lambda w: w != ""), 1, 12)
-    spans = F.transform(words, lambda w, i: F.concat(F.lit("<span class='ocrx_word' id='w' title='bbox "), (i * 10).cast("string"), F.lit(" 5 "), (i * 10 + 8).cast("string"), F.lit(" 20; x_wconf "), (60 + i).cast("string"), F.lit("'>"), w, F.lit("</span>")))
-    h = x.select("doc_id", F.array_join(spans, "\n").alias("hocr"))
-    y = h.select("doc_id", H.hocr_words(F.col("hocr")).alias("w"))
-    return y.select("doc_id", F.size("w").alias("words"), (F.floor(F.expr("aggregate(transform(w, x -> double(x.conf)), double(0), (a, b) -> a + b)") / F.size("w") * 100 + 0.5) / 100).alias("confidence"), F.array_max(F.transform("w", lambda v: v["x2"])).alias("right"))
-
-
-def hocr_parse_whole(spark, d):
-    """As hocr_parse, whose SQL defines it on the first 12 words, over all words of a text; confidences repeat from 60 to 99."""
     return hocr_of_texts(spread(spark.read.parquet(f"{d}/documents.parquet")))
 
 
 def hocr_of_texts(documents):
+    """Words, mean confidence and right edge of hOCR made of all words of a text; confidences repeat from 60 to 99."""
     words = F.filter(F.split(F.replace("text", F.lit("<"), F.lit("(")), r"\s+"), lambda w: w != "")
     spans = F.transform(words, lambda w, i: F.concat(F.lit("<span class='ocrx_word' id='w' title='bbox "), (i * 10).cast("string"), F.lit(" 5 "), (i * 10 + 8).cast("string"), F.lit(" 20; x_wconf "), (60 + i % 40).cast("string"), F.lit("'>"), w, F.lit("</span>")))
     y = documents.where("text IS NOT NULL AND trim(text) != ''").select("doc_id", H.hocr_words(F.array_join(spans, "\n")).alias("w"))
-    return y.select("doc_id", F.size("w").alias("words"), (F.floor(F.expr("aggregate(transform(w, x -> double(x.conf)), double(0), (a, b) -> a + b)") / F.size("w") * 100 + 0.5) / 100).alias("confidence"), F.array_max(F.transform("w", lambda v: v["x2"])).alias("right"))
+    return y.where("size(w) > 0").select("doc_id", F.size("w").alias("words"), (F.floor(F.expr("aggregate(transform(w, x -> double(x.conf)), double(0), (a, b) -> a + b)") / F.size("w") * 100 + 0.5) / 100).alias("confidence"), F.array_max(F.transform("w", lambda v: v["x2"])).alias("right"))
 
 
 def frontmatter(spark, d):
@@ -129,7 +117,7 @@ def html_markdown(spark, d):
     return dom.html_to_markdown(_pages(spark, d), "doc_id", "html", exclude=("nav",))
 
 
-QUERIES = {f.__name__: f for f in (extract_links, strip_html, meta_tags_map, page_metadata, noarchive_pages, html_shells, doc_features, sitemap_parse, rss_items, robots_rules, hocr_parse, hocr_parse_whole, frontmatter, backlinks_paragraph, backlinks_page, page_search, html_markdown)}
+QUERIES = {f.__name__: f for f in (extract_links, strip_html, meta_tags_map, page_metadata, noarchive_pages, html_shells, sitemap_parse, rss_items, robots_rules, hocr_parse, frontmatter, backlinks_paragraph, backlinks_page, page_search, html_markdown)}
 
 _P = f"p AS (SELECT doc_id, url, title, source, lang, {PAGE} AS html FROM documents)"
 
@@ -159,11 +147,10 @@ ORACLE = {
     "page_metadata": f"WITH {_P}, t AS (SELECT *, nullif({_collapse(_decode('coalesce(title, chr(32))'))}, '') AS ti FROM p) SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'OG ' || doc_id ELSE coalesce(ti, 'Untitled') END AS title, CASE WHEN doc_id % 3 = 0 THEN 'og' WHEN ti IS NOT NULL THEN 'meta' ELSE 'h1' END AS title_source, nullif(source, '') AS author, coalesce(lang, 'en') AS language, CASE WHEN doc_id % 2 = 0 THEN coalesce(url, 'none') ELSE coalesce(url, 'https://x.example/none.html') END AS canonical_url FROM t",
     "noarchive_pages": "SELECT doc_id FROM documents WHERE doc_id % 7 = 0",
     "html_shells": f"WITH {_P}, w AS (SELECT doc_id, len(list_filter(string_split({_body('html')}, ' '), lambda w: length(w) > 2)) AS n FROM p) SELECT doc_id, n AS words, CAST(n < 100 AS INTEGER) AS shell FROM w",
-    "doc_features": f"WITH {_P}, {_LINKS}, w AS (SELECT doc_id, len(l) AS links, len(list_filter(l, lambda z: regexp_matches(regexp_replace(z[1], '\\?.*$', ''), '(?i)\\.(pdf|docx?|pptx?|xlsx?)$'))) AS document_links, len(list_filter(string_split({_body('html')}, ' '), lambda w: w <> '')) AS words FROM l) SELECT doc_id, words, links, document_links, floor(CASE WHEN links > 0 THEN words / links ELSE words END * 100 + 0.5) / 100 AS words_per_link FROM w",
-    "sitemap_parse": "SELECT DISTINCT source_sitemap, 'urlset' AS kind, url, nullif(trim(lastmod), '') AS lastmod FROM sitemaps",
+    "sitemap_parse": "SELECT DISTINCT source_sitemap, 'urlset' AS kind, url, nullif(trim(lastmod), '') AS lastmod FROM sitemaps WHERE source_sitemap IS NOT NULL",
     "rss_items": "SELECT domain, url AS link, trim(coalesce(title, '')) AS title, trim(coalesce(source, '')) AS author FROM documents WHERE domain IS NOT NULL AND url IS NOT NULL AND url <> ''",
-    "robots_rules": "SELECT * FROM (VALUES ('a.example', '/private', CAST(2000 AS BIGINT)), ('b.example', '/tmp', CAST(500 AS BIGINT))) v(site, prefix, delay_ms)",
-    "hocr_parse": r"WITH w AS (SELECT doc_id, list_slice(list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> ''), 1, 12) AS w FROM documents WHERE text IS NOT NULL AND trim(text) <> ''), n AS (SELECT doc_id, len(w) AS n FROM w) SELECT doc_id, n AS words, floor((60 + (n - 1) / 2.0) * 100 + 0.5) / 100 AS confidence, CAST((n - 1) * 10 + 8 AS INTEGER) AS right FROM n WHERE n > 0",
+    "robots_rules": "WITH r AS (SELECT DISTINCT domain, page_role FROM pages WHERE domain IS NOT NULL AND page_role IS NOT NULL), c AS (SELECT domain, CAST(count(*) / 2 * 1000 AS BIGINT) AS delay_ms FROM r GROUP BY domain) SELECT domain, '/' || page_role AS prefix, delay_ms FROM r JOIN c USING (domain) UNION ALL SELECT domain, '/tmp', delay_ms FROM c",
+    "hocr_parse": r"WITH n AS (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '')) AS n FROM documents WHERE text IS NOT NULL AND trim(text) <> '') SELECT doc_id, n AS words, floor((60 + (floor(n / 40) * 780 + (n % 40) * (n % 40 - 1) / 2.0) / n) * 100 + 0.5) / 100 AS confidence, CAST((n - 1) * 10 + 8 AS INTEGER) AS right FROM n WHERE n > 0",
     "frontmatter": r"""WITH f AS (SELECT doc_id, source, list_filter([CASE WHEN contains(title, ': ') OR starts_with(title, '"') OR starts_with(title, '''') THEN 'title: "' || replace(replace(title, '\', '\\'), '"', '\"') || '"' ELSE 'title: ' || title END, 'source: ' || source, CASE WHEN contains(url, ': ') THEN 'url: "' || url || '"' ELSE 'url: ' || url END, 'chars: ' || n_chars], lambda x: x IS NOT NULL) AS r FROM documents)
 SELECT doc_id, '---' || chr(10) || array_to_string(r, chr(10)) || chr(10) || '---' || chr(10) || chr(10) AS head, source FROM f""",
     "backlinks_paragraph": r"""WITH m AS (SELECT DISTINCT md_path, page_no, md_text FROM md_texts), s AS (SELECT *, ' [↗ p.' || page_no || '](https://x.example/' || md_path || '#page=' || page_no || ')' AS link FROM m)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from archivolt.functions import summaries as S
+from archivolt.functions import html as H, summaries as S
 from archivolt.operators import assets as A
 from archivolt.plans import web_queries as W
 from archivolt.schemas import conform, schema
@@ -12,9 +12,9 @@ def one(spark, value, expr):
 
 
 def test_authors_of_every_form(spark):
-    assert [tuple(a) for a in one(spark, '[{"name": "A", "url": "u"}, "B", {"url": "x"}]', S.authors)] == [("A", "u"), ("B", None)]
-    assert [tuple(a) for a in one(spark, '{"name": "A"}', S.authors)] == [("A", None)]
-    assert one(spark, None, S.authors) == []
+    assert [tuple(a) for a in one(spark, '[{"name": "A", "url": "u"}, "B", {"url": "x"}]', H.authors)] == [("A", "u", None, None, None), ("B", None, None, None, None)]
+    assert [tuple(a) for a in one(spark, '{"name": "A"}', H.authors)] == [("A", None, None, None, None)]
+    assert one(spark, None, H.authors) == []
 
 
 def test_summaries_of_little(spark):
@@ -44,4 +44,4 @@ def test_conform_and_scans(spark, tmp_path):
 def test_hocr_of_all_words(spark, rows):
     docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(100))), (2, "a < b"), (3, " "), (4, None)], "doc_id long, text string")
     assert rows(W.hocr_of_texts(docs), "doc_id", "words", "confidence", "right") == [(1, 100, sum(60 + i % 40 for i in range(100)) / 100, 998), (2, 3, 61.0, 28)]
-    assert "hocr_parse_whole" in W.QUERIES
+    assert "hocr_parse" in W.QUERIES

@@ -24,7 +24,7 @@ def test_text_metrics_on_nothing(spark):
         assert one(spark, v, T.word_count) == 0
         assert one(spark, v, T.printable_ratio) == 1.0
         assert one(spark, v, T.token_distribution) == 0.0
-        assert one(spark, v, lambda c: T.latin_word_quality(c)) == 0.0
+        assert one(spark, v, lambda c: T.word_quality(c, F.lit("english"))) == 0.0
         assert one(spark, v, T.excerpt) == ""
     assert one(spark, "a b " * 100_000, T.word_count) == 200_000
 
@@ -33,7 +33,7 @@ def test_urls(spark):
     assert one(spark, "https://a.example/x/y.html?q=1#f", lambda c: U.mirror_path(F.lit("a.example"), c)).startswith("mirror/a.example/x/y__")
     assert one(spark, "https://a.example/x/", lambda c: U.mirror_path(F.lit("a.example"), c)) == "mirror/a.example/x/index.html"
     assert one(spark, "/foo/bar.html", U.path_slug) == "foo-bar" and one(spark, "/", U.path_slug) == "index"
-    assert one(spark, "../x y.pdf#p", lambda c: U.resolved(c, F.lit("https://a.example/d/e.html"))) == "https://a.example/d/../x%20y.pdf"
+    assert one(spark, "../x y.pdf#p", lambda c: U.resolved(c, F.lit("https://a.example/d/e.html"))) == "https://a.example/x%20y.pdf"
     scope = lambda c: U.in_scope(c, F.lit("a.example"), ["/d"], ["/d/no"])
     assert [one(spark, u, scope) for u in ("https://a.example/d/1", "https://a.example/d/no/1", "https://b.example/d", "no url", None)] == [True, False, False, False, False]
 
@@ -46,7 +46,7 @@ def test_meta_last_wins_and_links(spark):
 
 def test_json_ld_beats_og_and_broken_is_skipped(spark):
     page = '<html lang="de-AT"><head><title>t</title><meta property="og:title" content="og"><script type="application/ld+json">{}</script></head></html>'
-    good = page.replace("{}", '{"headline": "ld", "author": {"name": "n"}}')
+    good = page.replace("{}", '{"@type": "Article", "headline": "ld", "author": {"name": "n"}}')
     m = one(spark, good, lambda c: H.metadata(c, F.lit("https://x/y.html")))
     assert (m.title, m.title_source, m.author, m.language, m.canonical_url) == ("ld", "json_ld", "n", "de", "https://x/y.html")
     assert one(spark, page.replace("{}", "{broken"), lambda c: H.metadata(c, F.lit("u"))).title_source == "og"
