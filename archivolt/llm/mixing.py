@@ -17,12 +17,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from archivolt.session import materialize, spread
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the splitting pattern of that vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def counted(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
+def counted(documents: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, source, tokens) of every document with a source; NULL texts have no tokens.
 
     The vocabulary file is read by the driver and sent along, so that executors need no copy of it.
@@ -36,7 +35,7 @@ def counted(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
         encoding = tiktoken.Encoding("archive", pat_str=PATTERN, mergeable_ranks=shared.value, special_tokens={})
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "tokens": [len(encoding.encode_ordinary(t)) if t else 0 for t in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "tokens": [len(x) for x in encoding.encode_ordinary_batch([t or "" for t in pdf["text"]], num_threads=1)]})
 
     return spread(documents.where("doc_id IS NOT NULL AND source IS NOT NULL").select("doc_id", "source", "text")).mapInPandas(count, "doc_id long, source string, tokens long")
 
@@ -71,7 +70,7 @@ def repetition_rates(available: dict[str, int], targets: dict[str, tuple[float,
 class Mixture:
     """The emitted copies and the report of one mix."""
 
-    def __init__(self, documents: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 17, tokenizer: str = TOKENIZER):
+    def __init__(self, documents: DataFrame, targets: DataFrame, tokenizer: str, total: float | None = None, seed: int = 17):
         self.sizes = materialize(counted(documents, tokenizer), "token-counts")
         self.targets = {r["source"]: (float(r["target_share"]), int(r["max_repeats"])) for r in targets.where("source IS NOT NULL AND target_share IS NOT NULL").select("source", "target_share", F.coalesce("max_repeats", F.lit(1)).alias("max_repeats")).collect()}  # one row a source
         named = [*self.targets]
@@ -80,15 +79,18 @@ class Mixture:
         self.rates = repetition_rates(self.available, self.targets, total)
         self.seed = seed
 
-    def copies(self) -> DataFrame:
-        """(doc_id, source, tokens, copy_no): each document as often as drawn, copies numbered from 1."""
-        spark = self.sizes.sparkSession
-        rows = [(s, int(np.floor(r)), float(r - np.floor(r))) for s, r in self.rates.items()]
-        rates = spark.createDataFrame(rows, "source string, whole int, part double")
+    def copies(self, documents: DataFrame | None = None) -> DataFrame:
+        """(doc_id, source, ..., copy_no): each document as often as drawn, copies numbered from 1; the draw depends on its id,
+        its source's rate and the seed alone, so that any table of the documents can be drawn from. By default (doc_id,
+        source, tokens)."""
+        rows = self.sizes if documents is None else documents
+        spark = rows.sparkSession
+        told = [(s, int(np.floor(r)), float(r - np.floor(r))) for s, r in self.rates.items()]
+        rates = spark.createDataFrame(told, "source string, whole int, part double")
         draw = F.pmod(F.xxhash64(F.lit(self.seed), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
         times = F.col("whole") + F.when(draw < F.col("part"), 1).otherwise(0)
-        drawn = self.sizes.join(F.broadcast(rates), "source").withColumn("times", times).where("times > 0")  # rates: one row a source
-        return drawn.select("doc_id", "source", "tokens", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy_no"))
+        drawn = rows.where("doc_id IS NOT NULL").join(F.broadcast(rates), "source").withColumn("times", times).where("times > 0")  # rates: one row a source
+        return drawn.select(*rows.columns, F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy_no"))
 
     def report(self) -> DataFrame:
         """(source, target_share, reached_share, tokens_available, tokens_emitted, rate, capped)."""
@@ -99,12 +101,12 @@ class Mixture:
         return spark.createDataFrame(rows, "source string, target_share double, reached_share double, tokens_available long, tokens_emitted long, rate double, capped boolean")
 
 
-def mix(documents: DataFrame, targets: DataFrame, **options) -> DataFrame:
-    """(doc_id, source, copy_no, tokens, text) of the mix.
+def mix(documents: DataFrame, targets: DataFrame, tokenizer: str, **options) -> DataFrame:
+    """(doc_id, source, copy_no, text) of the mix, emitted by the scan of the texts: no text is shuffled.
 
     Documents without id or source, or of a source without target, are left out; blank texts have no tokens and are drawn
     like others. Equal texts under several ids are several records. Empty tables give an empty mix. Targets that no
     rate can reach are reported as capped by `Mixture.report`.
     """
-    copies = Mixture(documents, targets, **options).copies()
-    return copies.join(documents.select("doc_id", "text"), "doc_id").select("doc_id", "source", "copy_no", "tokens", "text")
+    copies = Mixture(documents, targets, tokenizer, **options).copies(documents.select("doc_id", "source", "text"))
+    return copies.select("doc_id", "source", "copy_no", "text")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from archivolt.llm import mixing, ranking
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SCHEMA = "url string, scored_at string, avg_chars_per_page double, readable_pages_pct double, word_quality_estimate double, has_text_layer int, rank string, closeness string"
 
 
@@ -52,11 +53,11 @@ def test_mixture(spark):
     rows = [(i, "word " * 50, "a" if i < 600 else "b", "z") for i in range(800)] + [(900, None, "a", "z"), (901, "x", None, "z"), (902, "x", "other", "z"), (903, "", "b", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, tokens string")
     targets = spark.createDataFrame([("a", 0.5, 3, "q"), ("b", 0.5, 3, "q"), ("c", 0.0, 3, "q"), (None, 0.1, 1, "q")], "source string, target_share double, max_repeats int, tokens string")
-    m = mixing.Mixture(docs, targets)
+    m = mixing.Mixture(docs, targets, VOCABULARY)
     report = {r["source"]: r for r in m.report().collect()}
     assert abs(report["a"]["reached_share"] - 0.5) < 0.05 and not report["b"]["capped"] and report["c"]["tokens_emitted"] == 0
-    got = mixing.mix(docs, targets).toPandas()
+    got = mixing.mix(docs, targets, VOCABULARY).toPandas()
     assert got.groupby(["doc_id", "copy_no"]).size().max() == 1 and got.copy_no.max() <= 3 and set(got.source) == {"a", "b"}
-    again = mixing.mix(docs, targets).toPandas()
+    again = mixing.mix(docs, targets, VOCABULARY).toPandas()
     assert sorted(map(tuple, got[["doc_id", "copy_no"]].values)) == sorted(map(tuple, again[["doc_id", "copy_no"]].values))
-    assert mixing.mix(docs.limit(0), targets).count() == 0 and mixing.mix(docs, targets.limit(0)).count() == 0
+    assert mixing.mix(docs.limit(0), targets, VOCABULARY).count() == 0 and mixing.mix(docs, targets.limit(0), VOCABULARY).count() == 0
