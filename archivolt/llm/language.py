@@ -1,11 +1,14 @@
 """Language labels from n-gram filters that answer with language bitmasks.
 
-A bit-sliced Bloom filter holds one 16-bit word per cell; a lookup ANDs the cells of an n-gram's hashes and returns every
-language that contains it. Hits per language, corrected by that language's rate of false positives, give word scores;
-a best path with a cost for switching cuts a text into segments of one language each.
-
-Scale: the filter has a fixed size and goes to every executor; texts are judged in Arrow batches, row by row, without a
-shuffle but the one that picks the newest row of a url. The filter is fitted on a bounded sample of labelled rows.
+A bit-sliced Bloom filter holds as many 64-bit words per cell as the languages need; a lookup ANDs the cells of an n-gram's
+hashes and returns every language that contains it. Hits per language, corrected by that language's rate of false positives,
+give word scores; a best path with a cost for switching cuts a text into segments of one language each. Which languages there
+are is learned from the labels: one that names no language known here is another spelling of the language its texts are in,
+or else a language of its own.
+
+Scale: the filter's size depends on the number of languages alone, and it goes to every executor; texts are judged in Arrow
+batches, all words of many texts at once, without a shuffle but the one that picks the newest row of a url. The filter is
+fitted on a bounded sample of labelled rows.
 """
 
 from __future__ import annotations
@@ -16,9 +19,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from archivolt.llm.fold import mix
+from archivolt.llm.fold import mix, slices
 from archivolt.session import materialize, spread
 
 #: ISO 639-1 codes and the names a label may use for them.
@@ -30,15 +33,18 @@ NAMES = {
 }
 CELLS = 1 << 20
 HASHES = 2
-MOST_LANGUAGES = 16
+#: Labels that say nothing.
+NO_LABEL = ["", "unknown", "und", "none", "null", "n/a", "?"]
 
 
-def label_code(label: Column) -> Column:
-    """ISO 639-1 code a label names; NULL for none (NULL, blank, unknown, und, or a name not known here)."""
-    pairs = [(n, code) for code, names in NAMES.items() for n in names.split()]
-    table = F.create_map(*[F.lit(x) for p in pairs for x in p])
+def label_code(label: Column, spellings: dict[str, str] | None = None) -> Column:
+    """ISO 639-1 code a label names, else what `spellings` makes of it, else the label in lower case; NULL where it says
+    nothing (NULL, blank, unknown, und)."""
+    pairs = [(n, code) for code, names in NAMES.items() for n in names.split()] + list((spellings or {}).items())
+    table = F.create_map(*[F.lit(x) for p in dict(pairs).items() for x in p])
     plain = F.lower(F.trim(label))
-    return F.coalesce(F.try_element_at(table, plain), F.try_element_at(table, F.regexp_extract(plain, r"^([a-z]{2,3})[-_]", 1)))
+    bare = F.regexp_replace(plain, r"^([a-z]{2,3})[-_].*$", "$1")
+    return F.when(~plain.isin(NO_LABEL), F.coalesce(F.try_element_at(table, plain), F.try_element_at(table, bare), bare))
 
 
 @functools.cache
@@ -110,20 +116,26 @@ def cells(h: np.ndarray) -> list[np.ndarray]:
 
 
 class Filter:
-    """The filter: `table[cell]` has bit k set if language k has an n-gram there."""
-
-    def __init__(self, languages: list[str], entries: list[tuple[int, np.ndarray]]):
-        self.languages = languages
-        self.table = np.zeros(CELLS, dtype=np.uint16)
+    """The filter: bit k of word k // 64 of a cell is set if language k has an n-gram there. `spellings`: labels of no name
+    known here, with the language they name."""
+
+    def __init__(self, languages: list[str], entries: list[tuple[int, np.ndarray]], spellings: dict[str, str] | None = None):
+        self.languages, self.spellings = languages, spellings or {}
+        kind = np.uint16 if len(languages) <= 16 else np.uint64
+        self.bits = 16 if len(languages) <= 16 else 64
+        self.tables = [np.zeros(CELLS, dtype=kind) for _ in range(max(1, -(-len(languages) // self.bits)))]
         for k, h in entries:
             for c in cells(h):
-                self.table[c] |= np.uint16(1 << k)
-        bits = [(self.table >> np.uint16(k)) & np.uint16(1) for k in range(len(languages))]
-        self.false_rate = np.array([float(b.mean()) ** HASHES for b in bits])
+                self.tables[k // self.bits][c] |= kind(1 << (k % self.bits))
+        self.false_rate = np.array([float(self._bit(self.tables, k).mean()) ** HASHES for k in range(len(languages))])
+
+    def _bit(self, words: list[np.ndarray], k: int) -> np.ndarray:
+        w = words[k // self.bits]
+        return (w >> w.dtype.type(k % self.bits)) & w.dtype.type(1)
 
-    def masks(self, h: np.ndarray) -> np.ndarray:
-        found = [self.table[c] for c in cells(h)]
-        return functools.reduce(np.bitwise_and, found)
+    def masks(self, h: np.ndarray) -> list[np.ndarray]:
+        at = cells(h)
+        return [functools.reduce(np.bitwise_and, [t[c] for c in at]) for t in self.tables]
 
     def word_scores(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(words x languages) corrected hits, n-grams per word, begin, end."""
@@ -132,24 +144,19 @@ class Filter:
             return np.zeros((0, len(self.languages))), np.zeros(0), begin, end
         m = self.masks(h)
         n = np.bincount(w, minlength=len(begin)).astype(float)
-        hits = np.stack([np.bincount(w, weights=(m >> np.uint16(k)) & np.uint16(1), minlength=len(begin)) for k in range(len(self.languages))], axis=1)
+        hits = np.stack([np.bincount(w, weights=self._bit(m, k), minlength=len(begin)) for k in range(len(self.languages))], axis=1)
         return (hits - n[:, None] * self.false_rate) / (1 - self.false_rate), n, begin, end
 
     @staticmethod
     def _path(gain: np.ndarray, switch: float) -> np.ndarray:
         """The language of each word on the best path, a change costing `switch`."""
-        lead = int(gain.sum(axis=0).argmax())
-        # no stretch in any other language wins half a change back: then one language throughout is the best path
-        run = np.cumsum(gain - gain[:, lead : lead + 1], axis=0)
-        low = np.minimum.accumulate(np.vstack((np.zeros((1, run.shape[1])), run[:-1])), axis=0)
-        if (run - low).max() < switch / 2:
-            return np.full(len(gain), lead, dtype=np.int64)
         best = np.zeros(gain.shape[1])
-        back = np.zeros(gain.shape, dtype=np.int8)
+        back = np.zeros(gain.shape, dtype=np.int16)
+        own = np.arange(gain.shape[1])
         for i in range(len(gain)):
             top = int(best.argmax())
             stay = best >= best[top] - switch
-            back[i] = np.where(stay, np.arange(len(best)), top)
+            back[i] = np.where(stay, own, top)
             best = np.where(stay, best, best[top] - switch) + gain[i]
         path = np.zeros(len(gain), dtype=np.int64)
         path[-1] = best.argmax()
@@ -157,52 +164,57 @@ class Filter:
             path[i - 1] = back[i][path[i]]
         return path
 
-    def segments(self, text: str, switch: float = 14.0, least_words: int = 5, least_letters: int = 20) -> list[tuple[str, int, int, float, float]]:
-        """(language, begin, end, confidence, weight) of each passage; shorter stretches belong to none."""
-        score, n, begin, end = self.word_scores(text)
+    def segments(self, texts: list[str], switch: float = 14.0, least_words: int = 5, least_letters: int = 20) -> list[list[tuple[str, int, int, float, float]]]:
+        """Of each text (language, begin, end, confidence, weight) of each passage; shorter stretches belong to none."""
+        joined = "\n".join(texts)
+        score, n, begin, end = self.word_scores(joined)
+        out: list[list] = [[] for _ in texts]
         if len(begin) == 0:
-            return []
-        path = self._path(score - score.max(axis=1, keepdims=True), switch)
-        cut = np.concatenate(([0], np.flatnonzero(np.diff(path)) + 1, [len(path)]))
+            return out
+        offset = np.cumsum([0] + [len(t) + 1 for t in texts])
+        owner = np.searchsorted(offset, begin, side="right") - 1
+        first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+        last = np.concatenate((first[1:], [len(begin)]))
+        size = end - begin
         _, alone = _letters()
-        out = []
-        for a, b in zip(cut[:-1], cut[1:]):
-            k = path[a]
-            if len(cut) > 2:  # names belong to no language: a passage among others reaches from its first to its last own word
-                lead = score[a:b, k] - (np.delete(score[a:b], k, axis=1).max(axis=1) if score.shape[1] > 1 else 0.0)
-                own = np.flatnonzero(lead > 0.5)
-                if len(own) == 0:
+        code = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32)
+        han = alone[np.minimum(code[begin], 0x2FFFF)]
+        gain = score - score.max(axis=1, keepdims=True)
+        # where no stretch in any other language wins half a change back, one language throughout is the best path
+        lead = np.add.reduceat(gain, first, axis=0).argmax(axis=1)
+        place = np.repeat(np.arange(len(first)), last - first)
+        ahead = gain - gain[np.arange(len(gain)), lead[place]][:, None]
+        run = np.cumsum(ahead, axis=0)
+        run -= (run[first] - ahead[first])[place]
+        apart = (1e7 * place)[:, None]
+        low = np.minimum.accumulate(run - ahead - apart, axis=0) + apart
+        mixed = np.maximum.reduceat((run - low).max(axis=1), first) >= switch / 2
+        for t, (a, b) in enumerate(zip(first, last)):
+            path = self._path(gain[a:b], switch) if mixed[t] else None
+            cut = np.concatenate(([0], np.flatnonzero(np.diff(path)) + 1, [b - a])) if path is not None else (0, b - a)
+            for x, y in zip(cut[:-1], cut[1:]):
+                k = int(lead[t] if path is None else path[x])
+                x, y = a + x, a + y
+                if len(cut) > 2:  # names belong to no language: a passage among others reaches from its first to its last own word
+                    rest = score[x:y].copy()
+                    rest[:, k] = -np.inf
+                    own = np.flatnonzero(score[x:y, k] - (rest.max(axis=1) if score.shape[1] > 1 else 0.0) > 0.5)
+                    if len(own) == 0:
+                        continue
+                    x, y = x + own[0], x + own[-1] + 1
+                chars, letters = int(han[x:y].sum()), int(size[x:y].sum())
+                words = (y - x - chars) + chars / 1.7
+                if words < least_words or letters < (least_letters if chars == 0 else 6):
                     continue
-                a, b = a + own[0], a + own[-1] + 1
-            part = text[begin[a] : end[b - 1]]
-            han = sum(1 for c in part if ord(c) < 0x30000 and alone[ord(c)])
-            letters = sum(c.isalpha() for c in part)
-            words = (b - a - han) + han / 1.7
-            if words < least_words or letters < (least_letters if han == 0 else 6):
-                continue
-            total = score[a:b].sum(axis=0)
-            grams_here = max(1.0, n[a:b].sum())
-            rest = np.delete(total, k).max() if len(total) > 1 else 0.0
-            hit, ahead = total[k] / grams_here, (total[k] - rest) / max(total[k], 1e-9)
-            out.append((self.languages[k], int(begin[a]), int(end[b - 1]), float(np.clip(hit * (0.5 + 0.5 * min(1.0, 4 * ahead)), 0, 1)), float(letters + 1.5 * han)))
+                total = score[x:y].sum(axis=0)
+                others = np.delete(total, k)
+                hit, far = total[k] / max(1.0, n[x:y].sum()), (total[k] - (others.max() if len(others) else 0.0)) / max(total[k], 1e-9)
+                begun = int(offset[owner[a]])
+                out[owner[a]].append((self.languages[k], int(begin[x]) - begun, int(end[y - 1]) - begun, float(np.clip(hit * (0.5 + 0.5 * min(1.0, 4 * far)), 0, 1)), float(letters + 1.5 * chars)))
         return out
 
 
-def fit(labelled: DataFrame, rows_per_language: int = 600, least_share: float = 0.3) -> Filter:
-    """The filter of (lang, text) rows: an n-gram belongs to a language if the share of that language's texts which have
-    it is at least `least_share` of its largest share in any language. At most `rows_per_language` rows of each count,
-    chosen by the hash of the text, whatever the size of the table. Wrong labels are outvoted."""
-
-    hashed = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND text != ''").select("lang", "text", F.xxhash64("text").alias("h")).distinct()
-    packed = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    size = {r["lang"]: r["n"] for r in packed.collect()}  # one row a known language
-    keep = F.create_map(*[F.lit(x) for k, v in size.items() for x in (k, min(1.0, rows_per_language / v))]) if size else None
-    if keep is None:
-        return Filter(["en"], [])
-    # the hash as a number in [0, 1): a fraction of each language's rows
-    place = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = hashed.where(place < F.element_at(keep, F.col("lang"))).select("lang", "text").toPandas()
-    languages = sorted(sample["lang"].unique())[:MOST_LANGUAGES]
+def _fitted(sample: pd.DataFrame, languages: list[str], least_share: float, spellings: dict[str, str] | None = None) -> Filter:
     shares: list[tuple[np.ndarray, np.ndarray]] = []
     for lang in languages:
         texts = sample.loc[sample["lang"] == lang, "text"]
@@ -219,7 +231,43 @@ def fit(labelled: DataFrame, rows_per_language: int = 600, least_share: float =
         ok = s >= least_share * most[place_of[at : at + len(h)]]
         entries.append((k, h[ok]))
         at += len(h)
-    return Filter(languages, entries)
+    return Filter(languages, entries, spellings)
+
+
+def fit(labelled: DataFrame, rows_per_language: int = 600, least_share: float = 0.3, least_part: float = 0.002, same: float = 0.7) -> Filter:
+    """The filter of (lang, text) rows: an n-gram belongs to a language if the share of that language's texts which have
+    it is at least `least_share` of its largest share in any language. At most `rows_per_language` rows of each count,
+    chosen by the hash of the text, whatever the size of the table. Wrong labels are outvoted.
+
+    A label with no name known here counts from `least_part` of the labelled rows on, so that there are 1 / `least_part` at
+    most: if a share `same` of its texts' n-grams are those of one language known by then, it names that, else one of its own.
+    """
+
+    hashed = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND text != ''").select("lang", "text", F.xxhash64("text").alias("h")).distinct()
+    sizes = hashed.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    part = F.col("n") >= least_part * F.sum("n").over(Window.partitionBy(F.lit(1)))  # one row a label
+    size = {r["lang"]: r["n"] for r in sizes.where("lang IS NOT NULL").withColumn("often", part).where(F.col("often") | F.col("lang").isin(list(NAMES))).collect()}
+    if not size:
+        return Filter(["en"], [])
+    keep = F.create_map(*[F.lit(x) for k, v in size.items() for x in (k, min(1.0, rows_per_language / v))])
+    # the hash as a number in [0, 1): a fraction of each language's rows
+    place = F.pmod("h", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = hashed.where(place < F.try_element_at(keep, F.col("lang"))).select("lang", "text").toPandas()
+    present = sorted(sample["lang"].unique())
+    languages, spellings = [k for k in present if k in NAMES] or present[:1], {}
+    model = _fitted(sample, languages, least_share)
+    for label in sorted(set(present) - set(languages), key=lambda k: (-size[k], k)):
+        total, grams_seen = np.zeros(len(model.languages)), 0.0
+        for text in sample.loc[sample["lang"] == label, "text"]:
+            score, n, _, _ = model.word_scores(text)
+            total, grams_seen = total + score.sum(axis=0), grams_seen + n.sum()
+        if grams_seen and total.max() >= same * grams_seen:
+            spellings[label] = model.languages[int(total.argmax())]
+        else:
+            languages = sorted([*languages, label])
+            model = _fitted(sample, languages, least_share)
+    model.spellings = spellings
+    return model
 
 
 def newest(pdf_quality: DataFrame) -> DataFrame:
@@ -228,23 +276,29 @@ def newest(pdf_quality: DataFrame) -> DataFrame:
     return kept.groupBy("url").agg(F.max("r").alias("r")).select("url", "r.ai_language", "r.excerpt", "r.ai_summary")
 
 
-def judged(pdf_quality: DataFrame, rows_per_language: int = 600) -> DataFrame:
+def learned(pdf_quality: DataFrame, rows_per_language: int = 600) -> tuple[DataFrame, Filter]:
+    """The newest row of each url, and the filter fitted on their labels and excerpts."""
+    rows = materialize(newest(pdf_quality), "newest-quality")
+    return rows, fit(rows.select(label_code(F.col("ai_language")).alias("lang"), F.col("excerpt").alias("text")), rows_per_language)
+
+
+def judged(rows: DataFrame, model: Filter) -> DataFrame:
     """(url, field, seg_no, begin, end, lang, confidence, share): segments of excerpt and ai_summary, in order.
 
     Texts without a passage yield nothing; NULL and blank texts are ignored. `share` is the segment's part of the text.
     """
-    rows = spread(materialize(newest(pdf_quality), "newest-quality"))
-    model = fit(rows.select(label_code(F.col("ai_language")).alias("lang"), F.col("excerpt").alias("text")), rows_per_language)
-    shared = pdf_quality.sparkSession.sparkContext.broadcast(model)
+    rows = spread(rows)
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for pdf in batches:
             out = []
             for field in ("excerpt", "ai_summary"):
-                for url, text in zip(pdf["url"], pdf[field]):
-                    if text:
-                        parts = model.segments(text)
+                given = pdf[["url", field]][pdf[field].map(bool) & pdf[field].notna()]
+                urls, texts = given["url"].tolist(), given[field].tolist()
+                for a, b in slices(texts, 100_000):
+                    for url, parts in zip(urls[a:b], model.segments(texts[a:b])):
                         total = sum(p[4] for p in parts) or 1.0
                         out += [(url, field, i, p[1], p[2], p[0], p[3], p[4] / total) for i, p in enumerate(parts)]
             yield pd.DataFrame(out, columns=["url", "field", "seg_no", "begin", "end", "lang", "confidence", "share"])
@@ -259,10 +313,10 @@ def main_languages(segments: DataFrame) -> DataFrame:
     return top.select("url", F.col("m.lang").alias("lang"), (F.col("m.c")).alias("confidence"))
 
 
-def label_findings(pdf_quality: DataFrame, segments: DataFrame) -> DataFrame:
-    """(url, field, lang): labels that are missing or name another language than the excerpt's main one, with that
+def label_findings(rows: DataFrame, model: Filter, segments: DataFrame) -> DataFrame:
+    """(url, field, lang): of the newest rows, labels that are missing or name another language than the excerpt's main one, with that
     language; and for texts with passages in two languages or more each of them."""
-    labels = newest(pdf_quality).select("url", label_code(F.col("ai_language")).alias("said"))
+    labels = rows.select("url", label_code(F.col("ai_language"), model.spellings).alias("said"))
     wrong = main_languages(segments).join(labels, "url").where("said IS NULL OR said != lang").select("url", F.lit("ai_language").alias("field"), "lang")
     per = segments.groupBy("url", "field").agg(F.collect_set("lang").alias("langs")).where(F.size("langs") > 1)
     return wrong.unionByName(per.select("url", "field", F.explode("langs").alias("lang")))
