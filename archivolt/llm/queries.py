@@ -10,6 +10,10 @@ from archivolt.llm import language, leakage, mixing, mojibake, neardup_index, ra
 from archivolt.session import materialize, shared_dir, ship_package
 
 
+#: The vocabulary that sizes are counted with.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,6 +27,10 @@ def p2_repaired(spark, sf_dir):
     return mojibake.repaired(_t(spark, sf_dir, "pdf_quality"), _t(spark, sf_dir, "pages"))
 
 
+def p2_validation(spark, sf_dir):
+    return mojibake.Repair(_t(spark, sf_dir, "pdf_quality"), _t(spark, sf_dir, "pages")).validation()
+
+
 def p3_ranking(spark, sf_dir):
     return ranking.pdf_ranking(_t(spark, sf_dir, "pdf_quality"))
 
@@ -36,17 +44,17 @@ def p4_repaired(spark, sf_dir):
 
 
 def p5_found(spark, sf_dir):
-    quality = _t(spark, sf_dir, "pdf_quality")
-    segments = materialize(language.judged(quality), "language-segments")
-    return language.label_findings(quality, segments).distinct()
+    rows, model = language.learned(_t(spark, sf_dir, "pdf_quality"))
+    segments = materialize(language.judged(rows, model), "language-segments")
+    return language.label_findings(rows, model, segments).distinct()
 
 
 def p5_segments(spark, sf_dir):
-    return language.judged(_t(spark, sf_dir, "pdf_quality"))
+    return language.judged(*language.learned(_t(spark, sf_dir, "pdf_quality")))
 
 
 def p5_languages(spark, sf_dir):
-    return language.main_languages(language.judged(_t(spark, sf_dir, "pdf_quality")))
+    return language.main_languages(language.judged(*language.learned(_t(spark, sf_dir, "pdf_quality"))))
 
 
 def p7_found(spark, sf_dir):
@@ -67,14 +75,14 @@ def p10_found(spark, sf_dir):
 
 
 def p9_mixture(spark, sf_dir):
-    return mixing.mix(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "mix_targets"))
+    return mixing.mix(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "mix_targets"), TOKENIZER)
 
 
 def p9_shares(spark, sf_dir):
-    return mixing.Mixture(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "mix_targets")).report()
+    return mixing.Mixture(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "mix_targets"), TOKENIZER).report()
 
 
-QUERIES = {"p3_ranking": p3_ranking, "p4_found": p4_found, "p4_repaired": p4_repaired, "p5_found": p5_found, "p5_segments": p5_segments, "p5_languages": p5_languages, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p2_found": p2_found, "p2_repaired": p2_repaired, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found}
+QUERIES = {"p3_ranking": p3_ranking, "p4_found": p4_found, "p4_repaired": p4_repaired, "p5_found": p5_found, "p5_segments": p5_segments, "p5_languages": p5_languages, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p2_found": p2_found, "p2_repaired": p2_repaired, "p2_validation": p2_validation, "p7_found": p7_found, "p8_found": p8_found, "p8_items": p8_items, "p10_found": p10_found}
 ORACLE: dict[str, str] = {}
 
 

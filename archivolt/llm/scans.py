@@ -1,19 +1,24 @@
 """Noise in text from scanned pages: found, and repaired into continuous paragraphs.
 
-Skip-gram vectors are learned in closed form: what skip-gram training with negative samples factorises are the counts of
-words within two places of each other, and those are projected at random onto a few dimensions, frequent neighbours
-weighing less. The counts add up over all pages, so one aggregation trains on the whole corpus. Rare words are linked
-to words at least `ratio` times as frequent that one misreading of glyphs leads from; a link counts if the two words'
-vectors agree, or if the rare word holds signs no word has. Running headers are lines that several pages of a file begin
-or end with, compared after collapsing glyphs that scans confuse; page numbers stand alone or beside them.
-
-Scale: two map passes over the texts. Vocabulary, links and lines are tables, never collected; a bit table of fixed size
-tells which words of a page can be misread at all, so that only those are shuffled to the links.
+Rare words are linked to words at least `ratio` times as frequent that plausible misreadings of glyphs lead from. Skip-gram
+vectors are learned in closed form: of every word that is a link's end the words within two places are counted, in a random
+sketch of DIMS numbers with frequent neighbours damped; centred on what any word has around it, these counts are what
+skip-gram training with negative samples factorises, and their leading eigenvectors over all pages give the vectors (a
+randomised singular value decomposition). Each occurrence of a rare word is then judged by the words around it: of its
+readings the one with the greatest posterior, by frequency and by likelihood of the context under the reading's vector, is
+taken. A form made of letters alone stays as it is where the context speaks against every reading by more than `ratio`, and
+by more than it does in all but a hundredth of the forms that cannot be words, since those are misread for certain. Running headers are lines that several pages of a file
+begin or end with, compared after collapsing glyphs that scans confuse; page numbers stand alone or beside them.
+
+Scale: two map passes over the texts. Vocabulary, links, vectors and lines are tables; only tables of fixed size and DIMS
+times DIMS sums are collected. A bit table of fixed size tells which words of a page can be misread at all, so that only
+those are shuffled to the links.
 """
 
 from __future__ import annotations
 
-import itertools
+import bisect
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,10 +33,12 @@ from archivolt.session import materialize, spread
 SIGNS = {"@": "a", "!": "i", "0": "o", "1": "li", "5": "s", "9": "g", "†": "t", "|": "li", "6": "b"}
 GLYPHS = [("rn", "m"), ("cl", "d"), ("ri", "n"), ("ii", "u"), ("li", "h"), ("vv", "w"), ("m", "in"), ("c", "e"), ("f", "e")]
 MARKS = "-‐­¬"
-DIMS = 24
-CELLS = 1 << 23
+DIMS = 32
+CELLS, COUNT_CELLS = 1 << 23, 1 << 20
+#: Words on either side that make a context, and the share of all words above which a neighbour is damped.
+AROUND, COMMON = 2, 1e-3
 
-_CUT = re.compile(rf"(?<=[^\W_])[{MARKS}]\s+(?=[^\W\d_])|[­¬](?=\w)")
+_CUT = re.compile(rf"[{MARKS}](?:(?<=[^\W_].)\s+(?=[^\W\d_])|(?<=[­¬])(?=\w))", re.S)
 _SMALL_L = re.compile("[A-ZÀ-Ý]l(?:[A-ZÀ-Ý]|$)|^l[A-ZÀ-Ý]{2}")
 _EDGE = re.compile(r"^[^\w@†|]+|[^\w@†|]+$")
 
@@ -56,82 +63,83 @@ def _signs(words: list[str]) -> np.ndarray:
 
 
 def vocabulary(texts: DataFrame) -> DataFrame:
-    """(word, n, v0..): count and skip-gram vector of every word of the column `text`, cut words joined."""
+    """(word, n): count of every word of the column `text`, cut words joined."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            tokens = " \x00 ".join(_CUT.sub("", t) for t in pdf["text"]).split()
-            code, raw = pd.factorize(np.array(tokens, dtype=object))
-            words = [plain_word(r) for r in raw]
-            kind, words = pd.factorize(np.array(words, dtype=object))
-            at = kind[code]
-            real = np.array([bool(w) and w != "\x00" for w in words]) if len(words) else np.zeros(0, bool)
-            n = np.bincount(at, minlength=len(words))
-            weight = np.where(real, np.minimum(1.0, np.sqrt(1e-3 / np.maximum(n / max(1, len(at)), 1e-9))), 0.0).astype(np.float32)
-            sign = _signs(list(words)) * weight[:, None]
-            data = {"word": words, "n": n}
-            for d in range(DIMS):
-                row, total = sign[at, d], np.zeros(len(words))
-                for step in (1, 2):
-                    total += np.bincount(at[step:], weights=row[:-step], minlength=len(words))
-                    total += np.bincount(at[:-step], weights=row[step:], minlength=len(words))
-                data[f"v{d}"] = total.astype(np.float32)
-            yield pd.DataFrame(data)[real]
-
-    schema = "word string, n long, " + ", ".join(f"v{d} float" for d in range(DIMS))
-    parts = texts.select("text").mapInPandas(count, schema)
-    return parts.groupBy("word").agg(F.sum("n").alias("n"), *[F.sum(f"v{d}").cast("float").alias(f"v{d}") for d in range(DIMS)])
-
-
-def readings(word: str, most: int = 64) -> set[str]:
-    """Words that `word` can be a misreading of: its signs undone in every way, and up to two letter groups."""
-    spots = [i for i, c in enumerate(word) if c in SIGNS and (c not in "0123456789" or any(x.isalpha() for x in word))]
-    if len(spots) > 5:
-        return set()
-    bases = {word}
-    if spots:
-        bases = set()
-        for choice in itertools.product(*[SIGNS[word[i]] for i in spots]):
-            chars = list(word)
-            for i, c in zip(spots, choice):
-                chars[i] = c
-            bases.add("".join(chars))
-    out, front = set(bases), bases
-    for _ in range(2):
-        ahead = set()
-        for w in front:
-            for wrong, right in GLYPHS:
-                at = w.find(wrong)
-                while at >= 0:
-                    ahead.add(w[:at] + right + w[at + len(wrong) :])
-                    at = w.find(wrong, at + 1)
-        front = ahead - out
-        out |= ahead
-        if len(out) > most:
-            break
-    out.discard(word)
-    return out
+            code, raw = pd.factorize(np.array(" ".join(_CUT.sub("", t) for t in pdf["text"]).split(), dtype=object))
+            kind, words = pd.factorize(np.array([plain_word(x) for x in raw], dtype=object))
+            n = np.bincount(kind[code], minlength=len(words)) if len(words) else np.zeros(0, np.int64)
+            out = pd.DataFrame({"word": words, "n": n})
+            yield out[out["word"] != ""]
 
+    return texts.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-def links(vocab: DataFrame, ratio: int = 8, least: int = 5, agree: float = 0.0) -> DataFrame:
-    """(wrong, right, n, cosine): the misread words of a vocabulary with the word meant; one row a wrong word."""
-    columns = [f"v{d}" for d in range(DIMS)]
 
-    def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [(w, r) for w in pdf["word"] if len(w) >= 3 and any(c.isalpha() for c in w) for r in readings(w) if r.isalpha() or "-" in r or "’" in r]
-            yield pd.DataFrame(out, columns=["wrong", "right"])
+#: What letters and signs look like that scans confuse: each group of GLYPHS and each sign comes out like what it is misread from.
+_STROKES = str.maketrans({"@": "a", "!": "i", "0": "o", "1": "i", "5": "s", "9": "g", "†": "t", "|": "i", "6": "b", "l": "i", "r": "i", "n": "ii", "u": "ii", "h": "ii", "m": "iii", "d": "ci", "w": "vv", "e": "c", "f": "c"})
+
+
+def strokes(word: str) -> str:
+    """A key that a word and all its misreadings share."""
+    return word.translate(_STROKES)
+
 
-    pairs = vocab.select("word").mapInPandas(propose, "wrong string, right string")
-    frequent = vocab.where(F.col("n") >= least).select(F.col("word").alias("right"), F.col("n").alias("right_n"), F.array(*columns).alias("b"))
-    rare = vocab.select(F.col("word").alias("wrong"), "n", F.array(*columns).alias("a"))
-    hit = pairs.join(frequent, "right").join(rare, "wrong").where(F.col("right_n") >= ratio * F.col("n"))
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: (p * q).cast("double")), F.lit(0.0), lambda s, z: s + z)
-    cosine = F.coalesce(F.try_divide(dot("a", "b"), F.sqrt(dot("a", "a") * dot("b", "b"))), F.lit(0.0))
-    odd = F.col("wrong").rlike(r"[@!†|]|\p{L}[0-9]|[0-9]\p{L}")
-    scored = hit.withColumn("cosine", cosine).where(odd | (F.col("cosine") >= agree))
-    best = scored.groupBy("wrong").agg(F.max(F.struct(F.col("right_n").alias("s"), "right", "n", "cosine")).alias("m"))
-    return best.select("wrong", "m.right", "m.n", "m.cosine")
+def glyph_edits(wrong: str, right: str) -> int | None:
+    """Fewest groups of letters to undo on the way from `wrong` to `right`, signs not counted; None if there is no way."""
+    same = lambda x, y: x == y or y in SIGNS.get(x, "")
+    best = {(0, 0): 0}
+    for i in range(len(wrong) + 1):
+        for j in range(len(right) + 1):
+            now = best.get((i, j))
+            if now is None:
+                continue
+            if i < len(wrong) and j < len(right) and same(wrong[i], right[j]):
+                best[i + 1, j + 1] = min(now, best.get((i + 1, j + 1), now))
+            for a, b in GLYPHS:
+                part = wrong[i : i + len(a)]
+                if len(part) == len(a) and right.startswith(b, j) and all(map(same, part, a)):
+                    best[i + len(a), j + len(b)] = min(now + 1, best.get((i + len(a), j + len(b)), now + 1))
+    return best.get((len(wrong), len(right)))
+
+
+def links(vocab: DataFrame, ratio: int = 8, least: int = 5, most_edits: int = 2) -> DataFrame:
+    """(wrong, right, n, right_n, odd, readings): rare words and the frequent ones they can be misreadings of, all of them.
+
+    `odd`: the form holds a sign inside a word, so that it is none itself; `readings`: how many the form has.
+    """
+
+    def key(word: pd.Series) -> pd.Series:
+        return word.map(strokes)
+
+    def edits(wrong: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([glyph_edits(a, b) for a, b in zip(wrong, right)], dtype="Int32")
+
+    v = vocab.where(F.length("word") >= 2).withColumn("key", F.pandas_udf(key, "string")("word"))
+    frequent = v.where((F.col("n") >= least) & F.col("word").rlike(r"^(?:\p{L}|[-’])+$")).select("key", F.col("word").alias("right"), F.col("n").alias("right_n"))
+    rare = v.where((F.length("word") >= 3) & F.col("word").rlike(r"\p{L}")).select("key", F.col("word").alias("wrong"), "n")
+    pairs = rare.join(frequent, "key").where((F.col("right_n") >= ratio * F.col("n")) & (F.col("wrong") != F.col("right")))
+    kept = pairs.withColumn("edits", F.pandas_udf(edits, "int")("wrong", "right")).where(F.col("edits") <= most_edits)
+    many = kept.groupBy("wrong").agg(F.count(F.lit(1)).alias("readings"))
+    return kept.join(many, "wrong").select("wrong", "right", "n", "right_n", F.col("wrong").rlike(r"[@!†|]|\p{L}[0-9]|[0-9]\p{L}").alias("odd"), "readings")
+
+
+class Vectors:
+    """The closed form: leading eigenvectors of the centred context counts, and the noise of a single context."""
+
+    def __init__(self, total: float, first: np.ndarray, between: np.ndarray, within: float):
+        self.mean = first / max(total, 1.0)
+        spread_ = between / max(total, 1.0) - np.outer(self.mean, self.mean)
+        value, vector = np.linalg.eigh(spread_)
+        self.noise = max((within - float(np.trace(spread_)) - float(self.mean @ self.mean)) / DIMS, 1e-6)
+        kept = value > max(1e-9, 1e-3 * float(value.max(initial=0.0)))
+        self.project = vector[:, kept] @ vector[:, kept].T
+        self.few = self.noise * DIMS / max(float(value[kept].sum()), 1e-9)
+
+    def of(self, n: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Vectors of words: the mean context less the common one, drawn to 0 where a word is seldom seen."""
+        x = total / np.maximum(n, 1)[:, None] - self.mean
+        return (x @ self.project) * (n / (n + self.few))[:, None]
 
 
 _ROMAN = r"(?=[ivxlc])c{0,3}(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
@@ -174,49 +182,63 @@ def page_furniture(text: str) -> tuple[list[int], list[tuple[int, str]], bool, b
     sure: list[int] = []
     maybe: list[tuple[int, str]] = []
     header = number = False
-    for order in (full[:2], full[::-1][:2]):
+    lengths = sorted(len(lines[i].strip()) for i in full)
+    for order in (full, full[::-1]):
+        counted = False  # one page number an edge
         for depth, i in enumerate(order):
             line = lines[i].strip()
+            longest = lengths[-2] if len(lengths) > 1 and len(line) == lengths[-1] else lengths[-1]
             if i in sure or line.startswith(("#", "- ", "| ")) and not _DRESSED.match(line):
                 break
             beside = _BESIDE.match(line)
-            if beside and (is_number(beside["a"]) != is_number(beside["b"])):
+            if beside and not counted and (is_number(beside["a"]) != is_number(beside["b"])):
                 sure.append(i)
-                header = number = True
+                header = number = counted = True
                 continue
-            if _DRESSED.match(line):
+            if not counted and _DRESSED.match(line):
                 sure.append(i)
-                number = True
+                number = counted = True
                 continue
             if _BARE.match(line):
                 before = lines[i - 1].strip() if i else ""
                 year = re.match(r"^1[5-9]\d\d|^20[0-4]\d", line)
                 # the end of a paragraph may be a number too: it goes on from a line, or a page, that has not ended
                 alone = not line.endswith(".") and (line.isdigit() and len(line) <= 3 or len(line) >= 2 and not line[0].isdigit())
-                if not year and (not before or alone or before.endswith(_STOPS)):
+                if not counted and not year and (not before or alone or before.endswith(_STOPS)):
                     sure.append(i)
-                    number = True
+                    number = counted = True
                     continue
-            elif len(line) <= 90 and in_capitals(line):
+            elif len(line) <= longest and in_capitals(line):
                 sure.append(i)
                 header = True
                 continue
-            elif len(line) <= 90 and not (line.endswith(_STOPS[:6]) and depth) and any(c.isalpha() for c in line):
+            elif not (line.endswith(_STOPS[:6]) and depth) and any(c.isalpha() for c in line):
                 maybe.append((i, collapsed(line)))
             break
     return sure, maybe, header, number
 
 
+_MARK = re.compile(rf"[{MARKS}](?:\s+|(?<=[­¬])(?=\w))")
+_AFTER = re.compile(r"[^\W\d_]+")
+
+
 def cut_words(text: str, compounds: np.ndarray) -> list[tuple[int, int]]:
     """(begin, end) of the break marks, with the space behind, that cut a word; hyphens of compounds are left alone."""
     out = []
-    for m in re.finditer(rf"([^\W\d_]+)([{MARKS}])(\s+)([^\W\d_]+)|([­¬])(?=\w)", text):
-        if m.group(5):
-            out.append((m.start(5), m.end(5)))
+    for m in _MARK.finditer(text):
+        mark = text[m.start()]
+        if m.end() == m.start() + 1:
+            out.append(m.span())
+            continue
+        start = m.start()
+        while start and text[start - 1].isalpha():
+            start -= 1
+        right = _AFTER.match(text, m.end())
+        if start == m.start() or right is None:
             continue
-        left, mark, right = m.group(1), m.group(2), m.group(4)
+        left, right = text[start : m.start()], right.group()
         if mark in "­¬" or not right[0].isupper() and not (compounds[cell(f"{left}-{right}".lower())]):
-            out.append((m.start(2), m.end(3)))
+            out.append(m.span())
     return out
 
 
@@ -250,7 +272,8 @@ def sources(pdf_quality: DataFrame, md_texts: DataFrame) -> DataFrame:
     """
     newest = pdf_quality.where("url IS NOT NULL").groupBy("url").agg(F.max(F.struct("scored_at", "excerpt", "pdf_title", "ai_title")).alias("r"))
     excerpts = newest.select(F.lit("pdf_quality").alias("table_name"), F.col("url").alias("record_key"), F.lit(0).alias("page_no"), F.col("r.excerpt").alias("text"), F.array_compact(F.array("r.pdf_title", "r.ai_title")).alias("titles"))
-    files = md_texts.select(F.lit("md_texts").alias("table_name"), F.col("md_path").alias("record_key"), F.coalesce("page_no", F.lit(1)).cast("int").alias("page_no"), F.col("md_text").alias("text")).dropDuplicates(["record_key", "page_no"])
+    files = md_texts.select(F.lit("md_texts").alias("table_name"), F.col("md_path").alias("record_key"), F.coalesce("page_no", F.lit(1)).cast("int").alias("page_no"), F.col("md_text").alias("text"))
+    files = files.groupBy("table_name", "record_key", "page_no").agg(F.max("text").alias("text"))  # of two texts of a page the greater
     files = files.withColumn("titles", F.array().cast("array<string>"))
     return excerpts.unionByName(files).where("record_key IS NOT NULL AND text IS NOT NULL AND trim(text) != ''")
 
@@ -258,93 +281,193 @@ def sources(pdf_quality: DataFrame, md_texts: DataFrame) -> DataFrame:
 class ScanNoise:
     """Everything learned of one corpus, and what follows from it."""
 
-    def __init__(self, pdf_quality: DataFrame, md_texts: DataFrame, least_pages: int = 2):
+    def __init__(self, pdf_quality: DataFrame, md_texts: DataFrame, least_pages: int = 2, ratio: int = 8):
         self.texts = spread(materialize(sources(pdf_quality, md_texts), "scan-texts"))
-        self.least_pages = least_pages
-        spark = pdf_quality.sparkSession
+        self.least_pages, self.ratio = least_pages, ratio
+        spark = self.spark = pdf_quality.sparkSession
         vocab = materialize(vocabulary(self.texts), "scan-vocabulary")
-        self.links = materialize(links(vocab), "misread-links")
-        self.suspect = self._bits(self.links.select(F.col("wrong").alias("word")))
+        self.links = materialize(links(vocab, ratio), "misread-links")
+        open_ = self.links.where("readings > 1 OR NOT odd")
+        suspect = self._bits(self.links.select(F.col("wrong").alias("word")))
+        judged = self._bits(open_.select(F.col("right").alias("word")).unionByName(open_.select(F.col("wrong").alias("word"))))
         hyphened = vocab.where(F.col("word").contains("-") & (F.col("n") >= 3)).select("word", "n", F.regexp_replace("word", "-", "").alias("joined"))
         joined = vocab.select(F.col("word").alias("joined"), F.col("n").alias("joined_n"))
-        compounds = hyphened.join(joined, "joined", "left").where("joined_n IS NULL OR n >= joined_n").select("word")
-        self.shared = spark.sparkContext.broadcast((self.suspect, self._bits(compounds)))
+        compounds = self._bits(hyphened.join(joined, "joined", "left").where("joined_n IS NULL OR n >= joined_n").select("word"))
+        self.shared = spark.sparkContext.broadcast((suspect, judged, compounds, self._weights(vocab)))
+        self.seen = materialize(self.observed(), "scan-observations")
+        self.verdicts = materialize(self.judged(), "misread-words")
 
     @staticmethod
-    def _bits(words: DataFrame) -> np.ndarray:
+    def _cell(modulus: int) -> Column:
+        return F.expr(f"int(crc32(encode(word, 'UTF-8')) & {modulus - 1})").alias("cell")
+
+    @classmethod
+    def _bits(cls, words: DataFrame) -> np.ndarray:
         """A table of CELLS truth values with the cells of the words set; at most CELLS numbers come to the driver."""
-        cells = words.select(F.expr(f"int(crc32(encode(word, 'UTF-8')) & {CELLS - 1})").alias("cell")).distinct().toPandas()
+        cells = words.select(cls._cell(CELLS)).distinct().toPandas()
         table = np.zeros(CELLS, dtype=bool)
         table[cells["cell"].to_numpy(dtype=np.int64)] = True
         return table
 
+    @classmethod
+    def _weights(cls, vocab: DataFrame) -> np.ndarray:
+        """Of each of COUNT_CELLS cells of words what a neighbour from it weighs: less than 1 for the common ones only, so
+        that only their cells come to the driver, under 1 / COMMON of them."""
+        total = vocab.agg(F.sum("n")).first()[0] or 1
+        common = vocab.groupBy(cls._cell(COUNT_CELLS)).agg(F.sum("n").alias("n")).where(F.col("n") > COMMON * total).toPandas()
+        table = np.ones(COUNT_CELLS, dtype=np.float16)
+        table[common["cell"].to_numpy(dtype=np.int64)] = np.sqrt(COMMON * total / common["n"].to_numpy(dtype=float))
+        return table
+
     def observed(self) -> DataFrame:
-        """Per text: kinds seen in it alone, collapsed lines that may be headers, and words that may be misread."""
+        """Rows of two sorts. Of a text: kinds seen in it alone, collapsed lines that may be headers, and the places, forms
+        and contexts of words that may be misread. Of a judged word (`word` is given): how often it was seen in a batch, and
+        the sum and the summed squares of its contexts."""
         shared = self.shared
+        columns = [f"v{d}" for d in range(DIMS)]
 
         def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            suspect, compounds = shared.value
-            known: dict[str, str] = {}
+            suspect, judged, compounds, weights = shared.value
             for pdf in batches:
-                out = []
-                for table, key, page, text, titles in zip(pdf["table_name"], pdf["record_key"], pdf["page_no"], pdf["text"], pdf["titles"]):
-                    kinds, lines = [], []
-                    body = text
-                    if table == "md_texts":
-                        sure, maybe, header, number = page_furniture(text)
-                        lines = [x for _, x in maybe]
-                        kinds += ["header"] * header + ["page_number"] * number
-                        body = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in sure)
-                    else:
-                        edge = text.strip().split("\n")
-                        if _INLINE.search(text) or (len(edge) > 1 and (is_number(edge[-1]) or is_number(edge[0]))):
-                            kinds.append("page_number")
-                        if inline_header(text, list(titles)):
-                            kinds.append("header")
-                    if cut_words(body, compounds) or (table == "md_texts" and re.search(rf"[^\W\d_][{MARKS}]\s*$", body)):
-                        kinds.append("hyphen")
-                    words = []
-                    for raw in set(_CUT.sub("", text).split()):
-                        w = known.get(raw)
-                        if w is None:
-                            p = plain_word(raw)
-                            w = known[raw] = p if p and suspect[cell(p)] else ""
-                        if w:
-                            words.append(w)
-                    if len(known) > 500_000:
-                        known.clear()
-                    out.append((table, key, page, kinds, lines, words))
-                yield pd.DataFrame(out, columns=["table_name", "record_key", "page_no", "kinds", "lines", "words"])
-
-        return self.texts.mapInPandas(look, "table_name string, record_key string, page_no int, kinds array<string>, lines array<string>, words array<string>")
+                out, sums = [], []
+                for a in range(0, len(pdf), 2000):
+                    part = pdf.iloc[a : a + 2000]
+                    plain = [_CUT.sub("", t) for t in part["text"]]
+                    tokens = [p.split() for p in plain]
+                    code, raw = pd.factorize(np.array([x for t in tokens for x in (*t, "", "")], dtype=object))
+                    kind, words = pd.factorize(np.array([plain_word(x) for x in raw], dtype=object))
+                    at = kind[code]
+                    crc = np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in words], dtype=np.int64)
+                    real = np.array([w != "" for w in words], dtype=bool)
+                    odd, wanted = suspect[crc & (CELLS - 1)] & real, judged[crc & (CELLS - 1)] & real
+                    sign = _signs(list(words)) * np.where(real, weights[crc & (COUNT_CELLS - 1)], 0).astype(np.float32)[:, None]
+                    context: dict[int, np.ndarray] = {}
+                    places = np.flatnonzero((wanted | odd)[at])
+                    for b in range(0, len(places), 50_000):
+                        p = places[b : b + 50_000]
+                        total = np.zeros((len(p), DIMS), np.float32)
+                        for step in range(1, AROUND + 1):
+                            total += sign[at[np.maximum(p - step, 0)]] + sign[at[np.minimum(p + step, len(at) - 1)]]
+                        free = odd[at[p]]
+                        context.update(zip(p[free].tolist(), total[free]))
+                        use = wanted[at[p]]
+                        w, inner = np.unique(at[p[use]], return_inverse=True)
+                        if len(w):
+                            by = np.argsort(inner, kind="stable")
+                            first = np.searchsorted(inner[by], np.arange(len(w)))
+                            data = {"word": words[w], "n": np.bincount(inner), "squares": np.bincount(inner, weights=(total[use] ** 2).sum(axis=1))}
+                            sums.append(pd.DataFrame(data | dict(zip(columns, np.add.reduceat(total[use][by], first).T))))
+                    start = np.cumsum([0] + [len(t) + 2 for t in tokens])
+                    marked = odd[at]
+                    for k, (table, key, page, text, titles) in enumerate(zip(part["table_name"], part["record_key"], part["page_no"], part["text"], part["titles"])):
+                        kinds, lines = [], []
+                        body = text
+                        if table == "md_texts":
+                            sure, maybe, header, number = page_furniture(text)
+                            lines = [x for _, x in maybe]
+                            kinds += ["header"] * header + ["page_number"] * number
+                            if sure:
+                                body = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in sure)
+                            tail = body.rstrip()
+                            if len(tail) > 1 and tail[-1] in MARKS and tail[-2].isalpha():
+                                kinds.append("hyphen")
+                        else:
+                            edge = text.strip().split("\n")
+                            if _INLINE.search(text) or (len(edge) > 1 and (is_number(edge[-1]) or is_number(edge[0]))):
+                                kinds.append("page_number")
+                            if inline_header(text, list(titles)):
+                                kinds.append("header")
+                        if "hyphen" not in kinds and cut_words(body, compounds):
+                            kinds.append("hyphen")
+                        mine = np.flatnonzero(marked[start[k] : start[k + 1]])
+                        found = places_of(text, plain[k], mine) if len(mine) else []
+                        forms = [words[at[start[k] + i]] for i in mine]
+                        out.append((table, key, page, kinds, lines, forms, [x[0] for x in found], [x[1] for x in found], [context[int(start[k] + i)] for i in mine]))
+                yield pd.DataFrame(out, columns=["table_name", "record_key", "page_no", "kinds", "lines", "forms", "begins", "ends", "contexts"])
+                if sums:
+                    yield pd.concat(sums).groupby("word", sort=False).sum().reset_index()
+
+        def shaped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in look(batches):
+                for c in names:
+                    if c not in pdf:
+                        pdf[c] = pd.Series([None] * len(pdf), dtype=object)
+                yield pdf[names]
+
+        shape = "table_name string, record_key string, page_no int, kinds array<string>, lines array<string>, forms array<string>, begins array<int>, ends array<int>, contexts array<array<float>>, word string, n long, squares double, " + ", ".join(f"v{d} float" for d in range(DIMS))
+        names = [x.split()[0] for x in shape.split(", ")]
+        return self.texts.mapInPandas(shaped, shape)
+
+    def vectors(self) -> DataFrame:
+        """(right, vector): of every reading that a context decides on; DIMS x DIMS sums over all words come to the driver."""
+        columns = [f"v{d}" for d in range(DIMS)]
+        sums = materialize(self.seen.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"), F.sum("squares").alias("squares"), *[F.sum(c).alias(c) for c in columns]), "context-sums")
+
+        def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(2 + DIMS + DIMS * DIMS)
+            for pdf in batches:
+                x, n = pdf[columns].to_numpy(dtype=float), pdf["n"].to_numpy(dtype=float)
+                total += np.concatenate(([n.sum(), pdf["squares"].sum()], x.sum(axis=0), ((x / np.maximum(n, 1)[:, None]).T @ x).ravel()))
+            yield pd.DataFrame({"i": np.arange(len(total)), "x": total})
+
+        m = sums.mapInPandas(moments, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").toPandas()["x"].to_numpy(dtype=float)
+        if len(m) == 0:
+            m = np.zeros(2 + DIMS + DIMS * DIMS)
+        self.model = Vectors(m[0], m[2 : 2 + DIMS], m[2 + DIMS :].reshape(DIMS, DIMS), m[1] / max(m[0], 1.0))
+        shared = self.spark.sparkContext.broadcast(self.model)
+
+        def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                v = shared.value.of(pdf["n"].to_numpy(dtype=float), pdf[columns].to_numpy(dtype=float))
+                yield pd.DataFrame({"right": pdf["word"], "vector": list(v.astype(np.float32))})
+
+        return sums.mapInPandas(make, "right string, vector array<float>")
+
+    def judged(self) -> DataFrame:
+        """(table_name, record_key, page_no, begin, end, wrong, right, gain): occurrences found misread, with the word meant.
+
+        `gain` is the log-likelihood of the context under the reading's vector against any word's.
+        """
+        keys = ["table_name", "record_key", "page_no"]
+        each = self.seen.where("word IS NULL AND size(forms) > 0").select(*keys, F.explode(F.arrays_zip("forms", "begins", "ends", "contexts")).alias("o"))
+        each = each.select(*keys, F.col("o.forms").alias("wrong"), F.col("o.begins").alias("begin"), F.col("o.ends").alias("end"), F.col("o.contexts").alias("context"))
+        vectors = self.vectors()
+        mean, noise = F.array(*[F.lit(float(x)) for x in self.model.mean]), self.model.noise
+        pairs = each.join(self.links.select("wrong", "right", "right_n", "odd"), "wrong").join(vectors, "right", "left")
+        centred = F.zip_with("context", mean, lambda a, b: a - b)
+        terms = F.zip_with(centred, "vector", lambda c, v: (c * v - v * v / 2) / noise)
+        told = pairs.withColumn("gain", F.coalesce(F.aggregate(terms, F.lit(0.0), lambda s, z: s + z), F.lit(0.0)))
+        best = told.groupBy(*keys, "begin", "wrong", "odd").agg(F.max(F.struct((F.log("right_n") + F.col("gain")).alias("posterior"), "right", "end", "gain")).alias("m"))
+        best = materialize(best.select(*keys, "begin", "m.end", "wrong", "m.right", "odd", "m.gain"), "misread-candidates")
+        least = best.where("odd").agg(F.percentile_approx("gain", 0.01, 10_000)).first()[0]
+        self.least_gain = min(-math.log(self.ratio), least if least is not None else 0.0)
+        return best.where(F.col("odd") | (F.col("gain") >= self.least_gain)).drop("odd")
+
+    def _headers(self) -> DataFrame:
+        keys = ["table_name", "record_key", "page_no"]
+        lines = self.seen.where("word IS NULL").select(*keys, F.explode("lines").alias("line"))
+        repeated = lines.groupBy("record_key", "line").agg(F.count_distinct("page_no").alias("pages")).where(F.col("pages") >= self.least_pages)
+        return lines.join(repeated, ["record_key", "line"], "left_semi")
 
     def found(self) -> DataFrame:
         """(table_name, record_key, page_no, kind): one row per kind of noise in a text."""
-        seen = materialize(self.observed(), "scan-observations")
         keys = ["table_name", "record_key", "page_no"]
-        own = seen.select(*keys, F.explode("kinds").alias("kind"))
-        words = seen.select(*keys, F.explode("words").alias("wrong")).join(self.links.select("wrong"), "wrong", "left_semi")
-        lines = seen.select(*keys, F.explode("lines").alias("line"))
-        repeated = lines.groupBy("record_key", "line").agg(F.count_distinct("page_no").alias("pages")).where(F.col("pages") >= self.least_pages)
-        headers = lines.join(repeated, ["record_key", "line"], "left_semi")
-        return own.unionByName(words.select(*keys, F.lit("misread").alias("kind"))).unionByName(headers.select(*keys, F.lit("header").alias("kind"))).distinct()
+        own = self.seen.where("word IS NULL").select(*keys, F.explode("kinds").alias("kind"))
+        return own.unionByName(self.verdicts.select(*keys, F.lit("misread").alias("kind"))).unionByName(self._headers().select(*keys, F.lit("header").alias("kind"))).distinct()
 
     def repaired(self) -> DataFrame:
         """(table_name, record_key, text): each excerpt and each file in continuous paragraphs."""
-        seen = materialize(self.observed(), "scan-observations")
         keys = ["table_name", "record_key", "page_no"]
-        fixes = seen.select(*keys, F.explode("words").alias("wrong")).join(self.links.select("wrong", "right"), "wrong").groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("wrong", "right"))).alias("fixes"))
-        lines = seen.select(*keys, F.explode("lines").alias("line"))
-        repeated = lines.groupBy("record_key", "line").agg(F.count_distinct("page_no").alias("pages")).where(F.col("pages") >= self.least_pages)
-        headers = lines.join(repeated, ["record_key", "line"], "left_semi").groupBy(*keys).agg(F.collect_set("line").alias("headers"))
+        fixes = self.verdicts.groupBy(*keys).agg(F.collect_list(F.struct("begin", "end", "right")).alias("fixes"))  # one text's words
+        headers = self._headers().groupBy(*keys).agg(F.collect_set("line").alias("headers"))
         rows = self.texts.join(fixes, keys, "left").join(headers, keys, "left")
         shared = self.shared
 
         def mend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            _, compounds = shared.value
+            compounds = shared.value[2]
             for pdf in batches:
                 texts = [
-                    mended(table, text, list(titles), dict(fix) if fix is not None else {}, set(head) if head is not None else set(), compounds)
+                    mended(table, text, list(titles), [(f["begin"], f["end"], f["right"]) for f in fix] if fix is not None else [], set(head) if head is not None else set(), compounds)
                     for table, text, titles, fix, head in zip(pdf["table_name"], pdf["text"], pdf["titles"], pdf["fixes"], pdf["headers"])
                 ]
                 yield pd.DataFrame({"table_name": pdf["table_name"], "record_key": pdf["record_key"], "page_no": pdf["page_no"], "text": texts})
@@ -354,6 +477,18 @@ class ScanNoise:
         return whole.select("table_name", "record_key", across_pages(F.array_join(F.transform("p", lambda x: x["text"]), "\f")).alias("text"))
 
 
+def places_of(text: str, plain: str, at: np.ndarray) -> list[tuple[int, int]]:
+    """(begin, end) in `text` of the tokens number `at` of `plain`, the text with its cut words joined."""
+    gone = [m.span() for m in _CUT.finditer(text)] if len(plain) < len(text) else []
+    edge = [a - sum(y - x for x, y in gone[:i]) for i, (a, _) in enumerate(gone)]  # where a cut was, in `plain`
+    wanted, out = set(at.tolist()), []
+    for i, m in enumerate(re.finditer(r"\S+", plain)):
+        if i in wanted:
+            far = lambda p, after: p + sum(y - x for x, y in gone[: bisect.bisect_right(edge, p) if after else bisect.bisect_left(edge, p)])
+            out.append((far(m.start(), True), far(m.end(), False)))
+    return out
+
+
 def across_pages(text: Column) -> Column:
     """Pages joined: words cut by the page end, then sentences that run on, else a new paragraph."""
     t = F.regexp_replace(text, rf"(?<=\p{{L}})[{MARKS}]\s*\f\s*(?=\p{{Ll}})", "")
@@ -361,31 +496,37 @@ def across_pages(text: Column) -> Column:
     return F.trim(F.regexp_replace(t, r"\s*\f\s*", "\n\n"))
 
 
-def mended(table: str, text: str, titles: list[str], fixes: dict[str, str], headers: set[str], compounds: np.ndarray) -> str:
+def put_right(token: str, right: str) -> str:
+    """A token with its word replaced, the case and the punctuation around it kept."""
+    word = _EDGE.sub("", _CUT.sub("", token))
+    joined = _CUT.sub("", token)
+    at = joined.find(word)
+    new = right.upper() if word.isupper() and len(word) > 2 else right.capitalize() if word[:1].isupper() or (not word[:1].isalpha() and right[:1].isupper()) else right
+    return joined[:at] + new + joined[at + len(word) :]
+
+
+def mended(table: str, text: str, titles: list[str], fixes: list[tuple[int, int, str]], headers: set[str], compounds: np.ndarray) -> str:
     """One page or excerpt without furniture and cut words, misread words replaced, lines flowed into paragraphs."""
+    edits = []
     if table == "md_texts":
         sure, maybe, _, _ = page_furniture(text)
         gone = set(sure) | {i for i, x in maybe if x in headers}
-        text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+        at = 0
+        for i, line in enumerate(text.split("\n")):
+            if i in gone:
+                edits.append((at, min(len(text), at + len(line) + 1), ""))
+            at += len(line) + 1
     else:
         span = inline_header(text, titles)
         if span:
-            text = text[: span[0]].rstrip() + " " + text[span[1] :].lstrip()
+            edits.append((*span, " "))
+    free = [f for f in fixes if not any(a < f[1] and f[0] < b for a, b, _ in edits)]
+    for a, b, new in sorted([*edits, *((a, b, put_right(text[a:b], right)) for a, b, right in free)], reverse=True):
+        text = text[:a] + new + text[b:]
+    if table != "md_texts":
         text = _INLINE.sub(" ", text)
     for a, b in reversed(cut_words(text, compounds)):
         text = text[:a] + text[b:]
-
-    def fix(m: re.Match) -> str:
-        right = fixes.get(plain_word(m.group()))
-        if right is None:
-            return m.group()
-        word = _EDGE.sub("", m.group())
-        at = m.group().find(word)
-        new = right.upper() if word.isupper() and len(word) > 2 else right.capitalize() if word[:1].isupper() or (not word[:1].isalpha() and right[:1].isupper()) else right
-        return m.group()[:at] + new + m.group()[at + len(word) :]
-
-    if fixes:
-        text = re.sub(r"\S+", fix, text)
     blocks = []
     for block in re.split(r"\n\s*\n", text):
         rows = [r.strip() for r in block.split("\n") if r.strip()]

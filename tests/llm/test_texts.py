@@ -52,16 +52,30 @@ def test_language_of_labels_and_mixtures(spark, rows):
     data = [(f"e{w}", "english", EN.replace("letter", w), None) for w in more] + [(f"f{w}", "français", FR.replace("lettre", w), None) for w in more] + [(f"s{w}", "es", es.replace("carta", w), None) for w in more]
     data += [("w1", "fr", EN, ""), ("w2", None, FR, EN + "«Lettre maison»."), ("w3", "und", es, EN + es), ("m", "en-GB", EN * 2 + FR, "x"), ("n", "english", None, None), (None, "en", EN, None), ("w1", "fr", EN, "")]
     q = spark.createDataFrame([(u, "1", lab, ex, s, "z") for u, lab, ex, s in data], "url string, scored_at string, ai_language string, excerpt string, ai_summary string, lang string")
-    got = language.label_findings(q, language.judged(q)).distinct()
+    kept, model = language.learned(q)
+    got = language.label_findings(kept, model, language.judged(kept, model)).distinct()
     assert rows(got, "url", "field", "lang") == [("m", "excerpt", "en"), ("m", "excerpt", "fr"), ("w1", "ai_language", "en"), ("w2", "ai_language", "fr"), ("w3", "ai_language", "es"), ("w3", "ai_summary", "en"), ("w3", "ai_summary", "es")]
-    assert language.judged(q.limit(0)).count() == 0
+    assert language.judged(*language.learned(q.limit(0))).count() == 0
 
 
 def test_bloom_filter_has_no_false_negatives():
     h = fold.word_hash([f"w{i}" for i in range(2000)])
     f = language.Filter(["aa", "bb"], [(0, h), (1, h[:100])])
-    assert (f.masks(h) & 1).all() and (f.masks(h[:100]) == 3).all()
-    assert (f.masks(fold.word_hash([f"v{i}" for i in range(2000)])) & 1).mean() < 0.01
+    assert (f.masks(h)[0] & 1).all() and (f.masks(h[:100])[0] == 3).all()
+    assert (f.masks(fold.word_hash([f"v{i}" for i in range(2000)]))[0] & 1).mean() < 0.01
+    many = language.Filter([f"l{k:02}" for k in range(150)], [(k, h[k * 10 : k * 10 + 10]) for k in range(150)])
+    assert len(many.tables) == 3 and all(many._bit(many.masks(h[k * 10 : k * 10 + 10]), k).all() for k in range(150))
+
+
+def test_unheard_labels_name_their_texts(spark):
+    vowels, stems = "aeiou", [f"{a}{b}" for a in "bdfgklmnprstvz" for b in "aeiou"]
+    rng = random.Random(9)
+    own = lambda: " ".join(rng.choice(stems) + rng.choice(["qvu", "xhi", "wyo"]) for _ in range(40))
+    data = [(f"e{i}", "en", EN.replace("letter", rng.choice(stems) * 2)) for i in range(30)] + [(f"x{i}", "Anglo", EN.replace("council", rng.choice(stems))) for i in range(10)] + [(f"k{i}", "Klingon", own()) for i in range(20)] + [("w", "en", own())]
+    q = spark.createDataFrame([(u, "1", lab, t, None) for u, lab, t in data], "url string, scored_at string, ai_language string, excerpt string, ai_summary string")
+    kept, model = language.learned(q)
+    assert model.spellings == {"anglo": "en"} and model.languages == ["en", "klingon"]
+    assert [tuple(r) for r in language.label_findings(kept, model, language.judged(kept, model)).collect()] == [("w", "ai_language", "klingon")]
 
 
 @pytest.mark.parametrize("page", mojibake.READ_AS)
@@ -95,8 +109,9 @@ def test_furniture_and_cut_words():
     compounds = np.zeros(scans.CELLS, bool)
     compounds[scans.cell("long-lost")] = True
     assert [b - a for a, b in scans.cut_words("a para-\ngraph, long-\nlost", compounds)] == [2]
-    assert "modern" in scans.readings("rnodern") and "window" in scans.readings("wmdow")
-    assert "garden" in scans.readings("g@rclen") and "clerk" in scans.readings("c1erk")
+    for wrong, right, edits in (("rnodern", "modern", 1), ("wmdow", "window", 1), ("g@rclen", "garden", 1), ("c1erk", "clerk", 0), ("rn@rnrn@|!5m", "mammalism", 3), ("garden", "market", None)):
+        assert scans.glyph_edits(wrong, right) == edits
+        assert edits is None or scans.strokes(wrong) == scans.strokes(right)
     assert scans.collapsed("RFPORT OF THF MlLL") == scans.collapsed("Report of the Mill")
 
 
@@ -152,3 +167,42 @@ def test_writing_in_a_language_without_function_words_is_no_stuffing(spark, rows
     more = [(300, es, "es"), (301, he, None), (302, he.replace("המכתב", "הספר"), "he"), (303, "manta barata, " * 40, "es"), (304, "שטיח זול, " * 40, None), (305, "cheap lamp, " * 40, None)]
     d = documents(spark).unionByName(spark.createDataFrame([(*r, "a", "b") for r in more], "doc_id long, text string, lang string, t string, words string"))
     assert rows(stuffing.stuffed_documents(d), "doc_id") == [(200,), (201,), (202,), (207,), (208,), (303,), (304,), (305,)]
+
+
+def test_one_form_that_means_two_words(spark):
+    rng = random.Random(8)
+    dogs, trees = "puppy kennel bark collar leash paw bone".split(), "branch leaf trunk root forest timber oak".split()
+    say = lambda around, word: " ".join([rng.choice(around), rng.choice(around), word, rng.choice(around), rng.choice(around)]) + "."
+    clean = [(f"c{i}", 1, " ".join(say(dogs, "tail") for _ in range(10)) + " " + " ".join(say(trees, "tall") for _ in range(12))) for i in range(12)]
+    noisy = [("n", 1, say(dogs, "ta1l") + " " + say(trees, "ta1l") + " " + say(dogs, "ta1l"))]
+    md = spark.createDataFrame(clean + noisy, "md_path string, page_no int, md_text string")
+    q = spark.createDataFrame([], "url string, scored_at string, excerpt string, pdf_title string, ai_title string")
+    noise = scans.ScanNoise(q, md)
+    got = [r["right"] for r in noise.verdicts.where("record_key = 'n'").orderBy("begin").collect()]
+    assert got == ["tail", "tall", "tail"]
+    text = noise.repaired().where("record_key = 'n'").first()["text"]
+    assert text.count("tail") == 2 and text.count("tall") == 1 and "1" not in text
+
+
+def test_places_of_words_across_cuts():
+    import numpy as np
+
+    text = "a gar-\n den x­y zz"
+    plain = scans._CUT.sub("", text)
+    assert plain.split() == ["a", "garden", "xy", "zz"]
+    assert [text[a:b] for a, b in scans.places_of(text, plain, np.array([1, 2, 3]))] == ["gar-\n den", "x­y", "zz"]
+
+
+def test_one_phrase_with_a_word_varied_is_stuffing(spark):
+    towns = "Selby Tamford Quelby Vasmir Holmby Garvik Lorne Rosmir Calder Fenby Norwick Thorpe Usk Wye Yarm Zeal".split()
+    phrase = " ".join(f"You can buy the best cheap red running shoes in {t} from the house of our council." for t in towns)
+    d = documents(spark).unionByName(spark.createDataFrame([(400, phrase, "en", "a", "b"), (401, EN * 4, "en", "a", "b")], "doc_id long, text string, lang string, t string, words string"))
+    found = {r["doc_id"] for r in stuffing.stuffed_documents(d).collect()}
+    assert 400 in found and 401 not in found
+
+
+def test_thresholds_are_the_languages_own(spark):
+    d = documents(spark).select("lang", F.col("text").alias("t"))
+    _, _, limits = stuffing.learned(d.where("t IS NOT NULL"))
+    assert set(limits) == {"", "en", "fr"} and limits["en"]["top"] != limits["fr"]["top"]
+    assert all(0 < limits[k][m] for k in limits for m in ("separators", "links", "digits", "top"))
