@@ -8,17 +8,18 @@ found by key.
 The prefix rule: texts of n and n' words of which l agree in order are accepted only if l is at least `accept_at` of the
 longer. A text has as many tokens as words (the first word follows a sign for the beginning). A token is lost to the other
 text if one of its words is, two tokens a word at most, or if the other text has words of its own between the two. So at most
-2 (n - l) + (n' - l) tokens are lost, the others are shared, and the rarest shared one is among the `most_lost` + 1 rarest of
-either text. Any fixed order of tokens is right; the counts of what was staged first, in a table of fixed size, keep postings
-short. A shared token at p and p' has p - p' within the words left out, which bounds the places.
+2 (n - l) + (n' - l) tokens are lost, the others are shared, and the k rarest shared ones are among the `most_lost` + k rarest
+of either text. So the prefix is that long, and a pair is looked at only if its prefixes share k tokens (`wanted`, a tenth of
+the words). Any fixed order of tokens is right; the counts of what was staged first, in a table of fixed size, keep postings
+rare. A shared token at p and p' has p - p' within the words left out, which bounds the places.
 
 Scale: a batch is put down (`stage`) as classes, digests and postings in folders of its own, which count as history once it
 is accepted. Its probe reads only the word buckets it has words in; the batch's postings and candidates are tables of known
 size, so Catalyst sends them to the scan of the history where they are small, and filters that scan by a Bloom filter where
 it is large: what is shuffled depends on the batch and its matches. Copies are folded into one text class a batch before
-anything is paired. Of the classes a class may agree with, the earliest is verified first, found by a minimum inside the
-join; only where that fails are all the others listed, so that a group of near copies is not paired with itself. Tokens
-that were frequent when the index began are split over several keys.
+anything is paired. A class is looked for among the leaders first, classes that agree with none before them; then only
+what is earlier than the leader found can be the answer, so that a group of near copies, however large, is not paired with
+itself. Tokens that were frequent when the index began are split over several keys.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ ORD = "decimal(38,0)"
 TABLES = {
     "classes": f"cls long, first {ORD}, words array<int>",
     "digests": f"digest string, first {ORD}",
-    "postings": f"token long, low int, high int, first {ORD}, n int, split int, bucket int",
+    "postings": f"token long, low int, high int, times int, first {ORD}, n int, wanted int, split int, bucket int",
     "near": f"first {ORD}, other {ORD}",
 }
 
@@ -57,6 +58,11 @@ def most_lost(n: np.ndarray, accept_at: float) -> np.ndarray:
     return np.minimum(n - 1, np.maximum(3 * (n - least(n)), 2 * (n - least(n + 1)) + (n + 1 - least(n + 1))))
 
 
+def wanted(n: np.ndarray, accept_at: float) -> np.ndarray:
+    """How many tokens of their prefixes two texts of n words must share: a tenth, where so many are shared at all."""
+    return np.maximum(1, np.minimum(n - most_lost(n, accept_at), n // 10))
+
+
 def tokens_of(words: np.ndarray) -> np.ndarray:
     """The token of each place: the word with the one before it."""
     w = words.astype(np.int64).view(np.uint64)
@@ -152,31 +158,34 @@ class RareShingleIndex:
         return self._rarity
 
     def _postings(self, classes: DataFrame) -> DataFrame:
-        """(batch, bucket, token, low, high, first, n, split) of the rarest tokens of each class, with the first and the last
-        of their places."""
+        """(batch, bucket, token, low, high, times, first, n, wanted, split) of the rarest tokens of each class, with the first
+        and the last of their places and how many there are."""
         shared, accept_at = self._counts(classes), self.accept_at
 
         def pick(words: pd.Series) -> pd.DataFrame:
             table = shared.value
-            out: dict[str, list] = {k: [] for k in ("token", "low", "high", "split")}
+            out: dict[str, list] = {k: [] for k in ("token", "low", "high", "times", "split", "wanted")}
             for w in words:
                 t = tokens_of(np.asarray(w))
                 level = table[(t & np.uint64(CELLS - 1)).astype(np.int64)]
-                kept = np.lexsort((t, level))[: int(most_lost(np.int64(len(t)), accept_at)) + 1]
-                unique, first, inverse = np.unique(t, return_index=True, return_inverse=True)
+                least = int(wanted(np.int64(len(t)), accept_at))
+                kept = np.lexsort((t, level))[: int(most_lost(np.int64(len(t)), accept_at)) + least]
+                unique, first, inverse, times = np.unique(t, return_index=True, return_inverse=True, return_counts=True)
                 last = np.zeros(len(unique), np.int32)
                 last[inverse] = np.arange(len(t))
                 mine = np.unique(inverse[kept])
                 out["token"].append(unique[mine].view(np.int64))
                 out["low"].append(first[mine].astype(np.int32))
                 out["high"].append(last[mine])
+                out["times"].append(times[mine].astype(np.int32))
+                out["wanted"].append(least)
                 out["split"].append((1 + np.exp2((np.maximum(level[first[mine]], 1) - 1) / 8) // SPLIT_AT).astype(np.int32))
             return pd.DataFrame(out)
 
-        picked = F.pandas_udf(pick, "struct<token:array<long>,low:array<int>,high:array<int>,split:array<int>>")("words")
+        picked = F.pandas_udf(pick, "struct<token:array<long>,low:array<int>,high:array<int>,times:array<int>,split:array<int>,wanted:int>")("words")
         x = classes.select("batch", "first", F.size("words").alias("n"), picked.alias("p"))
-        x = x.select("batch", "first", "n", F.explode(F.arrays_zip("p.token", "p.low", "p.high", "p.split")).alias("x"))
-        return x.select("batch", "x.token", "x.low", "x.high", "first", "n", "x.split", F.pmod("x.token", F.lit(self.buckets)).cast("int").alias("bucket"))
+        x = x.select("batch", "first", "n", "p.wanted", F.explode(F.arrays_zip("p.token", "p.low", "p.high", "p.times", "p.split")).alias("x"))
+        return x.select("batch", "x.token", "x.low", "x.high", "x.times", "first", "n", "wanted", "x.split", F.pmod("x.token", F.lit(self.buckets)).cast("int").alias("bucket"))
 
     def stage(self, rows: DataFrame) -> None:
         """Put down `keyed` rows, whose `batch` numbers follow on those staged before; they are not history yet."""
@@ -189,16 +198,18 @@ class RareShingleIndex:
             self.buckets = 8 + classes.count() // BUCKET_OF
         self._write(self._postings(classes), "postings", "batch", "bucket")
 
-    def _hits(self, mine: DataFrame, there: DataFrame) -> DataFrame:
-        """(first, other): pairs of a class of the batch and an earlier one that share a prefix token and may agree.
+    def _pairs(self, mine: DataFrame, there: DataFrame) -> DataFrame:
+        """(first, other): pairs of a class of the batch and one earlier than its `upto` whose prefixes share enough tokens.
 
         A token split over several keys is looked up under each of them, and stored under one.
         """
-        there = there.select("token", F.pmod(F.xxhash64("first"), "split").alias("part"), F.col("low").alias("olow"), F.col("high").alias("ohigh"), F.col("first").alias("other"), F.col("n").alias("on"))
-        here = mine.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("split").cast("long") - 1)).alias("part"), "low", "high", "first", "n")
+        there = there.select("token", F.pmod(F.xxhash64("first"), "split").alias("part"), F.col("low").alias("olow"), F.col("high").alias("ohigh"), F.col("times").alias("otimes"), F.col("first").alias("other"), F.col("n").alias("on"), F.col("wanted").alias("owanted"))
+        here = mine.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("split").cast("long") - 1)).alias("part"), "low", "high", "times", "first", "n", "wanted", "upto")
         agreeing = least_agreeing(F.greatest("n", "on"), self.accept_at)
         near = (F.least("n", "on") >= agreeing) & (F.col("low") - F.col("ohigh") <= F.col("n") - agreeing) & (F.col("olow") - F.col("high") <= F.col("on") - agreeing)
-        return here.join(there, ["token", "part"]).where((F.col("other") < F.col("first")) & near).select("first", "other")
+        hits = here.join(there, ["token", "part"]).where((F.col("other") < F.col("upto")) & near)
+        shared = hits.groupBy("first", "other").agg(F.sum(F.least("times", "otimes")).alias("shared"), F.min(F.least("wanted", "owanted")).alias("least"))
+        return shared.where("shared >= least").select("first", "other")
 
     def _agreeing(self, pairs: DataFrame, number: int) -> DataFrame:
         """The pairs (first, other) of a batch whose words agree."""
@@ -213,10 +224,15 @@ class RareShingleIndex:
         """Accept the next staged batch: find of each of its texts the earliest one in history or the batch that agrees."""
         i = self.accepted
         own = self.read("postings", range(i, i + 1))
-        there = self.read("postings", range(i + 1), [int(b[7:]) for b in self._below(f"{self.root}/postings/batch={i}") if b.startswith("bucket=")])
-        earliest = materialize(self._hits(own, there).groupBy("first").agg(F.min("other").alias("other")), "batch-earliest")
-        settled = materialize(self._agreeing(earliest, i), "batch-settled")
-        rest = materialize(self._hits(own.join(settled.select("first"), "first", "left_anti"), there).distinct(), "batch-rest")
+        buckets = [int(b[7:]) for b in self._below(f"{self.root}/postings/batch={i}") if b.startswith("bucket=")]
+        past, followers = self.read("postings", range(i), buckets), self.read("near", range(i)).select("first")
+        none = self.spark.createDataFrame([], f"first {ORD}, other {ORD}")
+        settled = none
+        if i:
+            led = materialize(self._pairs(own.withColumn("upto", F.col("first")), past.join(followers, "first", "left_anti")), "batch-leaders")
+            settled = materialize(self._agreeing(led, i).groupBy("first").agg(F.min("other").alias("other")), "batch-settled")
+        mine = own.join(settled, "first", "left").withColumn("upto", F.coalesce("other", "first")).drop("other")
+        rest = materialize(self._pairs(mine, past.join(followers, "first", "left_semi").unionByName(own) if i else own), "batch-rest")
         found = settled.unionByName(self._agreeing(rest, i)).groupBy("first").agg(F.min("other").alias("other"))
         found.write.parquet(f"{self.root}/near/batch={i}")
         self.accepted += 1
@@ -270,15 +286,33 @@ def queue_duplicates(queue: DataFrame, pages: DataFrame, root: str) -> DataFrame
     once. Texts of three words or fewer match only as wholes. Empty tables give an empty result; further columns are ignored.
     """
     spark = queue.sparkSession
-    rows = queue_rows(queue, pages)
-    numbers = sorted(r["batch_no"] for r in queue.select(F.coalesce("batch_no", F.lit(0)).alias("batch_no")).distinct().collect())  # one a batch
-    if not numbers:
+    rows = materialize(keyed(queue_rows(queue, pages).withColumn("batch", F.lit(0))), "queue-rows")
+    cuts = batch_cuts(rows)
+    if not cuts:
         return spark.createDataFrame([], "first_id long, dup_id long")
-    number = F.create_map(*[F.lit(x) for p in zip(numbers, range(len(numbers))) for x in p])
-    rows = materialize(keyed(rows.withColumn("batch", F.element_at(number, F.col("batch_no")))), "queue-rows")
+    starts = F.array(*[F.lit(str(c)).cast(ORD) for c in cuts])
+    rows = rows.withColumn("batch", F.size(F.filter(starts, lambda c: c <= F.col("ord"))) - 1)
     index = RareShingleIndex(spark, root)
     index.stage(rows)
-    index.staged = len(numbers)
-    for _ in numbers:
+    index.staged = len(cuts)
+    for _ in cuts:
         index.probe()
     return index.found(rows).select(queue_id_of(F.col("first")).alias("first_id"), F.col("row_id").alias("dup_id"))
+
+
+def batch_cuts(rows: DataFrame, block: int = 20_000) -> list[int]:
+    """Orders at which batches begin. A batch of more than `block` rows is accepted in parts, each as large as all before it,
+    so that what its first rows lead is known when the others come."""
+    number = F.floor(F.col("ord") / F.lit(str(_ROOM)).cast("decimal(21,0)")).cast("long")
+    counts = {r["b"]: r["n"] for r in rows.groupBy(number.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a batch
+    out = []
+    for b, n in sorted(counts.items()):
+        out.append(b * _ROOM)
+        parts, size = [], block
+        while size < n:
+            parts.append(size / n)
+            size *= 2
+        if parts:
+            inner = rows.where(number == b).agg(F.percentile_approx("ord", parts, 1_000_000)).first()[0]
+            out += [int(x) for x in inner]
+    return sorted(set(out))
