@@ -30,18 +30,20 @@ LINK_WORDS, TAG_WORDS = 5, 1
 EMPTY_DOCS = 10
 
 
-#: Measures of segments: name, length classes (words from, below), quantile taken, and the threshold as times x quantile + plus.
+#: Measures of segments: name, length classes (words from, below), quantile taken, and the threshold as times x quantile + plus,
+#: no less than the last number: long segments may be stuffing for the greater part.
 MEASURES = {
-    "separators": ((4, 1 << 30), 2 / 3, 2.5, 0.05),
-    "links": ((4, 1 << 30), 2 / 3, 1.0, 0.1),
-    "digits": ((4, 1 << 30), 2 / 3, 1.0, 0.3),
-    "distinct": ((12, 40), 1 / 3, 0.55, 0.0),
-    "distinct of many": ((40, 1 << 30), 1 / 3, 0.5, 0.0),
+    "separators": ((4, 1 << 30), 2 / 3, 2.0, 0.2, 0.0),
+    "links": ((4, 1 << 30), 2 / 3, 1.0, 0.1, 0.0),
+    "digits": ((4, 1 << 30), 2 / 3, 1.0, 0.3, 0.0),
+    "distinct": ((12, 40), 1 / 3, 0.55, 0.0, 0.4),
+    "distinct of many": ((40, 1 << 30), 1 / 3, 0.5, 0.0, 0.3),
 }
 #: Bins of a measure between 0 and 1, and words of all languages together that are added to each language's histogram.
 MEASURE_BINS, POOLED_WORDS = 50, 1000
-#: Words of the n-grams looked for, how often a text must say one, and how often the language's commonest word is too much.
-NGRAM, SAID, TOP_TIMES = 5, 6, 2.0
+#: Words of the n-grams looked for, how often a text must say one, how often the language's commonest word is too much, and
+#: the share that is never too much.
+NGRAM, SAID, TOP_TIMES, TOP_LEAST = 5, 6, 2.0, 0.12
 
 
 class Segments:
@@ -143,12 +145,12 @@ def learned(docs: DataFrame, least_share: float = 0.2, most: int = 200) -> tuple
             tables.setdefault((lang, r["kind"]), np.zeros(MEASURE_BINS + 1))[r["h"]] += r["n"]
     limits = {}
     for lang in ["", *sorted(best)]:
-        told = limits[lang] = {"top": TOP_TIMES * (shares.get(lang) or (max(shares.values()) if shares else 0.06))}
-        for name, (_, point, times, plus) in MEASURES.items():
+        told = limits[lang] = {"top": max(TOP_LEAST, TOP_TIMES * (shares.get(lang) or (max(shares.values()) if shares else 0.0)))}
+        for name, (_, point, times, plus, least) in MEASURES.items():
             pooled = tables.get(("", name), np.zeros(MEASURE_BINS + 1))
             mass = tables.get((lang, name), np.zeros(MEASURE_BINS + 1)) + pooled * (POOLED_WORDS / max(1.0, pooled.sum()))
             usual_value = np.searchsorted(np.cumsum(mass), point * mass.sum()) / MEASURE_BINS if mass.sum() else 0.0
-            told[name] = times * usual_value + plus
+            told[name] = max(least, times * usual_value + plus)
     return {k: np.sort(np.array([h for _, h in sorted(v)[:most]], dtype=np.int64).view(np.uint64)) for k, v in sorted(best.items())}, np.sort(known.view(np.uint64)), limits
 
 
