@@ -1,17 +1,16 @@
 """Duplicates of new batches among everything accepted before.
 
 An inverted index holds, for every accepted text, the rarest of its tokens (its prefix), in folders by batch and token bucket.
-A token is a word with the one before it. A batch looks up only the prefixes of its own texts; pairs with a common prefix
-token at near places and near lengths are verified word by word, and the batch's postings are appended. Equal digests are
-found by key.
-
-The prefix rule: texts of n and n' words of which l agree in order are accepted only if l is at least `accept_at` of the
-longer. A text has as many tokens as words (the first word follows a sign for the beginning). A token is lost to the other
-text if one of its words is, two tokens a word at most, or if the other text has words of its own between the two. So at most
-2 (n - l) + (n' - l) tokens are lost, the others are shared, and the k rarest shared ones are among the `most_lost` + k rarest
-of either text. So the prefix is that long, and a pair is looked at only if its prefixes share k tokens (`wanted`, a tenth of
-the words). Any fixed order of tokens is right; the counts of what was staged first, in a table of fixed size, keep postings
-rare. A shared token at p and p' has p - p' within the words left out, which bounds the places.
+A batch looks up only the prefixes of its own texts; pairs whose prefixes share enough tokens at near places, and near
+lengths, are verified word by word, and the batch's postings are appended. Equal digests are found by key.
+
+The prefix rule: tokens are words. Texts of n and n' words of which l agree in order share l words, and are accepted only if
+l is at least `accept_at` of the longer. So each lacks at most `most_lost` of its own n words in any match, and the k rarest
+words shared are among the `most_lost` + k rarest of either. So the prefix is that long, and a pair is looked at only if its
+prefixes share k words (`wanted`, a sixteenth of them). It holds wherever the differing words stand; a shingle of more words
+has no such bound, as one differing word breaks several. Any fixed order of words is right; the counts of what was staged
+first, in a table of fixed size, keep postings short. A shared word at p and p' has p - p' within the words left out, which
+bounds the places.
 
 Scale: a batch is put down (`stage`) as classes, digests and postings in folders of its own, which count as history once it
 is accepted. Its probe reads only the word buckets it has words in; the batch's postings and candidates are tables of known
@@ -35,7 +34,7 @@ from archivolt.llm.fold import folded, mix
 from archivolt.session import materialize
 
 #: Cells of the table of token counts.
-CELLS = 1 << 20
+CELLS = 1 << 18
 #: Occurrences at the first batch for which a word gets one key more; classes for which the index gets one bucket more.
 SPLIT_AT, BUCKET_OF = 10_000, 50_000
 ORD = "decimal(38,0)"
@@ -53,22 +52,18 @@ def least_agreeing(n, accept_at: float):
 
 
 def most_lost(n: np.ndarray, accept_at: float) -> np.ndarray:
-    """Most tokens a text of n words can lose to one that agrees; the other has n words, or one more, where it is most."""
-    least = lambda k: np.ceil(k * accept_at - 1e-9).astype(np.int64)
-    return np.minimum(n - 1, np.maximum(3 * (n - least(n)), 2 * (n - least(n + 1)) + (n + 1 - least(n + 1))))
+    """Most words a text of n words can lack in one that agrees."""
+    return n - np.ceil(n * accept_at - 1e-9).astype(np.int64)
 
 
 def wanted(n: np.ndarray, accept_at: float) -> np.ndarray:
-    """How many tokens of their prefixes two texts of n words must share: a tenth, where so many are shared at all."""
-    return np.maximum(1, np.minimum(n - most_lost(n, accept_at), n // 10))
+    """How many words of their prefixes two texts of n words must share."""
+    return np.maximum(1, np.minimum(n - most_lost(n, accept_at), n // 16))
 
 
 def tokens_of(words: np.ndarray) -> np.ndarray:
-    """The token of each place: the word with the one before it."""
-    w = words.astype(np.int64).view(np.uint64)
-    before = np.concatenate((np.array([0x51ED270B], dtype=np.uint64), w[:-1]))
-    with np.errstate(over="ignore"):
-        return mix(w * np.uint64(0x9E3779B97F4A7C15) + before * np.uint64(0xC2B2AE3D27D4EB4F))
+    """Hashes of words that fall evenly on cells and buckets."""
+    return mix(words.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def keyed(rows: DataFrame) -> DataFrame:
