@@ -202,7 +202,7 @@ class RareShingleIndex:
         here = mine.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("split").cast("long") - 1)).alias("part"), "low", "high", "times", "first", "n", "wanted", "upto")
         agreeing = least_agreeing(F.greatest("n", "on"), self.accept_at)
         near = (F.least("n", "on") >= agreeing) & (F.col("low") - F.col("ohigh") <= F.col("n") - agreeing) & (F.col("olow") - F.col("high") <= F.col("on") - agreeing)
-        hits = here.join(there, ["token", "part"]).where((F.col("other") < F.col("upto")) & near)
+        hits = here.join(there, ["token", "part"]).where(near & (F.col("other") < F.col("upto")))
         shared = hits.groupBy("first", "other").agg(F.sum(F.least("times", "otimes")).alias("shared"), F.min(F.least("wanted", "owanted")).alias("least"))
         return shared.where("shared >= least").select("first", "other")
 
