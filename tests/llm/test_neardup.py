@@ -124,3 +124,47 @@ def test_spread_differences_down_to_four_fifths(spark, tmp_path):
         pair(a, b)
     got = {r["dup_id"]: r["first_id"] for r in run(spark, tmp_path, history + batch).collect()}
     assert len(want) > 40 and got == want
+
+
+def test_pairs_of_hot_words_find_all_that_agree_and_leave_unlike_texts(spark, tmp_path, rows):
+    rng = random.Random(6)
+    stock = words(rng, 60)  # few words, so that unlike texts share most of theirs
+    data, want = [], {}
+    for k in range(120):
+        n = rng.choice([6, 15, 17, 18, 20, 23, 40, 60, 90, 110, 130])
+        a = [rng.choice(stock) for _ in range(n)]
+        b = list(a)
+        for _ in range(rng.randint(0, n // 6)):
+            i = rng.randrange(len(b))
+            rng.choice([lambda i=i: b.__setitem__(i, rng.choice(stock)), lambda i=i: b.pop(i), lambda i=i: b.insert(i, rng.choice(stock))])()
+        data += [(k, 0, f"u{k}", None, " ".join(a)), (1000 + k, 1, f"v{k}", None, " ".join(b))]
+    order = sorted(data, key=lambda r: (r[1], r[0]))
+    for i, r in enumerate(order):
+        for s in order[:i]:
+            a, b = r[4].split(), s[4].split()
+            if r[0] not in want and lcs(a, b) / max(len(a), len(b)) >= 0.8:
+                want[r[0]] = s[0]
+    q = N.queue_rows(spark.createDataFrame([(*r, "z") for r in data], QUEUE), spark.createDataFrame([], PAGES))
+    for hot in (3, 10**9):
+        index = N.RareShingleIndex(spark, f"file://{tmp_path}/{uuid.uuid4().hex}", hot=hot)
+        met, pairs = [], index._pairs
+        index._pairs = lambda *x, pairs=pairs, met=met: met.append(pairs(*x)) or met[-1]
+        parts = [index.accept(q.where(F.col("batch_no") == b)) for b in range(2)]
+        got = {r["row_id"]: r["id"] for p in parts for r in p.select("row_id", N.queue_id_of(F.col("first")).alias("id")).collect()}
+        assert got == want and len(want) >= 100
+        assert sum(m.count() for m in met) < 4 * len(want)  # of 28,000 pairs, most of which share a rare word
+
+
+def test_history_is_gone_through_in_growing_parts_not_once_a_batch(spark, tmp_path):
+    rng = random.Random(7)
+    t = [" ".join(words(rng, 30)) for _ in range(20)]
+    got = run(spark, tmp_path, [(i, i // 10, f"u{i}", None, t[i % 20]) for i in range(60)])
+    assert got.count() == 40 and len(list(tmp_path.glob("*/near/batch=*"))) == 1
+
+
+def test_frequent_keys_are_split_and_still_meet():
+    rng = random.Random(8)
+    a = N.tokens_of(N.np.array([rng.randrange(10**6) for _ in range(60)]))
+    level = N.np.full(N.CELLS, 1 + 8 * 20, N.np.int16)  # 2^20 occurrences each
+    (k1, o1), (k2, o2) = (N.keys_of(a, (level, 1 << 20), 0.8, N.HOT, salt) for salt in (1, 2))
+    assert len(o1) and set(k1) <= {*k2, *o2} and set(k2) <= {*k1, *o1} and set(k1) != set(k2)
