@@ -99,6 +99,21 @@ def test_titles(spark):
     assert mojibake.repaired(q.limit(0), p.limit(0)).count() == 0
 
 
+def test_every_clean_title_counts_in_the_model_and_the_margin(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abdegilmnorstéüñç") for _ in range(6))
+    titles = sorted({f"{word()} é {word()} {word()}" for _ in range(300)})
+    q = spark.createDataFrame([(f"u{i}", t, "z") for i, t in enumerate(titles)], "url string, pdf_title string, value string")
+    p = spark.createDataFrame([], "url string, path_slug string, value string")
+    few, many = (mojibake.Repair(q, p, held_out=n) for n in (3, 1500))
+    assert few.margin == many.margin and few.models[-1].mean == many.models[-1].mean
+    for repair in (few, many):
+        counted = [m.uni.sum() - m.uni[2] for m in repair.models]  # all but the bars
+        assert counted[-1] == sum(map(len, titles)) and sum(counted[-1] - n for n in counted[:-1]) == counted[-1]
+    told = {r["kind"]: r for r in few.validation().collect()}
+    assert told["clean"]["tried"] == 3
+
+
 def test_furniture_and_cut_words():
     page = "THE OLD MILL   12\nFirst line of a para-\ngraph goes on here.\n\n- 12 -"
     sure, _, header, number = scans.page_furniture(page)
